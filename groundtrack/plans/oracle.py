@@ -157,5 +157,55 @@ ORACLE: dict[str, str] = {
 }
 
 
+_TEV = with_(TICKS) + "SELECT t.*, e.event_type FROM ticks t JOIN events e ON e.event_id = t.seq"
+_RAWREQ = with_(REQUESTS) + """SELECT request_id, obs_latitude, obs_longitude, altitude, timestamp,
+        CASE WHEN choice_id = 9 THEN NULL ELSE choice_id END AS choice_id FROM requests"""
+_ACTION = """CASE choice_id WHEN 1 THEN 'motion_vector' WHEN 2 THEN 'overlap' WHEN 3 THEN 'closest'
+        WHEN 4 THEN 'exit' ELSE 'unknown' END"""
+_CLOSEST = ORACLE["closest_satellite"]
+
+ORACLE.update({
+    "topic_filter": with_(TICKS) + "SELECT 'satellite-' || sat_id AS topic, seq AS offset FROM ticks",
+    "parse_positions": f"""SELECT 'satellite-' || sat_id AS topic, seq,
+        CASE WHEN err THEN NULL ELSE sat_id END AS sat_id, CASE WHEN err THEN NULL ELSE satname END AS satname,
+        CASE WHEN err THEN NULL ELSE latitude END AS latitude,
+        CASE WHEN err THEN NULL ELSE longitude END AS longitude,
+        CASE WHEN err THEN NULL ELSE azimuth END AS azimuth,
+        CASE WHEN err THEN NULL ELSE elevation END AS elevation,
+        CASE WHEN err THEN NULL ELSE timestamp END AS timestamp,
+        CASE WHEN err THEN 'unparseable' END AS reject_reason
+      FROM (SELECT *, event_type = 'error' AS err FROM ({_TEV}) x) y""",
+    "parse_requests": _RAWREQ,
+    "validate_requests": f"""SELECT request_id, choice_id, obs_latitude, obs_longitude,
+        CASE WHEN choice_id IS NULL THEN 'missing_choice' WHEN choice_id NOT IN (1, 2, 3) THEN 'invalid_choice'
+             WHEN choice_id = 3 AND (obs_latitude IS NULL OR obs_longitude IS NULL) THEN 'missing_location'
+        END AS reject_reason FROM ({_RAWREQ}) r""",
+    "route_requests": f"SELECT request_id, choice_id, {_ACTION} AS action FROM ({_RAWREQ}) r",
+    "route_counts": f"""SELECT {_ACTION} AS action, count(*) AS n_requests FROM ({_RAWREQ}) r
+        GROUP BY 1""",
+    "normalize_api": f"""SELECT sat_id,
+        CASE WHEN event_type = 'signup' THEN 'Unknown' ELSE satname END AS satname,
+        CASE WHEN err THEN NULL ELSE latitude END AS latitude,
+        CASE WHEN err THEN NULL ELSE longitude END AS longitude,
+        CASE WHEN err THEN NULL ELSE azimuth END AS azimuth,
+        CASE WHEN err THEN NULL ELSE elevation END AS elevation,
+        CASE WHEN err THEN NULL ELSE timestamp END AS timestamp,
+        CASE WHEN err THEN 'no_positions' END AS reject_reason
+      FROM (SELECT *, event_type = 'error' AS err FROM ({_TEV}) x) y""",
+    "encode_positions": with_(TICKS) + """SELECT 'satellite-' || sat_id AS topic, sat_id, satname,
+        latitude, longitude, azimuth, elevation, timestamp FROM ticks""",
+    "encode_requests": with_(REQUESTS) + """SELECT 'observer_location' AS topic, request_id,
+        CAST(7 AS BIGINT) AS n_keys, obs_latitude, obs_longitude, altitude, timestamp, choice_id FROM requests""",
+    "closest_response": f"""SELECT 'observer_response' AS topic, request_id, satname, sat_id, latitude,
+        longitude, distance_km, observer_lat, observer_lon, timestamp FROM ({_CLOSEST}) c""",
+    "decode_responses": f"""SELECT 'observer_response' AS topic, request_id, satname, sat_id, latitude,
+        longitude, distance_km, observer_lat, observer_lon, timestamp FROM ({_CLOSEST}) c""",
+    "overlap_response": f"""SELECT CAST(1 AS BIGINT) AS n_parts, timestamp, satname1, satname2, distance_km,
+        overlap, overlap_km, lat1, lon1, lat2, lon2 FROM ({ORACLE['coverage_overlap']}) o""",
+    "motion_response": f"""SELECT batch, rank - 1 AS item_index, sat_id, satname, velocity_kmph,
+        delta_latitude, delta_longitude, timestamp FROM ({ORACLE['motion_top5']}) m""",
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

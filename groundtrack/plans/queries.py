@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundtrack.functions.geo import haversine_km
-from groundtrack.operators import asof, latest, motion, overlap, tracks as trk, windows
+from groundtrack.operators import asof, codecs, ingest, latest, motion, overlap, tracks as trk, windows
 from groundtrack.params import OBSERVER, SAT_IDS
+from groundtrack.schemas import OVERLAP_ITEM, POSITION, REQUEST
 from groundtrack.sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,5 +164,101 @@ def q_allowlist(spark, sf_dir):
     return trk.allowlist(t, ("1", "3", "5", "7")).select("sat_id", "seq", "timestamp")
 
 
+# --- ingest, routing, codecs ------------------------------------------------
+
+@register("topic_filter")
+def q_topic_filter(spark, sf_dir):
+    raw = fx.raw_positions(spark, sf_dir).unionByName(fx.raw_requests(spark, sf_dir))
+    return ingest.topic_filter(raw).select("topic", "offset")
+
+
+@register("parse_positions")
+def q_parse_positions(spark, sf_dir):
+    return ingest.parse_positions(fx.raw_positions(spark, sf_dir))
+
+
+@register("parse_requests")
+def q_parse_requests(spark, sf_dir):
+    return ingest.parse_requests(fx.raw_requests(spark, sf_dir))
+
+
+@register("validate_requests")
+def q_validate_requests(spark, sf_dir):
+    v = ingest.validate_requests(ingest.parse_requests(fx.raw_requests(spark, sf_dir)))
+    return v.select("request_id", "choice_id", "obs_latitude", "obs_longitude", "reject_reason")
+
+
+@register("route_requests")
+def q_route_requests(spark, sf_dir):
+    r = ingest.route_requests(ingest.parse_requests(fx.raw_requests(spark, sf_dir)))
+    return r.select("request_id", "choice_id", "action")
+
+
+@register("route_counts")
+def q_route_counts(spark, sf_dir):
+    return ingest.route_counts(ingest.parse_requests(fx.raw_requests(spark, sf_dir)))
+
+
+@register("normalize_api")
+def q_normalize_api(spark, sf_dir):
+    docs = fx.api_documents(spark, sf_dir)
+    return ingest.normalize_api(docs.select("sat_id", "value"))
+
+
+@register("encode_positions")
+def q_encode_positions(spark, sf_dir):
+    m = codecs.encode_positions(fx.ticks(spark, sf_dir))
+    d = F.from_json("value", POSITION)
+    return m.select("topic", *[d[f.name].alias(f.name) for f in POSITION.fields])
+
+
+@register("encode_requests")
+def q_encode_requests(spark, sf_dir):
+    m = codecs.encode_requests(fx.requests(spark, sf_dir))
+    d = F.from_json("value", REQUEST)
+    return m.select("topic", F.col("key").cast("bigint").alias("request_id"),
+                    F.size(F.json_object_keys("value")).cast("bigint").alias("n_keys"),
+                    *[d[f.name].alias(f.name) for f in REQUEST.fields])
+
+
+def _closest_msgs(spark, sf_dir):
+    return codecs.closest_response(
+        asof.closest_satellite(_choice(spark, sf_dir, 3), fx.irregular(spark, sf_dir)))
+
+
+@register("closest_response")
+def q_closest_response(spark, sf_dir):
+    from groundtrack.schemas import CLOSEST_RESPONSE
+    d = F.from_json("value", CLOSEST_RESPONSE)
+    return _closest_msgs(spark, sf_dir).select(
+        "topic", F.col("key").cast("bigint").alias("request_id"),
+        *[d[f.name].alias(f.name) for f in CLOSEST_RESPONSE.fields])
+
+
+@register("decode_responses")
+def q_decode_responses(spark, sf_dir):
+    d = codecs.decode_responses(_closest_msgs(spark, sf_dir))
+    return d.withColumn("key", F.col("key").cast("bigint")).withColumnRenamed("key", "request_id")
+
+
+@register("overlap_response")
+def q_overlap_response(spark, sf_dir):
+    m = codecs.overlap_response(overlap.coverage_overlap(fx.ticks(spark, sf_dir)))
+    items = F.from_json("value", f"array<{OVERLAP_ITEM.simpleString()}>")
+    return m.select("n_parts", F.explode(items).alias("i")).select("n_parts", "i.*")
+
+
+@register("motion_response")
+def q_motion_response(spark, sf_dir):
+    top = q_motion_top5(spark, sf_dir)
+    m = codecs.motion_response(top)
+    from groundtrack.schemas import MOTION_RESPONSE
+    x = m.select("batch", F.posexplode(F.from_json("value", MOTION_RESPONSE)).alias("item_index", "i"))
+    return x.select("batch", F.col("item_index").cast("bigint").alias("item_index"),
+                    "i.sat_id", "i.satname", "i.velocity_kmph",
+                    F.col("i.direction.delta_latitude").alias("delta_latitude"),
+                    F.col("i.direction.delta_longitude").alias("delta_longitude"), "i.timestamp")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)

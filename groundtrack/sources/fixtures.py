@@ -139,3 +139,28 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         "obs_latitude", "obs_longitude"), {"ignoreNullFields": "false"})
     return r.select(body.alias("value"), F.lit("observer_location").alias("topic"),
                     F.col("request_id").alias("offset"))
+
+
+def api_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions API documents for the ``ticks`` fixes, with the requested id.
+
+    Events of type 'error' answer with an empty ``positions`` list and
+    'signup' events with no ``info`` object, the two cases the normaliser
+    must survive.
+    """
+    ev = table(spark, sf_dir, "events", "event_id", "event_type")
+    k = F.col("event_id") % len(SAT_IDS)
+    tick = F.expr(f"event_id div {len(SAT_IDS)}")
+    sat_id, satname = _named(k)
+    t = _finish(ev, sat_id, satname, F.lit(BASE_EPOCH) + tick * POLL_S,
+                _lat(tick, k), _lon(tick, k), "event_type")
+    pos = F.struct(F.col("latitude").alias("satlatitude"), F.col("longitude").alias("satlongitude"),
+                   "azimuth", "elevation", "timestamp")
+    positions = F.when(F.col("event_type") == "error", F.array().cast("array<struct<satlatitude:double,"
+                       "satlongitude:double,azimuth:double,elevation:double,timestamp:bigint>>")
+                       ).otherwise(F.array(pos))
+    with_info = F.to_json(F.struct(F.struct("satname").alias("info"), positions.alias("positions")))
+    no_info = F.to_json(F.struct(positions.alias("positions")))
+    value = F.when(F.col("event_type") == "signup", no_info).otherwise(with_info)
+    return t.select(F.col("sat_id").cast("int").alias("sat_id"), value.alias("value"),
+                    F.col("seq"))
