@@ -261,4 +261,6 @@ def q_motion_response(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    """Batch queries (SQL oracle) and streaming queries (rows-only)."""
+    from groundtrack.plans.streams import STREAM_QUERIES
+    return {**QUERIES, **STREAM_QUERIES}
