@@ -10,7 +10,8 @@ Plan (linear in fixes + answers, no range join and no nested loop):
   ``b`` may see lies in ``b`` or is the last fix of ``b - 1``;
 * ``tails``: last fix per (object, bucket), carried into the next bucket
   (a partial aggregate: one row per object and bucket);
-* ``presence``: which objects have fixes in ``b`` or ``b - 1``; requests are
+* ``presence``: which objects have fixes in ``b`` or ``b - 1`` (from the same
+  aggregate as the tails); requests are
   joined to it on ``b`` (an equi-join; AQE broadcasts it at run time when
   its measured size is under the threshold, else it stays a shuffle join);
 * fixes, carried tails and request copies are unioned and one window per
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundtrack.functions.geo import haversine_km
+from groundtrack.functions.ordering import order_key
 from groundtrack.params import ASOF_LOOKBACK_S
 
 FIX_COLS = ("timestamp", "seq", "satname", "latitude", "longitude")
@@ -41,10 +43,13 @@ def asof_positions(requests: DataFrame, fixes: DataFrame,
 
     fix_rows = fx.select("sat_id", "b", F.col("timestamp").alias("t"), F.lit(0).alias("kind"),
                          F.struct(*FIX_COLS).alias("fix"))
-    tails = (fx.groupBy("sat_id", "b").agg(F.max(F.struct(*FIX_COLS)).alias("fix"))
-             .select("sat_id", (F.col("b") + 1).alias("b"), F.col("fix.timestamp").alias("t"),
-                     F.lit(0).alias("kind"), "fix"))
-    presence = (fx.select("sat_id", F.explode(F.array("b", F.col("b") + 1)).alias("b"))
+    # one aggregate per (object, bucket) feeds both the carried tails and the
+    # presence list (same plan subtree: its exchange is computed once)
+    last = (fx.withColumn("_k", order_key()).groupBy("sat_id", "b")
+            .agg(*[F.max_by(c, "_k").alias(c) for c in FIX_COLS]))
+    tails = last.select("sat_id", (F.col("b") + 1).alias("b"), F.col("timestamp").alias("t"),
+                        F.lit(0).alias("kind"), F.struct(*FIX_COLS).alias("fix"))
+    presence = (last.select("sat_id", F.explode(F.array("b", F.col("b") + 1)).alias("b"))
                 .distinct())
 
     rq = requests.select(key, F.col("timestamp").alias("request_ts"), *request_cols)

@@ -1,8 +1,9 @@
 """Latest fix per object, the display snapshot, and the completeness gate.
 
 ``latest_positions`` replaces a driver-side "last arrival wins" cache: a
-grouped ``max_by`` on ``(timestamp, seq)``. Spark aggregates partially in
-every map task before the shuffle, so a hot object sends one row per task.
+grouped ``max_by`` on ``(timestamp, seq)`` (one exact packed key, so the
+aggregate is hash-based). Spark aggregates partially in every map task
+before the shuffle, so a hot object sends one row per task.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from groundtrack.functions.ordering import order_key
+
 ORDER = ("timestamp", "seq")
 
 
@@ -17,8 +20,8 @@ def latest_positions(fixes: DataFrame, key: str = "sat_id",
                      order: tuple[str, ...] = ORDER) -> DataFrame:
     """One row per ``key``: the fix with the greatest ``order`` tuple."""
     rest = [c for c in fixes.columns if c != key]
-    best = F.max_by(F.struct(*rest), F.struct(*order))
-    return fixes.groupBy(key).agg(best.alias("_r")).select(key, "_r.*")
+    k = order_key(*order) if len(order) == 2 else F.struct(*order)
+    return fixes.withColumn("_k", k).groupBy(key).agg(*[F.max_by(c, "_k").alias(c) for c in rest])
 
 
 def snapshot(fixes: DataFrame) -> DataFrame:

@@ -8,7 +8,9 @@ streaming DataFrame (add ``withWatermark`` on ``event_time`` first).
 Each fix falls into window/slide windows (15 for 30 min / 2 min); Spark
 expands and aggregates partially per task before the shuffle, so the
 expansion never crosses the network. Groups are one object for one window,
-bounded by the window length whatever the key skew.
+bounded by the window length whatever the key skew. Latitude and longitude
+come from the same row: both ``max_by`` use one exact packed key of
+``(timestamp, seq)``, which keeps the aggregate hash-based.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from groundtrack.functions.ordering import order_key
 from groundtrack.params import RETAIN_S, SLIDE, WINDOW
 
 
@@ -28,15 +31,14 @@ def sliding_positions(fixes: DataFrame, window: str = WINDOW, slide: str = SLIDE
     df = fixes if "event_time" in fixes.columns else with_event_time(fixes)
     if watermark:
         df = df.withWatermark("event_time", watermark)
+    df = df.withColumn("_k", order_key())
     g = df.groupBy(F.window("event_time", window, slide).alias("w"), "sat_id", "satname").agg(
-        F.max_by(F.struct("latitude", "longitude"), F.struct("timestamp", "seq")).alias("p"),
+        F.max_by("latitude", "_k").alias("latitude"), F.max_by("longitude", "_k").alias("longitude"),
         F.max("timestamp").alias("timestamp"))
     return g.select(
         F.unix_seconds(F.col("w.start")).alias("window_start"),
         F.unix_seconds(F.col("w.end")).alias("window_end"),
-        "sat_id", "satname",
-        F.col("p.latitude").alias("latitude"), F.col("p.longitude").alias("longitude"),
-        "timestamp")
+        "sat_id", "satname", "latitude", "longitude", "timestamp")
 
 
 def track_retention(windows: DataFrame, now_s, retain_s: int = RETAIN_S) -> DataFrame:

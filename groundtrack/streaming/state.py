@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 import os
+import warnings
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,9 @@ MOTION_OUT = ("sat_id string, satname string, timestamp bigint, seq bigint, "
               "delta_longitude double, late boolean")
 MOTION_STATE = "ts array<bigint>, seq array<bigint>, lat array<double>, lon array<double>"
 _OUT_COLS = [c.split()[0] for c in MOTION_OUT.split(", ")]
+# Arrow conversion of the state function's output warns about all-null
+# columns of late rows; the result is correct, the warning is noise.
+warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty.*")
 
 
 def _haversine_np(lat1, lon1, lat2, lon2, r=EARTH_RADIUS_KM):
