@@ -31,6 +31,24 @@ def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = EARTH_RADIUS_KM) ->
     return F.lit(2.0 * radius_km) * F.atan2(F.sqrt(a), F.sqrt(F.greatest(F.lit(1.0) - a, F.lit(0.0))))
 
 
+def geo_parts(lat, lon, prefix: str) -> list[Column]:
+    """Per-point terms of the haversine formula, to compute once per point
+    before a pair join instead of once per pair: latitude and longitude in
+    radians and the cosine of the latitude."""
+    p = F.radians(_c(lat))
+    return [p.alias(f"{prefix}phi"), F.cos(p).alias(f"{prefix}cos"),
+            F.radians(_c(lon)).alias(f"{prefix}lam")]
+
+
+def haversine_from_parts(a: str, b: str, radius_km: float = EARTH_RADIUS_KM) -> Column:
+    """Haversine distance from two sets of ``geo_parts`` (prefixes ``a``,
+    ``b``). Same operations as ``haversine_km``, so the same doubles."""
+    s1 = F.sin((F.col(f"{b}phi") - F.col(f"{a}phi")) / 2)
+    s2 = F.sin((F.col(f"{b}lam") - F.col(f"{a}lam")) / 2)
+    x = s1 * s1 + F.col(f"{a}cos") * F.col(f"{b}cos") * s2 * s2
+    return F.lit(2.0 * radius_km) * F.atan2(F.sqrt(x), F.sqrt(F.greatest(F.lit(1.0) - x, F.lit(0.0))))
+
+
 def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str,
                   radius_km: float = EARTH_RADIUS_KM) -> str:
     """The same formula as SQL text (used by the oracle)."""

@@ -6,10 +6,12 @@ the two coverage discs intersect (``distance < 2r``, strict) and by how
 much (``2r - distance``, else 0.0). All pairs are reported, overlapping or
 not: the pair list *is* the answer, so its size is n(n-1)/2 per instant.
 
-Plan: one equi-join on ``timestamp`` with the ``<`` as a residual predicate
-(a shuffled hash / sort-merge join, never a nested loop). Both sides are
-hash-partitioned on ``timestamp``, so the optional per-instant gate (a
-semi-join on the same key) reuses that partitioning. A hot instant is split across tasks by AQE's skew-join handling.
+Plan: a sort-merge equi-join on ``timestamp`` with the ``<`` as a residual
+predicate (never a nested loop, never a broadcast of the fix table, which
+grows with the data). Per-point trigonometry is computed before the join,
+once per fix. A hot instant is split across tasks by AQE's skew-join
+handling. The optional per-instant gate is a grouped count and a semi-join
+on the same key. A hot instant is split across tasks by AQE's skew-join handling.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundtrack.functions.geo import haversine_km
+from groundtrack.functions.geo import geo_parts, haversine_from_parts
 from groundtrack.params import COVERAGE_RADIUS_KM, EARTH_RADIUS_KM
 
 
@@ -42,14 +44,18 @@ def coverage_overlap(fixes: DataFrame, radius_km: float = COVERAGE_RADIUS_KM,
     exactly that many objects are present); None means no gate.
     ``digits`` rounds the two km columns (None keeps full precision).
     """
-    if required_satellites is not None:
-        fixes = complete_instants(fixes, required_satellites)
     cols = ["timestamp", "sat_id", "satname", "latitude", "longitude"]
-    a = fixes.select(*[F.col(c).alias(f"{c}_a") for c in cols])
-    b = fixes.select(*[F.col(c).alias(f"{c}_b") for c in cols])
-    pairs = a.join(b, (F.col("timestamp_a") == F.col("timestamp_b"))
+    keyed = fixes.select(*cols)
+    if required_satellites is not None:
+        keyed = complete_instants(keyed, required_satellites)
+    # trigonometry that depends on one point only is done once per fix
+    a = keyed.select(*[F.col(c).alias(f"{c}_a") for c in cols], *geo_parts("latitude", "longitude", "a_"))
+    b = keyed.select(*[F.col(c).alias(f"{c}_b") for c in cols], *geo_parts("latitude", "longitude", "b_"))
+    # sort-merge on the instant: the fix table grows with the data, so it is
+    # never broadcast, and AQE can split a hot instant across tasks
+    pairs = a.join(b.hint("merge"), (F.col("timestamp_a") == F.col("timestamp_b"))
                    & (F.col("sat_id_a") < F.col("sat_id_b")))
-    d = haversine_km("latitude_a", "longitude_a", "latitude_b", "longitude_b", earth_radius_km)
+    d = haversine_from_parts("a_", "b_", earth_radius_km)
     reach = 2.0 * radius_km
     out = pairs.select(
         F.col("timestamp_a").alias("timestamp"),

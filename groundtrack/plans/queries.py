@@ -148,14 +148,15 @@ def q_history_path(spark, sf_dir):
 @register("track_geojson")
 def q_track_geojson(spark, sf_dir):
     g = trk.track_geojson(trk.tracks(_retained_ticks(spark, sf_dir)))
-    line = F.from_json("track", "struct<geometry: struct<coordinates: array<array<double>>>>")
-    head = F.from_json("head", "struct<geometry: struct<coordinates: array<double>>>")
-    c = line["geometry"]["coordinates"]
-    return g.select(
-        "sat_id", "satname", F.size(c).cast("bigint").alias("n_coords"),
-        F.element_at(c, 1)[0].alias("first_lon"), F.element_at(c, 1)[1].alias("first_lat"),
-        head["geometry"]["coordinates"][0].alias("head_lon"),
-        head["geometry"]["coordinates"][1].alias("head_lat"))
+    p = g.select("sat_id", "satname",
+                 F.from_json("track", "struct<geometry: struct<coordinates: array<array<double>>>>")
+                 ["geometry"]["coordinates"].alias("c"),
+                 F.from_json("head", "struct<geometry: struct<coordinates: array<double>>>")
+                 ["geometry"]["coordinates"].alias("h"))
+    return p.select(
+        "sat_id", "satname", F.size("c").cast("bigint").alias("n_coords"),
+        F.element_at("c", 1)[0].alias("first_lon"), F.element_at("c", 1)[1].alias("first_lat"),
+        F.col("h")[0].alias("head_lon"), F.col("h")[1].alias("head_lat"))
 
 
 @register("allowlist")
@@ -208,17 +209,17 @@ def q_normalize_api(spark, sf_dir):
 @register("encode_positions")
 def q_encode_positions(spark, sf_dir):
     m = codecs.encode_positions(fx.ticks(spark, sf_dir))
-    d = F.from_json("value", POSITION)
-    return m.select("topic", *[d[f.name].alias(f.name) for f in POSITION.fields])
+    d = m.select("topic", F.from_json("value", POSITION).alias("d"))   # parse once, then expand
+    return d.select("topic", "d.*")
 
 
 @register("encode_requests")
 def q_encode_requests(spark, sf_dir):
     m = codecs.encode_requests(fx.requests(spark, sf_dir))
-    d = F.from_json("value", REQUEST)
-    return m.select("topic", F.col("key").cast("bigint").alias("request_id"),
-                    F.size(F.json_object_keys("value")).cast("bigint").alias("n_keys"),
-                    *[d[f.name].alias(f.name) for f in REQUEST.fields])
+    d = m.select("topic", F.col("key").cast("bigint").alias("request_id"),
+                 F.size(F.json_object_keys("value")).cast("bigint").alias("n_keys"),
+                 F.from_json("value", REQUEST).alias("d"))
+    return d.select("topic", "request_id", "n_keys", "d.*")
 
 
 def _closest_msgs(spark, sf_dir):
@@ -229,10 +230,10 @@ def _closest_msgs(spark, sf_dir):
 @register("closest_response")
 def q_closest_response(spark, sf_dir):
     from groundtrack.schemas import CLOSEST_RESPONSE
-    d = F.from_json("value", CLOSEST_RESPONSE)
-    return _closest_msgs(spark, sf_dir).select(
+    d = _closest_msgs(spark, sf_dir).select(
         "topic", F.col("key").cast("bigint").alias("request_id"),
-        *[d[f.name].alias(f.name) for f in CLOSEST_RESPONSE.fields])
+        F.from_json("value", CLOSEST_RESPONSE).alias("d"))
+    return d.select("topic", "request_id", "d.*")
 
 
 @register("decode_responses")
