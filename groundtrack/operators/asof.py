@@ -1,8 +1,9 @@
-"""As-of lookup of fixes for requests, and the closest object per request.
+"""As-of lookup for requests, and the answers built on it.
 
-``asof_positions``: for every request and every object, the latest fix with
-``request.ts - lookback <= fix.ts <= request.ts`` (latest by ``(ts, seq)``;
-a fix in the same second as the request counts).
+``asof_join``: for every request and every object, the latest event (a fix,
+a motion vector) with ``request.ts - lookback <= ts <= request.ts`` (latest
+by ``(ts, seq)``; an event in the same second as the request counts). This
+is the "cache" a request sees, with an explicit age bound.
 
 Plan (linear in fixes + answers, no range join and no nested loop):
 
@@ -25,56 +26,68 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from groundtrack.functions.geo import haversine_km
+from groundtrack.functions.geo import geo_parts, haversine_from_parts, haversine_km
 from groundtrack.functions.ordering import order_key
-from groundtrack.params import ASOF_LOOKBACK_S
+from groundtrack.params import ASOF_LOOKBACK_S, COVERAGE_RADIUS_KM
 
-FIX_COLS = ("timestamp", "seq", "satname", "latitude", "longitude")
 
+def asof_join(requests: DataFrame, events: DataFrame, value_cols: tuple[str, ...],
+              lookback_s: int = ASOF_LOOKBACK_S,
+              request_cols: tuple[str, ...] = ("obs_latitude", "obs_longitude"),
+              key: str = "request_id", entity: str = "sat_id") -> DataFrame:
+    """Rows (request, entity, latest event as of the request time).
 
-def asof_positions(requests: DataFrame, fixes: DataFrame,
-                   lookback_s: int = ASOF_LOOKBACK_S,
-                   request_cols: tuple[str, ...] = ("obs_latitude", "obs_longitude"),
-                   key: str = "request_id") -> DataFrame:
-    """Rows (request, object, latest fix as of the request time)."""
+    ``events`` need ``entity``, ``timestamp``, ``seq`` and ``value_cols``;
+    the event chosen per (request, entity) is the greatest ``(timestamp,
+    seq)`` with ``request.ts - lookback_s <= timestamp <= request.ts``.
+    Output: key, request_ts, request_cols, entity, value_cols, fix_ts, fix_seq.
+    """
     L = int(lookback_s)
+    cols = ("timestamp", "seq", *value_cols)
     bucket = lambda c: F.floor(F.col(c) / F.lit(L)).cast("bigint")
-    fx = fixes.select("sat_id", *FIX_COLS).withColumn("b", bucket("timestamp"))
-
-    fix_rows = fx.select("sat_id", "b", F.col("timestamp").alias("t"), F.lit(0).alias("kind"),
-                         F.struct(*FIX_COLS).alias("fix"))
-    # one aggregate per (object, bucket) feeds both the carried tails and the
-    # presence list (same plan subtree: its exchange is computed once)
-    last = (fx.withColumn("_k", order_key()).groupBy("sat_id", "b")
-            .agg(*[F.max_by(c, "_k").alias(c) for c in FIX_COLS]))
-    tails = last.select("sat_id", (F.col("b") + 1).alias("b"), F.col("timestamp").alias("t"),
-                        F.lit(0).alias("kind"), F.struct(*FIX_COLS).alias("fix"))
-    presence = (last.select("sat_id", F.explode(F.array("b", F.col("b") + 1)).alias("b"))
+    fx = events.select(F.col(entity).alias("_e"), *cols).withColumn("b", bucket("timestamp"))
+
+    ev_rows = fx.select("_e", "b", F.col("timestamp").alias("t"), F.lit(0).alias("kind"),
+                        F.struct(*cols).alias("fix"))
+    # one aggregate per (entity, bucket) feeds both the carried tails and the
+    # presence list
+    last = (fx.withColumn("_k", order_key()).groupBy("_e", "b")
+            .agg(*[F.max_by(c, "_k").alias(c) for c in cols]))
+    tails = last.select("_e", (F.col("b") + 1).alias("b"), F.col("timestamp").alias("t"),
+                        F.lit(0).alias("kind"), F.struct(*cols).alias("fix"))
+    presence = (last.select("_e", F.explode(F.array("b", F.col("b") + 1)).alias("b"))
                 .distinct())
 
     rq = requests.select(key, F.col("timestamp").alias("request_ts"), *request_cols)
     copies = (rq.withColumn("b", bucket("request_ts")).join(presence, "b")
-              .select("sat_id", "b", F.col("request_ts").alias("t"), F.lit(1).alias("kind"),
-                      F.lit(None).cast(fix_rows.schema["fix"].dataType).alias("fix"),
+              .select("_e", "b", F.col("request_ts").alias("t"), F.lit(1).alias("kind"),
+                      F.lit(None).cast(ev_rows.schema["fix"].dataType).alias("fix"),
                       key, "request_ts", *request_cols))
     for c in [key, "request_ts", *request_cols]:
-        fix_rows = fix_rows.withColumn(c, F.lit(None).cast(copies.schema[c].dataType))
+        ev_rows = ev_rows.withColumn(c, F.lit(None).cast(copies.schema[c].dataType))
         tails = tails.withColumn(c, F.lit(None).cast(copies.schema[c].dataType))
 
-    rows = fix_rows.unionByName(tails).unionByName(copies)
-    w = (Window.partitionBy("sat_id", "b").orderBy("t", "kind", F.col("fix.seq"))
+    rows = ev_rows.unionByName(tails).unionByName(copies)
+    w = (Window.partitionBy("_e", "b").orderBy("t", "kind", F.col("fix.seq"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     carried = rows.withColumn("_last", F.last("fix", ignorenulls=True).over(w))
     hit = carried.where((F.col("kind") == 1) & F.col("_last").isNotNull()
                         & (F.col("_last.timestamp") >= F.col("request_ts") - F.lit(L)))
-    return hit.select(key, "request_ts", *request_cols, "sat_id",
-                      F.col("_last.satname").alias("satname"),
-                      F.col("_last.latitude").alias("latitude"),
-                      F.col("_last.longitude").alias("longitude"),
+    return hit.select(key, "request_ts", *request_cols, F.col("_e").alias(entity),
+                      *[F.col(f"_last.{c}").alias(c) for c in value_cols],
                       F.col("_last.timestamp").alias("fix_ts"),
                       F.col("_last.seq").alias("fix_seq"))
 
 
+def asof_positions(requests: DataFrame, fixes: DataFrame,
+                   lookback_s: int = ASOF_LOOKBACK_S,
+                   request_cols: tuple[str, ...] = ("obs_latitude", "obs_longitude"),
+                   key: str = "request_id") -> DataFrame:
+    """Rows (request, object, latest fix as of the request time)."""
+    return asof_join(requests, fixes, ("satname", "latitude", "longitude"), lookback_s,
+                     request_cols, key)
+
+
 def closest_satellite(requests: DataFrame, fixes: DataFrame,
                       lookback_s: int = ASOF_LOOKBACK_S, key: str = "request_id",
                       digits: int | None = 2) -> DataFrame:
@@ -98,3 +111,45 @@ def closest_satellite(requests: DataFrame, fixes: DataFrame,
         dist.alias("distance_km"),
         F.col("m.obs_latitude").alias("observer_lat"), F.col("m.obs_longitude").alias("observer_lon"),
         F.col("m.request_ts").alias("timestamp"), F.col("m.fix_ts").alias("fix_ts"))
+
+
+def motion_answers(requests: DataFrame, vectors: DataFrame,
+                   lookback_s: int = ASOF_LOOKBACK_S, key: str = "request_id") -> DataFrame:
+    """A motion request is answered with the latest vector of every object
+    as of the request time (not older than ``lookback_s``)."""
+    a = asof_join(requests, vectors, ("satname", "velocity_kmph", "delta_latitude", "delta_longitude"),
+                  lookback_s, (), key)
+    return a.select(key, F.col("request_ts").alias("timestamp"), "sat_id", "satname", "velocity_kmph",
+                    "delta_latitude", "delta_longitude", F.col("fix_ts").alias("vector_ts"))
+
+
+def overlap_answers(requests: DataFrame, fixes: DataFrame, lookback_s: int = ASOF_LOOKBACK_S,
+                    radius_km: float = COVERAGE_RADIUS_KM, required_satellites: int | None = None,
+                    key: str = "request_id") -> DataFrame:
+    """An overlap request is answered with the coverage overlap of the
+    objects in its as-of cache, pairing fixes of equal timestamp (as the
+    original does); with ``required_satellites`` only a cache holding
+    exactly that many objects is answered. Pairs are per request: the join
+    key is (request, fix time), so a group never exceeds the object count.
+    """
+    a = asof_positions(requests, fixes, lookback_s, (), key)
+    if required_satellites is not None:
+        n = a.groupBy(key).agg(F.count_distinct("sat_id").alias("_n"))
+        a = a.join(n.where(F.col("_n") == required_satellites).select(key), key, "left_semi")
+    cols = [key, "fix_ts", "sat_id", "satname", "latitude", "longitude"]
+    x = a.select(*[F.col(c).alias(f"{c}_x") for c in cols], *geo_parts("latitude", "longitude", "x_"))
+    y = a.select(*[F.col(c).alias(f"{c}_y") for c in cols], *geo_parts("latitude", "longitude", "y_"))
+    p = x.join(y, (F.col(f"{key}_x") == F.col(f"{key}_y")) & (F.col("fix_ts_x") == F.col("fix_ts_y"))
+               & (F.col("sat_id_x") < F.col("sat_id_y")))
+    d = haversine_from_parts("x_", "y_")
+    reach = 2.0 * radius_km
+    p = p.withColumn("_d", d)
+    ov = F.col("_d") < F.lit(reach)
+    return p.select(
+        F.col(f"{key}_x").alias(key), F.col("fix_ts_x").alias("timestamp"),
+        F.round("_d", 2).alias("distance_km"), ov.alias("overlap"),
+        F.round(F.when(ov, F.lit(reach) - F.col("_d")).otherwise(F.lit(0.0)), 2).alias("overlap_km"),
+        F.col("sat_id_x").alias("sat_id1"), F.col("sat_id_y").alias("sat_id2"),
+        F.col("satname_x").alias("satname1"), F.col("satname_y").alias("satname2"),
+        F.col("latitude_x").alias("lat1"), F.col("longitude_x").alias("lon1"),
+        F.col("latitude_y").alias("lat2"), F.col("longitude_y").alias("lon2"))

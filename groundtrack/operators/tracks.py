@@ -87,3 +87,24 @@ def track_geojson(tr: DataFrame) -> DataFrame:
                  F.array(last["longitude"], last["latitude"]).alias("coordinates")).alias("geometry"),
         props.alias("properties")))
     return tr.select("sat_id", "satname", line.alias("track"), head.alias("head"))
+
+
+def hhmm(epoch_s) -> "F.Column":
+    """``HH:MM`` (UTC) of epoch seconds, computed without the session zone."""
+    c = F.col(epoch_s) if isinstance(epoch_s, str) else epoch_s
+    return F.format_string("%02d:%02d", F.floor(F.pmod(c, F.lit(86400)) / 3600).cast("int"),
+                           F.floor(F.pmod(c, F.lit(3600)) / 60).cast("int"))
+
+
+def track_labels(tr: DataFrame, windows: DataFrame) -> DataFrame:
+    """Text of the map: the end-marker popup of each track
+    ('<name> (ID: <id>)' and the 'HH:MM to HH:MM' window of its last point)
+    and the map title over the whole extent (scalar subqueries, no join)."""
+    last = F.element_at("path", -1)
+    lo = windows.agg(F.min("window_start")).scalar()
+    hi = windows.agg(F.max("window_end")).scalar()
+    return tr.select(
+        "sat_id",
+        F.format_string("%s (ID: %s)", F.col("satname"), F.col("sat_id")).alias("popup"),
+        F.concat(hhmm(last["window_start"]), F.lit(" to "), hhmm(last["window_end"])).alias("window_label"),
+        F.concat(F.lit("Satellite Tracking - "), hhmm(lo), F.lit(" to "), hhmm(hi)).alias("title"))

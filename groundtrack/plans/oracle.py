@@ -164,7 +164,32 @@ _ACTION = """CASE choice_id WHEN 1 THEN 'motion_vector' WHEN 2 THEN 'overlap' WH
         WHEN 4 THEN 'exit' ELSE 'unknown' END"""
 _CLOSEST = ORACLE["closest_satellite"]
 
+_HHMM = "printf('%02d:%02d', CAST(({0}) % 86400 // 3600 AS INTEGER), CAST(({0}) % 3600 // 60 AS INTEGER))".format
+
 ORACLE.update({
+    "motion_answers": with_(IRREGULAR, REQUESTS, motion_sql("irregular")) + """SELECT request_id, timestamp,
+        sat_id, satname, velocity_kmph, delta_latitude, delta_longitude, vector_ts FROM (
+          SELECT r.request_id, r.timestamp, v.sat_id, v.satname, v.velocity_kmph, v.delta_latitude,
+                 v.delta_longitude, v.timestamp AS vector_ts,
+                 row_number() OVER (PARTITION BY r.request_id, v.sat_id ORDER BY v.timestamp DESC, v.seq DESC) AS rn
+          FROM requests r JOIN mv v ON v.timestamp BETWEEN r.timestamp - 3600 AND r.timestamp
+          WHERE r.choice_id = 1) x WHERE rn = 1""",
+    "overlap_answers": with_(IRREGULAR, REQUESTS, asof_sql(2)) + """SELECT request_id, timestamp,
+        round(d, 2) AS distance_km, d < 5000.0 AS overlap,
+        round(CASE WHEN d < 5000.0 THEN CAST(5000 AS DOUBLE) - d ELSE CAST(0 AS DOUBLE) END, 2) AS overlap_km,
+        sat_id1, sat_id2, satname1, satname2, lat1, lon1, lat2, lon2 FROM (
+          SELECT x.request_id, x.fix_ts AS timestamp, x.sat_id AS sat_id1, y.sat_id AS sat_id2,
+                 x.satname AS satname1, y.satname AS satname2, x.latitude AS lat1, x.longitude AS lon1,
+                 y.latitude AS lat2, y.longitude AS lon2, """
+        + haversine_sql("x.latitude", "x.longitude", "y.latitude", "y.longitude") + """ AS d
+          FROM asof_rows x JOIN asof_rows y ON x.request_id = y.request_id AND x.fix_ts = y.fix_ts
+            AND x.sat_id < y.sat_id) p""",
+    "track_labels": with_(TICKS, RETAINED_TICKS) + f"""SELECT sat_id,
+        first_name || ' (ID: ' || sat_id || ')' AS popup,
+        {_HHMM('window_start')} || ' to ' || {_HHMM('window_end')} AS window_label,
+        'Satellite Tracking - ' || {_HHMM('(SELECT min(window_start) FROM kept)')} || ' to '
+          || {_HHMM('(SELECT max(window_end) FROM kept)')} AS title
+        FROM pts WHERE n_points >= 2 AND point_index = n_points - 1""",
     "topic_filter": with_(TICKS) + "SELECT 'satellite-' || sat_id AS topic, seq AS offset FROM ticks",
     "parse_positions": f"""SELECT 'satellite-' || sat_id AS topic, seq,
         CASE WHEN err THEN NULL ELSE sat_id END AS sat_id, CASE WHEN err THEN NULL ELSE satname END AS satname,

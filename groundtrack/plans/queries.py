@@ -82,6 +82,11 @@ def q_snapshot_complete(spark, sf_dir):
     return latest.satellites_in_view(a, required=len(SAT_IDS))
 
 
+@register("overlap_answers")
+def q_overlap_answers(spark, sf_dir):
+    return asof.overlap_answers(_choice(spark, sf_dir, 2), fx.irregular(spark, sf_dir))
+
+
 # --- motion ------------------------------------------------------------------
 
 @register("motion_vectors")
@@ -101,6 +106,12 @@ def q_motion_top5(spark, sf_dir):
     return motion.motion_top(v, "batch").withColumn("rank", F.col("rank").cast("bigint"))
 
 
+@register("motion_answers")
+def q_motion_answers(spark, sf_dir):
+    v = motion.motion_vectors(fx.irregular(spark, sf_dir))
+    return asof.motion_answers(_choice(spark, sf_dir, 1), v)
+
+
 # --- windows and tracks ------------------------------------------------------
 
 @register("sliding_positions")
@@ -159,6 +170,12 @@ def q_track_geojson(spark, sf_dir):
         F.col("h")[0].alias("head_lon"), F.col("h")[1].alias("head_lat"))
 
 
+@register("track_labels")
+def q_track_labels(spark, sf_dir):
+    w = _retained_ticks(spark, sf_dir)
+    return trk.track_labels(trk.tracks(w), w)
+
+
 @register("allowlist")
 def q_allowlist(spark, sf_dir):
     t = fx.ticks_n(spark, sf_dir, 8)
