@@ -12,13 +12,16 @@ Plan (linear in fixes + answers, no range join and no nested loop):
 * ``tails``: last fix per (object, bucket), carried into the next bucket
   (a partial aggregate: one row per object and bucket);
 * ``presence``: which objects have fixes in ``b`` or ``b - 1`` (from the same
-  aggregate as the tails); requests are
-  joined to it on ``b`` (an equi-join; AQE broadcasts it at run time when
-  its measured size is under the threshold, else it stays a shuffle join);
-* fixes, carried tails and request copies are unioned and one window per
-  (object, bucket), ordered by time, carries the last fix forward onto each
-  request copy. The partition is one object for one bucket of time, so a
-  hot object is split by time.
+  aggregate as the tails); the *distinct request times* are joined to it on
+  ``b`` (an equi-join; AQE broadcasts it at run time when its measured size
+  is under the threshold, else it stays a shuffle join);
+* fixes, carried tails and one copy per (object, request time) are unioned
+  and one window per (object, bucket), ordered by time, carries the last
+  fix forward onto each copy. The partition is one object for one bucket of
+  time (a hot object is split by time) and holds at most ``lookback``
+  distinct request seconds (a burst of requests is not);
+* requests pick up their rows by an equi-join on the request time (AQE's
+  skew handling splits a hot second).
 """
 
 from __future__ import annotations
@@ -58,25 +61,26 @@ def asof_join(requests: DataFrame, events: DataFrame, value_cols: tuple[str, ...
     presence = (last.select("_e", F.explode(F.array("b", F.col("b") + 1)).alias("b"))
                 .distinct())
 
-    rq = requests.select(key, F.col("timestamp").alias("request_ts"), *request_cols)
-    copies = (rq.withColumn("b", bucket("request_ts")).join(presence, "b")
-              .select("_e", "b", F.col("request_ts").alias("t"), F.lit(1).alias("kind"),
-                      F.lit(None).cast(ev_rows.schema["fix"].dataType).alias("fix"),
-                      key, "request_ts", *request_cols))
-    for c in [key, "request_ts", *request_cols]:
-        ev_rows = ev_rows.withColumn(c, F.lit(None).cast(copies.schema[c].dataType))
-        tails = tails.withColumn(c, F.lit(None).cast(copies.schema[c].dataType))
+    # the window sees each distinct request time once (at most L per
+    # bucket), not every request: a burst of requests in one second cannot
+    # overload a partition; requests get their rows by an equi-join on time
+    times = requests.select(F.col("timestamp").alias("t")).where(F.col("t").isNotNull()).distinct()
+    copies = (times.withColumn("b", bucket("t")).join(presence, "b")
+              .select("_e", "b", "t", F.lit(1).alias("kind"),
+                      F.lit(None).cast(ev_rows.schema["fix"].dataType).alias("fix")))
 
     rows = ev_rows.unionByName(tails).unionByName(copies)
     w = (Window.partitionBy("_e", "b").orderBy("t", "kind", F.col("fix.seq"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     carried = rows.withColumn("_last", F.last("fix", ignorenulls=True).over(w))
-    hit = carried.where((F.col("kind") == 1) & F.col("_last").isNotNull()
-                        & (F.col("_last.timestamp") >= F.col("request_ts") - F.lit(L)))
-    return hit.select(key, "request_ts", *request_cols, F.col("_e").alias(entity),
-                      *[F.col(f"_last.{c}").alias(c) for c in value_cols],
-                      F.col("_last.timestamp").alias("fix_ts"),
-                      F.col("_last.seq").alias("fix_seq"))
+    hit = (carried.where((F.col("kind") == 1) & F.col("_last").isNotNull()
+                         & (F.col("_last.timestamp") >= F.col("t") - F.lit(L)))
+           .select(F.col("t").alias("request_ts"), F.col("_e").alias(entity),
+                   *[F.col(f"_last.{c}").alias(c) for c in value_cols],
+                   F.col("_last.timestamp").alias("fix_ts"), F.col("_last.seq").alias("fix_seq")))
+    rq = requests.select(key, F.col("timestamp").alias("request_ts"), *request_cols)
+    return rq.join(hit, "request_ts").select(
+        key, "request_ts", *request_cols, entity, *value_cols, "fix_ts", "fix_seq")
 
 
 def asof_positions(requests: DataFrame, fixes: DataFrame,

@@ -149,3 +149,23 @@ def test_sliding_takes_lat_lon_from_latest_row(spark):
     f = fixes(spark, [("1", 1.0, 1.0, 7200, 5), ("1", 2.0, 2.0, 7200, 9), ("1", 3.0, 3.0, 7100, 20)])
     r = windows.sliding_positions(f).where(F.col("window_start") == 7200).collect()[0]
     assert (r.latitude, r.longitude, r.timestamp) == (2.0, 2.0, 7200)
+
+
+def test_request_burst_matches_brute_force(spark):
+    """500 requests in one second and a few spread out, against a loop."""
+    import random
+    rnd = random.Random(7)
+    fx_rows = [(str(rnd.randint(1, 6)), rnd.uniform(-80, 80), rnd.uniform(-180, 180),
+                1000 + rnd.randint(0, 9000), i) for i in range(400)]
+    rq_rows = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180), 5000 if i < 500 else rnd.randint(0, 11000), 3)
+               for i in range(560)]
+    f = fixes(spark, fx_rows)
+    req = spark.createDataFrame(rq_rows, REQ)
+    got = {(r.request_id, r.sat_id): r.fix_seq for r in asof.asof_positions(req, f, lookback_s=3600).collect()}
+    want = {}
+    for rid, _, _, rt, _ in rq_rows:
+        for s in {x[0] for x in fx_rows}:
+            c = [(t, q) for sid, _, _, t, q in fx_rows if sid == s and rt - 3600 <= t <= rt]
+            if c:
+                want[(rid, s)] = max(c)[1]
+    assert got == want and len(got) > 2500
