@@ -1,9 +1,9 @@
 """Ground tracks from windowed positions, and the archived history path.
 
-A track is the ordered list of window points of one object. Tracks are
-built from *retained* windows only (see ``track_retention``), so a track
-holds at most about (retain + window) / slide points whatever the data
-volume: the per-object ``collect_list`` is bounded by parameters, not data.
+A track is the ordered list of window points of one object. ``tracks``
+applies the retention itself, so a track holds at most about
+(retain + window) / slide points whatever the data volume: the per-object
+``collect_list`` is bounded by parameters, not by data.
 
 The full history of one object is never gathered into one row:
 ``history_path`` returns it as rows in a distributed (range-partitioned)
@@ -12,10 +12,11 @@ sort order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundtrack.params import HISTORY_SAT_ID, MIN_TRACK_POINTS, SAT_IDS
+from groundtrack.operators.windows import track_retention
+from groundtrack.params import HISTORY_SAT_ID, MIN_TRACK_POINTS, RETAIN_S, SAT_IDS
 
 POINT = ("window_start", "window_end", "timestamp", "latitude", "longitude")
 
@@ -26,10 +27,18 @@ def allowlist(df: DataFrame, sat_ids=SAT_IDS) -> DataFrame:
     return df.where(F.col("sat_id").isin(list(sat_ids)))
 
 
-def tracks(windows: DataFrame, min_points: int = MIN_TRACK_POINTS) -> DataFrame:
-    """One row per object with >= ``min_points`` windows: its path ordered by
-    window start, and the name of its first window."""
-    g = windows.groupBy("sat_id").agg(
+def tracks(windows: DataFrame, now_s, retain_s: int = RETAIN_S,
+           min_points: int = MIN_TRACK_POINTS) -> DataFrame:
+    """One row per object with >= ``min_points`` retained windows: its path
+    ordered by window start, and the name of its first window.
+
+    Retention is applied here (window ended at most ``retain_s`` before
+    ``now_s``, and started no later than ``now_s``), so a path holds at most
+    (retain + window) / slide points whatever the data volume.
+    """
+    now = now_s if isinstance(now_s, Column) else F.lit(int(now_s))
+    kept = track_retention(windows, now, retain_s).where(F.col("window_start") <= now)
+    g = kept.groupBy("sat_id").agg(
         F.array_sort(F.collect_list(F.struct(*POINT))).alias("path"),
         F.min_by("satname", "window_start").alias("satname"))
     return (g.where(F.size("path") >= min_points)
@@ -89,7 +98,7 @@ def track_geojson(tr: DataFrame) -> DataFrame:
     return tr.select("sat_id", "satname", line.alias("track"), head.alias("head"))
 
 
-def hhmm(epoch_s) -> "F.Column":
+def hhmm(epoch_s) -> Column:
     """``HH:MM`` (UTC) of epoch seconds, computed without the session zone."""
     c = F.col(epoch_s) if isinstance(epoch_s, str) else epoch_s
     return F.format_string("%02d:%02d", F.floor(F.pmod(c, F.lit(86400)) / 3600).cast("int"),

@@ -125,20 +125,29 @@ def q_track_retention(spark, sf_dir):
     return windows.track_retention(windows.sliding_positions(f), windows.data_now(f))
 
 
-def _retained_ticks(spark, sf_dir):
+def _ticks_windows(spark, sf_dir):
     f = fx.ticks(spark, sf_dir)
-    return windows.track_retention(windows.sliding_positions(f), windows.data_now(f))
+    return windows.sliding_positions(f), windows.data_now(f)
+
+
+def _retained_ticks(spark, sf_dir):
+    w, now = _ticks_windows(spark, sf_dir)
+    return windows.track_retention(w, now)
+
+
+def _ticks_tracks(spark, sf_dir):
+    return trk.tracks(*_ticks_windows(spark, sf_dir))
 
 
 @register("tracks")
 def q_tracks(spark, sf_dir):
-    pts = trk.track_points(trk.tracks(_retained_ticks(spark, sf_dir)))
+    pts = trk.track_points(_ticks_tracks(spark, sf_dir))
     return pts.withColumn("point_index", F.col("point_index").cast("bigint"))
 
 
 @register("track_heads")
 def q_track_heads(spark, sf_dir):
-    return trk.track_heads(trk.tracks(_retained_ticks(spark, sf_dir)))
+    return trk.track_heads(_ticks_tracks(spark, sf_dir))
 
 
 @register("track_extent")
@@ -158,7 +167,7 @@ def q_history_path(spark, sf_dir):
 
 @register("track_geojson")
 def q_track_geojson(spark, sf_dir):
-    g = trk.track_geojson(trk.tracks(_retained_ticks(spark, sf_dir)))
+    g = trk.track_geojson(_ticks_tracks(spark, sf_dir))
     p = g.select("sat_id", "satname",
                  F.from_json("track", "struct<geometry: struct<coordinates: array<array<double>>>>")
                  ["geometry"]["coordinates"].alias("c"),
@@ -172,8 +181,7 @@ def q_track_geojson(spark, sf_dir):
 
 @register("track_labels")
 def q_track_labels(spark, sf_dir):
-    w = _retained_ticks(spark, sf_dir)
-    return trk.track_labels(trk.tracks(w), w)
+    return trk.track_labels(_ticks_tracks(spark, sf_dir), _retained_ticks(spark, sf_dir))
 
 
 @register("allowlist")

@@ -145,7 +145,7 @@ def stream_batch_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     and whether the two paths are identical."""
     f = fx.ticks(spark, sf_dir)
     now = windows.data_now(f)
-    batch = trk.tracks(windows.track_retention(windows.sliding_positions(f), now, RETAIN_S))
+    batch = trk.tracks(windows.sliding_positions(f), now, RETAIN_S)
     d = run_dir(spark, "parity")
     stage(encode_raw(f), f"{d}/in")
     s = windows.sliding_positions(_positions_stream(spark, f"{d}/in"), watermark="10 minutes")
@@ -159,7 +159,7 @@ def stream_batch_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = u.groupBy("window_start", "window_end", "sat_id", "satname").agg(
         F.max_by(F.struct("latitude", "longitude", "timestamp"), "batch_id").alias("v")).select(
         "window_start", "window_end", "sat_id", "satname", "v.*")
-    stream = trk.tracks(windows.track_retention(w, now, RETAIN_S))
+    stream = trk.tracks(w, now, RETAIN_S)
     j = batch.alias("b").join(stream.alias("s"), "sat_id", "full_outer")
     return j.select("sat_id", F.col("b.n_points").cast("bigint").alias("batch_points"),
                     F.col("s.n_points").cast("bigint").alias("stream_points"),

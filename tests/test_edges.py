@@ -141,8 +141,8 @@ def test_retention_border(spark):
 def test_one_point_track(spark):
     f = fixes(spark, [("1", 0.0, 0.0, 120 * 1000, 1)])
     one = windows.sliding_positions(f).where(F.col("window_start") == 120 * 1000)
-    assert tracks.tracks(one).count() == 0
-    assert tracks.tracks(windows.sliding_positions(f)).count() == 1   # 15 windows
+    assert tracks.tracks(one, now_s=120 * 1000).count() == 0
+    assert tracks.tracks(windows.sliding_positions(f), now_s=120 * 1000).count() == 1   # 15 windows
 
 
 def test_sliding_takes_lat_lon_from_latest_row(spark):
