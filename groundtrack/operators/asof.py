@@ -37,18 +37,29 @@ from groundtrack.params import ASOF_LOOKBACK_S, COVERAGE_RADIUS_KM
 def asof_join(requests: DataFrame, events: DataFrame, value_cols: tuple[str, ...],
               lookback_s: int = ASOF_LOOKBACK_S,
               request_cols: tuple[str, ...] = ("obs_latitude", "obs_longitude"),
-              key: str = "request_id", entity: str = "sat_id") -> DataFrame:
+              key: str = "request_id", entity: str = "sat_id",
+              per_second: bool = False) -> DataFrame:
     """Rows (request, entity, latest event as of the request time).
 
     ``events`` need ``entity``, ``timestamp``, ``seq`` and ``value_cols``;
     the event chosen per (request, entity) is the greatest ``(timestamp,
     seq)`` with ``request.ts - lookback_s <= timestamp <= request.ts``.
     Output: key, request_ts, request_cols, entity, value_cols, fix_ts, fix_seq.
+
+    ``per_second`` first keeps only the last event of each (entity, second)
+    - the only one an as-of lookup can return - with a partial aggregate.
+    Then a window partition holds at most ``lookback_s`` events whatever
+    the event rate of one entity (for feeds that may flood one object); it
+    costs one more shuffle, so it is off by default.
     """
     L = int(lookback_s)
     cols = ("timestamp", "seq", *value_cols)
     bucket = lambda c: F.floor(F.col(c) / F.lit(L)).cast("bigint")
-    fx = events.select(F.col(entity).alias("_e"), *cols).withColumn("b", bucket("timestamp"))
+    fx = events.select(F.col(entity).alias("_e"), *cols)
+    if per_second:
+        fx = (fx.withColumn("_k", order_key()).groupBy("_e", "timestamp")
+              .agg(*[F.max_by(c, "_k").alias(c) for c in cols if c != "timestamp"]))
+    fx = fx.withColumn("b", bucket("timestamp"))
 
     ev_rows = fx.select("_e", "b", F.col("timestamp").alias("t"), F.lit(0).alias("kind"),
                         F.struct(*cols).alias("fix"))

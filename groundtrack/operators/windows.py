@@ -26,9 +26,20 @@ def with_event_time(fixes: DataFrame, col: str = "timestamp") -> DataFrame:
     return fixes.withColumn("event_time", F.timestamp_seconds(F.col(col)))
 
 
+def with_arrival_time(fixes: DataFrame) -> DataFrame:
+    """Window on arrival (processing) time instead of the fix's own time, as
+    the original does; the result then depends on when rows are read."""
+    return fixes.withColumn("event_time", F.current_timestamp())
+
+
 def sliding_positions(fixes: DataFrame, window: str = WINDOW, slide: str = SLIDE,
-                      watermark: str | None = None) -> DataFrame:
-    df = fixes if "event_time" in fixes.columns else with_event_time(fixes)
+                      watermark: str | None = None, arrival_time: bool = False) -> DataFrame:
+    """Sliding windows on ``event_time`` (the fix's timestamp; or arrival
+    time with ``arrival_time=True``); ``watermark`` for streams."""
+    if arrival_time:
+        df = with_arrival_time(fixes)
+    else:
+        df = fixes if "event_time" in fixes.columns else with_event_time(fixes)
     if watermark:
         df = df.withWatermark("event_time", watermark)
     df = df.withColumn("_k", order_key())

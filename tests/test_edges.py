@@ -169,3 +169,22 @@ def test_request_burst_matches_brute_force(spark):
             if c:
                 want[(rid, s)] = max(c)[1]
     assert got == want and len(got) > 2500
+
+
+def test_per_second_asof_equals_plain(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(str(rnd.randint(1, 3)), rnd.uniform(-80, 80), rnd.uniform(-180, 180), 1000 + rnd.randint(0, 300), i)
+            for i in range(600)]                       # many fixes per second
+    f = fixes(spark, rows)
+    req = spark.createDataFrame([(i, 0.0, 0.0, 900 + 5 * i, 3) for i in range(100)], REQ)
+    a = sorted(map(tuple, asof.asof_positions(req, f, 120).collect()))
+    b = sorted(map(tuple, asof.asof_join(req, f, ("satname", "latitude", "longitude"), 120,
+                                         per_second=True).collect()))
+    assert a == b and a
+
+
+def test_arrival_time_windows(spark):
+    f = fixes(spark, [("1", 1.0, 2.0, 5, 1)])
+    r = windows.sliding_positions(f, arrival_time=True).collect()
+    assert len(r) == 15 and r[0].timestamp == 5
