@@ -28,14 +28,21 @@ def run_dir(spark: SparkSession, name: str) -> str:
 
 
 def stage(raw: DataFrame, path: str, chunks: int = CHUNKS, order: str = "offset") -> str:
-    """Write raw records as ``chunks`` files in ``order`` (one write per
-    chunk, so file times follow the order and the stream reads them in it)."""
-    lo_hi = raw.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
-    lo, hi = int(lo_hi["lo"]), int(lo_hi["hi"])
-    step = (hi - lo) // chunks + 1
-    for i in range(chunks):
-        part = raw.where((F.col(order) >= lo + i * step) & (F.col(order) < lo + (i + 1) * step))
-        part.coalesce(1).write.mode("append").parquet(path)
+    """Write raw records once as ``chunks`` files of consecutive ``order``
+    ranges (a range-partitioned write), then give the files increasing
+    modification times so a file stream reads them in that order, one file
+    per micro-batch (metadata operations only, no data through the driver)."""
+    (raw.repartitionByRange(chunks, order).sortWithinPartitions(order)
+     .write.mode("overwrite").parquet(path))
+    spark = raw.sparkSession
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted(st.getPath().toString() for st in fs.listStatus(root)
+                   if st.getPath().getName().startswith("part-"))
+    base = int(jvm.java.lang.System.currentTimeMillis()) - 10_000 * (len(files) + 1)
+    for i, f in enumerate(files):      # part-00000 holds the lowest range
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(f), base + 10_000 * i, -1)
     return path
 
 
