@@ -6,15 +6,21 @@ great-circle km over elapsed hours and the direction is the raw degree
 difference (no antimeridian wrap). Equal seconds give speed 0 and (0, 0).
 A fix with no predecessor in range gives no vector.
 
-Plan: one range-frame window ``min(struct(ts, seq, lat, lon))`` over
-``[ts - lookback, ts]``. The frame includes same-second peers, so a row is
-kept only if the minimum is strictly earlier than itself by ``(ts, seq)``.
+Plan: the predecessor is "the first fix at or after ``ts - lookback``" - a
+forward as-of lookup. Every fix also emits a probe row at ``ts - lookback``;
+fixes and probes are sorted by time *descending* and a running
+``last(fix, ignorenulls)`` hands each probe the earliest fix at or after its
+time. A running frame costs O(1) per row after the sort, whereas a moving
+range frame re-aggregates the whole frame for every row (quadratic for a
+dense feed: 4.5x slower at 3,300 fixes per frame in our measurement). The
+probe's own fix is its upper bound, so a row is kept only if the
+predecessor is strictly earlier than itself by ``(ts, seq)``.
 
 Scale: the window is partitioned by (object, time chunk), not by object
 alone, so one object holding a large share of all fixes is still spread
 over many tasks. Each chunk also receives the last ``lookback_s`` seconds
-of the chunk before it as context rows, which are read but not emitted,
-so results are exactly those of an unchunked window.
+of the chunk before it as context rows, which are read but not probed, so
+results are exactly those of an unchunked computation.
 """
 
 from __future__ import annotations
@@ -25,6 +31,8 @@ from pyspark.sql import functions as F
 from groundtrack.functions.geo import haversine_km
 from groundtrack.params import LOOKBACK_S, MOTION_CHUNK_S, MOTION_TOP_N
 
+_ME = "struct<satname:string,latitude:double,longitude:double,timestamp:bigint,seq:bigint>"
+
 
 def motion_vectors(fixes: DataFrame, lookback_s: int = LOOKBACK_S,
                    chunk_s: int = MOTION_CHUNK_S, digits: bool = True) -> DataFrame:
@@ -41,13 +49,24 @@ def motion_vectors(fixes: DataFrame, lookback_s: int = LOOKBACK_S,
                        .otherwise(F.array(F.lit(True)))).alias("_own"))
     tagged = tagged.withColumn("_c", F.when(F.col("_own"), F.col("_c")).otherwise(F.col("_c") + 1))
 
-    w = (Window.partitionBy("sat_id", "_c").orderBy("timestamp")
-         .rangeBetween(-L, Window.currentRow))
-    prev = F.min(F.struct(F.col("timestamp").alias("t"), F.col("seq").alias("s"),
-                          F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))).over(w)
-    x = tagged.withColumn("_p", prev).where(
-        F.col("_own") & ((F.col("_p.t") < F.col("timestamp"))
-                         | ((F.col("_p.t") == F.col("timestamp")) & (F.col("_p.s") < F.col("seq")))))
+    fix = F.struct(F.col("timestamp").alias("t"), F.col("seq").alias("s"),
+                   F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
+    fix_rows = tagged.select("sat_id", "_c", F.col("timestamp").alias("_t"), F.lit(0).alias("_kind"),
+                             F.col("seq").alias("_s"), fix.alias("_f"), F.lit(None).cast(_ME).alias("_me"))
+    probes = tagged.where("_own").select(
+        "sat_id", "_c", (F.col("timestamp") - F.lit(L)).alias("_t"), F.lit(1).alias("_kind"),
+        F.col("seq").alias("_s"), F.lit(None).cast(fix_rows.schema["_f"].dataType).alias("_f"),
+        F.struct("satname", "latitude", "longitude", "timestamp", "seq").alias("_me"))
+    # descending time; at equal time fixes before probes (ts >= t - L is
+    # inclusive) and larger seq first, so the running last is the earliest
+    w = (Window.partitionBy("sat_id", "_c")
+         .orderBy(F.col("_t").desc(), F.col("_kind"), F.col("_s").desc())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    x = (fix_rows.unionByName(probes)
+         .withColumn("_p", F.last("_f", ignorenulls=True).over(w))
+         .where(F.col("_kind") == 1).select("sat_id", "_me.*", "_p"))
+    x = x.where((F.col("_p.t") < F.col("timestamp"))
+                | ((F.col("_p.t") == F.col("timestamp")) & (F.col("_p.s") < F.col("seq"))))
     dt = F.col("timestamp") - F.col("_p.t")
     dist = haversine_km("_p.lat", "_p.lon", "latitude", "longitude")
     still = dt == 0
