@@ -47,24 +47,37 @@ def closest_response(closest: DataFrame) -> DataFrame:
                           F.to_json(body).alias("value"))
 
 
-def overlap_response(pairs: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
-    """Pairs of each instant as JSON list messages.
-
-    An instant with more than ``max_items`` pairs is split into
-    ``n_parts`` messages by a hash of the pair, so no message (and no group)
-    grows with the number of objects; ``part``/``n_parts`` let a reader put
-    them together. Items are sorted inside a message.
+def overlap_response(pairs: DataFrame, max_items: int = MAX_ITEMS, key: str = "timestamp") -> DataFrame:
+    """Pairs as JSON list messages, one list per ``key`` (an instant, or a
+    request id when answering requests).
+
+    A key with more than ``max_items`` pairs is split into ``n_parts``
+    messages by a hash of the pair, so no message (and no group) grows with
+    the number of objects; ``part``/``n_parts`` let a reader put them
+    together. Items are sorted inside a message.
     """
-    n = pairs.groupBy("timestamp").agg(F.count(F.lit(1)).alias("_n"))
+    n = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_items))).cast("bigint")
-    p = (pairs.join(n, "timestamp")
+    p = (pairs.join(n, key)
          .withColumn("n_parts", parts)
          .withColumn("part", F.pmod(F.xxhash64("sat_id1", "sat_id2"), F.col("n_parts"))))
     item = F.struct(*[F.col(f.name) for f in OVERLAP_ITEM.fields])
-    g = p.groupBy("timestamp", "part", "n_parts").agg(F.array_sort(F.collect_list(item)).alias("_l"))
+    g = p.groupBy(key, "part", "n_parts").agg(F.array_sort(F.collect_list(item)).alias("_l"))
     return g.select(F.lit(RESPONSE_TOPIC).alias("topic"),
-                    F.col("timestamp").cast("string").alias("key"),
-                    "timestamp", "part", "n_parts", F.to_json("_l").alias("value"))
+                    F.col(key).cast("string").alias("key"),
+                    key, "part", "n_parts", F.to_json("_l").alias("value"))
+
+
+def motion_request_response(answers: DataFrame, key: str = "request_id") -> DataFrame:
+    """Latest vector per object for each motion request, as one JSON list
+    per request (at most one item per object) on the motion topic."""
+    item = F.struct(
+        "sat_id", "satname", "velocity_kmph",
+        F.struct("delta_latitude", "delta_longitude").alias("direction"),
+        F.col("vector_ts").alias("timestamp"))
+    g = answers.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("_l"))
+    return g.select(F.lit(MOTION_TOPIC).alias("topic"), F.col(key).cast("string").alias("key"),
+                    F.to_json("_l").alias("value"))
 
 
 def motion_response(top: DataFrame, batch: str = "batch") -> DataFrame:

@@ -114,7 +114,8 @@ def snapshot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def closest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two queries: positions archive every fix; requests are answered per
-    micro-batch from that archive (closest object, as-of request time)."""
+    micro-batch from that archive. Returns the closest-object answers
+    (objects on the response topic; overlap lists are arrays there)."""
     d = run_dir(spark, "closest_stream")
     stage(encode_raw(fx.irregular(spark, sf_dir)), f"{d}/pos")
     stage(fx.raw_requests(spark, sf_dir), f"{d}/req")
@@ -124,7 +125,9 @@ def closest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     req = ingest.parse_requests(sources.read_files(spark, f"{d}/req", max_files_per_trigger=1))
     _drain(sinks.start(req, f"{d}/ckpt_req", trigger={"availableNow": True},
                        foreach_batch=lambda b, i: state.answer_requests(b, i, f"{d}/hist", f"{d}/resp")))
-    return codecs.decode_responses(spark.read.parquet(f"{d}/resp").drop("batch_id"))
+    resp = spark.read.parquet(f"{d}/resp").drop("batch_id")
+    return codecs.decode_responses(resp.where(F.col("topic") == "observer_response")
+                                   .where(F.col("value").startswith("{")))
 
 
 def sliding_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from groundtrack.operators import asof, codecs, ingest, latest
+from groundtrack.operators import asof, codecs, ingest, latest, motion
 from groundtrack.params import ASOF_LOOKBACK_S, EARTH_RADIUS_KM, LOOKBACK_S
 
 MOTION_OUT = ("sat_id string, satname string, timestamp bigint, seq bigint, "
@@ -161,25 +161,33 @@ def read_snapshot(spark, path: str) -> DataFrame | None:
 
 
 def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
-                    lookback_s: int = ASOF_LOOKBACK_S) -> None:
-    """Answer the closest-object requests of one micro-batch.
-
-    Requests are validated and routed row by row; the closest answer is the
-    as-of lookup against the archived fixes, read only for the time range
-    the batch needs (a pushed-down ``timestamp`` range). Responses are
-    written under ``batch_id`` (dynamic overwrite: idempotent).
+                    lookback_s: int = ASOF_LOOKBACK_S, motion_lookback_s: int = LOOKBACK_S) -> None:
+    """Answer the requests of one micro-batch from the archived fixes.
+
+    Requests are validated and routed row by row; closest, overlap and
+    motion requests are each answered with an as-of lookup against the
+    archive, which is read only for the time range the batch needs (a
+    pushed-down ``timestamp`` range). Messages (``topic``, ``key``,
+    ``value``) are written under ``batch_id`` (dynamic overwrite: a retried
+    batch replaces its own output).
     """
     spark = batch.sparkSession
     reqs = ingest.route_requests(ingest.validate_requests(batch))
-    closest = reqs.where((F.col("action") == "closest") & F.col("reject_reason").isNull())
-    rng = closest.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+    ok = reqs.where(F.col("reject_reason").isNull() & F.col("action").isin("closest", "overlap", "motion_vector"))
+    rng = ok.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
     if rng is None or rng["lo"] is None:
         return
-    fixes = (spark.read.parquet(history)
-             .where(F.col("timestamp").between(rng["lo"] - int(lookback_s), rng["hi"]))
+    # motion vectors need their own look-back before the oldest fix used
+    lo = rng["lo"] - int(lookback_s) - int(motion_lookback_s)
+    fixes = (spark.read.parquet(history).where(F.col("timestamp").between(lo, rng["hi"]))
              .drop("batch_id"))
-    ans = asof.closest_satellite(closest, fixes, lookback_s)
-    msgs = codecs.closest_response(ans)
+    closest = asof.closest_satellite(ok.where(F.col("action") == "closest"), fixes, lookback_s)
+    pairs = asof.overlap_answers(ok.where(F.col("action") == "overlap"), fixes, lookback_s)
+    vectors = motion.motion_vectors(fixes, motion_lookback_s)
+    moves = asof.motion_answers(ok.where(F.col("action") == "motion_vector"), vectors, lookback_s)
+    msgs = (codecs.closest_response(closest)
+            .unionByName(codecs.overlap_response(pairs, key="request_id").select("topic", "key", "value"))
+            .unionByName(codecs.motion_request_response(moves)))
     (msgs.withColumn("batch_id", F.lit(int(batch_id)))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(out))

@@ -116,3 +116,33 @@ def test_closest_stream_equals_batch(spark):
     got = sorted((int(r.rid), r.sat_id, r.distance_km) for r in s.collect())
     want = sorted((r.request_id, r.sat_id, r.distance_km) for r in b.collect())
     assert got == want and got
+
+
+def test_request_stream_answers_all_kinds(spark, scratch):
+    """Closest, overlap and motion requests of a stream, answered from the
+    archive, equal the batch answers."""
+    import __spark_entry__ as E
+    from groundtrack.schemas import MOTION_ITEM, OVERLAP_ITEM
+    from pyspark.sql.types import ArrayType
+    f = fx.irregular(spark, SF_SMALL)
+    sinks.history_append(f, 0, f"{scratch}/hist", sat_id=None)
+    streams.stage(fx.raw_requests(spark, SF_SMALL), f"{scratch}/req")
+    req = ingest.parse_requests(sources.read_files(spark, f"{scratch}/req", max_files_per_trigger=1))
+    sinks.start(req, f"{scratch}/ck", trigger={"availableNow": True},
+                foreach_batch=lambda b, i: state.answer_requests(b, i, f"{scratch}/hist", f"{scratch}/resp")
+                ).awaitTermination()
+    resp = spark.read.parquet(f"{scratch}/resp")
+    ov = (resp.where(F.col("value").startswith("[") & (F.col("topic") == "observer_response"))
+          .select(F.col("key").cast("long").alias("request_id"),
+                  F.explode(F.from_json("value", ArrayType(OVERLAP_ITEM))).alias("i")))
+    got = sorted((r.request_id, r.i.satname1, r.i.satname2, r.i.distance_km) for r in ov.collect())
+    want = sorted((r.request_id, r.satname1, r.satname2, r.distance_km)
+                  for r in E.queries()["overlap_answers"](spark, SF_SMALL).collect())
+    assert got == want
+    mv = (resp.where(F.col("topic") == "motion_vector_response")
+          .select(F.col("key").cast("long").alias("request_id"),
+                  F.explode(F.from_json("value", ArrayType(MOTION_ITEM))).alias("i")))
+    got = sorted((r.request_id, r.i.sat_id, r.i.velocity_kmph) for r in mv.collect())
+    want = sorted((r.request_id, r.sat_id, r.velocity_kmph)
+                  for r in E.queries()["motion_answers"](spark, SF_SMALL).collect())
+    assert got == want and got
