@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from groundtrack.operators import ingest, motion, windows
+from groundtrack.operators import codecs, ingest, motion, windows
 from groundtrack.plans import streams
 from groundtrack.sources import fixtures as fx
 from groundtrack.streaming import sinks, sources, state
@@ -146,3 +146,39 @@ def test_request_stream_answers_all_kinds(spark, scratch):
     want = sorted((r.request_id, r.sat_id, r.velocity_kmph)
                   for r in E.queries()["motion_answers"](spark, SF_SMALL).collect())
     assert got == want and got
+
+
+def test_jobs_end_to_end(spark, scratch):
+    """Position, request, motion and track jobs over file sources."""
+    import __spark_entry__ as E
+    from groundtrack.operators import tracks as trk
+    from groundtrack.streaming import jobs
+    f = fx.irregular(spark, SF_SMALL)
+    raw = streams.encode_raw(f).unionByName(
+        spark.createDataFrame([("junk", "satellite-1", 10 ** 9)], "value string, topic string, offset long"))
+    streams.stage(raw, f"{scratch}/pos")
+    streams.stage(fx.raw_requests(spark, SF_SMALL), f"{scratch}/req")
+    src = lambda p: sources.read_files(spark, p, max_files_per_trigger=1)
+    now = {"availableNow": True}
+    for q in jobs.start_positions(src(f"{scratch}/pos"), scratch, trigger=now):
+        q.awaitTermination()
+    jobs.start_requests(src(f"{scratch}/req"), scratch, trigger=now).awaitTermination()
+    jobs.start_motion(src(f"{scratch}/pos"), scratch, trigger=now).awaitTermination()
+    jobs.start_tracks(src(f"{scratch}/pos"), scratch, trigger=now).awaitTermination()
+
+    assert sinks.read_history(spark, f"{scratch}/archive").count() == f.count()
+    assert spark.read.parquet(f"{scratch}/quarantine").count() == 1
+    assert state.read_snapshot(spark, f"{scratch}/snapshot").count() == 5
+    closest = codecs.decode_responses(spark.read.parquet(f"{scratch}/responses")
+                                      .where(F.col("value").startswith("{")))
+    assert closest.count() == E.queries()["closest_satellite"](spark, SF_SMALL).count()
+    v = spark.read.parquet(f"{scratch}/vectors").where(~F.col("late"))
+    assert v.count() == motion.motion_vectors(f).count()
+    msgs = spark.read.parquet(f"{scratch}/motion_messages")
+    assert msgs.count() > 0
+    w = jobs.read_windows(spark, scratch)
+    assert w.count() == windows.sliding_positions(f).count()
+    now = windows.data_now(f)
+    got = sorted((r.sat_id, r.path) for r in trk.tracks(w, now).collect())
+    assert got == sorted((r.sat_id, r.path) for r in trk.tracks(windows.sliding_positions(f), now).collect())
+
