@@ -56,11 +56,7 @@ def overlap_response(pairs: DataFrame, max_items: int = MAX_ITEMS, key: str = "t
     the number of objects; ``part``/``n_parts`` let a reader put them
     together. Items are sorted inside a message.
     """
-    n = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_items))).cast("bigint")
-    p = (pairs.join(n, key)
-         .withColumn("n_parts", parts)
-         .withColumn("part", F.pmod(F.xxhash64("sat_id1", "sat_id2"), F.col("n_parts"))))
+    p = _parts(pairs, key, max_items, "sat_id1", "sat_id2")
     item = F.struct(*[F.col(f.name) for f in OVERLAP_ITEM.fields])
     g = p.groupBy(key, "part", "n_parts").agg(F.array_sort(F.collect_list(item)).alias("_l"))
     return g.select(F.lit(RESPONSE_TOPIC).alias("topic"),
@@ -68,14 +64,26 @@ def overlap_response(pairs: DataFrame, max_items: int = MAX_ITEMS, key: str = "t
                     key, "part", "n_parts", F.to_json("_l").alias("value"))
 
 
-def motion_request_response(answers: DataFrame, key: str = "request_id") -> DataFrame:
-    """Latest vector per object for each motion request, as one JSON list
-    per request (at most one item per object) on the motion topic."""
+def _parts(df: DataFrame, key: str, max_items: int, *hash_cols: str) -> DataFrame:
+    """Add ``n_parts``/``part``: a group of more than ``max_items`` rows is
+    spread over parts by a hash, so no message grows with the data."""
+    n = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_items))).cast("bigint")
+    return (df.join(n, key).withColumn("n_parts", parts)
+            .withColumn("part", F.pmod(F.xxhash64(*hash_cols), F.col("n_parts"))).drop("_n"))
+
+
+def motion_request_response(answers: DataFrame, key: str = "request_id",
+                            max_items: int = MAX_ITEMS) -> DataFrame:
+    """Latest vector per object for each motion request, as JSON lists on
+    the motion topic (one list per request, split into parts beyond
+    ``max_items`` objects)."""
     item = F.struct(
         "sat_id", "satname", "velocity_kmph",
         F.struct("delta_latitude", "delta_longitude").alias("direction"),
         F.col("vector_ts").alias("timestamp"))
-    g = answers.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("_l"))
+    g = (_parts(answers, key, max_items, "sat_id").groupBy(key, "part", "n_parts")
+         .agg(F.array_sort(F.collect_list(item)).alias("_l")))
     return g.select(F.lit(MOTION_TOPIC).alias("topic"), F.col(key).cast("string").alias("key"),
                     F.to_json("_l").alias("value"))
 
