@@ -153,7 +153,9 @@ ORACLE: dict[str, str] = {
         max(CASE WHEN point_index = n_points - 1 THEN longitude END) AS head_lon,
         max(CASE WHEN point_index = n_points - 1 THEN latitude END) AS head_lat
         FROM pts WHERE n_points >= 2 GROUP BY sat_id, first_name, n_points""",
-    "allowlist": with_(ticks_n(8, "t8")) + "SELECT sat_id, seq, timestamp FROM t8 WHERE sat_id IN ('1', '3', '5', '7')",
+    "allowlist": with_(TICKS, ticks_n(7, "t7")) + """SELECT sat_id, seq, timestamp FROM (
+        SELECT sat_id, seq, timestamp FROM ticks UNION ALL SELECT sat_id, seq, timestamp FROM t7) f
+        WHERE sat_id IN ('49810', '43566', '43056', '41550', '41174')""",
 }
 
 

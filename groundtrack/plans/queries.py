@@ -186,8 +186,10 @@ def q_track_labels(spark, sf_dir):
 
 @register("allowlist")
 def q_allowlist(spark, sf_dir):
-    t = fx.ticks_n(spark, sf_dir, 8)
-    return trk.allowlist(t, ("1", "3", "5", "7")).select("sat_id", "seq", "timestamp")
+    """A mixed feed - the five tracked objects and seven untracked ones -
+    through the tracked-object allow-list."""
+    feed = fx.ticks(spark, sf_dir).unionByName(fx.ticks_n(spark, sf_dir, 7))
+    return trk.allowlist(feed).select("sat_id", "seq", "timestamp")
 
 
 # --- ingest, routing, codecs ------------------------------------------------
