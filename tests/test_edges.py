@@ -188,3 +188,11 @@ def test_arrival_time_windows(spark):
     f = fixes(spark, [("1", 1.0, 2.0, 5, 1)])
     r = windows.sliding_positions(f, arrival_time=True).collect()
     assert len(r) == 15 and r[0].timestamp == 5
+
+
+def test_order_key_is_exact_and_null_safe(spark):
+    from groundtrack.functions.ordering import order_key
+    rows = [(1, None), (1, -5), (1, 2 ** 63 - 1), (2, -(2 ** 63)), (-3, 7), (None, 1)]
+    df = spark.createDataFrame(rows, "timestamp long, seq long").withColumn("k", order_key())
+    got = [(r.timestamp, r.seq) for r in df.orderBy("k").collect()]
+    assert got == [(None, 1), (-3, 7), (1, None), (1, -5), (1, 2 ** 63 - 1), (2, -(2 ** 63))]
