@@ -60,12 +60,14 @@ def start_requests(raw: DataFrame, root: str, servers: str | None = None,
                    trigger: dict | None = None):
     """Answer observer requests from the archive written by
     ``start_positions`` (closest, overlap, motion); responses kept under
-    ``root/responses`` and published when ``servers`` is set."""
+    ``root/responses`` and published when ``servers`` is set; requests that
+    cannot be served are kept under ``root/rejected_requests``."""
     reqs = ingest.parse_requests(raw)
     out = os.path.join(root, "responses")
 
     def answer(b, i):
-        state.answer_requests(b, i, os.path.join(root, "archive"), out)
+        state.answer_requests(b, i, os.path.join(root, "archive"), out,
+                              rejected=os.path.join(root, "rejected_requests"))
         if servers:
             publish(b.sparkSession.read.parquet(out).where(F.col("batch_id") == int(i)), servers)
 

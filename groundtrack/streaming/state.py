@@ -160,8 +160,14 @@ def read_snapshot(spark, path: str) -> DataFrame | None:
     return None
 
 
+def _exists(spark, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return fs.exists(p)
+
+
 def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
-                    lookback_s: int = ASOF_LOOKBACK_S, motion_lookback_s: int = LOOKBACK_S) -> None:
+                    lookback_s: int = ASOF_LOOKBACK_S, motion_lookback_s: int = LOOKBACK_S,
+                    rejected: str | None = None) -> None:
     """Answer the requests of one micro-batch from the archived fixes.
 
     Requests are validated and routed row by row; closest, overlap and
@@ -169,13 +175,21 @@ def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
     archive, which is read only for the time range the batch needs (a
     pushed-down ``timestamp`` range). Messages (``topic``, ``key``,
     ``value``) are written under ``batch_id`` (dynamic overwrite: a retried
-    batch replaces its own output).
+    batch replaces its own output). Requests that cannot be served (invalid,
+    exit, unknown) go to ``rejected`` with their reason when it is given.
+    Before any fix has been archived there is nothing to answer from.
     """
     spark = batch.sparkSession
     reqs = ingest.route_requests(ingest.validate_requests(batch))
-    ok = reqs.where(F.col("reject_reason").isNull() & F.col("action").isin("closest", "overlap", "motion_vector"))
+    served = F.col("reject_reason").isNull() & F.col("action").isin("closest", "overlap", "motion_vector")
+    if rejected:
+        bad = reqs.where(~served).withColumn(
+            "reject_reason", F.coalesce(F.col("reject_reason"), F.col("action")))
+        (bad.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejected))
+    ok = reqs.where(served)
     rng = ok.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-    if rng is None or rng["lo"] is None:
+    if rng is None or rng["lo"] is None or not _exists(spark, history):
         return
     # motion vectors need their own look-back before the oldest fix used
     lo = rng["lo"] - int(lookback_s) - int(motion_lookback_s)

@@ -167,6 +167,11 @@ def test_jobs_end_to_end(spark, scratch):
     jobs.start_tracks(src(f"{scratch}/pos"), scratch, trigger=now).awaitTermination()
 
     assert sinks.read_history(spark, f"{scratch}/archive").count() == f.count()
+    rej = spark.read.parquet(f"{scratch}/rejected_requests")
+    reqs = fx.requests(spark, SF_SMALL)
+    assert rej.count() == reqs.where(~F.col("choice_id").isin(1, 2, 3)).count()
+    assert {r.reject_reason for r in rej.select("reject_reason").distinct().collect()} == \
+        {"missing_choice", "invalid_choice"}
     assert spark.read.parquet(f"{scratch}/quarantine").count() == 1
     assert state.read_snapshot(spark, f"{scratch}/snapshot").count() == 5
     closest = codecs.decode_responses(spark.read.parquet(f"{scratch}/responses")
@@ -182,3 +187,13 @@ def test_jobs_end_to_end(spark, scratch):
     got = sorted((r.sat_id, r.path) for r in trk.tracks(w, now).collect())
     assert got == sorted((r.sat_id, r.path) for r in trk.tracks(windows.sliding_positions(f), now).collect())
 
+
+
+def test_requests_before_any_fix(spark, scratch):
+    """No archive yet: the batch completes and nothing is answered."""
+    streams.stage(fx.raw_requests(spark, SF_SMALL), f"{scratch}/req")
+    req = ingest.parse_requests(sources.read_files(spark, f"{scratch}/req", max_files_per_trigger=1))
+    sinks.start(req, f"{scratch}/ck", trigger={"availableNow": True},
+                foreach_batch=lambda b, i: state.answer_requests(b, i, f"{scratch}/none", f"{scratch}/resp")
+                ).awaitTermination()
+    assert not os.path.exists(f"{scratch}/resp")
