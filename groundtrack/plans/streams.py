@@ -28,10 +28,14 @@ def run_dir(spark: SparkSession, name: str) -> str:
 
 
 def stage(raw: DataFrame, path: str, chunks: int = CHUNKS, order: str = "offset") -> str:
-    """Write raw records once as ``chunks`` files of consecutive ``order``
-    ranges (a range-partitioned write), then give the files increasing
-    modification times so a file stream reads them in that order, one file
-    per micro-batch (metadata operations only, no data through the driver)."""
+    """Write raw records as ``chunks`` files of consecutive ``order`` ranges
+    that a file stream reads in that order, one file per micro-batch.
+
+    One range-partitioned write, then increasing modification times on the
+    files (metadata operations only). Where the file system cannot set
+    times (some object stores), the chunks are written one after another
+    instead, so their creation times follow the order.
+    """
     (raw.repartitionByRange(chunks, order).sortWithinPartitions(order)
      .write.mode("overwrite").parquet(path))
     spark = raw.sparkSession
@@ -41,8 +45,19 @@ def stage(raw: DataFrame, path: str, chunks: int = CHUNKS, order: str = "offset"
     files = sorted(st.getPath().toString() for st in fs.listStatus(root)
                    if st.getPath().getName().startswith("part-"))
     base = int(jvm.java.lang.System.currentTimeMillis()) - 10_000 * (len(files) + 1)
-    for i, f in enumerate(files):      # part-00000 holds the lowest range
-        fs.setTimes(jvm.org.apache.hadoop.fs.Path(f), base + 10_000 * i, -1)
+    try:
+        for i, f in enumerate(files):      # part-00000 holds the lowest range
+            fs.setTimes(jvm.org.apache.hadoop.fs.Path(f), base + 10_000 * i, -1)
+    except Exception:  # noqa: BLE001 - file system without settable times
+        staged = spark.read.parquet(path)
+        seq_path = path.rstrip("/") + "_seq"
+        bounds = staged.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
+        lo, hi = int(bounds["lo"]), int(bounds["hi"])
+        step = (hi - lo) // chunks + 1
+        for i in range(chunks):
+            (staged.where((F.col(order) >= lo + i * step) & (F.col(order) < lo + (i + 1) * step))
+             .coalesce(1).write.mode("append").parquet(seq_path))
+        return seq_path
     return path
 
 
@@ -70,16 +85,16 @@ def _drain(q):
 def scan_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = run_dir(spark, "scan_positions")
     raw = fx.raw_positions(spark, sf_dir).unionByName(fx.raw_requests(spark, sf_dir))
-    stage(raw, f"{d}/in")
-    s = ingest.parse_positions(ingest.topic_filter(sources.read_files(spark, f"{d}/in", max_files_per_trigger=1)))
+    src = stage(raw, f"{d}/in")
+    s = ingest.parse_positions(ingest.topic_filter(sources.read_files(spark, src, max_files_per_trigger=1)))
     _drain(sinks.start(s, f"{d}/ckpt", fmt="parquet", path=f"{d}/out", trigger={"availableNow": True}))
     return spark.read.parquet(f"{d}/out")
 
 
 def scan_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = run_dir(spark, "scan_requests")
-    stage(fx.raw_requests(spark, sf_dir), f"{d}/in")
-    raw = sources.read_files(spark, f"{d}/in", max_files_per_trigger=1)
+    src = stage(fx.raw_requests(spark, sf_dir), f"{d}/in")
+    raw = sources.read_files(spark, src, max_files_per_trigger=1)
     s = ingest.route_requests(ingest.validate_requests(ingest.parse_requests(raw)))
     _drain(sinks.start(s, f"{d}/ckpt", fmt="parquet", path=f"{d}/out", trigger={"availableNow": True}))
     return spark.read.parquet(f"{d}/out")
@@ -87,8 +102,7 @@ def scan_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = run_dir(spark, "history_append")
-    stage(encode_raw(fx.ticks(spark, sf_dir)), f"{d}/in")
-    s = _positions_stream(spark, f"{d}/in")
+    s = _positions_stream(spark, stage(encode_raw(fx.ticks(spark, sf_dir)), f"{d}/in"))
     _drain(sinks.start(s, f"{d}/ckpt", foreach_batch=lambda b, i: sinks.history_append(b, i, f"{d}/hist"),
                        trigger={"availableNow": True}))
     return trk.history_path(sinks.read_history(spark, f"{d}/hist"))
@@ -96,16 +110,14 @@ def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def motion_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = run_dir(spark, "motion_stream")
-    stage(encode_raw(fx.ticks(spark, sf_dir)), f"{d}/in")
-    s = state.motion_stream(_positions_stream(spark, f"{d}/in"))
+    s = state.motion_stream(_positions_stream(spark, stage(encode_raw(fx.ticks(spark, sf_dir)), f"{d}/in")))
     _drain(sinks.start(s, f"{d}/ckpt", fmt="parquet", path=f"{d}/out", trigger={"availableNow": True}))
     return spark.read.parquet(f"{d}/out")
 
 
 def snapshot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = run_dir(spark, "snapshot_stream")
-    stage(encode_raw(fx.irregular(spark, sf_dir)), f"{d}/in")
-    s = state.latest_snapshot(_positions_stream(spark, f"{d}/in"))
+    s = state.latest_snapshot(_positions_stream(spark, stage(encode_raw(fx.irregular(spark, sf_dir)), f"{d}/in")))
     _drain(sinks.start(s, f"{d}/ckpt", mode="complete",
                        foreach_batch=lambda b, i: state.write_snapshot(b, i, f"{d}/snap"),
                        trigger={"availableNow": True}))
@@ -117,12 +129,12 @@ def closest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     micro-batch from that archive. Returns the closest-object answers
     (objects on the response topic; overlap lists are arrays there)."""
     d = run_dir(spark, "closest_stream")
-    stage(encode_raw(fx.irregular(spark, sf_dir)), f"{d}/pos")
-    stage(fx.raw_requests(spark, sf_dir), f"{d}/req")
-    pos = _positions_stream(spark, f"{d}/pos")
+    pos_src = stage(encode_raw(fx.irregular(spark, sf_dir)), f"{d}/pos")
+    req_src = stage(fx.raw_requests(spark, sf_dir), f"{d}/req")
+    pos = _positions_stream(spark, pos_src)
     _drain(sinks.start(pos, f"{d}/ckpt_pos", trigger={"availableNow": True},
                        foreach_batch=lambda b, i: sinks.history_append(b, i, f"{d}/hist", sat_id=None)))
-    req = ingest.parse_requests(sources.read_files(spark, f"{d}/req", max_files_per_trigger=1))
+    req = ingest.parse_requests(sources.read_files(spark, req_src, max_files_per_trigger=1))
     _drain(sinks.start(req, f"{d}/ckpt_req", trigger={"availableNow": True},
                        foreach_batch=lambda b, i: state.answer_requests(b, i, f"{d}/hist", f"{d}/resp")))
     resp = spark.read.parquet(f"{d}/resp").drop("batch_id")
@@ -135,8 +147,8 @@ def sliding_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch's updates are kept under its ``batch_id`` and the final value of a
     window is its last update."""
     d = run_dir(spark, "sliding_stream")
-    stage(encode_raw(fx.irregular(spark, sf_dir)), f"{d}/in")
-    s = windows.sliding_positions(_positions_stream(spark, f"{d}/in"), watermark="10 minutes")
+    src = stage(encode_raw(fx.irregular(spark, sf_dir)), f"{d}/in")
+    s = windows.sliding_positions(_positions_stream(spark, src), watermark="10 minutes")
 
     def keep(b, i):
         b.withColumn("batch_id", F.lit(int(i))).write.mode("overwrite") \
@@ -157,8 +169,8 @@ def stream_batch_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = windows.data_now(f)
     batch = trk.tracks(windows.sliding_positions(f), now, RETAIN_S)
     d = run_dir(spark, "parity")
-    stage(encode_raw(f), f"{d}/in")
-    s = windows.sliding_positions(_positions_stream(spark, f"{d}/in"), watermark="10 minutes")
+    src = stage(encode_raw(f), f"{d}/in")
+    s = windows.sliding_positions(_positions_stream(spark, src), watermark="10 minutes")
 
     def keep(b, i):
         b.withColumn("batch_id", F.lit(int(i))).write.mode("overwrite") \

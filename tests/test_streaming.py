@@ -28,8 +28,8 @@ def _write_file(spark, rows, folder):
 
 def test_motion_stream_equals_batch(spark, scratch):
     f = fx.ticks(spark, SF_SMALL)
-    streams.stage(streams.encode_raw(f), f"{scratch}/in")
-    q = sinks.start(state.motion_stream(_positions(spark, f"{scratch}/in")), f"{scratch}/ck",
+    src = streams.stage(streams.encode_raw(f), f"{scratch}/in")
+    q = sinks.start(state.motion_stream(_positions(spark, src)), f"{scratch}/ck",
                     fmt="parquet", path=f"{scratch}/out", trigger={"availableNow": True})
     q.awaitTermination()
     got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/out").where(~F.col("late")).select(*VEC).collect())
@@ -126,8 +126,8 @@ def test_request_stream_answers_all_kinds(spark, scratch):
     from pyspark.sql.types import ArrayType
     f = fx.irregular(spark, SF_SMALL)
     sinks.history_append(f, 0, f"{scratch}/hist", sat_id=None)
-    streams.stage(fx.raw_requests(spark, SF_SMALL), f"{scratch}/req")
-    req = ingest.parse_requests(sources.read_files(spark, f"{scratch}/req", max_files_per_trigger=1))
+    src = streams.stage(fx.raw_requests(spark, SF_SMALL), f"{scratch}/req")
+    req = ingest.parse_requests(sources.read_files(spark, src, max_files_per_trigger=1))
     sinks.start(req, f"{scratch}/ck", trigger={"availableNow": True},
                 foreach_batch=lambda b, i: state.answer_requests(b, i, f"{scratch}/hist", f"{scratch}/resp")
                 ).awaitTermination()
@@ -156,15 +156,15 @@ def test_jobs_end_to_end(spark, scratch):
     f = fx.irregular(spark, SF_SMALL)
     raw = streams.encode_raw(f).unionByName(
         spark.createDataFrame([("junk", "satellite-1", 10 ** 9)], "value string, topic string, offset long"))
-    streams.stage(raw, f"{scratch}/pos")
-    streams.stage(fx.raw_requests(spark, SF_SMALL), f"{scratch}/req")
+    pos = streams.stage(raw, f"{scratch}/pos")
+    req = streams.stage(fx.raw_requests(spark, SF_SMALL), f"{scratch}/req")
     src = lambda p: sources.read_files(spark, p, max_files_per_trigger=1)
     now = {"availableNow": True}
-    for q in jobs.start_positions(src(f"{scratch}/pos"), scratch, trigger=now):
+    for q in jobs.start_positions(src(pos), scratch, trigger=now):
         q.awaitTermination()
-    jobs.start_requests(src(f"{scratch}/req"), scratch, trigger=now).awaitTermination()
-    jobs.start_motion(src(f"{scratch}/pos"), scratch, trigger=now).awaitTermination()
-    jobs.start_tracks(src(f"{scratch}/pos"), scratch, trigger=now).awaitTermination()
+    jobs.start_requests(src(req), scratch, trigger=now).awaitTermination()
+    jobs.start_motion(src(pos), scratch, trigger=now).awaitTermination()
+    jobs.start_tracks(src(pos), scratch, trigger=now).awaitTermination()
 
     assert sinks.read_history(spark, f"{scratch}/archive").count() == f.count()
     rej = spark.read.parquet(f"{scratch}/rejected_requests")
@@ -191,8 +191,8 @@ def test_jobs_end_to_end(spark, scratch):
 
 def test_requests_before_any_fix(spark, scratch):
     """No archive yet: the batch completes and nothing is answered."""
-    streams.stage(fx.raw_requests(spark, SF_SMALL), f"{scratch}/req")
-    req = ingest.parse_requests(sources.read_files(spark, f"{scratch}/req", max_files_per_trigger=1))
+    src = streams.stage(fx.raw_requests(spark, SF_SMALL), f"{scratch}/req")
+    req = ingest.parse_requests(sources.read_files(spark, src, max_files_per_trigger=1))
     sinks.start(req, f"{scratch}/ck", trigger={"availableNow": True},
                 foreach_batch=lambda b, i: state.answer_requests(b, i, f"{scratch}/none", f"{scratch}/resp")
                 ).awaitTermination()
