@@ -34,17 +34,12 @@ from groundtrack.functions.ordering import order_key
 from groundtrack.params import ASOF_LOOKBACK_S, COVERAGE_RADIUS_KM
 
 
-def asof_join(requests: DataFrame, events: DataFrame, value_cols: tuple[str, ...],
-              lookback_s: int = ASOF_LOOKBACK_S,
-              request_cols: tuple[str, ...] = ("obs_latitude", "obs_longitude"),
-              key: str = "request_id", entity: str = "sat_id",
-              per_second: bool = False) -> DataFrame:
-    """Rows (request, entity, latest event as of the request time).
-
-    ``events`` need ``entity``, ``timestamp``, ``seq`` and ``value_cols``;
-    the event chosen per (request, entity) is the greatest ``(timestamp,
-    seq)`` with ``request.ts - lookback_s <= timestamp <= request.ts``.
-    Output: key, request_ts, request_cols, entity, value_cols, fix_ts, fix_seq.
+def asof_by_time(requests: DataFrame, events: DataFrame, value_cols: tuple[str, ...],
+                 lookback_s: int = ASOF_LOOKBACK_S, entity: str = "sat_id",
+                 per_second: bool = False) -> DataFrame:
+    """Rows (request time, entity, latest event as of that time), one per
+    *distinct* ``requests.timestamp`` - what every request of that second
+    sees. Output: request_ts, entity, value_cols, fix_ts, fix_seq.
 
     ``per_second`` first keeps only the last event of each (entity, second)
     - the only one an as-of lookup can return - with a partial aggregate.
@@ -84,11 +79,28 @@ def asof_join(requests: DataFrame, events: DataFrame, value_cols: tuple[str, ...
     w = (Window.partitionBy("_e", "b").orderBy("t", "kind", F.col("fix.seq"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     carried = rows.withColumn("_last", F.last("fix", ignorenulls=True).over(w))
-    hit = (carried.where((F.col("kind") == 1) & F.col("_last").isNotNull()
-                         & (F.col("_last.timestamp") >= F.col("t") - F.lit(L)))
-           .select(F.col("t").alias("request_ts"), F.col("_e").alias(entity),
-                   *[F.col(f"_last.{c}").alias(c) for c in value_cols],
-                   F.col("_last.timestamp").alias("fix_ts"), F.col("_last.seq").alias("fix_seq")))
+    return (carried.where((F.col("kind") == 1) & F.col("_last").isNotNull()
+                          & (F.col("_last.timestamp") >= F.col("t") - F.lit(L)))
+            .select(F.col("t").alias("request_ts"), F.col("_e").alias(entity),
+                    *[F.col(f"_last.{c}").alias(c) for c in value_cols],
+                    F.col("_last.timestamp").alias("fix_ts"), F.col("_last.seq").alias("fix_seq")))
+
+
+def asof_join(requests: DataFrame, events: DataFrame, value_cols: tuple[str, ...],
+              lookback_s: int = ASOF_LOOKBACK_S,
+              request_cols: tuple[str, ...] = ("obs_latitude", "obs_longitude"),
+              key: str = "request_id", entity: str = "sat_id",
+              per_second: bool = False) -> DataFrame:
+    """Rows (request, entity, latest event as of the request time).
+
+    ``events`` need ``entity``, ``timestamp``, ``seq`` and ``value_cols``;
+    the event chosen per (request, entity) is the greatest ``(timestamp,
+    seq)`` with ``request.ts - lookback_s <= timestamp <= request.ts``.
+    Output: key, request_ts, request_cols, entity, value_cols, fix_ts, fix_seq.
+    The lookup runs once per distinct request time (``asof_by_time``) and
+    requests pick up their rows by an equi-join on the time.
+    """
+    hit = asof_by_time(requests, events, value_cols, lookback_s, entity, per_second)
     rq = requests.select(key, F.col("timestamp").alias("request_ts"), *request_cols)
     return rq.join(hit, "request_ts").select(
         key, "request_ts", *request_cols, entity, *value_cols, "fix_ts", "fix_seq")
@@ -131,40 +143,58 @@ def closest_satellite(requests: DataFrame, fixes: DataFrame,
 def motion_answers(requests: DataFrame, vectors: DataFrame,
                    lookback_s: int = ASOF_LOOKBACK_S, key: str = "request_id") -> DataFrame:
     """A motion request is answered with the latest vector of every object
-    as of the request time (not older than ``lookback_s``)."""
+    as of the request time (not older than ``lookback_s``); computed once
+    per distinct request time."""
     a = asof_join(requests, vectors, ("satname", "velocity_kmph", "delta_latitude", "delta_longitude"),
                   lookback_s, (), key)
     return a.select(key, F.col("request_ts").alias("timestamp"), "sat_id", "satname", "velocity_kmph",
                     "delta_latitude", "delta_longitude", F.col("fix_ts").alias("vector_ts"))
 
 
+def satellites_in_view(requests: DataFrame, fixes: DataFrame, required: int,
+                       lookback_s: int = ASOF_LOOKBACK_S, key: str = "request_id") -> DataFrame:
+    """Completeness gate per request: how many objects its as-of cache holds
+    and whether that equals ``required``. Counted once per distinct request
+    time, then joined to the requests (a request with an empty cache has
+    no row)."""
+    n = (asof_by_time(requests, fixes, (), lookback_s)
+         .groupBy("request_ts").agg(F.count_distinct("sat_id").alias("n_satellites")))
+    rq = requests.select(key, F.col("timestamp").alias("request_ts"))
+    return rq.join(n, "request_ts").select(
+        key, "n_satellites", (F.col("n_satellites") == F.lit(required)).alias("complete"))
+
+
 def overlap_answers(requests: DataFrame, fixes: DataFrame, lookback_s: int = ASOF_LOOKBACK_S,
                     radius_km: float = COVERAGE_RADIUS_KM, required_satellites: int | None = None,
                     key: str = "request_id") -> DataFrame:
     """An overlap request is answered with the coverage overlap of the
     objects in its as-of cache, pairing fixes of equal timestamp (as the
     original does); with ``required_satellites`` only a cache holding
-    exactly that many objects is answered. Pairs are per request: the join
-    key is (request, fix time), so a group never exceeds the object count.
+    exactly that many objects is answered.
+
+    The cache depends only on the request time, so pairs are built once per
+    distinct request time - the join key is (time, fix time), a group never
+    exceeds the object count - and then joined to the requests.
     """
-    a = asof_positions(requests, fixes, lookback_s, (), key)
+    a = asof_by_time(requests, fixes, ("satname", "latitude", "longitude"), lookback_s)
     if required_satellites is not None:
-        n = a.groupBy(key).agg(F.count_distinct("sat_id").alias("_n"))
-        a = a.join(n.where(F.col("_n") == required_satellites).select(key), key, "left_semi")
-    cols = [key, "fix_ts", "sat_id", "satname", "latitude", "longitude"]
+        n = a.groupBy("request_ts").agg(F.count_distinct("sat_id").alias("_n"))
+        a = a.join(n.where(F.col("_n") == required_satellites).select("request_ts"), "request_ts", "left_semi")
+    cols = ["request_ts", "fix_ts", "sat_id", "satname", "latitude", "longitude"]
     x = a.select(*[F.col(c).alias(f"{c}_x") for c in cols], *geo_parts("latitude", "longitude", "x_"))
     y = a.select(*[F.col(c).alias(f"{c}_y") for c in cols], *geo_parts("latitude", "longitude", "y_"))
-    p = x.join(y, (F.col(f"{key}_x") == F.col(f"{key}_y")) & (F.col("fix_ts_x") == F.col("fix_ts_y"))
+    p = x.join(y, (F.col("request_ts_x") == F.col("request_ts_y")) & (F.col("fix_ts_x") == F.col("fix_ts_y"))
                & (F.col("sat_id_x") < F.col("sat_id_y")))
-    d = haversine_from_parts("x_", "y_")
+    p = p.withColumn("_d", haversine_from_parts("x_", "y_"))
     reach = 2.0 * radius_km
-    p = p.withColumn("_d", d)
     ov = F.col("_d") < F.lit(reach)
-    return p.select(
-        F.col(f"{key}_x").alias(key), F.col("fix_ts_x").alias("timestamp"),
+    pairs = p.select(
+        F.col("request_ts_x").alias("request_ts"), F.col("fix_ts_x").alias("timestamp"),
         F.round("_d", 2).alias("distance_km"), ov.alias("overlap"),
         F.round(F.when(ov, F.lit(reach) - F.col("_d")).otherwise(F.lit(0.0)), 2).alias("overlap_km"),
         F.col("sat_id_x").alias("sat_id1"), F.col("sat_id_y").alias("sat_id2"),
         F.col("satname_x").alias("satname1"), F.col("satname_y").alias("satname2"),
         F.col("latitude_x").alias("lat1"), F.col("longitude_x").alias("lon1"),
         F.col("latitude_y").alias("lat2"), F.col("longitude_y").alias("lon2"))
+    rq = requests.select(key, F.col("timestamp").alias("request_ts"))
+    return rq.join(pairs, "request_ts").drop("request_ts")

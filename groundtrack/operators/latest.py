@@ -32,10 +32,3 @@ def snapshot(fixes: DataFrame) -> DataFrame:
         F.round("latitude", 4).alias("latitude"), F.round("longitude", 4).alias("longitude"),
         F.round("azimuth", 2).alias("azimuth"), F.round("elevation", 2).alias("elevation"),
         "timestamp")
-
-
-def satellites_in_view(asof: DataFrame, required: int, key: str = "request_id") -> DataFrame:
-    """Completeness gate per request over as-of rows: how many objects the
-    cache held and whether that equals ``required``."""
-    g = asof.groupBy(key).agg(F.count_distinct("sat_id").alias("n_satellites"))
-    return g.withColumn("complete", F.col("n_satellites") == F.lit(required))

@@ -78,8 +78,8 @@ def q_closest_satellite(spark, sf_dir):
 
 @register("snapshot_complete")
 def q_snapshot_complete(spark, sf_dir):
-    a = asof.asof_positions(_choice(spark, sf_dir, 2), fx.irregular(spark, sf_dir))
-    return latest.satellites_in_view(a, required=len(SAT_IDS))
+    return asof.satellites_in_view(_choice(spark, sf_dir, 2), fx.irregular(spark, sf_dir),
+                                   required=len(SAT_IDS))
 
 
 @register("overlap_answers")
