@@ -197,3 +197,15 @@ def test_requests_before_any_fix(spark, scratch):
                 foreach_batch=lambda b, i: state.answer_requests(b, i, f"{scratch}/none", f"{scratch}/resp")
                 ).awaitTermination()
     assert not os.path.exists(f"{scratch}/resp")
+
+
+def test_command_line_jobs(spark, scratch):
+    """``python -m groundtrack`` on file folders (same process, same session)."""
+    from groundtrack.__main__ import main
+    pos = streams.stage(streams.encode_raw(fx.irregular(spark, SF_SMALL)), f"{scratch}/pos")
+    req = streams.stage(fx.raw_requests(spark, SF_SMALL), f"{scratch}/req")
+    rc = main(["positions", "requests", "motion", "tracks", "--root", f"{scratch}/out",
+               "--positions", pos, "--requests", req, "--available-now"])
+    assert rc == 0
+    for t in ("archive", "snapshot", "responses", "vectors", "windows"):
+        assert os.path.exists(f"{scratch}/out/{t}"), t
