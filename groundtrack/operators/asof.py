@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from groundtrack.functions.geo import geo_parts, haversine_from_parts, haversine_km
 from groundtrack.functions.ordering import order_key
-from groundtrack.params import ASOF_LOOKBACK_S, COVERAGE_RADIUS_KM
+from groundtrack.params import ASOF_LOOKBACK_S, COVERAGE_RADIUS_KM, EARTH_RADIUS_KM
 
 
 def asof_by_time(requests: DataFrame, events: DataFrame, value_cols: tuple[str, ...],
@@ -115,22 +115,37 @@ def asof_positions(requests: DataFrame, fixes: DataFrame,
                      request_cols, key)
 
 
+_BEST = ("_d", "sat_id", "satname", "latitude", "longitude", "obs_latitude", "obs_longitude",
+         "request_ts", "fix_ts")
+
+
+def _nearest(cand: DataFrame, key: str) -> DataFrame:
+    """Arg-min of ``_d`` per request (ties: lowest ``sat_id``), partial
+    aggregation before the shuffle."""
+    return (cand.where(F.col("_d").isNotNull())
+            .groupBy(key).agg(F.min(F.struct(*_BEST)).alias("m")))
+
+
 def closest_satellite(requests: DataFrame, fixes: DataFrame,
                       lookback_s: int = ASOF_LOOKBACK_S, key: str = "request_id",
-                      digits: int | None = 2) -> DataFrame:
+                      digits: int | None = 2, cell_deg: int | None = None) -> DataFrame:
     """Per request, the object whose as-of fix is nearest to the observer.
 
     Ties go to the lowest ``sat_id``; fixes without coordinates are never
     candidates; a request with no fix in the look-back gets no row. The
     arg-min is ``min(struct(distance, sat_id, ...))`` grouped by request,
     aggregated partially before its shuffle.
+
+    ``cell_deg`` (a divisor of 180, at most 30) turns on an exact spatial
+    pre-filter for very many objects: see ``_closest_by_cells``.
     """
-    a = asof_positions(requests, fixes, lookback_s, key=key)
-    d = haversine_km("obs_latitude", "obs_longitude", "latitude", "longitude")
-    cand = a.withColumn("_d", d).where(F.col("_d").isNotNull())
-    best = cand.groupBy(key).agg(F.min(F.struct(
-        "_d", "sat_id", "satname", "latitude", "longitude", "obs_latitude",
-        "obs_longitude", "request_ts", "fix_ts")).alias("m"))
+    a = asof_by_time(requests, fixes, ("satname", "latitude", "longitude"), lookback_s)
+    a = a.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    rq = requests.select(key, F.col("timestamp").alias("request_ts"), "obs_latitude", "obs_longitude")
+    if cell_deg is None:
+        best = _nearest(_with_distance(rq.join(a, "request_ts")), key)
+    else:
+        best = _closest_by_cells(rq, a, key, int(cell_deg))
     dist = F.round("m._d", digits) if digits is not None else F.col("m._d")
     return best.select(
         key, F.col("m.satname").alias("satname"), F.col("m.sat_id").alias("sat_id"),
@@ -140,6 +155,58 @@ def closest_satellite(requests: DataFrame, fixes: DataFrame,
         F.col("m.request_ts").alias("timestamp"), F.col("m.fix_ts").alias("fix_ts"))
 
 
+def _with_distance(c: DataFrame) -> DataFrame:
+    return c.withColumn("_d", haversine_km("obs_latitude", "obs_longitude", "latitude", "longitude"))
+
+
+def _closest_by_cells(rq: DataFrame, a: DataFrame, key: str, h: int) -> DataFrame:
+    """Exact nearest object with a grid pre-filter.
+
+    Objects are placed in ``h`` x ``h`` degree cells. A request first looks
+    only at the 3 x 3 block of cells around its own (an equi-join on (time,
+    cell)). Every point outside the block is at least ``g`` away: the
+    latitude gaps to the block's edges, and the great-circle distance to the
+    two bounding meridians (``asin(cos(lat) sin(dlon))``; it shrinks to 0 near
+    the poles, where the block is no separation). A nearest candidate with
+    ``d < g`` is therefore the true nearest; all other requests (no
+    candidate, or not certified) are answered by the full comparison.
+    """
+    if h <= 0 or 180 % h or h > 30:
+        raise ValueError("cell_deg must divide 180 and be at most 30")
+    nlat, nlon = 180 // h, 360 // h
+    ci = lambda lat: F.least(F.floor((lat + 90) / h), F.lit(nlat - 1)).cast("int")
+    cj = lambda lon: F.pmod(F.floor((lon + 180) / h), F.lit(nlon)).cast("int")
+    cells = a.withColumn("ci", ci(F.col("latitude"))).withColumn("cj", cj(F.col("longitude")))
+
+    r = rq.withColumn("ci0", ci(F.col("obs_latitude"))).withColumn("cj0", cj(F.col("obs_longitude")))
+    near = F.array(*[F.struct(F.lit(di).alias("di"), F.lit(dj).alias("dj"))
+                     for di in (-1, 0, 1) for dj in (-1, 0, 1)])
+    block = (r.select("*", F.explode(near).alias("n"))
+             .withColumn("ci", F.col("ci0") + F.col("n.di"))
+             .withColumn("cj", F.pmod(F.col("cj0") + F.col("n.dj"), F.lit(nlon)))
+             .where((F.col("ci") >= 0) & (F.col("ci") < nlat)).drop("n"))
+    first = _nearest(_with_distance(block.join(cells, ["request_ts", "ci", "cj"])), key)
+
+    # certified radius of each request's block
+    R = EARTH_RADIUS_KM
+    lat, lon = F.col("obs_latitude"), F.col("obs_longitude")
+    lo_lat = (F.col("ci0") - 1) * h - 90
+    hi_lat = (F.col("ci0") + 2) * h - 90
+    west = lon + 180 - (F.col("cj0") - 1) * h          # degrees to the west meridian
+    east = (F.col("cj0") + 2) * h - (lon + 180)        # and to the east one
+    big = F.lit(float("inf"))
+    gaps = [F.when(lo_lat > -90, F.radians(lat - lo_lat) * R).otherwise(big),
+            F.when(hi_lat < 90, F.radians(hi_lat - lat) * R).otherwise(big),
+            F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(west))) * R,
+            F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(east))) * R]
+    g = r.select(key, F.least(*gaps).alias("_g"))
+    sure = (first.join(g, key)
+            .where(F.col("m._d") < F.col("_g") * (1 - 1e-9) - 1e-6).select(key, "m"))
+    rest = rq.join(sure.select(key), key, "left_anti")
+    second = _nearest(_with_distance(rest.join(a, "request_ts")), key)
+    return sure.unionByName(second)
+
+
 def motion_answers(requests: DataFrame, vectors: DataFrame,
                    lookback_s: int = ASOF_LOOKBACK_S, key: str = "request_id") -> DataFrame:
     """A motion request is answered with the latest vector of every object

@@ -165,6 +165,7 @@ _RAWREQ = with_(REQUESTS) + """SELECT request_id, obs_latitude, obs_longitude, a
 _ACTION = """CASE choice_id WHEN 1 THEN 'motion_vector' WHEN 2 THEN 'overlap' WHEN 3 THEN 'closest'
         WHEN 4 THEN 'exit' ELSE 'unknown' END"""
 _CLOSEST = ORACLE["closest_satellite"]
+ORACLE["closest_satellite_grid"] = _CLOSEST
 
 _HHMM = "printf('%02d:%02d', CAST(({0}) % 86400 // 3600 AS INTEGER), CAST(({0}) % 3600 // 60 AS INTEGER))".format
 

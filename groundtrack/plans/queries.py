@@ -76,6 +76,12 @@ def q_closest_satellite(spark, sf_dir):
     return asof.closest_satellite(_choice(spark, sf_dir, 3), fx.irregular(spark, sf_dir))
 
 
+@register("closest_satellite_grid")
+def q_closest_satellite_grid(spark, sf_dir):
+    """Same answers through the exact grid pre-filter (for many objects)."""
+    return asof.closest_satellite(_choice(spark, sf_dir, 3), fx.irregular(spark, sf_dir), cell_deg=15)
+
+
 @register("snapshot_complete")
 def q_snapshot_complete(spark, sf_dir):
     return asof.satellites_in_view(_choice(spark, sf_dir, 2), fx.irregular(spark, sf_dir),

@@ -116,3 +116,25 @@ def test_closest_equals_loop(spark, seed):
     assert set(got) == set(want)
     for k in want:
         assert got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) <= 0.0100001
+
+
+@pytest.mark.parametrize("cell", [5, 10, 30])
+def test_closest_grid_prefilter_is_exact(spark, cell):
+    rnd = random.Random(cell)
+    objs = [(str(i), f"Sat {i}", rnd.uniform(-90, 90), rnd.uniform(-180, 180), 0.0, 0.0,
+             1000 + 10 * (i % 3), i) for i in range(400)]
+    objs += [("p1", "Sat p1", 89.9, 10.0, 0.0, 0.0, 1000, 1000), ("p2", "Sat p2", -90.0, 180.0, 0.0, 0.0, 1000, 1001)]
+    pts = [(rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for _ in range(250)]
+    pts += [(89.99, -170.0), (-89.5, 179.9), (0.0, 180.0), (0.0, -180.0), (45.0, 179.99)]
+    reqs = [(i, la, lo, 1000 + 10 * (i % 4), 3) for i, (la, lo) in enumerate(pts)]
+    f = spark.createDataFrame(objs, POS)
+    r = spark.createDataFrame(reqs, REQ)
+    got = {x.request_id: (x.sat_id, x.distance_km)
+           for x in asof.closest_satellite(r, f, lookback_s=3600, cell_deg=cell).collect()}
+    plain = {x.request_id: (x.sat_id, x.distance_km)
+             for x in asof.closest_satellite(r, f, lookback_s=3600).collect()}
+    assert got == plain
+    for rid, la, lo, rt, _ in reqs:
+        c = [(hav(la, lo, o[2], o[3]), o[0]) for o in objs if rt - 3600 <= o[6] <= rt]
+        d, s = min(c)
+        assert got[rid][0] == s and abs(got[rid][1] - d) <= 0.0051
