@@ -35,6 +35,34 @@ def read_history(spark, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
+def compact_history(spark, src: str, dst: str) -> None:
+    """Rewrite an archive written per micro-batch (many small folders) into
+    one partitioned by object and day, files sorted by time.
+
+    A batch job: range partitioning on (sat_id, day, timestamp) spreads a
+    busy object's days over many tasks instead of one per object; sorted
+    files give tight per-row-group time statistics, so time-range reads skip
+    row groups. Dynamic overwrite replaces only the (object, day) partitions
+    present, so a re-run, or a run over a newer slice, is idempotent.
+    """
+    h = read_history(spark, src).withColumn("day", F.floor(F.col("timestamp") / 86400).cast("bigint"))
+    (h.repartitionByRange("sat_id", "day", "timestamp")
+     .sortWithinPartitions("sat_id", "day", "timestamp", "seq")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("sat_id", "day").parquet(dst))
+
+
+def read_history_range(spark, path: str, lo: int, hi: int, sat_ids=None) -> DataFrame:
+    """Fixes with ``lo <= timestamp <= hi`` from a compacted archive: the day
+    filter prunes partition folders, the timestamp filter is pushed to the
+    parquet reader (row-group statistics)."""
+    df = spark.read.parquet(path).where(
+        F.col("day").between(lo // 86400, hi // 86400) & F.col("timestamp").between(lo, hi))
+    if sat_ids is not None:
+        df = df.where(F.col("sat_id").isin(list(sat_ids)))
+    return df.drop("day")
+
+
 def start(df: DataFrame, checkpoint: str, *, fmt: str | None = None, path: str | None = None,
           foreach_batch=None, mode: str = "append", trigger: dict | None = None,
           query_name: str | None = None):

@@ -209,3 +209,19 @@ def test_command_line_jobs(spark, scratch):
     assert rc == 0
     for t in ("archive", "snapshot", "responses", "vectors", "windows"):
         assert os.path.exists(f"{scratch}/out/{t}"), t
+
+
+def test_compact_history(spark, scratch):
+    f = fx.irregular(spark, SF_SMALL)
+    for i in range(3):
+        sinks.history_append(f.where(F.col("seq") % 3 == i), i, f"{scratch}/h", sat_id=None)
+    sinks.compact_history(spark, f"{scratch}/h", f"{scratch}/c")
+    sinks.compact_history(spark, f"{scratch}/h", f"{scratch}/c")          # idempotent
+    c = spark.read.parquet(f"{scratch}/c")
+    assert c.count() == f.count()
+    assert sorted(os.listdir(f"{scratch}/c/sat_id=49810"))[0].startswith("day=")
+    lo, hi = 1704100000, 1704300000
+    r = sinks.read_history_range(spark, f"{scratch}/c", lo, hi)
+    assert r.count() == f.where(F.col("timestamp").between(lo, hi)).count()
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "day" in plan.split("PartitionFilters")[1][:200]
