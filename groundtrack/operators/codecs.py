@@ -18,12 +18,14 @@ from groundtrack.schemas import CLOSEST_RESPONSE, OVERLAP_ITEM, POSITION_FIELDS
 MAX_ITEMS = 1000     # items per list message; an instant with more pairs is split
 
 
-def encode_positions(fixes: DataFrame) -> DataFrame:
-    """One message per fix on topic ``satellite-<sat_id>``, no key."""
+def encode_positions(fixes: DataFrame, offset: str | None = None) -> DataFrame:
+    """One message per fix on topic ``satellite-<sat_id>``, no key;
+    ``offset`` names a column to pass through as the message offset."""
+    extra = [F.col(offset).alias("offset")] if offset else []
     return fixes.select(
         F.concat(F.lit(TOPIC_PREFIX), F.col("sat_id")).alias("topic"),
         F.lit(None).cast("string").alias("key"),
-        F.to_json(F.struct(*POSITION_FIELDS)).alias("value"))
+        F.to_json(F.struct(*POSITION_FIELDS)).alias("value"), *extra)
 
 
 def encode_requests(reqs: DataFrame, stamp_now: bool = False) -> DataFrame:

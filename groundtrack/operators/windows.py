@@ -3,7 +3,8 @@
 ``sliding_positions``: per (window, object) the position of the latest fix
 in the window (latitude and longitude from the same row, latest by
 ``(timestamp, seq)``) and the greatest timestamp. Works unchanged on a
-streaming DataFrame (add ``withWatermark`` on ``event_time`` first).
+streaming DataFrame; pass ``watermark`` so window state is evicted and late
+rows are dropped (append or update output mode).
 
 Each fix falls into window/slide windows (15 for 30 min / 2 min); Spark
 expands and aggregates partially per task before the shuffle, so the

@@ -63,11 +63,7 @@ def stage(raw: DataFrame, path: str, chunks: int = CHUNKS, order: str = "offset"
 
 def encode_raw(fixes: DataFrame) -> DataFrame:
     """Fixes as raw position records (JSON value, per-object topic, offset)."""
-    return fixes.select(
-        F.to_json(F.struct("sat_id", "satname", "latitude", "longitude", "azimuth",
-                           "elevation", "timestamp")).alias("value"),
-        F.concat(F.lit("satellite-"), F.col("sat_id")).alias("topic"),
-        F.col("seq").alias("offset"))
+    return codecs.encode_positions(fixes, offset="seq").select("value", "topic", "offset")
 
 
 def _positions_stream(spark, folder):

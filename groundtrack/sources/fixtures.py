@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundtrack.functions.timefn import epoch_seconds
-from groundtrack.params import SAT_IDS
+from groundtrack.params import SAT_IDS, TOPIC_PREFIX
 from groundtrack.sources.tables import table
 
 # --- fixed values of the fixture rules ---------------------------------------
@@ -121,24 +121,21 @@ def raw_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "azimuth", "elevation", "timestamp"))
     return j.select(
         F.when(F.col("event_type") == "error", F.col("props")).otherwise(body).alias("value"),
-        F.concat(F.lit("satellite-"), F.col("sat_id")).alias("topic"),
+        F.concat(F.lit(TOPIC_PREFIX), F.col("sat_id")).alias("topic"),
         F.col("seq").alias("offset"),
     )
 
 
 def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Request messages: JSON of ``requests`` rows. Like the original client
-    they also carry null unprefixed ``latitude``/``longitude`` keys; a request
-    with an unknown choice has no ``choice_id`` key at all."""
-    r = requests(spark, sf_dir)
-    body = F.to_json(F.struct(
-        F.lit(None).cast("double").alias("latitude"),
-        F.lit(None).cast("double").alias("longitude"),
-        "altitude", "timestamp",
-        F.when(F.col("choice_id") != 9, F.col("choice_id")).alias("choice_id"),
-        "obs_latitude", "obs_longitude"), {"ignoreNullFields": "false"})
-    return r.select(body.alias("value"), F.lit("observer_location").alias("topic"),
-                    F.col("request_id").alias("offset"))
+    """Request messages: JSON of ``requests`` rows, as the request encoder
+    writes them (with the null unprefixed ``latitude``/``longitude`` keys the
+    original client sends); an unknown choice is sent as a null
+    ``choice_id``."""
+    from groundtrack.operators.codecs import encode_requests
+    r = requests(spark, sf_dir).withColumn(
+        "choice_id", F.when(F.col("choice_id") != 9, F.col("choice_id")))
+    m = encode_requests(r.withColumn("offset", F.col("request_id")))
+    return m.select("value", "topic", F.col("key").cast("bigint").alias("offset"))
 
 
 def api_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from groundtrack.params import REQUEST_TOPIC
+from groundtrack.params import REQUEST_TOPIC, TOPIC_PREFIX
 from groundtrack.schemas import RAW
 
 RAW_WITH_OFFSET = T.StructType(RAW.fields + [T.StructField("offset", T.LongType())])
-POSITION_TOPICS = r"satellite-\d+"
+POSITION_TOPICS = TOPIC_PREFIX + r"\d+"    # subscribePattern (whole-name match)
 
 
 def read_broker(spark: SparkSession, servers: str, *, pattern: str | None = None,
