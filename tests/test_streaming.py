@@ -225,3 +225,15 @@ def test_compact_history(spark, scratch):
     assert r.count() == f.where(F.col("timestamp").between(lo, hi)).count()
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "day" in plan.split("PartitionFilters")[1][:200]
+
+
+def test_console_and_memory_sinks(spark, scratch, capsys):
+    """The built-in sinks work through the same starter (checkpoint set)."""
+    src = streams.stage(streams.encode_raw(fx.ticks(spark, SF_SMALL)), f"{scratch}/in")
+    s = _positions(spark, src).select("sat_id", "timestamp")
+    q = sinks.start(s, f"{scratch}/ck1", fmt="memory", query_name="gt_mem", trigger={"availableNow": True})
+    q.awaitTermination()
+    assert spark.table("gt_mem").count() == fx.ticks(spark, SF_SMALL).count()
+    q = sinks.start(s.limit(0), f"{scratch}/ck2", fmt="console", trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
