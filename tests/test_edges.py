@@ -196,3 +196,11 @@ def test_order_key_is_exact_and_null_safe(spark):
     df = spark.createDataFrame(rows, "timestamp long, seq long").withColumn("k", order_key())
     got = [(r.timestamp, r.seq) for r in df.orderBy("k").collect()]
     assert got == [(None, 1), (-3, 7), (1, None), (1, -5), (1, 2 ** 63 - 1), (2, -(2 ** 63))]
+
+
+def test_overlap_answers_gate(spark):
+    f = fixes(spark, [(str(i), 0.0, 10.0 * i, 100, i) for i in range(6)])
+    req = spark.createDataFrame([(1, 0.0, 0.0, 150, 2)], REQ)
+    assert asof.overlap_answers(req, f, required_satellites=5).count() == 0
+    assert asof.overlap_answers(req, f, required_satellites=6).count() == 15
+    assert asof.overlap_answers(req, f).count() == 15
