@@ -49,11 +49,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster sets it to a shared (distributed) path and we use it as is.
-    Only when it is unset - local tests - do we pick a fresh scratch folder.
+    Only when it is unset in local mode (tests) do we pick a fresh scratch
+    folder; unset on a cluster is an error, never a machine-local folder.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
-        path = tempfile.mkdtemp(prefix="groundtrack-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
+        path = tempfile.mkdtemp(prefix="groundtrack-ckpt-")   # local mode only (tests)
         spark.conf.set(CHECKPOINT_CONF, path)
     spark.sparkContext.setCheckpointDir(path)
     return path
