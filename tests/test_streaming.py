@@ -237,3 +237,30 @@ def test_console_and_memory_sinks(spark, scratch, capsys):
     q = sinks.start(s.limit(0), f"{scratch}/ck2", fmt="console", trigger={"availableNow": True})
     q.awaitTermination()
     assert q.exception() is None
+
+
+def test_crash_after_write_is_not_duplicated(spark, scratch):
+    """A batch that dies after writing is re-run on restart; the archive
+    still holds every fix once (the retried batch overwrites its own part)."""
+    f = fx.ticks(spark, SF_SMALL)
+    src = streams.stage(streams.encode_raw(f), f"{scratch}/in")
+    crashed = {"done": False}
+
+    def flaky(b, i):
+        sinks.history_append(b, i, f"{scratch}/h", sat_id=None)
+        if i == 1 and not crashed["done"]:
+            crashed["done"] = True
+            raise RuntimeError("executor lost after the write")
+
+    q = sinks.start(_positions(spark, src), f"{scratch}/ck", foreach_batch=flaky,
+                    trigger={"availableNow": True})
+    try:
+        q.awaitTermination()
+    except Exception:  # noqa: BLE001 - the simulated failure
+        pass
+    assert crashed["done"]
+    sinks.start(_positions(spark, src), f"{scratch}/ck", foreach_batch=flaky,
+                trigger={"availableNow": True}).awaitTermination()
+    h = sinks.read_history(spark, f"{scratch}/h")
+    assert h.count() == f.count()
+    assert h.groupBy("sat_id", "seq").count().where("count > 1").count() == 0
