@@ -16,6 +16,8 @@ on the same key. A hot instant is split across tasks by AQE's skew-join handling
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,13 +39,22 @@ def complete_instants(fixes: DataFrame, required: int, key: str = "timestamp") -
 def coverage_overlap(fixes: DataFrame, radius_km: float = COVERAGE_RADIUS_KM,
                      required_satellites: int | None = None,
                      earth_radius_km: float = EARTH_RADIUS_KM,
-                     digits: int | None = 2) -> DataFrame:
+                     digits: int | None = 2, only_overlapping: bool = False) -> DataFrame:
     """Pairs at equal timestamps with distance, overlap flag and depth.
 
     ``required_satellites`` reproduces the original gate (answer only when
     exactly that many objects are present); None means no gate.
     ``digits`` rounds the two km columns (None keeps full precision).
+
+    ``only_overlapping`` returns just the overlapping pairs and builds far
+    fewer: two discs can only meet if the latitudes differ by less than
+    ``2r / R`` (a great-circle distance is never shorter than the latitude
+    difference), so fixes get latitude bands that wide and the join key is
+    (instant, band) with one side copied to the three neighbouring bands -
+    each candidate pair exactly once, and a hot instant split by band.
     """
+    if only_overlapping:
+        return _overlapping_pairs(fixes, radius_km, required_satellites, earth_radius_km, digits)
     cols = ["timestamp", "sat_id", "satname", "latitude", "longitude"]
     keyed = fixes.select(*cols)
     if required_satellites is not None:
@@ -71,3 +82,33 @@ def coverage_overlap(fixes: DataFrame, radius_km: float = COVERAGE_RADIUS_KM,
         "timestamp", rnd(F.col("_d")).alias("distance_km"), ov.alias("overlap"),
         rnd(depth).alias("overlap_km"), "satname1", "satname2", "sat_id1", "sat_id2",
         "lat1", "lon1", "lat2", "lon2")
+
+
+def _overlapping_pairs(fixes: DataFrame, radius_km: float, required_satellites: int | None,
+                       earth_radius_km: float, digits: int | None) -> DataFrame:
+    cols = ["timestamp", "sat_id", "satname", "latitude", "longitude"]
+    keyed = fixes.select(*cols)
+    if required_satellites is not None:
+        keyed = complete_instants(keyed, required_satellites)
+    reach = 2.0 * radius_km
+    # band width = the largest latitude difference of an overlapping pair,
+    # widened by a hair so rounding can never drop a pair at the boundary
+    band_deg = math.degrees(reach / earth_radius_km) * (1 + 1e-9) + 1e-9
+    band = F.floor((F.col("latitude") + 90) / F.lit(band_deg)).cast("int")
+    a = keyed.select(*[F.col(c).alias(f"{c}_a") for c in cols], *geo_parts("latitude", "longitude", "a_"),
+                     F.explode(F.array(band - 1, band, band + 1)).alias("band"))
+    b = keyed.select(*[F.col(c).alias(f"{c}_b") for c in cols], *geo_parts("latitude", "longitude", "b_"),
+                     band.alias("band"))
+    pairs = a.join(b.hint("merge"), (F.col("timestamp_a") == F.col("timestamp_b"))
+                   & (a["band"] == b["band"]) & (F.col("sat_id_a") < F.col("sat_id_b"))
+                   & (F.abs(F.col("latitude_a") - F.col("latitude_b")) < F.lit(band_deg)))
+    d = haversine_from_parts("a_", "b_", earth_radius_km)
+    rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    out = pairs.withColumn("_d", d).where(F.col("_d") < F.lit(reach))
+    return out.select(
+        F.col("timestamp_a").alias("timestamp"), rnd(F.col("_d")).alias("distance_km"),
+        F.lit(True).alias("overlap"), rnd(F.lit(reach) - F.col("_d")).alias("overlap_km"),
+        F.col("satname_a").alias("satname1"), F.col("satname_b").alias("satname2"),
+        F.col("sat_id_a").alias("sat_id1"), F.col("sat_id_b").alias("sat_id2"),
+        F.col("latitude_a").alias("lat1"), F.col("longitude_a").alias("lon1"),
+        F.col("latitude_b").alias("lat2"), F.col("longitude_b").alias("lon2"))

@@ -108,6 +108,7 @@ ORACLE: dict[str, str] = {
     "coverage_overlap_gated": with_(ticks_n(7, "t7"), """t7ok AS (SELECT * FROM t7 WHERE timestamp IN (
         SELECT timestamp FROM t7 GROUP BY timestamp HAVING count(DISTINCT sat_id) = 7))""")
         + overlap_sql("t7ok"),
+    "coverage_overlap_hits": with_(ticks_n(50, "t50")) + "SELECT * FROM (" + overlap_sql("t50") + ") o WHERE overlap",
     "haversine_pairs": with_(TICKS) + f"SELECT sat_id, seq, timestamp, round({OBS_D}, 2) AS distance_km FROM ticks",
     "latest_positions": with_(IRREGULAR) + """SELECT sat_id, satname, latitude, longitude, azimuth,
         elevation, timestamp, seq FROM (SELECT *, row_number() OVER (PARTITION BY sat_id

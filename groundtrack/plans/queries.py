@@ -36,6 +36,12 @@ def q_coverage_overlap(spark, sf_dir):
     return overlap.coverage_overlap(fx.ticks(spark, sf_dir))
 
 
+@register("coverage_overlap_hits")
+def q_coverage_overlap_hits(spark, sf_dir):
+    """Only the overlapping pairs (latitude-band join), 50 objects per poll."""
+    return overlap.coverage_overlap(fx.ticks_n(spark, sf_dir, 50), only_overlapping=True)
+
+
 @register("coverage_overlap_gated")
 def q_coverage_overlap_gated(spark, sf_dir):
     """Gate on the object count: with 7 objects, only complete polls pair up

@@ -138,3 +138,15 @@ def test_closest_grid_prefilter_is_exact(spark, cell):
         c = [(hav(la, lo, o[2], o[3]), o[0]) for o in objs if rt - 3600 <= o[6] <= rt]
         d, s = min(c)
         assert got[rid][0] == s and abs(got[rid][1] - d) <= 0.0051
+
+
+@pytest.mark.parametrize("radius", [300.0, 2500.0, 6000.0])
+def test_overlapping_only_equals_filtered_all_pairs(spark, radius):
+    rows = random_fixes(int(radius), n=300, sats=40, span=5)
+    f = spark.createDataFrame(rows, POS)
+    want = sorted(map(tuple, overlap.coverage_overlap(f, radius_km=radius).where("overlap").collect()))
+    got = sorted(map(tuple, overlap.coverage_overlap(f, radius_km=radius, only_overlapping=True).collect()))
+    assert got == want
+    n = sum(1 for a in rows for b in rows if a[6] == b[6] and a[0] < b[0]
+            and hav(a[2], a[3], b[2], b[3]) < 2 * radius)
+    assert len(got) == n
