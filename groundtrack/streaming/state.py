@@ -16,10 +16,12 @@
 from __future__ import annotations
 
 import os
+import sys
 import warnings
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -32,6 +34,10 @@ MOTION_OUT = ("sat_id string, satname string, timestamp bigint, seq bigint, "
               "delta_longitude double, late boolean")
 MOTION_STATE = "ts array<bigint>, seq array<bigint>, lat array<double>, lon array<double>"
 _OUT_COLS = [c.split()[0] for c in MOTION_OUT.split(", ")]
+# The state function runs in Python workers. Pickle this module's functions
+# by value so workers need only numpy and pandas, not this package on their
+# path (as with an executor started without the package shipped to it).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Arrow conversion of the state function's output warns about all-null
 # columns of late rows; the result is correct, the warning is noise.
 warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty.*")
