@@ -67,18 +67,24 @@ def motion_vectors(fixes: DataFrame, lookback_s: int = LOOKBACK_S,
          .where(F.col("_kind") == 1).select("sat_id", "_me.*", "_p"))
     x = x.where((F.col("_p.t") < F.col("timestamp"))
                 | ((F.col("_p.t") == F.col("timestamp")) & (F.col("_p.s") < F.col("seq"))))
-    dt = F.col("timestamp") - F.col("_p.t")
-    dist = haversine_km("_p.lat", "_p.lon", "latitude", "longitude")
+    return x.select("sat_id", "satname", "timestamp", "seq",
+                    *vector_columns("_p.t", "_p.lat", "_p.lon", digits=digits))
+
+
+def vector_columns(prev_t: str, prev_lat: str, prev_lon: str, digits: bool = True) -> list:
+    """``prev_timestamp``, ``velocity_kmph``, ``delta_latitude`` and
+    ``delta_longitude`` of a fix (``timestamp``, ``latitude``, ``longitude``)
+    against its predecessor - one expression for batch and stream alike."""
+    dt = F.col("timestamp") - F.col(prev_t)
+    dist = haversine_km(prev_lat, prev_lon, "latitude", "longitude")
     still = dt == 0
     speed = F.when(still, F.lit(0.0)).otherwise(dist / (dt / F.lit(3600.0)))
-    dlat = F.when(still, F.lit(0.0)).otherwise(F.col("latitude") - F.col("_p.lat"))
-    dlon = F.when(still, F.lit(0.0)).otherwise(F.col("longitude") - F.col("_p.lon"))
+    dlat = F.when(still, F.lit(0.0)).otherwise(F.col("latitude") - F.col(prev_lat))
+    dlon = F.when(still, F.lit(0.0)).otherwise(F.col("longitude") - F.col(prev_lon))
     r2 = (lambda c: F.round(c, 2)) if digits else (lambda c: c)
     r5 = (lambda c: F.round(c, 5)) if digits else (lambda c: c)
-    return x.select("sat_id", "satname", "timestamp", "seq",
-                    F.col("_p.t").alias("prev_timestamp"),
-                    r2(speed).alias("velocity_kmph"),
-                    r5(dlat).alias("delta_latitude"), r5(dlon).alias("delta_longitude"))
+    return [F.col(prev_t).alias("prev_timestamp"), r2(speed).alias("velocity_kmph"),
+            r5(dlat).alias("delta_latitude"), r5(dlon).alias("delta_longitude")]
 
 
 def motion_top(vectors: DataFrame, batch: str, n: int = MOTION_TOP_N) -> DataFrame:

@@ -4,8 +4,9 @@
   are not allowed on streams, so the trailing history lives in keyed state
   (``applyInPandasWithState``): per object the fixes of the last
   ``lookback_s`` seconds, nothing more. The state function works on whole
-  Arrow batches (``searchsorted`` finds every predecessor at once); an
-  event-time timeout drops the state of objects that went silent.
+  Arrow batches (``searchsorted`` finds every predecessor at once) and
+  only picks predecessors; the arithmetic is the batch operator's Spark
+  expression. An event-time timeout drops the state of silent objects.
 * ``latest_snapshot`` - the latest fix per object as a streaming aggregate;
   ``write_snapshot`` stores each version in its own folder and keeps a few.
 * ``answer_requests`` - a request micro-batch answered from the fixes
@@ -27,36 +28,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from groundtrack.operators import asof, codecs, ingest, latest, motion
-from groundtrack.params import ASOF_LOOKBACK_S, EARTH_RADIUS_KM, LOOKBACK_S
+from groundtrack.params import ASOF_LOOKBACK_S, LOOKBACK_S
 
-MOTION_OUT = ("sat_id string, satname string, timestamp bigint, seq bigint, "
-              "prev_timestamp bigint, velocity_kmph double, delta_latitude double, "
-              "delta_longitude double, late boolean")
+MOTION_STATE_OUT = ("sat_id string, satname string, timestamp bigint, seq bigint, "
+                    "latitude double, longitude double, prev_timestamp bigint, prev_latitude double, "
+                    "prev_longitude double, late boolean")
 MOTION_STATE = "ts array<bigint>, seq array<bigint>, lat array<double>, lon array<double>"
-_OUT_COLS = [c.split()[0] for c in MOTION_OUT.split(", ")]
+_OUT_COLS = [c.split()[0] for c in MOTION_STATE_OUT.split(", ")]
+# Arrow conversion of the state function's output warns about all-null
+# columns of late rows; the result is correct, the warning is noise.
+warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty.*")
 # The state function runs in Python workers. Pickle this module's functions
 # by value so workers need only numpy and pandas, not this package on their
 # path (as with an executor started without the package shipped to it).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
-# Arrow conversion of the state function's output warns about all-null
-# columns of late rows; the result is correct, the warning is noise.
-warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty.*")
-
-
-def _haversine_np(lat1, lon1, lat2, lon2, r=EARTH_RADIUS_KM):
-    p1, p2 = np.radians(lat1), np.radians(lat2)
-    s1 = np.sin((p2 - p1) / 2)
-    s2 = np.sin((np.radians(lon2) - np.radians(lon1)) / 2)
-    a = s1 * s1 + np.cos(p1) * np.cos(p2) * s2 * s2
-    return 2.0 * r * np.arctan2(np.sqrt(a), np.sqrt(np.maximum(1.0 - a, 0.0)))
 
 
-def motion_state_fn(lookback_s: int = LOOKBACK_S, digits: bool = True):
+def motion_state_fn(lookback_s: int = LOOKBACK_S):
     """Build the state function for ``applyInPandasWithState``.
 
-    New fixes of a batch are sorted by ``(timestamp, seq)``; a fix older
-    than the newest one already held is *late*: it is reported with
-    ``late = true`` and no vector, and does not enter the history.
+    It only does the keyed-state bookkeeping: for each new fix, which held
+    fix is its predecessor (the oldest within ``lookback_s``). The speed and
+    direction are computed afterwards by the same Spark expression as the
+    batch operator. New fixes of a batch are sorted by ``(timestamp, seq)``;
+    a fix older than the newest one already held is *late*: it is reported
+    with ``late = true`` and does not enter the history.
     """
     L = int(lookback_s)
 
@@ -82,28 +78,20 @@ def motion_state_fn(lookback_s: int = LOOKBACK_S, digits: bool = True):
         a_lat = np.concatenate([h_lat, ok["latitude"].to_numpy("float64")])
         a_lon = np.concatenate([h_lon, ok["longitude"].to_numpy("float64")])
         g = np.arange(len(h_ts), len(a_ts))
-        j = np.searchsorted(a_ts, a_ts[g] - L, side="left")
+        j = np.searchsorted(a_ts, a_ts[g] - L, side="left")   # oldest fix within L
         has = j < g
         g, j = g[has], j[has]
-        dt = a_ts[g] - a_ts[j]
-        still = dt == 0
-        dist = _haversine_np(a_lat[j], a_lon[j], a_lat[g], a_lon[g])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            speed = np.where(still, 0.0, dist / (dt / 3600.0))
-        dlat = np.where(still, 0.0, a_lat[g] - a_lat[j])
-        dlon = np.where(still, 0.0, a_lon[g] - a_lon[j])
-        if digits:
-            speed, dlat, dlon = np.round(speed, 2), np.round(dlat, 5), np.round(dlon, 5)
-        names = ok["satname"].to_numpy()[has]
         vec = pd.DataFrame({
-            "sat_id": key[0], "satname": names, "timestamp": a_ts[g], "seq": a_seq[g],
-            "prev_timestamp": a_ts[j], "velocity_kmph": speed, "delta_latitude": dlat,
-            "delta_longitude": dlon, "late": False})
+            "sat_id": key[0], "satname": ok["satname"].to_numpy()[has], "timestamp": a_ts[g],
+            "seq": a_seq[g], "latitude": a_lat[g], "longitude": a_lon[g],
+            "prev_timestamp": a_ts[j], "prev_latitude": a_lat[j], "prev_longitude": a_lon[j],
+            "late": False})
         lt = pdf[late]
         late_rows = pd.DataFrame({
             "sat_id": key[0], "satname": lt["satname"].to_numpy(), "timestamp": lt["timestamp"].to_numpy(),
-            "seq": lt["seq"].to_numpy(), "prev_timestamp": None, "velocity_kmph": np.nan,
-            "delta_latitude": np.nan, "delta_longitude": np.nan, "late": True})
+            "seq": lt["seq"].to_numpy(), "latitude": lt["latitude"].to_numpy(),
+            "longitude": lt["longitude"].to_numpy(), "prev_timestamp": None, "prev_latitude": np.nan,
+            "prev_longitude": np.nan, "late": True})
         # keep only what a later fix can still use
         if len(a_ts):
             keep = a_ts >= a_ts[-1] - L
@@ -119,13 +107,20 @@ def motion_state_fn(lookback_s: int = LOOKBACK_S, digits: bool = True):
 
 def motion_stream(fixes: DataFrame, lookback_s: int = LOOKBACK_S,
                   watermark: str = "10 minutes", digits: bool = True) -> DataFrame:
-    """Motion vectors of a stream of accepted fixes (state keyed by object)."""
+    """Motion vectors of a stream of accepted fixes (state keyed by object;
+    the same columns as ``motion_vectors`` plus ``late``)."""
     src = fixes.select("sat_id", "satname", "latitude", "longitude", "timestamp", "seq",
                        F.timestamp_seconds("timestamp").alias("event_time"))
     src = src.withWatermark("event_time", watermark)
-    return src.groupBy("sat_id").applyInPandasWithState(
-        motion_state_fn(lookback_s, digits), MOTION_OUT, MOTION_STATE, "append",
+    pairs = src.groupBy("sat_id").applyInPandasWithState(
+        motion_state_fn(lookback_s), MOTION_STATE_OUT, MOTION_STATE, "append",
         GroupStateTimeout.EventTimeTimeout)
+    vec = motion.vector_columns("prev_timestamp", "prev_latitude", "prev_longitude", digits)
+    return pairs.select("sat_id", "satname", "timestamp", "seq",
+                        *[F.when(~F.col("late"), c).alias(n)
+                          for c, n in zip(vec, ("prev_timestamp", "velocity_kmph", "delta_latitude",
+                                                "delta_longitude"))],
+                        "late")
 
 
 def latest_snapshot(fixes: DataFrame) -> DataFrame:
