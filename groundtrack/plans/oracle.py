@@ -236,5 +236,25 @@ ORACLE.update({
 })
 
 
+# Stream keys: the streamed result equals the batch result (ordered input,
+# nothing late), so the batch SQL is their oracle as well.
+ORACLE.update({
+    "scan_positions": ORACLE["parse_positions"],
+    "scan_requests": f"""SELECT request_id, obs_latitude, obs_longitude, altitude, timestamp, choice_id,
+        CASE WHEN choice_id IS NULL THEN 'missing_choice' WHEN choice_id NOT IN (1, 2, 3) THEN 'invalid_choice'
+             WHEN choice_id = 3 AND (obs_latitude IS NULL OR obs_longitude IS NULL) THEN 'missing_location'
+        END AS reject_reason, {_ACTION} AS action FROM ({_RAWREQ}) r""",
+    "history_append": with_(TICKS) + """SELECT satname, latitude, longitude, timestamp, seq
+        FROM ticks WHERE sat_id = '49810'""",
+    "motion_stream": with_(TICKS, motion_sql("ticks")) + "SELECT *, false AS late FROM mv",
+    "snapshot_stream": ORACLE["latest_positions"],
+    "closest_stream": f"""SELECT 'observer_response' AS topic, CAST(request_id AS VARCHAR) AS key, satname,
+        sat_id, latitude, longitude, distance_km, observer_lat, observer_lon, timestamp FROM ({_CLOSEST}) c""",
+    "sliding_stream": ORACLE["sliding_positions"],
+    "stream_batch_parity": with_(TICKS, RETAINED_TICKS) + """SELECT DISTINCT sat_id, n_points AS batch_points,
+        n_points AS stream_points, true AS same_path FROM pts WHERE n_points >= 2""",
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
