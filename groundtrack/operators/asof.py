@@ -11,8 +11,9 @@ Plan (linear in fixes + answers, no range join and no nested loop):
   ``b`` may see lies in ``b`` or is the last fix of ``b - 1``;
 * ``tails``: last fix per (object, bucket), carried into the next bucket
   (a partial aggregate: one row per object and bucket);
-* ``presence``: which objects have fixes in ``b`` or ``b - 1`` (from the same
-  aggregate as the tails); the *distinct request times* are joined to it on
+* ``presence``: which objects have fixes in ``b`` or ``b - 1`` (a distinct,
+  aggregated per task before its shuffle); the *distinct request times* are
+  joined to it on
   ``b`` (an equi-join; AQE broadcasts it at run time when its measured size
   is under the threshold, else it stays a shuffle join);
 * fixes, carried tails and one copy per (object, request time) are unioned
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from groundtrack.functions.geo import geo_parts, haversine_from_parts, haversine_km
 from groundtrack.functions.ordering import order_key
@@ -58,13 +60,17 @@ def asof_by_time(requests: DataFrame, events: DataFrame, value_cols: tuple[str,
 
     ev_rows = fx.select("_e", "b", F.col("timestamp").alias("t"), F.lit(0).alias("kind"),
                         F.struct(*cols).alias("fix"))
-    # one aggregate per (entity, bucket) feeds both the carried tails and the
-    # presence list
-    last = (fx.withColumn("_k", order_key()).groupBy("_e", "b")
-            .agg(*[F.max_by(c, "_k").alias(c) for c in cols]))
+    # last event per (entity, bucket), carried into the next bucket. String
+    # values (names) join the grouping key so every aggregate buffer is
+    # fixed-width and the aggregate stays hash-based; should a name change
+    # inside a bucket there are two tails and the window below still takes
+    # the later one.
+    strings = [c for c in value_cols if isinstance(fx.schema[c].dataType, StringType)]
+    last = (fx.withColumn("_k", order_key()).groupBy("_e", "b", *strings)
+            .agg(*[F.max_by(c, "_k").alias(c) for c in cols if c not in strings]))
     tails = last.select("_e", (F.col("b") + 1).alias("b"), F.col("timestamp").alias("t"),
                         F.lit(0).alias("kind"), F.struct(*cols).alias("fix"))
-    presence = (last.select("_e", F.explode(F.array("b", F.col("b") + 1)).alias("b"))
+    presence = (fx.select("_e", F.explode(F.array("b", F.col("b") + 1)).alias("b"))
                 .distinct())
 
     # the window sees each distinct request time once (at most L per

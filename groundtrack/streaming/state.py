@@ -127,7 +127,8 @@ def latest_snapshot(fixes: DataFrame) -> DataFrame:
     """Streaming (or batch) latest fix per object; run in complete mode, the
     state is one row per object."""
     return latest.latest_positions(fixes.select(
-        "sat_id", "satname", "latitude", "longitude", "azimuth", "elevation", "timestamp", "seq"))
+        "sat_id", "satname", "latitude", "longitude", "azimuth", "elevation", "timestamp", "seq"),
+        two_step=False)
 
 
 def _fs(spark, path):

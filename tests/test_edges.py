@@ -204,3 +204,20 @@ def test_overlap_answers_gate(spark):
     assert asof.overlap_answers(req, f, required_satellites=5).count() == 0
     assert asof.overlap_answers(req, f, required_satellites=6).count() == 15
     assert asof.overlap_answers(req, f).count() == 15
+
+
+def test_name_change_keeps_latest_row(spark):
+    """Names join the grouping key of the hash aggregates; the latest row
+    must still win when an object is renamed."""
+    from groundtrack.operators import latest
+    rows = [("1", "Old", 1.0, 1.0, 0.0, 0.0, 100, 1), ("1", "New", 2.0, 2.0, 0.0, 0.0, 200, 2),
+            ("1", "Old", 3.0, 3.0, 0.0, 0.0, 150, 3)]
+    f = spark.createDataFrame(rows, POS)
+    r = latest.latest_positions(f).collect()
+    assert [(x.satname, x.latitude, x.timestamp) for x in r] == [("New", 2.0, 200)]
+    r1 = latest.latest_positions(f, two_step=False).collect()
+    assert [(x.satname, x.latitude) for x in r1] == [("New", 2.0)]
+    # as-of across a bucket edge: the carried tail of the previous bucket
+    req = spark.createDataFrame([(9, 0.0, 0.0, 3700, 3)], REQ)
+    a = asof.asof_positions(req, f).collect()
+    assert [(x.satname, x.fix_seq) for x in a] == [("New", 2)]
