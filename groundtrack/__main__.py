@@ -21,11 +21,11 @@ JOBS = ("positions", "requests", "motion", "tracks")
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="groundtrack", description=__doc__.split("\n")[0])
-    ap.add_argument("jobs", nargs="+", choices=JOBS)
-    ap.add_argument("--root", required=True)
-    ap.add_argument("--servers")
-    ap.add_argument("--positions")
-    ap.add_argument("--requests")
+    ap.add_argument("jobs", nargs="+", choices=JOBS, help="jobs to start")
+    ap.add_argument("--root", required=True, help="shared folder for tables and checkpoints")
+    ap.add_argument("--servers", help="message broker servers (host:port,...)")
+    ap.add_argument("--positions", help="folder of raw position records (instead of a broker)")
+    ap.add_argument("--requests", help="folder of raw request records (instead of a broker)")
     ap.add_argument("--trigger", help='processing-time interval, e.g. "2 minutes"')
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     ap.add_argument("--archive-sat-id", help="archive only this object (default: all)")
