@@ -31,8 +31,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from groundtrack.functions.geo import geo_parts, haversine_from_parts, haversine_km
+from groundtrack.functions.geo import haversine_km
 from groundtrack.functions.ordering import order_key
+from groundtrack.operators import overlap
 from groundtrack.params import ASOF_LOOKBACK_S, COVERAGE_RADIUS_KM, EARTH_RADIUS_KM
 
 
@@ -253,21 +254,7 @@ def overlap_answers(requests: DataFrame, fixes: DataFrame, lookback_s: int = ASO
     if required_satellites is not None:
         n = a.groupBy("request_ts").agg(F.count_distinct("sat_id").alias("_n"))
         a = a.join(n.where(F.col("_n") == required_satellites).select("request_ts"), "request_ts", "left_semi")
-    cols = ["request_ts", "fix_ts", "sat_id", "satname", "latitude", "longitude"]
-    x = a.select(*[F.col(c).alias(f"{c}_x") for c in cols], *geo_parts("latitude", "longitude", "x_"))
-    y = a.select(*[F.col(c).alias(f"{c}_y") for c in cols], *geo_parts("latitude", "longitude", "y_"))
-    p = x.join(y, (F.col("request_ts_x") == F.col("request_ts_y")) & (F.col("fix_ts_x") == F.col("fix_ts_y"))
-               & (F.col("sat_id_x") < F.col("sat_id_y")))
-    p = p.withColumn("_d", haversine_from_parts("x_", "y_"))
-    reach = 2.0 * radius_km
-    ov = F.col("_d") < F.lit(reach)
-    pairs = p.select(
-        F.col("request_ts_x").alias("request_ts"), F.col("fix_ts_x").alias("timestamp"),
-        F.round("_d", 2).alias("distance_km"), ov.alias("overlap"),
-        F.round(F.when(ov, F.lit(reach) - F.col("_d")).otherwise(F.lit(0.0)), 2).alias("overlap_km"),
-        F.col("sat_id_x").alias("sat_id1"), F.col("sat_id_y").alias("sat_id2"),
-        F.col("satname_x").alias("satname1"), F.col("satname_y").alias("satname2"),
-        F.col("latitude_x").alias("lat1"), F.col("longitude_x").alias("lon1"),
-        F.col("latitude_y").alias("lat2"), F.col("longitude_y").alias("lon2"))
+    pairs = overlap.pairs(a, ["request_ts", "fix_ts"], radius_km, time_col="fix_ts",
+                          keep=("request_ts",), hint=None)
     rq = requests.select(key, F.col("timestamp").alias("request_ts"))
     return rq.join(pairs, "request_ts").drop("request_ts")

@@ -11,12 +11,14 @@ predicate (never a nested loop, never a broadcast of the fix table, which
 grows with the data). Per-point trigonometry is computed before the join,
 once per fix. A hot instant is split across tasks by AQE's skew-join
 handling. The optional per-instant gate is a grouped count and a semi-join
-on the same key. A hot instant is split across tasks by AQE's skew-join handling.
+on the same key.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,18 +26,67 @@ from pyspark.sql import functions as F
 from groundtrack.functions.geo import geo_parts, haversine_from_parts
 from groundtrack.params import COVERAGE_RADIUS_KM, EARTH_RADIUS_KM
 
+POINT = ["sat_id", "satname", "latitude", "longitude"]
+
 
 def complete_instants(fixes: DataFrame, required: int, key: str = "timestamp") -> DataFrame:
     """Keep fixes of instants at which exactly ``required`` objects report.
 
     A grouped distinct count (partial aggregation per task) and a semi-join
-    on the same key, so the pair join after it needs no new exchange.
+    on the same key.
     """
     ok = (fixes.groupBy(key).agg(F.count_distinct("sat_id").alias("_n"))
           .where(F.col("_n") == required).select(key))
     return fixes.join(ok, key, "left_semi")
 
 
+def pairs(points: DataFrame, keys: list[str], radius_km: float = COVERAGE_RADIUS_KM,
+          earth_radius_km: float = EARTH_RADIUS_KM, digits: int | None = 2,
+          time_col: str = "timestamp", keep: tuple[str, ...] = (), hint: str | None = "merge",
+          only_overlapping: bool = False) -> DataFrame:
+    """Unordered pairs of ``points`` (sat_id, satname, latitude, longitude)
+    that agree on ``keys``, with distance, overlap flag and depth.
+
+    ``time_col`` becomes the pair's ``timestamp``; ``keep`` lists key columns
+    to carry through. ``only_overlapping`` adds a latitude-band key: two
+    discs can only meet if the latitudes differ by less than ``2r / R`` (a
+    great-circle distance is never shorter than the latitude difference), so
+    points get bands that wide and one side is copied to the three
+    neighbouring bands - each candidate pair is built exactly once, far
+    pairs never, and a hot key is split by band.
+    """
+    cols = list(dict.fromkeys([*keys, time_col, *keep, *POINT]))
+    a = points.select(*[F.col(c).alias(f"{c}_a") for c in cols], *geo_parts("latitude", "longitude", "a_"))
+    b = points.select(*[F.col(c).alias(f"{c}_b") for c in cols], *geo_parts("latitude", "longitude", "b_"))
+    cond = [F.col(f"{k}_a") == F.col(f"{k}_b") for k in keys] + [F.col("sat_id_a") < F.col("sat_id_b")]
+    reach = 2.0 * radius_km
+    if only_overlapping:
+        # band width = the largest latitude difference of an overlapping
+        # pair, widened by a hair so rounding can never drop a boundary pair
+        band_deg = math.degrees(reach / earth_radius_km) * (1 + 1e-9) + 1e-9
+        band = lambda c: F.floor((F.col(c) + 90) / F.lit(band_deg)).cast("int")
+        a = a.withColumn("_band", F.explode(F.array(band("latitude_a") - 1, band("latitude_a"),
+                                                    band("latitude_a") + 1)))
+        b = b.withColumn("_band", band("latitude_b"))
+        cond += [a["_band"] == b["_band"],
+                 F.abs(F.col("latitude_a") - F.col("latitude_b")) < F.lit(band_deg)]
+    joined = a.join(b.hint(hint) if hint else b, reduce(and_, cond))
+    p = joined.withColumn("_d", haversine_from_parts("a_", "b_", earth_radius_km))
+    if only_overlapping:
+        p = p.where(F.col("_d") < F.lit(reach))
+    ov = F.col("_d") < F.lit(reach)
+    depth = F.when(ov, F.lit(reach) - F.col("_d")).otherwise(F.lit(0.0))
+    rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    return p.select(
+        *[F.col(f"{k}_a").alias(k) for k in keep],
+        F.col(f"{time_col}_a").alias("timestamp"), rnd(F.col("_d")).alias("distance_km"),
+        ov.alias("overlap"), rnd(depth).alias("overlap_km"),
+        F.col("satname_a").alias("satname1"), F.col("satname_b").alias("satname2"),
+        F.col("sat_id_a").alias("sat_id1"), F.col("sat_id_b").alias("sat_id2"),
+        F.col("latitude_a").alias("lat1"), F.col("longitude_a").alias("lon1"),
+        F.col("latitude_b").alias("lat2"), F.col("longitude_b").alias("lon2"))
+
+
 def coverage_overlap(fixes: DataFrame, radius_km: float = COVERAGE_RADIUS_KM,
                      required_satellites: int | None = None,
                      earth_radius_km: float = EARTH_RADIUS_KM,
@@ -45,70 +96,11 @@ def coverage_overlap(fixes: DataFrame, radius_km: float = COVERAGE_RADIUS_KM,
     ``required_satellites`` reproduces the original gate (answer only when
     exactly that many objects are present); None means no gate.
     ``digits`` rounds the two km columns (None keeps full precision).
-
-    ``only_overlapping`` returns just the overlapping pairs and builds far
-    fewer: two discs can only meet if the latitudes differ by less than
-    ``2r / R`` (a great-circle distance is never shorter than the latitude
-    difference), so fixes get latitude bands that wide and the join key is
-    (instant, band) with one side copied to the three neighbouring bands -
-    each candidate pair exactly once, and a hot instant split by band.
+    ``only_overlapping`` returns just the overlapping pairs, built through a
+    latitude-band join (see ``pairs``).
     """
-    if only_overlapping:
-        return _overlapping_pairs(fixes, radius_km, required_satellites, earth_radius_km, digits)
-    cols = ["timestamp", "sat_id", "satname", "latitude", "longitude"]
-    keyed = fixes.select(*cols)
+    keyed = fixes.select("timestamp", *POINT)
     if required_satellites is not None:
         keyed = complete_instants(keyed, required_satellites)
-    # trigonometry that depends on one point only is done once per fix
-    a = keyed.select(*[F.col(c).alias(f"{c}_a") for c in cols], *geo_parts("latitude", "longitude", "a_"))
-    b = keyed.select(*[F.col(c).alias(f"{c}_b") for c in cols], *geo_parts("latitude", "longitude", "b_"))
-    # sort-merge on the instant: the fix table grows with the data, so it is
-    # never broadcast, and AQE can split a hot instant across tasks
-    pairs = a.join(b.hint("merge"), (F.col("timestamp_a") == F.col("timestamp_b"))
-                   & (F.col("sat_id_a") < F.col("sat_id_b")))
-    d = haversine_from_parts("a_", "b_", earth_radius_km)
-    reach = 2.0 * radius_km
-    out = pairs.select(
-        F.col("timestamp_a").alias("timestamp"),
-        F.col("sat_id_a").alias("sat_id1"), F.col("sat_id_b").alias("sat_id2"),
-        F.col("satname_a").alias("satname1"), F.col("satname_b").alias("satname2"),
-        F.col("latitude_a").alias("lat1"), F.col("longitude_a").alias("lon1"),
-        F.col("latitude_b").alias("lat2"), F.col("longitude_b").alias("lon2"),
-        d.alias("_d"))
-    ov = F.col("_d") < F.lit(reach)
-    depth = F.when(ov, F.lit(reach) - F.col("_d")).otherwise(F.lit(0.0))
-    rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
-    return out.select(
-        "timestamp", rnd(F.col("_d")).alias("distance_km"), ov.alias("overlap"),
-        rnd(depth).alias("overlap_km"), "satname1", "satname2", "sat_id1", "sat_id2",
-        "lat1", "lon1", "lat2", "lon2")
-
-
-def _overlapping_pairs(fixes: DataFrame, radius_km: float, required_satellites: int | None,
-                       earth_radius_km: float, digits: int | None) -> DataFrame:
-    cols = ["timestamp", "sat_id", "satname", "latitude", "longitude"]
-    keyed = fixes.select(*cols)
-    if required_satellites is not None:
-        keyed = complete_instants(keyed, required_satellites)
-    reach = 2.0 * radius_km
-    # band width = the largest latitude difference of an overlapping pair,
-    # widened by a hair so rounding can never drop a pair at the boundary
-    band_deg = math.degrees(reach / earth_radius_km) * (1 + 1e-9) + 1e-9
-    band = F.floor((F.col("latitude") + 90) / F.lit(band_deg)).cast("int")
-    a = keyed.select(*[F.col(c).alias(f"{c}_a") for c in cols], *geo_parts("latitude", "longitude", "a_"),
-                     F.explode(F.array(band - 1, band, band + 1)).alias("band"))
-    b = keyed.select(*[F.col(c).alias(f"{c}_b") for c in cols], *geo_parts("latitude", "longitude", "b_"),
-                     band.alias("band"))
-    pairs = a.join(b.hint("merge"), (F.col("timestamp_a") == F.col("timestamp_b"))
-                   & (a["band"] == b["band"]) & (F.col("sat_id_a") < F.col("sat_id_b"))
-                   & (F.abs(F.col("latitude_a") - F.col("latitude_b")) < F.lit(band_deg)))
-    d = haversine_from_parts("a_", "b_", earth_radius_km)
-    rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
-    out = pairs.withColumn("_d", d).where(F.col("_d") < F.lit(reach))
-    return out.select(
-        F.col("timestamp_a").alias("timestamp"), rnd(F.col("_d")).alias("distance_km"),
-        F.lit(True).alias("overlap"), rnd(F.lit(reach) - F.col("_d")).alias("overlap_km"),
-        F.col("satname_a").alias("satname1"), F.col("satname_b").alias("satname2"),
-        F.col("sat_id_a").alias("sat_id1"), F.col("sat_id_b").alias("sat_id2"),
-        F.col("latitude_a").alias("lat1"), F.col("longitude_a").alias("lon1"),
-        F.col("latitude_b").alias("lat2"), F.col("longitude_b").alias("lon2"))
+    return pairs(keyed, ["timestamp"], radius_km, earth_radius_km, digits,
+                 only_overlapping=only_overlapping)
