@@ -1,9 +1,10 @@
-"""Latest fix per object, the display snapshot, and the completeness gate.
+"""Latest fix per object and the display snapshot.
 
 ``latest_positions`` replaces a driver-side "last arrival wins" cache: a
-grouped ``max_by`` on ``(timestamp, seq)`` (one exact packed key, so the
-aggregate is hash-based). Spark aggregates partially in every map task
-before the shuffle, so a hot object sends one row per task.
+grouped ``max_by`` on one exact packed ``(timestamp, seq)`` key, hash-based
+over all fixes. Spark aggregates partially in every map task before the
+shuffle, so a hot object sends one row per task. (The completeness gate of
+a request's cache is ``asof.satellites_in_view``.)
 """
 
 from __future__ import annotations
