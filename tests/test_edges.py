@@ -221,3 +221,15 @@ def test_name_change_keeps_latest_row(spark):
     req = spark.createDataFrame([(9, 0.0, 0.0, 3700, 3)], REQ)
     a = asof.asof_positions(req, f).collect()
     assert [(x.satname, x.fix_seq) for x in a] == [("New", 2)]
+
+
+def test_sliding_batch_plans_agree(spark):
+    """Slot plan (batch default) and Spark's window function give the same rows."""
+    f = fixes(spark, [("1", 1.0, 1.0, 7100, 1), ("1", 2.0, 2.0, 7200, 9), ("2", 3.0, 3.0, 7350, 4),
+                      ("1", 4.0, 4.0, 9000, 5), ("1", 5.0, 5.0, -130, 6)])
+    slot = sorted(map(tuple, windows.sliding_positions(f).collect()))
+    native = sorted(map(tuple, windows.sliding_positions(windows.with_event_time(f))
+                        .select("window_start", "window_end", "sat_id", "satname", "latitude",
+                                "longitude", "timestamp").collect()))
+    assert slot == native
+    assert len(slot) == 16 + 15 * 3      # fixes 100 s apart share 14 windows; a negative time works too
