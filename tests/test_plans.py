@@ -42,3 +42,23 @@ def test_history_read_prunes_partitions(spark, scratch):
     assert "PartitionFilters: [isnotnull(sat_id" in p and "49810" in p
     assert "azimuth" not in p.split("ReadSchema:")[1].split("\n")[0]
     assert df.count() == 200
+
+
+def test_hot_objects_are_split_by_time(spark):
+    """Motion and as-of windows partition by (object, time chunk/bucket),
+    never by the object alone."""
+    import re
+    m = plan(E.queries()["motion_vectors"](spark, SF_SMALL))
+    assert re.search(r"hashpartitioning\(sat_id#\d+, _c#\d+L?", m), m
+    a = plan(E.queries()["asof_positions"](spark, SF_SMALL))
+    assert re.search(r"hashpartitioning\(_e#\d+, b#\d+L?", a), a
+
+
+def test_asof_aggregates_are_hash_based(spark):
+    p = plan(E.queries()["asof_positions"](spark, SF_SMALL))
+    assert "HashAggregate" in p and "SortAggregate" not in p
+
+
+def test_overlapping_only_joins_on_band(spark):
+    p = plan(E.queries()["coverage_overlap_hits"](spark, SF_SMALL))
+    assert "SortMergeJoin" in p and "_band" in p.split("SortMergeJoin")[1].split("\n")[0]
