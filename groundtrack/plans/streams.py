@@ -30,15 +30,19 @@ def run_dir(spark: SparkSession, name: str) -> str:
 
 
 def stage(raw: DataFrame, path: str, chunks: int = CHUNKS, order: str = "offset") -> str:
-    """Write raw records as ``chunks`` files of consecutive ``order`` ranges
-    that a file stream reads in that order, one file per micro-batch.
-
-    One range-partitioned write, then increasing modification times on the
-    files (metadata operations only). Where the file system cannot set
-    times (some object stores), the chunks are written one after another
-    instead, so their creation times follow the order.
+    """Write raw records as files of consecutive ``order`` ranges that a
+    file stream reads in that order (``staged_stream`` groups them into
+    about ``chunks`` micro-batches).
+
+    One range-partitioned write with at least as many files as the input has
+    partitions (so staging is as parallel as the input), then increasing
+    modification times on the files (metadata operations only). Where the
+    file system cannot set times (some object stores), ``chunks`` slices
+    are written one after another instead, so their creation times follow
+    the order.
     """
-    (raw.repartitionByRange(chunks, order).sortWithinPartitions(order)
+    files = max(chunks, raw.rdd.getNumPartitions())
+    (raw.repartitionByRange(files, order).sortWithinPartitions(order)
      .write.mode("overwrite").parquet(path))
     spark = raw.sparkSession
     jvm = spark.sparkContext._jvm
@@ -63,13 +67,23 @@ def stage(raw: DataFrame, path: str, chunks: int = CHUNKS, order: str = "offset"
     return path
 
 
+def staged_stream(spark: SparkSession, path: str, chunks: int = CHUNKS) -> DataFrame:
+    """A file stream over a ``stage`` folder: about ``chunks`` micro-batches
+    of consecutive files."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    n = sum(1 for st in fs.listStatus(root) if st.getPath().getName().startswith("part-"))
+    return sources.read_files(spark, path, max_files_per_trigger=max(1, -(-n // chunks)))
+
+
 def encode_raw(fixes: DataFrame) -> DataFrame:
     """Fixes as raw position records (JSON value, per-object topic, offset)."""
     return codecs.encode_positions(fixes, offset="seq").select("value", "topic", "offset")
 
 
 def _positions_stream(spark, folder):
-    raw = sources.read_files(spark, folder, max_files_per_trigger=1)
+    raw = staged_stream(spark, folder)
     ok, _ = ingest.split(ingest.parse_positions(ingest.topic_filter(raw)))
     return ok
 
@@ -84,7 +98,7 @@ def scan_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = run_dir(spark, "scan_positions")
     raw = fx.raw_positions(spark, sf_dir).unionByName(fx.raw_requests(spark, sf_dir))
     src = stage(raw, f"{d}/in")
-    s = ingest.parse_positions(ingest.topic_filter(sources.read_files(spark, src, max_files_per_trigger=1)))
+    s = ingest.parse_positions(ingest.topic_filter(staged_stream(spark, src)))
     _drain(sinks.start(s, f"{d}/ckpt", fmt="parquet", path=f"{d}/out", trigger={"availableNow": True}))
     return spark.read.parquet(f"{d}/out")
 
@@ -92,7 +106,7 @@ def scan_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = run_dir(spark, "scan_requests")
     src = stage(fx.raw_requests(spark, sf_dir), f"{d}/in")
-    raw = sources.read_files(spark, src, max_files_per_trigger=1)
+    raw = staged_stream(spark, src)
     s = ingest.route_requests(ingest.validate_requests(ingest.parse_requests(raw)))
     _drain(sinks.start(s, f"{d}/ckpt", fmt="parquet", path=f"{d}/out", trigger={"availableNow": True}))
     return spark.read.parquet(f"{d}/out")
@@ -132,7 +146,7 @@ def closest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     pos = _positions_stream(spark, pos_src)
     _drain(sinks.start(pos, f"{d}/ckpt_pos", trigger={"availableNow": True},
                        foreach_batch=lambda b, i: sinks.history_append(b, i, f"{d}/hist", sat_id=None)))
-    req = ingest.parse_requests(sources.read_files(spark, req_src, max_files_per_trigger=1))
+    req = ingest.parse_requests(staged_stream(spark, req_src))
     _drain(sinks.start(req, f"{d}/ckpt_req", trigger={"availableNow": True},
                        foreach_batch=lambda b, i: state.answer_requests(b, i, f"{d}/hist", f"{d}/resp")))
     resp = spark.read.parquet(f"{d}/resp").drop("batch_id")
