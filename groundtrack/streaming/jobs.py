@@ -15,8 +15,8 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundtrack.operators import codecs, ingest, motion, windows
-from groundtrack.params import LOOKBACK_S, MOTION_TOP_N, SLIDE, WATERMARK, WINDOW
+from groundtrack.operators import codecs, ingest, motion, tracks as trk, windows
+from groundtrack.params import LOOKBACK_S, MOTION_TOP_N, RETAIN_S, SLIDE, WATERMARK, WINDOW
 from groundtrack.streaming import sinks, state
 
 
@@ -96,20 +96,43 @@ def start_motion(raw: DataFrame, root: str, servers: str | None = None,
 
 
 def start_tracks(raw: DataFrame, root: str, window: str = WINDOW, slide: str = SLIDE,
-                 watermark: str = WATERMARK, trigger: dict | None = None):
+                 watermark: str = WATERMARK, trigger: dict | None = None, redraw: bool = True,
+                 retain_s: int = RETAIN_S):
     """Sliding windows of the position stream in update mode; each batch's
-    updates are kept under its ``batch_id`` (``read_windows`` takes the last
-    update of each window, from which ``tracks`` are built)."""
+    updates are kept under (hour of window end, ``batch_id``). With
+    ``redraw`` every micro-batch also rewrites ``root/map``: the tracks of
+    the retained windows as GeoJSON plus their labels - the live map. It
+    reads only the hour partitions the retention can reach."""
     ok, _ = ingest.split(ingest.parse_positions(ingest.topic_filter(raw)))
     w = windows.sliding_positions(ok, window, slide, watermark=watermark)
-    return sinks.start(w, os.path.join(root, "_ckpt_tracks"), mode="update",
-                       foreach_batch=lambda b, i: _keep(b, i, os.path.join(root, "windows")),
+    win_path, map_path = os.path.join(root, "windows"), os.path.join(root, "map")
+
+    def keep(b, i):
+        (b.withColumn("end_hour", F.floor(F.col("window_end") / 3600).cast("bigint"))
+         .withColumn("batch_id", F.lit(int(i))).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("end_hour", "batch_id").parquet(win_path))
+        if not redraw:
+            return
+        now = b.agg(F.max("timestamp")).first()[0]
+        if now is None:
+            return
+        recent = read_windows(b.sparkSession, root, since_s=int(now) - int(retain_s))
+        tr = trk.tracks(recent, int(now), retain_s)
+        drawn = trk.track_geojson(tr).join(
+            trk.track_labels(tr, windows.track_retention(recent, int(now), retain_s)), "sat_id")
+        drawn.withColumn("batch_id", F.lit(int(i))).write.mode("overwrite").parquet(map_path)
+
+    return sinks.start(w, os.path.join(root, "_ckpt_tracks"), mode="update", foreach_batch=keep,
                        trigger=trigger)
 
 
-def read_windows(spark, root: str) -> DataFrame:
-    """Final value of every window written by ``start_tracks``."""
+def read_windows(spark, root: str, since_s: int | None = None) -> DataFrame:
+    """Final value of every window written by ``start_tracks`` (the last
+    update of each); ``since_s`` keeps windows ending at or after it and
+    prunes the hour partitions before that."""
     u = spark.read.parquet(os.path.join(root, "windows"))
+    if since_s is not None:
+        u = u.where((F.col("end_hour") >= since_s // 3600) & (F.col("window_end") >= since_s))
     last = u.groupBy("window_start", "window_end", "sat_id", "satname").agg(
         F.max_by(F.struct("latitude", "longitude", "timestamp"), "batch_id").alias("v"))
     return last.select("window_start", "window_end", "sat_id", "satname", "v.*")

@@ -181,6 +181,10 @@ def test_jobs_end_to_end(spark, scratch):
     assert msgs.count() > 0
     w = jobs.read_windows(spark, scratch)
     assert w.count() == windows.sliding_positions(f).count()
+    drawn = spark.read.parquet(f"{scratch}/map")
+    batch_tracks = trk.tracks(windows.sliding_positions(f), windows.data_now(f))
+    assert drawn.count() == batch_tracks.count()
+    assert {"track", "head", "popup", "title"} <= set(drawn.columns)
     now = windows.data_now(f)
     got = sorted((r.sat_id, r.path) for r in trk.tracks(w, now).collect())
     assert got == sorted((r.sat_id, r.path) for r in trk.tracks(windows.sliding_positions(f), now).collect())
