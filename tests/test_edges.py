@@ -29,7 +29,8 @@ def test_parse_junk_bad_field_and_integer_id(spark):
     assert p[0].reject_reason == "unparseable" and p[0].sat_id is None
     assert (p[1].sat_id, p[1].latitude, p[1].timestamp, p[1].reject_reason) == ("x", None, 5, "missing_coordinates")
     assert (p[2].sat_id, p[2].longitude, p[2].reject_reason) == ("49810", 2.0, None)
-    ok, bad = ingest.split(ingest.parse_positions(raw(spark, ["junk", '{"sat_id":1,"latitude":1,"longitude":2,"timestamp":3}'])))
+    good = '{"sat_id":1,"latitude":1,"longitude":2,"timestamp":3}'
+    ok, bad = ingest.split(ingest.parse_positions(raw(spark, ["junk", good])))
     assert ok.count() == 1 and bad.count() == 1 and "reject_reason" not in ok.columns
 
 
