@@ -57,7 +57,7 @@ def start_positions(raw: DataFrame, root: str, archive_sat_id: str | None = None
 
 
 def start_requests(raw: DataFrame, root: str, servers: str | None = None,
-                   trigger: dict | None = None):
+                   trigger: dict | None = None, cell_deg: int | None = None):
     """Answer observer requests from the archive written by
     ``start_positions`` (closest, overlap, motion); responses kept under
     ``root/responses`` and published when ``servers`` is set; requests that
@@ -67,7 +67,7 @@ def start_requests(raw: DataFrame, root: str, servers: str | None = None,
 
     def answer(b, i):
         state.answer_requests(b, i, os.path.join(root, "archive"), out,
-                              rejected=os.path.join(root, "rejected_requests"))
+                              rejected=os.path.join(root, "rejected_requests"), cell_deg=cell_deg)
         if servers:
             publish(b.sparkSession.read.parquet(out).where(F.col("batch_id") == int(i)), servers)
 

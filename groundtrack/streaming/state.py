@@ -169,17 +169,20 @@ def _exists(spark, path: str) -> bool:
 
 def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
                     lookback_s: int = ASOF_LOOKBACK_S, motion_lookback_s: int = LOOKBACK_S,
-                    rejected: str | None = None) -> None:
+                    rejected: str | None = None, cell_deg: int | None = None) -> None:
     """Answer the requests of one micro-batch from the archived fixes.
 
     Requests are validated and routed row by row; closest, overlap and
     motion requests are each answered with an as-of lookup against the
     archive, which is read only for the time range the batch needs (a
-    pushed-down ``timestamp`` range). Messages (``topic``, ``key``,
-    ``value``) are written under ``batch_id`` (dynamic overwrite: a retried
-    batch replaces its own output). Requests that cannot be served (invalid,
-    exit, unknown) go to ``rejected`` with their reason when it is given.
-    Before any fix has been archived there is nothing to answer from.
+    pushed-down ``timestamp`` range). One small aggregate gives that range
+    and the number of requests per action, so only the needed answers are
+    computed. Messages (``topic``, ``key``, ``value``) are written under
+    ``batch_id`` (dynamic overwrite: a retried batch replaces its own
+    output). Requests that cannot be served (invalid, exit, unknown) go to
+    ``rejected`` with their reason when it is given. Before any fix has been
+    archived there is nothing to answer from. ``cell_deg`` turns on the grid
+    pre-filter of ``closest_satellite`` (for very many objects).
     """
     spark = batch.sparkSession
     reqs = ingest.route_requests(ingest.validate_requests(batch))
@@ -190,20 +193,29 @@ def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
         (bad.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejected))
     ok = reqs.where(served)
-    rng = ok.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-    if rng is None or rng["lo"] is None or not _exists(spark, history):
+    n = lambda a: F.count_if(F.col("action") == a).alias(a)
+    info = ok.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"),
+                  n("closest"), n("overlap"), n("motion_vector")).first()
+    if info is None or info["lo"] is None or not _exists(spark, history):
         return
     # motion vectors need their own look-back before the oldest fix used
-    lo = rng["lo"] - int(lookback_s) - int(motion_lookback_s)
-    fixes = (spark.read.parquet(history).where(F.col("timestamp").between(lo, rng["hi"]))
+    lo = info["lo"] - int(lookback_s) - (int(motion_lookback_s) if info["motion_vector"] else 0)
+    fixes = (spark.read.parquet(history).where(F.col("timestamp").between(lo, info["hi"]))
              .drop("batch_id"))
-    closest = asof.closest_satellite(ok.where(F.col("action") == "closest"), fixes, lookback_s)
-    pairs = asof.overlap_answers(ok.where(F.col("action") == "overlap"), fixes, lookback_s)
-    vectors = motion.motion_vectors(fixes, motion_lookback_s)
-    moves = asof.motion_answers(ok.where(F.col("action") == "motion_vector"), vectors, lookback_s)
-    msgs = (codecs.closest_response(closest)
-            .unionByName(codecs.overlap_response(pairs, key="request_id").select("topic", "key", "value"))
-            .unionByName(codecs.motion_request_response(moves)))
+    parts = []
+    if info["closest"]:
+        parts.append(codecs.closest_response(asof.closest_satellite(
+            ok.where(F.col("action") == "closest"), fixes, lookback_s, cell_deg=cell_deg)))
+    if info["overlap"]:
+        pairs = asof.overlap_answers(ok.where(F.col("action") == "overlap"), fixes, lookback_s)
+        parts.append(codecs.overlap_response(pairs, key="request_id").select("topic", "key", "value"))
+    if info["motion_vector"]:
+        vectors = motion.motion_vectors(fixes, motion_lookback_s)
+        moves = asof.motion_answers(ok.where(F.col("action") == "motion_vector"), vectors, lookback_s)
+        parts.append(codecs.motion_request_response(moves))
+    msgs = parts[0]
+    for m in parts[1:]:
+        msgs = msgs.unionByName(m)
     (msgs.withColumn("batch_id", F.lit(int(batch_id)))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(out))
