@@ -29,6 +29,7 @@ def main(argv=None) -> int:
     ap.add_argument("--trigger", help='processing-time interval, e.g. "2 minutes"')
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     ap.add_argument("--archive-sat-id", help="archive only this object (default: all)")
+    ap.add_argument("--cell-deg", type=int, help="grid pre-filter for closest among very many objects")
     a = ap.parse_args(argv)
     if not a.servers and not a.positions:
         ap.error("give --servers or --positions")
@@ -58,7 +59,7 @@ def main(argv=None) -> int:
         if job == "positions":
             queries += jobs.start_positions(positions(), a.root, a.archive_sat_id, trigger)
         elif job == "requests":
-            queries.append(jobs.start_requests(requests(), a.root, a.servers, trigger))
+            queries.append(jobs.start_requests(requests(), a.root, a.servers, trigger, a.cell_deg))
         elif job == "motion":
             queries.append(jobs.start_motion(positions(), a.root, a.servers, trigger=trigger))
         elif job == "tracks":

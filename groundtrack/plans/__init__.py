@@ -1,0 +1,3 @@
+"""Registered queries (``queries``, ``streams``), their SQL oracle
+(``oracle``) and the operator inventory (``inventory``).
+"""
