@@ -22,11 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundtrack.functions.ordering import order_key
+from groundtrack.functions.timefn import to_event_time, ts_to_epoch
 from groundtrack.params import RETAIN_S, SLIDE, WINDOW
 
 
 def with_event_time(fixes: DataFrame, col: str = "timestamp") -> DataFrame:
-    return fixes.withColumn("event_time", F.timestamp_seconds(F.col(col)))
+    return fixes.withColumn("event_time", to_event_time(col))
 
 
 def with_arrival_time(fixes: DataFrame) -> DataFrame:
@@ -74,8 +75,8 @@ def sliding_positions(fixes: DataFrame, window: str = WINDOW, slide: str = SLIDE
         F.max_by("latitude", "_k").alias("latitude"), F.max_by("longitude", "_k").alias("longitude"),
         F.max("timestamp").alias("timestamp"))
     return g.select(
-        F.unix_seconds(F.col("w.start")).alias("window_start"),
-        F.unix_seconds(F.col("w.end")).alias("window_end"),
+        ts_to_epoch("w.start").alias("window_start"),
+        ts_to_epoch("w.end").alias("window_end"),
         "sat_id", "satname", "latitude", "longitude", "timestamp")
 
 

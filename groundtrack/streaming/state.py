@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from groundtrack.functions.timefn import to_event_time
 from groundtrack.operators import asof, codecs, ingest, latest, motion
 from groundtrack.params import ASOF_LOOKBACK_S, LOOKBACK_S
 
@@ -110,7 +111,7 @@ def motion_stream(fixes: DataFrame, lookback_s: int = LOOKBACK_S,
     """Motion vectors of a stream of accepted fixes (state keyed by object;
     the same columns as ``motion_vectors`` plus ``late``)."""
     src = fixes.select("sat_id", "satname", "latitude", "longitude", "timestamp", "seq",
-                       F.timestamp_seconds("timestamp").alias("event_time"))
+                       to_event_time("timestamp").alias("event_time"))
     src = src.withWatermark("event_time", watermark)
     pairs = src.groupBy("sat_id").applyInPandasWithState(
         motion_state_fn(lookback_s), MOTION_STATE_OUT, MOTION_STATE, "append",
