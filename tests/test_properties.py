@@ -150,3 +150,21 @@ def test_overlapping_only_equals_filtered_all_pairs(spark, radius):
     n = sum(1 for a in rows for b in rows if a[6] == b[6] and a[0] < b[0]
             and hav(a[2], a[3], b[2], b[3]) < 2 * radius)
     assert len(got) == n
+
+
+@pytest.mark.parametrize("L", [60, 100, 3600])
+def test_asof_bucket_boundaries(spark, L):
+    """Fixes and requests exactly on and around bucket edges b*L."""
+    ts = sorted({t for b in range(1, 5) for t in (b * L - 1, b * L, b * L + 1)})
+    fx_rows = [(str(1 + i % 2), f"Sat {1 + i % 2}", float(i), float(i), 0.0, 0.0, t, i) for i, t in enumerate(ts)]
+    fx_rows += [("1", "Sat 1", 99.0, 99.0, 0.0, 0.0, ts[3], 1000)]          # equal second, later seq
+    reqs = [(j, 0.0, 0.0, t, 3) for j, t in enumerate(sorted({t + d for t in ts for d in (-1, 0, 1)}))]
+    got = {(r.request_id, r.sat_id): r.fix_seq for r in asof.asof_positions(
+        spark.createDataFrame(reqs, REQ), spark.createDataFrame(fx_rows, POS), lookback_s=L).collect()}
+    want = {}
+    for rid, _, _, rt, _ in reqs:
+        for s in ("1", "2"):
+            c = [(t, q) for sid, _, _, _, _, _, t, q in fx_rows if sid == s and rt - L <= t <= rt]
+            if c:
+                want[(rid, s)] = max(c)[1]
+    assert got == want
