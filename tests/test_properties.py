@@ -168,3 +168,21 @@ def test_asof_bucket_boundaries(spark, L):
             if c:
                 want[(rid, s)] = max(c)[1]
     assert got == want
+
+
+def test_motion_chunk_boundaries(spark):
+    """Fixes exactly around chunk edges c*C and the context border c*C - L."""
+    C, L = 1000, 300
+    ts = sorted({t for c in range(1, 4) for t in (c * C - L - 1, c * C - L, c * C - L + 1, c * C - 1, c * C,
+                                                    c * C + 1, c * C + 299, c * C + 300)})
+    rows = [("1", "Sat 1", float(i) / 10, float(i) / 10, 0.0, 0.0, t, i) for i, t in enumerate(ts)]
+    rows += [("1", "Sat 1", 5.0, 5.0, 0.0, 0.0, 2 * C, 500)]                 # equal second at an edge
+    got = {r.seq: r.prev_timestamp
+           for r in motion.motion_vectors(spark.createDataFrame(rows, POS), L, chunk_s=C).collect()}
+    want = {}
+    order = sorted(rows, key=lambda r: (r[6], r[7]))
+    for i, cur in enumerate(order):
+        held = [p for p in order[: i + 1] if cur[6] - p[6] <= L]
+        if len(held) >= 2:
+            want[cur[7]] = held[0][6]
+    assert got == want
