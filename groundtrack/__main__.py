@@ -30,6 +30,8 @@ def main(argv=None) -> int:
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     ap.add_argument("--archive-sat-id", help="archive only this object (default: all)")
     ap.add_argument("--cell-deg", type=int, help="grid pre-filter for closest among very many objects")
+    ap.add_argument("--final-windows", action="store_true",
+                    help="tracks: write each window once, when final (append mode)")
     a = ap.parse_args(argv)
     if not a.servers and not a.positions:
         ap.error("give --servers or --positions")
@@ -63,7 +65,7 @@ def main(argv=None) -> int:
         elif job == "motion":
             queries.append(jobs.start_motion(positions(), a.root, a.servers, trigger=trigger))
         elif job == "tracks":
-            queries.append(jobs.start_tracks(positions(), a.root, trigger=trigger))
+            queries.append(jobs.start_tracks(positions(), a.root, trigger=trigger, final_only=a.final_windows))
         if a.available_now:           # one after another, so requests see the archive
             for q in queries:
                 q.awaitTermination()

@@ -50,7 +50,8 @@ def _seconds(duration: str) -> int | None:
 
 
 def sliding_positions(fixes: DataFrame, window: str = WINDOW, slide: str = SLIDE,
-                      watermark: str | None = None, arrival_time: bool = False) -> DataFrame:
+                      watermark: str | None = None, arrival_time: bool = False,
+                      final_only: bool = False) -> DataFrame:
     """Sliding windows on ``event_time`` (the fix's timestamp; or arrival
     time with ``arrival_time=True``); ``watermark`` for streams.
 
@@ -59,7 +60,16 @@ def sliding_positions(fixes: DataFrame, window: str = WINDOW, slide: str = SLIDE
     faster in our measurements); streams, and input that brings its own
     ``event_time`` column, use Spark's ``window`` function (on streams its
     state is evicted by the watermark).
+
+    ``final_only`` (streams, append output mode, needs ``watermark``): each
+    window is emitted once, when the watermark has passed it, through two
+    chained streaming aggregates - the latest fix per (object, slot), then
+    the slots of each window (``_sliding_slots_stream``).
     """
+    if final_only:
+        if not watermark:
+            raise ValueError("final_only needs a watermark")
+        return _sliding_slots_stream(fixes, window, slide, watermark, arrival_time)
     w_s, s_s = _seconds(window), _seconds(slide)
     if (not fixes.isStreaming and not arrival_time and not watermark and w_s and s_s
             and w_s % s_s == 0 and "event_time" not in fixes.columns):
@@ -119,3 +129,27 @@ def _sliding_by_slot(fixes: DataFrame, window_s: int, slide_s: int) -> DataFrame
         F.max("timestamp").alias("timestamp"))
     return g.select("window_start", (F.col("window_start") + F.lit(window_s)).alias("window_end"),
                     "sat_id", "satname", "latitude", "longitude", "timestamp")
+
+
+def _sliding_slots_stream(fixes: DataFrame, window: str, slide: str, watermark: str,
+                          arrival_time: bool) -> DataFrame:
+    """Final sliding windows on a stream, reduced per slot first.
+
+    Stage one: the latest fix per (object, tumbling slot of ``slide``);
+    stage two: a sliding ``window`` over the slots' event time
+    (``window_time``, the slot's last instant, lies in exactly the windows
+    that contain the slot). Both are append-mode aggregates under the same
+    watermark, so each window is written once, when final.
+    """
+    df = with_arrival_time(fixes) if arrival_time else (
+        fixes if "event_time" in fixes.columns else with_event_time(fixes))
+    df = df.withWatermark("event_time", watermark).withColumn("_k", order_key())
+    slots = df.groupBy(F.window("event_time", slide).alias("_slot"), "sat_id", "satname").agg(
+        F.max_by("latitude", "_k").alias("latitude"), F.max_by("longitude", "_k").alias("longitude"),
+        F.max("_k").alias("_k"), F.max("timestamp").alias("timestamp"))
+    g = (slots.withColumn("event_time", F.window_time("_slot"))
+         .groupBy(F.window("event_time", window, slide).alias("w"), "sat_id", "satname")
+         .agg(F.max_by("latitude", "_k").alias("latitude"), F.max_by("longitude", "_k").alias("longitude"),
+              F.max("timestamp").alias("timestamp")))
+    return g.select(ts_to_epoch("w.start").alias("window_start"), ts_to_epoch("w.end").alias("window_end"),
+                    "sat_id", "satname", "latitude", "longitude", "timestamp")

@@ -97,14 +97,16 @@ def start_motion(raw: DataFrame, root: str, servers: str | None = None,
 
 def start_tracks(raw: DataFrame, root: str, window: str = WINDOW, slide: str = SLIDE,
                  watermark: str = WATERMARK, trigger: dict | None = None, redraw: bool = True,
-                 retain_s: int = RETAIN_S):
-    """Sliding windows of the position stream in update mode; each batch's
-    updates are kept under (hour of window end, ``batch_id``). With
-    ``redraw`` every micro-batch also rewrites ``root/map``: the tracks of
-    the retained windows as GeoJSON plus their labels - the live map. It
-    reads only the hour partitions the retention can reach."""
+                 retain_s: int = RETAIN_S, final_only: bool = False):
+    """Sliding windows of the position stream; each batch's rows are kept
+    under (hour of window end, ``batch_id``). Update mode (live windows,
+    revised as fixes arrive) by default; ``final_only`` writes each window
+    once, when the watermark has passed it (append mode, reduced per slot
+    first). With ``redraw`` every micro-batch also rewrites ``root/map``:
+    the tracks of the retained windows as GeoJSON plus their labels - the
+    live map. It reads only the hour partitions the retention can reach."""
     ok, _ = ingest.split(ingest.parse_positions(ingest.topic_filter(raw)))
-    w = windows.sliding_positions(ok, window, slide, watermark=watermark)
+    w = windows.sliding_positions(ok, window, slide, watermark=watermark, final_only=final_only)
     win_path, map_path = os.path.join(root, "windows"), os.path.join(root, "map")
 
     def keep(b, i):
@@ -122,8 +124,8 @@ def start_tracks(raw: DataFrame, root: str, window: str = WINDOW, slide: str = S
             trk.track_labels(tr, windows.track_retention(recent, int(now), retain_s)), "sat_id")
         drawn.withColumn("batch_id", F.lit(int(i))).write.mode("overwrite").parquet(map_path)
 
-    return sinks.start(w, os.path.join(root, "_ckpt_tracks"), mode="update", foreach_batch=keep,
-                       trigger=trigger)
+    return sinks.start(w, os.path.join(root, "_ckpt_tracks"), mode="append" if final_only else "update",
+                       foreach_batch=keep, trigger=trigger)
 
 
 def read_windows(spark, root: str, since_s: int | None = None) -> DataFrame:

@@ -266,3 +266,21 @@ def test_crash_after_write_is_not_duplicated(spark, scratch):
     h = sinks.read_history(spark, f"{scratch}/h")
     assert h.count() == f.count()
     assert h.groupBy("sat_id", "seq").count().where("count > 1").count() == 0
+
+
+def test_final_windows_stream(spark, scratch):
+    """Append mode through two chained aggregates: every window written is
+    final and equals the batch window; all windows the watermark has passed
+    are written."""
+    f = fx.irregular(spark, SF_SMALL.replace("0.001", "0.01"))
+    src = streams.stage(streams.encode_raw(f), f"{scratch}/in")
+    s = windows.sliding_positions(_positions(spark, src), watermark="10 minutes", final_only=True)
+    sinks.start(s, f"{scratch}/ck", fmt="parquet", path=f"{scratch}/out",
+                trigger={"availableNow": True}).awaitTermination()
+    got = spark.read.parquet(f"{scratch}/out")
+    b = windows.sliding_positions(f)
+    assert got.groupBy("window_start", "sat_id").count().where("count > 1").count() == 0
+    assert got.join(b, ["window_start", "window_end", "sat_id", "satname", "latitude", "longitude",
+                        "timestamp"], "left_anti").count() == 0
+    mx = f.agg(F.max("timestamp")).first()[0]
+    assert got.count() >= b.where(F.col("window_end") <= mx - 30 * 60).count() > 0
