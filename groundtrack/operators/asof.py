@@ -127,10 +127,12 @@ _BEST = ("_d", "sat_id", "satname", "latitude", "longitude", "obs_latitude", "ob
 
 
 def _nearest(cand: DataFrame, key: str) -> DataFrame:
-    """Arg-min of ``_d`` per request (ties: lowest ``sat_id``), partial
-    aggregation before the shuffle."""
+    """Arg-min of ``_d`` per request (ties: lowest ``sat_id``). Grouped by
+    (request time, request): the same groups, since a request has one time,
+    and candidates joined on the request time are already partitioned by it,
+    so no further shuffle is needed."""
     return (cand.where(F.col("_d").isNotNull())
-            .groupBy(key).agg(F.min(F.struct(*_BEST)).alias("m")))
+            .groupBy("request_ts", key).agg(F.min(F.struct(*_BEST)).alias("m")))
 
 
 def closest_satellite(requests: DataFrame, fixes: DataFrame,
@@ -208,7 +210,7 @@ def _closest_by_cells(rq: DataFrame, a: DataFrame, key: str, h: int) -> DataFram
             F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(east))) * R]
     g = r.select(key, F.least(*gaps).alias("_g"))
     sure = (first.join(g, key)
-            .where(F.col("m._d") < F.col("_g") * (1 - 1e-9) - 1e-6).select(key, "m"))
+            .where(F.col("m._d") < F.col("_g") * (1 - 1e-9) - 1e-6).select("request_ts", key, "m"))
     rest = rq.join(sure.select(key), key, "left_anti")
     second = _nearest(_with_distance(rest.join(a, "request_ts")), key)
     return sure.unionByName(second)
