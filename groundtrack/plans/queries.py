@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from groundtrack.functions.geo import haversine_km
 from groundtrack.operators import asof, codecs, ingest, latest, motion, overlap, tracks as trk, windows
 from groundtrack.params import OBSERVER, SAT_IDS
-from groundtrack.schemas import OVERLAP_ITEM, POSITION, REQUEST
+from groundtrack.schemas import CLOSEST_RESPONSE, MOTION_RESPONSE, OVERLAP_ITEM, POSITION, REQUEST
 from groundtrack.sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -268,7 +268,6 @@ def _closest_msgs(spark, sf_dir):
 
 @register("closest_response")
 def q_closest_response(spark, sf_dir):
-    from groundtrack.schemas import CLOSEST_RESPONSE
     d = _closest_msgs(spark, sf_dir).select(
         "topic", F.col("key").cast("bigint").alias("request_id"),
         F.from_json("value", CLOSEST_RESPONSE).alias("d"))
@@ -292,7 +291,6 @@ def q_overlap_response(spark, sf_dir):
 def q_motion_response(spark, sf_dir):
     top = q_motion_top5(spark, sf_dir)
     m = codecs.motion_response(top)
-    from groundtrack.schemas import MOTION_RESPONSE
     x = m.select("batch", F.posexplode(F.from_json("value", MOTION_RESPONSE)).alias("item_index", "i"))
     return x.select("batch", F.col("item_index").cast("bigint").alias("item_index"),
                     "i.sat_id", "i.satname", "i.velocity_kmph",
