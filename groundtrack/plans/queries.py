@@ -17,6 +17,7 @@ from groundtrack.functions.geo import haversine_km
 from groundtrack.operators import asof, codecs, ingest, latest, motion, overlap, tracks as trk, windows
 from groundtrack.params import OBSERVER, SAT_IDS
 from groundtrack.schemas import CLOSEST_RESPONSE, MOTION_RESPONSE, OVERLAP_ITEM, POSITION, REQUEST
+from groundtrack.plans.streams import STREAM_QUERIES
 from groundtrack.sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -299,6 +300,5 @@ def q_motion_response(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """Batch queries (SQL oracle) and streaming queries (rows-only)."""
-    from groundtrack.plans.streams import STREAM_QUERIES
+    """Batch queries and streaming queries (all with a SQL oracle)."""
     return {**QUERIES, **STREAM_QUERIES}
