@@ -253,3 +253,20 @@ def test_parse_never_fails_on_arbitrary_text(spark):
         if r.reject_reason is None:
             assert None not in (r.sat_id, r.latitude, r.longitude, r.timestamp)
     assert sum(r.reject_reason is None for r in rows) >= 1
+
+
+def test_request_parsing_never_fails(spark):
+    import random
+    rnd = random.Random(5)
+    vals = ['{"choice_id": "3", "obs_latitude": "x"}', '{"choice_id": 2.5}', '{"choice_id": 1e10}', "{}",
+            '{"choice_id": 3, "obs_latitude": 1, "obs_longitude": 2, "timestamp": 5}']
+    vals += ["".join(chr(rnd.randint(1, 0x17F)) for _ in range(rnd.randint(0, 30))) for _ in range(100)]
+    df = spark.createDataFrame([(v, "observer_location", i) for i, v in enumerate(vals)],
+                               "value string, topic string, offset long")
+    rows = ingest.route_requests(ingest.validate_requests(ingest.parse_requests(df))).collect()
+    assert len(rows) == len(vals)
+    for r in rows:
+        assert r.action in ("motion_vector", "overlap", "closest", "exit", "unknown")
+        if r.reject_reason is None:
+            assert r.choice_id in (1, 2, 3)
+    assert [r.reject_reason for r in rows if r.request_id == 4] == [None]
