@@ -25,7 +25,9 @@ def history_append(batch: DataFrame, batch_id: int, path: str,
     archives all.
     """
     rows = batch if sat_id is None else batch.where(F.col("sat_id") == F.lit(sat_id))
-    (rows.withColumn("batch_id", F.lit(int(batch_id)))
+    # one file per object per batch (a micro-batch-sized shuffle) instead of
+    # one per task and object: keeps the archive's file count down
+    (rows.repartition("sat_id").withColumn("batch_id", F.lit(int(batch_id)))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("sat_id", "batch_id").parquet(path))
 
