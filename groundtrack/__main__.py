@@ -29,7 +29,8 @@ def main(argv=None) -> int:
     ap.add_argument("--trigger", help='processing-time interval, e.g. "2 minutes"')
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     ap.add_argument("--archive-sat-id", help="archive only this object (default: all)")
-    ap.add_argument("--cell-deg", type=int, help="grid pre-filter for closest among very many objects")
+    ap.add_argument("--cell-deg", type=lambda v: v if v == "auto" else int(v),
+                    help='grid pre-filter for closest among very many objects: degrees or "auto"')
     ap.add_argument("--final-windows", action="store_true",
                     help="tracks: write each window once, when final (append mode)")
     a = ap.parse_args(argv)

@@ -135,9 +135,13 @@ def _nearest(cand: DataFrame, key: str) -> DataFrame:
             .groupBy("request_ts", key).agg(F.min(F.struct(*_BEST)).alias("m")))
 
 
+AUTO_GRID_OBJECTS = 64      # "auto": use the grid beyond this many objects
+AUTO_CELL_DEG = 15
+
+
 def closest_satellite(requests: DataFrame, fixes: DataFrame,
                       lookback_s: int = ASOF_LOOKBACK_S, key: str = "request_id",
-                      digits: int | None = 2, cell_deg: int | None = None) -> DataFrame:
+                      digits: int | None = 2, cell_deg: int | str | None = None) -> DataFrame:
     """Per request, the object whose as-of fix is nearest to the observer.
 
     Ties go to the lowest ``sat_id``; fixes without coordinates are never
@@ -146,8 +150,14 @@ def closest_satellite(requests: DataFrame, fixes: DataFrame,
     aggregated partially before its shuffle.
 
     ``cell_deg`` (a divisor of 180, at most 30) turns on an exact spatial
-    pre-filter for very many objects: see ``_closest_by_cells``.
+    pre-filter for very many objects: see ``_closest_by_cells``. ``"auto"``
+    estimates the number of objects first (one ``approx_count_distinct``
+    over one column) and uses 15-degree cells beyond 64 objects; the
+    answers are the same either way.
     """
+    if cell_deg == "auto":
+        n = fixes.agg(F.approx_count_distinct("sat_id")).first()[0] or 0
+        cell_deg = AUTO_CELL_DEG if n > AUTO_GRID_OBJECTS else None
     a = asof_by_time(requests, fixes, ("satname", "latitude", "longitude"), lookback_s)
     a = a.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     rq = requests.select(key, F.col("timestamp").alias("request_ts"), "obs_latitude", "obs_longitude")

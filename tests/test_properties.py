@@ -186,3 +186,15 @@ def test_motion_chunk_boundaries(spark):
         if len(held) >= 2:
             want[cur[7]] = held[0][6]
     assert got == want
+
+
+def test_closest_auto_grid(spark):
+    rnd = random.Random(21)
+    many = [(str(i), f"Sat {i}", rnd.uniform(-80, 80), rnd.uniform(-180, 180), 0.0, 0.0, 1000, i)
+            for i in range(300)]
+    reqs = spark.createDataFrame([(i, rnd.uniform(-80, 80), rnd.uniform(-180, 180), 1000, 3) for i in range(100)], REQ)
+    for objs in (many[:5], many):
+        f = spark.createDataFrame(objs, POS)
+        a = sorted(map(tuple, asof.closest_satellite(reqs, f, cell_deg="auto").collect()))
+        b = sorted(map(tuple, asof.closest_satellite(reqs, f).collect()))
+        assert a == b and len(a) == 100
