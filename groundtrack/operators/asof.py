@@ -54,19 +54,19 @@ def asof_by_time(requests: DataFrame, events: DataFrame, value_cols: tuple[str,
     cols = ("timestamp", "seq", *value_cols)
     bucket = lambda c: F.floor(F.col(c) / F.lit(L)).cast("bigint")
     fx = events.select(F.col(entity).alias("_e"), *cols)
+    # string values (names) go into grouping keys, so every aggregate buffer
+    # is fixed-width and the aggregates below stay hash-based
+    strings = [c for c in value_cols if isinstance(fx.schema[c].dataType, StringType)]
     if per_second:
-        fx = (fx.withColumn("_k", order_key()).groupBy("_e", "timestamp")
-              .agg(*[F.max_by(c, "_k").alias(c) for c in cols if c != "timestamp"]))
+        fx = (fx.withColumn("_k", order_key()).groupBy("_e", "timestamp", *strings)
+              .agg(*[F.max_by(c, "_k").alias(c) for c in cols if c not in ("timestamp", *strings)]))
     fx = fx.withColumn("b", bucket("timestamp"))
 
     ev_rows = fx.select("_e", "b", F.col("timestamp").alias("t"), F.lit(0).alias("kind"),
                         F.struct(*cols).alias("fix"))
-    # last event per (entity, bucket), carried into the next bucket. String
-    # values (names) join the grouping key so every aggregate buffer is
-    # fixed-width and the aggregate stays hash-based; should a name change
-    # inside a bucket there are two tails and the window below still takes
-    # the later one.
-    strings = [c for c in value_cols if isinstance(fx.schema[c].dataType, StringType)]
+    # last event per (entity, bucket), carried into the next bucket; should a
+    # name change inside a bucket there are two tails and the window below
+    # still takes the later one
     last = (fx.withColumn("_k", order_key()).groupBy("_e", "b", *strings)
             .agg(*[F.max_by(c, "_k").alias(c) for c in cols if c not in strings]))
     tails = last.select("_e", (F.col("b") + 1).alias("b"), F.col("timestamp").alias("t"),

@@ -222,6 +222,8 @@ def test_name_change_keeps_latest_row(spark):
     req = spark.createDataFrame([(9, 0.0, 0.0, 3700, 3)], REQ)
     a = asof.asof_positions(req, f).collect()
     assert [(x.satname, x.fix_seq) for x in a] == [("New", 2)]
+    b = asof.asof_join(req, f, ("satname", "latitude", "longitude"), per_second=True).collect()
+    assert [(x.satname, x.fix_seq) for x in b] == [("New", 2)]
 
 
 def test_sliding_batch_plans_agree(spark):
