@@ -58,6 +58,8 @@ def stage(raw: DataFrame, path: str, chunks: int = CHUNKS, order: str = "offset"
         staged = spark.read.parquet(path)
         seq_path = path.rstrip("/") + "_seq"
         bounds = staged.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
+        if bounds["lo"] is None:           # nothing to order
+            return path
         lo, hi = int(bounds["lo"]), int(bounds["hi"])
         step = (hi - lo) // chunks + 1
         for i in range(chunks):
