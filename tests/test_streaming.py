@@ -284,3 +284,19 @@ def test_final_windows_stream(spark, scratch):
                         "timestamp"], "left_anti").count() == 0
     mx = f.agg(F.max("timestamp")).first()[0]
     assert got.count() >= b.where(F.col("window_end") <= mx - 30 * 60).count() > 0
+
+
+def test_command_line_final_windows(spark, scratch):
+    from groundtrack.__main__ import main
+    pos = streams.stage(streams.encode_raw(fx.irregular(spark, SF_SMALL)), f"{scratch}/pos")
+    rc = main(["tracks", "--root", f"{scratch}/out", "--positions", pos, "--available-now",
+               "--final-windows"])
+    assert rc == 0
+    w = jobs_read(spark, f"{scratch}/out")
+    b = windows.sliding_positions(fx.irregular(spark, SF_SMALL))
+    assert w.join(b, ["window_start", "sat_id", "latitude", "longitude"], "left_anti").count() == 0
+
+
+def jobs_read(spark, root):
+    from groundtrack.streaming import jobs
+    return jobs.read_windows(spark, root)
