@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundtrack.llm import langid, quality_model, toxicity
-from groundtrack.llm.common import crc_mod
+from groundtrack.llm import langid, quality_model, quality_rules, syncmers, toxicity
+from groundtrack.llm.common import crc_mod, saved
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def _fold(n: int, rest: int):
     return F.coalesce(crc_mod("doc_id", n) == rest, F.lit(False))
 
 
+def op1_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return syncmers.fingerprint_edits(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; labels of the held-out fold are unseen."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,6 +45,16 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document; cutoffs from all labelled rows."""
+    rows = saved(quality_rules.measured(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "measures")
+    known = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).distinct()
+    cutoffs = quality_rules.fit(rows.join(known, "doc_id"))
+    return (rows.withColumn("base_failed", quality_rules.base_failed())
+            .select("doc_id", *quality_rules.COUNTS, "base_failed",
+                    (~F.col("base_failed") & ~quality_rules.rejected(cutoffs)).alias("kept"), "stratum"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; rows of the held-out fold do not train."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -50,8 +65,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_syncmers": op1_syncmers,
         "op2_quality": op2_quality,
         "op4_toxicity": op4_toxicity,
+        "op7_quality_rules": op7_quality_rules,
         "op8_language": op8_language,
     }
 
