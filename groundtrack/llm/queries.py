@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundtrack.llm import langid, quality_model, quality_rules, syncmers, toxicity
+from groundtrack.llm import langid, mixing, quality_model, quality_rules, syncmers, toxicity
 from groundtrack.llm.common import crc_mod, saved
 
 
@@ -35,6 +35,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.taken(*mixing.mix(docs))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; labels of the held-out fold are unseen."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -67,11 +73,41 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_syncmers": op1_syncmers,
         "op2_quality": op2_quality,
+        "op3_mixing": op3_mixing,
         "op4_toxicity": op4_toxicity,
         "op7_quality_rules": op7_quality_rules,
         "op8_language": op8_language,
     }
 
 
+#: Sizes, capped targets and the words taken, in closed form: a source's words
+#: are taken in passes over its shuffled order, the last pass up to the target.
+OP3_SQL = r"""
+WITH rows AS (
+  SELECT doc_id, source, coalesce(length(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM rows GROUP BY source),
+numbered AS (
+  SELECT *, row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1 AS no FROM sources),
+weighted AS (
+  SELECT *, [5, 2, 1][(no % 3 + 1)::INT]::BIGINT AS weight, 3 * source_size AS cap FROM numbered),
+levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER up, 0))::DOUBLE
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER up, 0))::DOUBLE AS level
+  FROM weighted WINDOW up AS (ORDER BY cap / weight, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+free AS (SELECT level FROM levels WHERE level * weight <= cap ORDER BY cap / weight, no LIMIT 1),
+targets AS (
+  SELECT source, source_size, least(cap::DOUBLE, coalesce((SELECT level FROM free) * weight, cap::DOUBLE)) AS target FROM weighted),
+placed AS (
+  SELECT r.doc_id, r.size, t.source_size, t.target, round(t.target)::BIGINT AS quota,
+         coalesce(sum(r.size) OVER (PARTITION BY r.source ORDER BY md5('0|' || coalesce(r.doc_id::VARCHAR, 'null')), r.size, r.doc_id
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "at"
+  FROM rows r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN size = 0 THEN 0
+            ELSE (quota // source_size) * size + greatest(0, least(size, quota % source_size - "at")) END::BIGINT AS taken
+FROM placed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing": OP3_SQL}
