@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundtrack.llm import langid, mixing, quality_model, quality_rules, syncmers, toxicity
+from groundtrack.llm import langid, mixing, packing, quality_model, quality_rules, syncmers, toxicity, warc
 from groundtrack.llm.common import crc_mod, saved
 
 
@@ -51,6 +51,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back from it."""
+    archive = warc.write_archive(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return warc.parsed(warc.records(spark, archive)).select(
+        F.col("key").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document; cutoffs from all labelled rows."""
     rows = saved(quality_rules.measured(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "measures")
@@ -69,14 +76,28 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "lang_pred", "score", "ambiguous"))
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document in windows of 1024 ids."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.with_crc(packing.pack(docs, tokenizer_path())).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_syncmers": op1_syncmers,
         "op2_quality": op2_quality,
         "op3_mixing": op3_mixing,
         "op4_toxicity": op4_toxicity,
+        "op5_warc": op5_warc,
         "op7_quality_rules": op7_quality_rules,
         "op8_language": op8_language,
+        "op9_packing": op9_packing,
     }
 
 
