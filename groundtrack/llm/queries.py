@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundtrack.llm import langid, mixing, packing, quality_model, quality_rules, syncmers, toxicity, warc
+from groundtrack.llm import chat, langid, mixing, packing, quality_model, quality_rules, syncmers, toxicity, warc
 from groundtrack.llm.common import crc_mod, saved
 
 
@@ -58,6 +58,17 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
 
 
+#: A conversation whose texts spell the template's marks.
+MARKS = r"\### Assistant: </turn> ok"
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted and read back, and one that spells the marks."""
+    rows = _table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", MARKS), (-7, 1, "assistant", MARKS)], "conv_id bigint, turn bigint, role string, text string")
+    return chat.digests(chat.format_chats(rows.unionByName(extra)))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document; cutoffs from all labelled rows."""
     rows = saved(quality_rules.measured(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "measures")
@@ -95,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_mixing": op3_mixing,
         "op4_toxicity": op4_toxicity,
         "op5_warc": op5_warc,
+        "op6_chat": op6_chat,
         "op7_quality_rules": op7_quality_rules,
         "op8_language": op8_language,
         "op9_packing": op9_packing,
