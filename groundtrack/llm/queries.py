@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundtrack.llm import chat, langid, mixing, packing, quality_model, quality_rules, syncmers, toxicity, warc
+from groundtrack.llm import chat, langid, mixing, neardup, packing, quality_model, quality_rules, syncmers, toxicity, warc
 from groundtrack.llm.common import crc_mod, saved
 
 
@@ -99,6 +99,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents alike by 0.8 on shingles of four words."""
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), words=4)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_syncmers": op1_syncmers,
@@ -110,6 +115,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_quality_rules": op7_quality_rules,
         "op8_language": op8_language,
         "op9_packing": op9_packing,
+        "op10_near_duplicates": op10_near_duplicates,
     }
 
 
