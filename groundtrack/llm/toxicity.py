@@ -30,8 +30,8 @@ from groundtrack.llm.common import bounded_batches, bounded_sample, slices
 
 BUCKETS = 1 << 16
 #: Rows that the model is fitted on, at most: confirmed toxic, and unlabelled.
-MAX_POSITIVE = 3000
-MAX_UNLABELLED = 9000
+MAX_POSITIVE = 2000
+MAX_UNLABELLED = 4000
 #: Standard errors by which a feature must be more frequent in toxic text.
 MIN_LIFT = 6.0
 _SLICE = 1 << 20
@@ -86,18 +86,29 @@ def _take(start: np.ndarray, fid: np.ndarray, value: np.ndarray, rows: np.ndarra
     return np.repeat(np.arange(len(rows)), n), fid[at], value[at]
 
 
+def _groups(x: tuple[np.ndarray, np.ndarray, np.ndarray], size: int = 500):
+    """The rows in groups: their numbers one entry a feature, ids and values."""
+    start, fid, value = x
+    for a in range(0, len(start) - 1, size):
+        z = min(a + size, len(start) - 1)
+        at = slice(start[a], start[z])
+        yield np.repeat(np.arange(a, z), np.diff(start[a:z + 1])), fid[at], value[at].astype(np.float32)
+
+
 def telling(x: tuple[np.ndarray, np.ndarray, np.ndarray], positive: np.ndarray, least: float = MIN_LIFT) -> np.ndarray:
     """Features more frequent among toxic rows than among unlabelled ones by
     ``least`` standard errors: others are noise of the hash and never get a weight."""
-    start, fid, value = x
-    row = np.repeat(np.arange(len(start) - 1), np.diff(start))
-    # a rate counts as seen where it is above its median in unlabelled text
-    n_p, n_u = positive.sum(), (~positive).sum()
-    mean = np.bincount(fid[~positive[row]], value[~positive[row]], minlength=3 * BUCKETS) / np.maximum(
-        1, np.bincount(fid[~positive[row]], minlength=3 * BUCKETS))
-    seen = value >= 0.5 * mean[fid]
-    p = np.bincount(fid[seen & positive[row]], minlength=3 * BUCKETS) / n_p
-    u = np.bincount(fid[seen & ~positive[row]], minlength=3 * BUCKETS) / n_u
+    n_p, n_u, size = positive.sum(), (~positive).sum(), 3 * BUCKETS
+    total, seen, p, u = (np.zeros(size) for _ in range(4))
+    for row, fid, value in _groups(x):
+        other = ~positive[row]
+        total += np.bincount(fid[other], value[other], minlength=size)
+        seen += np.bincount(fid[other], minlength=size)
+    mean = total / np.maximum(1, seen)                 # a rate counts as seen from half its mean in unlabelled text
+    for row, fid, value in _groups(x):
+        ok = value >= 0.5 * mean[fid]
+        p += np.bincount(fid[ok & positive[row]], minlength=size) / n_p
+        u += np.bincount(fid[ok & ~positive[row]], minlength=size) / n_u
     base = np.maximum(u, 1 / n_u)
     return np.flatnonzero((p - u) / np.sqrt(base * (1 - np.minimum(base, 0.9)) * (1 / n_p + 1 / n_u)) > least)
 
@@ -107,7 +118,6 @@ def fit_arrays(x: tuple[np.ndarray, np.ndarray, np.ndarray], positive: np.ndarra
     """Non-negative PU risk with the logistic loss over the telling features, by
     Adam on mini-batches that hold both kinds of rows; the weights are the mean
     over the second half of the steps."""
-    start, fid, value = x
     p_rows, u_rows = np.flatnonzero(positive), np.flatnonzero(~positive)
     q = min(max(prior, 1e-4), 1 - 1e-4)
     full = np.zeros(3 * BUCKETS, np.float32)
@@ -116,9 +126,9 @@ def fit_arrays(x: tuple[np.ndarray, np.ndarray, np.ndarray], positive: np.ndarra
         return Model(full, float(np.log(q / (1 - q))))
     place = np.full(3 * BUCKETS, -1)
     place[use] = np.arange(len(use))
-    ok = place[fid] >= 0
-    row = np.repeat(np.arange(len(start) - 1), np.diff(start))[ok]
-    fid, value, start = place[fid[ok]], value[ok], np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(start) - 1))])
+    kept = [(row[ok], place[fid[ok]], value[ok]) for row, fid, value in _groups(x) for ok in [place[fid] >= 0]]
+    row, fid, value = (np.concatenate(c) for c in zip(*kept, strict=True))
+    start = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(positive)))])
     w, b = np.zeros(len(use)), float(np.log(q / (1 - q)))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     mean_w, mean_b, taken = np.zeros_like(w), 0.0, 0
@@ -178,10 +188,11 @@ def fit(df: DataFrame, positives: DataFrame, prior: float, text: str = "text", k
     for c in ("f", "v"):
         got[c] = got[c].map(bytes)
     got = got.sort_values(["k", "p", "f"], kind="stable")
-    sizes = got["f"].map(len).to_numpy(np.int64) // 4
-    x = (np.concatenate([[0], np.cumsum(sizes)]), np.frombuffer(b"".join(got["f"]), np.int32),
-         np.frombuffer(b"".join(got["v"]), np.float16).astype(np.float32))
-    return fit_arrays(x, got["p"].to_numpy(bool), prior)
+    count = got["f"].map(len).to_numpy(np.int64) // 4
+    positive, f, v = got["p"].to_numpy(bool), b"".join(got["f"]), b"".join(got["v"])
+    del got
+    x = (np.concatenate([[0], np.cumsum(count)]), np.frombuffer(f, np.int32), np.frombuffer(v, np.float16))
+    return fit_arrays(x, positive, prior)
 
 
 def score(text: Column, model: Model, df: DataFrame) -> Column:
