@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,6 +117,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_packing": op9_packing,
         "op10_near_duplicates": op10_near_duplicates,
+        "pipeline": corpus_pipeline.run,
     }
 
 
