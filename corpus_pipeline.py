@@ -13,6 +13,7 @@ import re
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from groundtrack.llm import langid, mixing, neardup, packing, quality_rules
 from groundtrack.llm.common import WORD, saved
@@ -59,7 +60,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         left.join(twice, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _words_between(text: pd.Series, first: pd.Series, last: pd.Series) -> pd.Series:
     """The text from its word ``first`` to before its word ``last``."""
     out = []
