@@ -33,8 +33,10 @@ VOCABULARY = 1 << 13      # hashed tokens
 DIMENSIONS = 32           # of a word vector
 NONZERO = 2               # entries of an index vector
 HIDDEN = 32
+DECAY = 2e-3
 #: Labelled rows per label that the network is fitted on, at most.
 TRAIN_PER_LABEL = 4000
+CLIP = 4.0
 _SLICE = 1 << 20
 _EXTRA = 6
 
@@ -122,6 +124,11 @@ def pool(texts: list[str], table: np.ndarray) -> np.ndarray:
     return out
 
 
+def standard(x: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Standardised inputs; odd documents stay within a few deviations."""
+    return np.clip((x - centre) / scale, -CLIP, CLIP)
+
+
 @dataclass(frozen=True)
 class Network:
     table: np.ndarray
@@ -134,7 +141,7 @@ class Network:
     temperature: float
 
     def logits(self, x: np.ndarray) -> np.ndarray:
-        return np.tanh(((x - self.centre) / self.scale) @ self.w1 + self.b1) @ self.w2 + self.b2
+        return np.tanh(standard(x, self.centre, self.scale) @ self.w1 + self.b1) @ self.w2 + self.b2
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -40, 40)))
@@ -143,7 +150,8 @@ class Network:
 def temperature_of(logits: np.ndarray, y: np.ndarray) -> float:
     """The temperature with the least log loss on rows the network did not fit."""
     grid = np.exp(np.linspace(np.log(0.3), np.log(10), 60))
-    loss = [np.mean(np.logaddexp(0, -(2 * y - 1) * logits / t)) for t in grid]
+    soft = (y * len(y) + 1) / (len(y) + 2)           # one unseen row of either label: no certainty from few rows
+    loss = [np.mean(soft * np.logaddexp(0, -logits / t) + (1 - soft) * np.logaddexp(0, logits / t)) for t in grid]
     return float(grid[int(np.argmin(loss))])
 
 
@@ -157,8 +165,8 @@ def fit_arrays(x: np.ndarray, y: np.ndarray, table: np.ndarray, epochs: int = 80
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(y))
     held, kept = order[: len(y) // 5], order[len(y) // 5:]
-    centre, scale = x[kept].mean(0), x[kept].std(0) + 0.02
-    z = (x - centre) / scale
+    centre, scale = x[kept].mean(0), x[kept].std(0) + 0.05
+    z = standard(x, centre, scale)
     w = [rng.normal(0, d**-0.5, (d, HIDDEN)).astype(np.float32), np.zeros(HIDDEN, np.float32),
          rng.normal(0, HIDDEN**-0.5, HIDDEN).astype(np.float32), np.zeros(1, np.float32)]
     m, v, step = [np.zeros_like(p) for p in w], [np.zeros_like(p) for p in w], 0
@@ -170,7 +178,7 @@ def fit_arrays(x: np.ndarray, y: np.ndarray, table: np.ndarray, epochs: int = 80
             h = np.tanh(z[i] @ w[0] + w[1])
             g = (1 / (1 + np.exp(-(h @ w[2] + w[3]))) - y[i]) / len(i)
             gh = np.outer(g, w[2]) * (1 - h * h)
-            grads = [z[i].T @ gh + 1e-4 * w[0], gh.sum(0), h.T @ g + 1e-4 * w[2], np.array([g.sum()])]
+            grads = [z[i].T @ gh + DECAY * w[0], gh.sum(0), h.T @ g + DECAY * w[2], np.array([g.sum()])]
             step += 1
             for k, gk in enumerate(grads):
                 m[k] = 0.9 * m[k] + 0.1 * gk
