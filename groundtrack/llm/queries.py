@@ -150,5 +150,98 @@ FROM placed
 """
 
 
+#: Base32 by way of a string of bits.
+OP5_SQL = r"""
+WITH rows AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha1 FROM pages),
+leaders AS (SELECT sha1, max(page_id) AS leader FROM rows GROUP BY sha1),
+digests AS (
+  SELECT sha1, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + list_sum(list_transform(range(5), lambda j: substr(bits, (5 * i + j + 1)::INT, 1)::INT * (16 >> j::INT)))::INT, 1)), '') AS base32
+  FROM (SELECT sha1, array_to_string(list_transform(range(40), lambda i: lpad(
+                 bin(instr('0123456789abcdef', substr(sha1, (i + 1)::INT, 1)) - 1), 4, '0')), '') AS bits FROM leaders))
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, base32 AS payload_digest,
+       CASE WHEN page_id = leader THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> leader THEN leader END AS refers_to
+FROM rows JOIN leaders USING (sha1) JOIN digests USING (sha1)
+"""
+
+OP6_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+per_turn AS (
+  SELECT *, length(role) + length(regexp_replace(role, '[^\\#<:]', '', 'g'))
+            + length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g')) + length('### : </turn>' || chr(10)) AS formatted FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(formatted)::BIGINT AS formatted_chars
+FROM per_turn GROUP BY conv_id
+"""
+
+#: Counts, the exact binomial test of every cutoff, and the verdict.
+OP7_SQL = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+eights AS (
+  SELECT doc_id, unnest(r) AS run, unnest(range(1, len(r) + 1)) AS i
+  FROM (SELECT doc_id, list_transform(range(1, len(w) - 6), lambda i: md5(array_to_string(w[i:i + 7], ' '))) AS r FROM words WHERE len(w) >= 8)),
+runs AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, run) AS n FROM eights),
+repeats AS (
+  SELECT doc_id, sum(least(8, coalesce(after - i, 8)))::BIGINT AS n
+  FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM runs WHERE n > 1) GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+         len(lines) AS n_lines, length(regexp_replace(text, '[^A-Z]+', '', 'g')) AS n_upper, len(list_distinct(w)) AS n_distinct
+  FROM words LEFT JOIN repeats r USING (doc_id)),
+shares AS (
+  SELECT *, CASE WHEN n_words < 50 THEN 0 WHEN n_words < 200 THEN 1 WHEN n_words < 1000 THEN 2 ELSE 3 END::INT AS stratum,
+         [CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END, CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END,
+          CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END, CASE WHEN word_chars > 0 THEN n_upper / word_chars ELSE 0 END,
+          CASE WHEN n_words > 0 THEN 1.0::DOUBLE - n_distinct / n_words ELSE 0 END]::DOUBLE[] AS x FROM counts),
+grid AS (SELECT r, (c * 5 / 100.0)::DOUBLE AS cutoff FROM unnest(range(1, 6)) AS a(r), unnest(range(1, 21)) AS b(c)),
+tested AS (
+  SELECT s.stratum, r, cutoff, count(*) FILTER (quality = 1) AS n, count(*) FILTER (quality = 1 AND x[r] > cutoff) AS k,
+         count(*) FILTER (quality = 0 AND x[r] > cutoff) AS bad
+  FROM shares s JOIN (SELECT DISTINCT doc_id, quality FROM labels) USING (doc_id), grid WHERE quality IN (0, 1) GROUP BY ALL),
+tails AS (
+  SELECT *, CASE WHEN k > n * 0.02 THEN 1 ELSE list_sum(list_transform(range(0, k + 1), lambda j:            exp(lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0) + j * ln(0.02) + (n - j) * ln(0.98)))) END AS p FROM tested),
+cutoffs AS (
+  SELECT stratum, r, arg_max(cutoff, (bad - 10.0 * k) * 1000 + cutoff) AS cutoff FROM tails
+  WHERE p <= 0.05 / 20 AND bad - 10.0 * k > 0 GROUP BY stratum, r),
+refused AS (SELECT DISTINCT doc_id FROM shares s JOIN cutoffs c ON s.stratum = c.stratum AND s.x[c.r] > c.cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND doc_id NOT IN (SELECT doc_id FROM refused) AS kept, stratum
+FROM shares
+"""
+
+#: Sets by exact shingles, links by shared shingles, components by recursion.
+OP10_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM words),
+digests AS (SELECT *, CASE WHEN len(s) > 0 THEN md5(array_to_string(list_sort(s), '|')) END AS digest FROM sets),
+classes AS (SELECT digest, min(doc_id) AS rep, any_value(s) AS s, len(any_value(s)) AS n FROM digests WHERE digest IS NOT NULL GROUP BY digest),
+shingles AS (SELECT rep, n, unnest(s) AS shingle FROM classes),
+links AS (
+  SELECT a.rep AS u, b.rep AS v FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.rep < b.rep
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+edges AS MATERIALIZED (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach(rep, c) AS (SELECT rep, rep FROM classes UNION SELECT e.v, r.c FROM reach r JOIN edges e ON e.u = r.rep AND r.c < e.v),
+component AS (SELECT rep, min(c) AS c FROM reach GROUP BY rep)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(c.c, s.doc_id) AS component_id, coalesce(c.c, s.doc_id) = s.doc_id AS kept
+FROM digests s LEFT JOIN classes k ON s.digest = k.digest LEFT JOIN component c ON c.rep = k.rep
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3_SQL}
+    return {"op3_mixing": OP3_SQL, "op5_warc": OP5_SQL, "op6_chat": OP6_SQL, "op7_quality_rules": OP7_SQL, "op10_near_duplicates": OP10_SQL}
