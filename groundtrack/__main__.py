@@ -29,8 +29,12 @@ def main(argv=None) -> int:
     ap.add_argument("--trigger", help='processing-time interval, e.g. "2 minutes"')
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     ap.add_argument("--archive-sat-id", help="archive only this object (default: all)")
-    ap.add_argument("--cell-deg", type=lambda v: v if v == "auto" else int(v),
-                    help='grid pre-filter for closest among very many objects: degrees or "auto"')
+    ap.add_argument("--cell-deg", type=int, default=15, help="grid cells of the closest-object search, in degrees")
+    ap.add_argument("--look-back", type=int, help="requests: oldest fix seen, in seconds (default: any)")
+    ap.add_argument("--required-satellites", type=int, help="requests: overlap only where so many objects are seen")
+    ap.add_argument("--max-files-per-trigger", type=int, help="file sources: files of a micro-batch (default: all)")
+    ap.add_argument("--arrival-time", action="store_true", help="tracks: windows by arrival time")
+    ap.add_argument("--redraw-every", type=float, default=120, help="tracks: seconds between maps, at least")
     ap.add_argument("--final-windows", action="store_true",
                     help="tracks: write each window once, when final (append mode)")
     a = ap.parse_args(argv)
@@ -47,14 +51,14 @@ def main(argv=None) -> int:
     def positions():
         if a.servers:
             return sources.read_positions(spark, a.servers)
-        return sources.read_files(spark, a.positions, max_files_per_trigger=1)
+        return sources.read_files(spark, a.positions, max_files_per_trigger=a.max_files_per_trigger)
 
     def requests():
         if a.servers:
             return sources.read_requests(spark, a.servers)
         if not a.requests:
             ap.error("the requests job needs --servers or --requests")
-        return sources.read_files(spark, a.requests, max_files_per_trigger=1)
+        return sources.read_files(spark, a.requests, max_files_per_trigger=a.max_files_per_trigger)
 
     queries = []
     # positions first: the other jobs read what it archives
@@ -62,20 +66,39 @@ def main(argv=None) -> int:
         if job == "positions":
             queries += jobs.start_positions(positions(), a.root, a.archive_sat_id, trigger)
         elif job == "requests":
-            queries.append(jobs.start_requests(requests(), a.root, a.servers, trigger, a.cell_deg))
+            queries.append(jobs.start_requests(requests(), a.root, a.servers, trigger, a.cell_deg,
+                                               a.look_back, a.required_satellites))
         elif job == "motion":
             queries.append(jobs.start_motion(positions(), a.root, a.servers, trigger=trigger))
         elif job == "tracks":
-            queries.append(jobs.start_tracks(positions(), a.root, trigger=trigger, final_only=a.final_windows))
+            queries.append(jobs.start_tracks(positions(), a.root, trigger=trigger, final_only=a.final_windows,
+                                             redraw_every_s=a.redraw_every, arrival_time=a.arrival_time))
         if a.available_now:           # one after another, so requests see the archive
             for q in queries:
                 q.awaitTermination()
-    for q in queries:
-        q.awaitTermination()
-        if q.exception():
-            print(q.exception(), file=sys.stderr)
-            return 1
-    return 0
+    failed = wait_all(spark, queries)
+    if failed is not None:
+        print(failed, file=sys.stderr)
+    return int(failed is not None)
+
+
+def wait_all(spark, queries):
+    """Wait until one of the queries fails (its error; the others are stopped)
+    or all have ended (None)."""
+    while True:
+        for q in queries:
+            if not q.isActive and q.exception():
+                for other in queries:
+                    other.stop()
+                return q.exception()
+        if not any(q.isActive for q in queries):
+            return None
+        spark.streams.resetTerminated()
+        if any(q.isActive for q in queries):
+            try:
+                spark.streams.awaitAnyTermination(60)
+            except Exception:  # noqa: BLE001 - the loop above finds whose it was
+                pass
 
 
 if __name__ == "__main__":

@@ -1,26 +1,22 @@
 """As-of lookup for requests, and the answers built on it.
 
 ``asof_join``: for every request and every object, the latest event (a fix,
-a motion vector) with ``request.ts - lookback <= ts <= request.ts`` (latest
-by ``(ts, seq)``; an event in the same second as the request counts). This
-is the "cache" a request sees, with an explicit age bound.
+a motion vector) with ``ts <= request.ts`` (latest by ``(ts, seq)``; an event
+in the same second as the request counts). This is the "cache" a request
+sees. It never expires; ``lookback_s`` bounds its age where wanted.
 
 Plan (linear in fixes + answers, no range join and no nested loop):
 
-* bucket time by ``b = floor(ts / lookback)``. Anything a request in bucket
-  ``b`` may see lies in ``b`` or is the last fix of ``b - 1``;
-* ``tails``: last fix per (object, bucket), carried into the next bucket
-  (a partial aggregate: one row per object and bucket);
-* ``presence``: which objects have fixes in ``b`` or ``b - 1`` (a distinct,
-  aggregated per task before its shuffle); the *distinct request times* are
-  joined to it on
-  ``b`` (an equi-join; AQE broadcasts it at run time when its measured size
-  is under the threshold, else it stays a shuffle join);
-* fixes, carried tails and one copy per (object, request time) are unioned
-  and one window per (object, bucket), ordered by time, carries the last
-  fix forward onto each copy. The partition is one object for one bucket of
-  time (a hot object is split by time) and holds at most ``lookback``
-  distinct request seconds (a burst of requests is not);
+* time is cut into buckets; only buckets that hold a request are looked at in
+  detail, of all others only the last event per object is used;
+* ``state``: each object's last event before each bucket with requests. With a
+  look-back that is the bucket before; without one, the last events per bucket
+  are carried on within epochs of many buckets, and the last events per epoch
+  over the epochs, so no partition holds more than an epoch's buckets or an
+  object's epochs;
+* events of those buckets, the state and one copy per (object, *distinct
+  request second*) are unioned and one window per (object, bucket), ordered
+  by time, carries the last event forward onto each copy;
 * requests pick up their rows by an equi-join on the request time (AQE's
   skew handling splits a hot second).
 """
@@ -34,11 +30,11 @@ from pyspark.sql.types import StringType
 from groundtrack.functions.geo import haversine_km
 from groundtrack.functions.ordering import order_key
 from groundtrack.operators import overlap
-from groundtrack.params import ASOF_LOOKBACK_S, COVERAGE_RADIUS_KM, EARTH_RADIUS_KM
+from groundtrack.params import ASOF_BUCKET_S, COVERAGE_RADIUS_KM, EARTH_RADIUS_KM
 
 
 def asof_by_time(requests: DataFrame, events: DataFrame, value_cols: tuple[str, ...],
-                 lookback_s: int = ASOF_LOOKBACK_S, entity: str = "sat_id",
+                 lookback_s: int | None = None, entity: str = "sat_id",
                  per_second: bool = False) -> DataFrame:
     """Rows (request time, entity, latest event as of that time), one per
     *distinct* ``requests.timestamp`` - what every request of that second
@@ -46,13 +42,13 @@ def asof_by_time(requests: DataFrame, events: DataFrame, value_cols: tuple[str,
 
     ``per_second`` first keeps only the last event of each (entity, second)
     - the only one an as-of lookup can return - with a partial aggregate.
-    Then a window partition holds at most ``lookback_s`` events whatever
+    Then a window partition holds at most one event a second whatever
     the event rate of one entity (for feeds that may flood one object); it
     costs one more shuffle, so it is off by default.
     """
-    L = int(lookback_s)
+    width = int(lookback_s) if lookback_s else ASOF_BUCKET_S
     cols = ("timestamp", "seq", *value_cols)
-    bucket = lambda c: F.floor(F.col(c) / F.lit(L)).cast("bigint")
+    bucket = lambda c: F.floor(F.col(c) / F.lit(width)).cast("bigint")
     fx = events.select(F.col(entity).alias("_e"), *cols)
     # string values (names) go into grouping keys, so every aggregate buffer
     # is fixed-width and the aggregates below stay hash-based
@@ -60,25 +56,31 @@ def asof_by_time(requests: DataFrame, events: DataFrame, value_cols: tuple[str,
     if per_second:
         fx = (fx.withColumn("_k", order_key()).groupBy("_e", "timestamp", *strings)
               .agg(*[F.max_by(c, "_k").alias(c) for c in cols if c not in ("timestamp", *strings)]))
-    fx = fx.withColumn("b", bucket("timestamp"))
+    fx = fx.where(F.col("timestamp").isNotNull()).withColumn("b", bucket("timestamp"))
+    times = requests.select(F.col("timestamp").alias("t")).where(F.col("t").isNotNull()).distinct()
+    times = times.withColumn("b", bucket("t"))
+    wanted = times.select("b").distinct()
 
-    ev_rows = fx.select("_e", "b", F.col("timestamp").alias("t"), F.lit(0).alias("kind"),
-                        F.struct(*cols).alias("fix"))
-    # last event per (entity, bucket), carried into the next bucket; should a
-    # name change inside a bucket there are two tails and the window below
-    # still takes the later one
+    ev_rows = fx.join(wanted, "b", "left_semi").select(
+        "_e", "b", F.col("timestamp").alias("t"), F.lit(0).alias("kind"), F.struct(*cols).alias("fix"))
+    # last event per (entity, bucket); should a name change inside a bucket
+    # there are two, and the windows below still take the later one
     last = (fx.withColumn("_k", order_key()).groupBy("_e", "b", *strings)
-            .agg(*[F.max_by(c, "_k").alias(c) for c in cols if c not in strings]))
-    tails = last.select("_e", (F.col("b") + 1).alias("b"), F.col("timestamp").alias("t"),
-                        F.lit(0).alias("kind"), F.struct(*cols).alias("fix"))
-    presence = (fx.select("_e", F.explode(F.array("b", F.col("b") + 1)).alias("b"))
-                .distinct())
+            .agg(*[F.max_by(c, "_k").alias(c) for c in cols if c not in strings])
+            .select("_e", "b", F.struct(*cols).alias("fix")))
+    if lookback_s:
+        tails = last.select("_e", (F.col("b") + 1).alias("b"), "fix")
+        presence = fx.select("_e", F.explode(F.array("b", F.col("b") + 1)).alias("b")).distinct()
+    else:
+        tails = presence = _state_before(last, wanted)
+        presence = presence.select("_e", "b")
+        tails = tails.where(F.col("fix").isNotNull())
+    tails = tails.select("_e", "b", F.col("fix.timestamp").alias("t"), F.lit(0).alias("kind"), "fix")
 
-    # the window sees each distinct request time once (at most L per
+    # the window sees each distinct request time once (at most one a second per
     # bucket), not every request: a burst of requests in one second cannot
     # overload a partition; requests get their rows by an equi-join on time
-    times = requests.select(F.col("timestamp").alias("t")).where(F.col("t").isNotNull()).distinct()
-    copies = (times.withColumn("b", bucket("t")).join(presence, "b")
+    copies = (times.join(presence, "b")
               .select("_e", "b", "t", F.lit(1).alias("kind"),
                       F.lit(None).cast(ev_rows.schema["fix"].dataType).alias("fix")))
 
@@ -86,15 +88,51 @@ def asof_by_time(requests: DataFrame, events: DataFrame, value_cols: tuple[str,
     w = (Window.partitionBy("_e", "b").orderBy("t", "kind", F.col("fix.seq"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     carried = rows.withColumn("_last", F.last("fix", ignorenulls=True).over(w))
-    return (carried.where((F.col("kind") == 1) & F.col("_last").isNotNull()
-                          & (F.col("_last.timestamp") >= F.col("t") - F.lit(L)))
+    seen = (F.col("kind") == 1) & F.col("_last").isNotNull()
+    if lookback_s:
+        seen = seen & (F.col("_last.timestamp") >= F.col("t") - F.lit(width))
+    return (carried.where(seen)
             .select(F.col("t").alias("request_ts"), F.col("_e").alias(entity),
                     *[F.col(f"_last.{c}").alias(c) for c in value_cols],
                     F.col("_last.timestamp").alias("fix_ts"), F.col("_last.seq").alias("fix_seq")))
 
 
+EPOCH_BUCKETS = 512         # buckets of an epoch when states are carried on
+
+
+def _state_before(last: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(_e, b, fix): the last event before each wanted bucket of every entity
+    that may have one (null fix: none yet). ``last`` has the last event of
+    each (entity, bucket)."""
+    epoch = F.floor(F.col("b") / EPOCH_BUCKETS).cast("bigint")
+    pick = F.struct(F.col("fix.timestamp"), F.col("fix.seq"))
+    last, wanted = last.withColumn("p", epoch), wanted.withColumn("p", epoch)
+    epochs = wanted.select("p").distinct()
+    # every wanted epoch from the entity's first one on
+    first = last.groupBy("_e").agg(F.min("p").alias("f"))
+    top = epochs.agg(F.max("p")).scalar()
+    need = (first.where(F.col("f") <= top).select("_e", F.explode(F.sequence(F.col("f"), top)).alias("p"))
+            .join(epochs, "p"))
+    ends = last.groupBy("_e", "p").agg(F.max_by("fix", pick).alias("fix"))
+    nothing = F.lit(None).cast(last.schema["fix"].dataType)
+
+    def carried(rows: DataFrame, keys: list, order: str) -> DataFrame:
+        w = (Window.partitionBy(*keys).orderBy(order, "kind", F.col("fix.timestamp"), F.col("fix.seq"))
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return rows.withColumn("state", F.last("fix", ignorenulls=True).over(w)).where("kind = 0")
+
+    starts = carried(need.select("_e", "p", F.lit(0).alias("kind"), nothing.alias("fix"))
+                     .unionByName(ends.select("_e", "p", F.lit(1).alias("kind"), "fix")), ["_e"], "p")
+    lowest = F.lit(-(1 << 62)).cast("bigint")
+    inside = (need.join(wanted, "p").select("_e", "p", "b", F.lit(0).alias("kind"), nothing.alias("fix"))
+              .unionByName(starts.where(F.col("state").isNotNull()).select("_e", "p", lowest.alias("b"), F.lit(1).alias("kind"),
+                                                                          F.col("state").alias("fix")))
+              .unionByName(last.join(epochs, "p", "left_semi").select("_e", "p", "b", F.lit(1).alias("kind"), "fix")))
+    return carried(inside, ["_e", "p"], "b").select("_e", "b", F.col("state").alias("fix"))
+
+
 def asof_join(requests: DataFrame, events: DataFrame, value_cols: tuple[str, ...],
-              lookback_s: int = ASOF_LOOKBACK_S,
+              lookback_s: int | None = None,
               request_cols: tuple[str, ...] = ("obs_latitude", "obs_longitude"),
               key: str = "request_id", entity: str = "sat_id",
               per_second: bool = False) -> DataFrame:
@@ -102,7 +140,8 @@ def asof_join(requests: DataFrame, events: DataFrame, value_cols: tuple[str, ...
 
     ``events`` need ``entity``, ``timestamp``, ``seq`` and ``value_cols``;
     the event chosen per (request, entity) is the greatest ``(timestamp,
-    seq)`` with ``request.ts - lookback_s <= timestamp <= request.ts``.
+    seq)`` with ``timestamp <= request.ts``, and not older than ``lookback_s``
+    where that is given.
     Output: key, request_ts, request_cols, entity, value_cols, fix_ts, fix_seq.
     The lookup runs once per distinct request time (``asof_by_time``) and
     requests pick up their rows by an equi-join on the time.
@@ -114,7 +153,7 @@ def asof_join(requests: DataFrame, events: DataFrame, value_cols: tuple[str, ...
 
 
 def asof_positions(requests: DataFrame, fixes: DataFrame,
-                   lookback_s: int = ASOF_LOOKBACK_S,
+                   lookback_s: int | None = None,
                    request_cols: tuple[str, ...] = ("obs_latitude", "obs_longitude"),
                    key: str = "request_id") -> DataFrame:
     """Rows (request, object, latest fix as of the request time)."""
@@ -135,36 +174,26 @@ def _nearest(cand: DataFrame, key: str) -> DataFrame:
             .groupBy("request_ts", key).agg(F.min(F.struct(*_BEST)).alias("m")))
 
 
-AUTO_GRID_OBJECTS = 64      # "auto": use the grid beyond this many objects
-AUTO_CELL_DEG = 15
+CELL_DEG = 15               # grid cells of the closest-object search
 
 
 def closest_satellite(requests: DataFrame, fixes: DataFrame,
-                      lookback_s: int = ASOF_LOOKBACK_S, key: str = "request_id",
-                      digits: int | None = 2, cell_deg: int | str | None = None) -> DataFrame:
+                      lookback_s: int | None = None, key: str = "request_id",
+                      digits: int | None = 2, cell_deg: int = CELL_DEG) -> DataFrame:
     """Per request, the object whose as-of fix is nearest to the observer.
 
     Ties go to the lowest ``sat_id``; fixes without coordinates are never
-    candidates; a request with no fix in the look-back gets no row. The
+    candidates; a request that sees no fix gets no row. The
     arg-min is ``min(struct(distance, sat_id, ...))`` grouped by request,
     aggregated partially before its shuffle.
 
-    ``cell_deg`` (a divisor of 180, at most 30) turns on an exact spatial
-    pre-filter for very many objects: see ``_closest_by_cells``. ``"auto"``
-    estimates the number of objects first (one ``approx_count_distinct``
-    over one column) and uses 15-degree cells beyond 64 objects; the
-    answers are the same either way.
+    Objects are found through a grid of ``cell_deg`` degrees (a divisor of
+    180, at most 30), exactly: see ``_closest_by_cells``.
     """
-    if cell_deg == "auto":
-        n = fixes.agg(F.approx_count_distinct("sat_id")).first()[0] or 0
-        cell_deg = AUTO_CELL_DEG if n > AUTO_GRID_OBJECTS else None
     a = asof_by_time(requests, fixes, ("satname", "latitude", "longitude"), lookback_s)
     a = a.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     rq = requests.select(key, F.col("timestamp").alias("request_ts"), "obs_latitude", "obs_longitude")
-    if cell_deg is None:
-        best = _nearest(_with_distance(rq.join(a, "request_ts")), key)
-    else:
-        best = _closest_by_cells(rq, a, key, int(cell_deg))
+    best = _closest_by_cells(rq, a, key, int(cell_deg))
     dist = F.round("m._d", digits) if digits is not None else F.col("m._d")
     return best.select(
         key, F.col("m.satname").alias("satname"), F.col("m.sat_id").alias("sat_id"),
@@ -227,9 +256,9 @@ def _closest_by_cells(rq: DataFrame, a: DataFrame, key: str, h: int) -> DataFram
 
 
 def motion_answers(requests: DataFrame, vectors: DataFrame,
-                   lookback_s: int = ASOF_LOOKBACK_S, key: str = "request_id") -> DataFrame:
+                   lookback_s: int | None = None, key: str = "request_id") -> DataFrame:
     """A motion request is answered with the latest vector of every object
-    as of the request time (not older than ``lookback_s``); computed once
+    as of the request time; computed once
     per distinct request time."""
     a = asof_join(requests, vectors, ("satname", "velocity_kmph", "delta_latitude", "delta_longitude"),
                   lookback_s, (), key)
@@ -238,7 +267,7 @@ def motion_answers(requests: DataFrame, vectors: DataFrame,
 
 
 def satellites_in_view(requests: DataFrame, fixes: DataFrame, required: int,
-                       lookback_s: int = ASOF_LOOKBACK_S, key: str = "request_id") -> DataFrame:
+                       lookback_s: int | None = None, key: str = "request_id") -> DataFrame:
     """Completeness gate per request: how many objects its as-of cache holds
     and whether that equals ``required``. Counted once per distinct request
     time, then joined to the requests (a request with an empty cache has
@@ -250,7 +279,7 @@ def satellites_in_view(requests: DataFrame, fixes: DataFrame, required: int,
         key, "n_satellites", (F.col("n_satellites") == F.lit(required)).alias("complete"))
 
 
-def overlap_answers(requests: DataFrame, fixes: DataFrame, lookback_s: int = ASOF_LOOKBACK_S,
+def overlap_answers(requests: DataFrame, fixes: DataFrame, lookback_s: int | None = None,
                     radius_km: float = COVERAGE_RADIUS_KM, required_satellites: int | None = None,
                     key: str = "request_id") -> DataFrame:
     """An overlap request is answered with the coverage overlap of the

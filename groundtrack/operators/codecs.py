@@ -4,18 +4,23 @@ Outgoing messages are ``(topic, key, value)`` rows with JSON text values, so
 they can go to any sink (a message topic through ``writeStream``, files, a
 table). Responses are keyed by ``request_id``: each request gets its own
 answer, whatever else arrived in the same micro-batch.
+
+Every answer carries ``part`` and ``n_parts`` (0 and 1 for a single message):
+a list of more than ``MAX_ITEMS`` items is spread over several messages of
+one key, so that no message grows with the number of objects, and a reader
+always knows whether it has the whole answer (``whole_answers``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from groundtrack.params import MOTION_TOPIC, REQUEST_TOPIC, RESPONSE_TOPIC, TOPIC_PREFIX
 from groundtrack.schemas import CLOSEST_RESPONSE, OVERLAP_ITEM, POSITION_FIELDS
 
-MAX_ITEMS = 1000     # items per list message; an instant with more pairs is split
+MAX_ITEMS = 1000     # items of a list message, about
 
 
 def encode_positions(fixes: DataFrame, offset: str | None = None) -> DataFrame:
@@ -25,7 +30,7 @@ def encode_positions(fixes: DataFrame, offset: str | None = None) -> DataFrame:
     return fixes.select(
         F.concat(F.lit(TOPIC_PREFIX), F.col("sat_id")).alias("topic"),
         F.lit(None).cast("string").alias("key"),
-        F.to_json(F.struct(*POSITION_FIELDS)).alias("value"), *extra)
+        F.to_json(F.struct(*POSITION_FIELDS), {"ignoreNullFields": "false"}).alias("value"), *extra)
 
 
 def encode_requests(reqs: DataFrame, stamp_now: bool = False) -> DataFrame:
@@ -41,53 +46,48 @@ def encode_requests(reqs: DataFrame, stamp_now: bool = False) -> DataFrame:
                        F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
 
 
+def _single(df: DataFrame) -> DataFrame:
+    return df.withColumns({"part": F.lit(0).cast("bigint"), "n_parts": F.lit(1).cast("bigint")})
+
+
 def closest_response(closest: DataFrame) -> DataFrame:
     """One JSON object per answered request, keyed by request id."""
     body = F.struct(*[F.col(f.name) for f in CLOSEST_RESPONSE.fields])
-    return closest.select(F.lit(RESPONSE_TOPIC).alias("topic"),
-                          F.col("request_id").cast("string").alias("key"),
-                          F.to_json(body).alias("value"))
+    return _single(closest.select(F.lit(RESPONSE_TOPIC).alias("topic"),
+                                  F.col("request_id").cast("string").alias("key"),
+                                  F.to_json(body).alias("value")))
 
 
 def overlap_response(pairs: DataFrame, max_items: int = MAX_ITEMS, key: str = "timestamp") -> DataFrame:
-    """Pairs as JSON list messages, one list per ``key`` (an instant, or a
-    request id when answering requests).
-
-    A key with more than ``max_items`` pairs is split into ``n_parts``
-    messages by a hash of the pair, so no message (and no group) grows with
-    the number of objects; ``part``/``n_parts`` let a reader put them
-    together. Items are sorted inside a message.
-    """
-    p = _parts(pairs, key, max_items, "sat_id1", "sat_id2")
+    """Pairs as JSON list messages per ``key`` (an instant, or a request id
+    when answering requests); items are sorted inside a message."""
     item = F.struct(*[F.col(f.name) for f in OVERLAP_ITEM.fields])
-    g = p.groupBy(key, "part", "n_parts").agg(F.array_sort(F.collect_list(item)).alias("_l"))
-    return g.select(F.lit(RESPONSE_TOPIC).alias("topic"),
-                    F.col(key).cast("string").alias("key"),
-                    key, "part", "n_parts", F.to_json("_l").alias("value"))
+    return _lists(pairs, key, RESPONSE_TOPIC, item, max_items, "sat_id1", "sat_id2")
 
 
-def _parts(df: DataFrame, key: str, max_items: int, *hash_cols: str) -> DataFrame:
-    """Add ``n_parts``/``part``: a group of more than ``max_items`` rows is
-    spread over parts by a hash, so no message grows with the data."""
-    n = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_items))).cast("bigint")
-    return (df.join(n, key).withColumn("n_parts", parts)
-            .withColumn("part", F.pmod(F.xxhash64(*hash_cols), F.col("n_parts"))).drop("_n"))
+def _lists(df: DataFrame, key: str, topic: str, item, max_items: int, *hash_cols: str) -> DataFrame:
+    """List messages of about ``max_items`` items: a key's rows are dealt by a
+    hash over as many messages as its count asks for, then numbered."""
+    n = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_items)).cast("bigint").alias("_n"))
+    g = (df.join(n, key).withColumn("_p", F.pmod(F.xxhash64(*hash_cols), F.col("_n")))
+         .groupBy(key, "_p").agg(F.array_sort(F.collect_list(item)).alias("_l")))
+    of_key = Window.partitionBy(key)                     # one row a message
+    return (g.withColumns({"part": (F.row_number().over(of_key.orderBy("_p")) - 1).cast("bigint"),
+                           "n_parts": F.count(F.lit(1)).over(of_key)})
+            .select(F.lit(topic).alias("topic"), F.col(key).cast("string").alias("key"),
+                    *([key] if key != "key" else []), "part", "n_parts", F.to_json("_l").alias("value")))
 
 
 def motion_request_response(answers: DataFrame, key: str = "request_id",
                             max_items: int = MAX_ITEMS) -> DataFrame:
     """Latest vector per object for each motion request, as JSON lists on
-    the motion topic (one list per request, split into parts beyond
-    ``max_items`` objects)."""
+    the motion topic."""
     item = F.struct(
         "sat_id", "satname", "velocity_kmph",
         F.struct("delta_latitude", "delta_longitude").alias("direction"),
         F.col("vector_ts").alias("timestamp"))
-    g = (_parts(answers, key, max_items, "sat_id").groupBy(key, "part", "n_parts")
-         .agg(F.array_sort(F.collect_list(item)).alias("_l")))
-    return g.select(F.lit(MOTION_TOPIC).alias("topic"), F.col(key).cast("string").alias("key"),
-                    F.to_json("_l").alias("value"))
+    return _lists(answers, key, MOTION_TOPIC, item, max_items, "sat_id").select(
+        "topic", "key", "part", "n_parts", "value")
 
 
 def motion_response(top: DataFrame, batch: str = "batch") -> DataFrame:
@@ -101,13 +101,26 @@ def motion_response(top: DataFrame, batch: str = "batch") -> DataFrame:
                                              item.alias("_i")))),
         lambda x: x["_i"])
     g = top.groupBy(batch).agg(ordered.alias("_l"))
-    return g.select(F.lit(MOTION_TOPIC).alias("topic"), F.col(batch).cast("string").alias("key"),
-                    batch, F.to_json("_l").alias("value"))
+    return _single(g.select(F.lit(MOTION_TOPIC).alias("topic"), F.col(batch).cast("string").alias("key"),
+                            batch, F.to_json("_l").alias("value")))
 
 
 def decode_responses(msgs: DataFrame, item_schema=CLOSEST_RESPONSE) -> DataFrame:
     """Response messages back to rows: a list gives one row per element, a
-    single object gives one row (an object parsed as a list is wrapped)."""
-    arr = F.from_json(F.col("value").cast("string"), ArrayType(item_schema))
-    keep = [c for c in msgs.columns if c not in ("value",)]
-    return msgs.select(*keep, F.explode(arr).alias("_r")).select(*keep, "_r.*")
+    single object one row (an object parsed as a list is wrapped). A message
+    that holds no item stays as one row with a ``reject_reason``: ``empty``
+    for ``[]``, ``unparseable`` for anything else, null values included."""
+    keep = [c for c in msgs.columns if c != "value"]
+    d = msgs.select(*keep, F.trim(F.col("value").cast("string")).alias("_v"),
+                    F.from_json(F.col("value").cast("string"), ArrayType(item_schema)).alias("_a"))
+    d = d.select(*keep, "_v", F.explode_outer("_a").alias("_r"))
+    fields = [F.col(f"_r.{f.name}").alias(f.name) for f in item_schema.fields]
+    nothing = F.coalesce(*[F.col(f"_r.{f.name}").cast("string") for f in item_schema.fields]).isNull()
+    reason = F.when(nothing, F.when(F.regexp_replace("_v", r"\s", "") == "[]", F.lit("empty")).otherwise(F.lit("unparseable")))
+    return d.select(*keep, *fields, reason.alias("reject_reason"))
+
+
+def whole_answers(msgs: DataFrame) -> DataFrame:
+    """(topic, key, n_parts, whole): whether all parts of an answer are there."""
+    return (msgs.groupBy("topic", "key").agg(F.max("n_parts").alias("n_parts"), F.count_distinct("part").alias("_got"))
+            .select("topic", "key", "n_parts", (F.col("_got") == F.col("n_parts")).alias("whole")))

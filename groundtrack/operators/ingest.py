@@ -39,37 +39,47 @@ def _position_reason() -> Column:
 def parse_positions(raw: DataFrame, offset: str | None = "offset") -> DataFrame:
     """value/topic -> position columns + ``seq`` + ``reject_reason``.
 
-    An integer ``sat_id`` in the JSON becomes its decimal string.
+    An integer ``sat_id`` in the JSON becomes its decimal string. Where the
+    source names the topic's ``partition``, ``seq`` holds it above the offset,
+    so equal offsets of two partitions stay apart.
     """
     keep = [F.col("topic")]
     if offset and offset in raw.columns:
-        keep.append(F.col(offset).alias("seq"))
+        above = F.coalesce(F.col("partition").cast("bigint"), F.lit(0)) * F.lit(1 << 48) if "partition" in raw.columns else F.lit(0)
+        keep.append((F.col(offset) + above).cast("bigint").alias("seq"))
     d = raw.select(*keep, F.from_json(_text(), POSITION).alias("_d"))
     d = d.select(*[c for c in d.columns if c != "_d"], *[F.col(f"_d.{c}").alias(c) for c in POSITION_FIELDS])
     return d.withColumn("reject_reason", _position_reason())
 
 
 def parse_requests(raw: DataFrame, offset: str | None = "offset") -> DataFrame:
-    """value -> request columns; the source offset becomes ``request_id``.
+    """value -> request columns and ``request_id``: the source offset, or
+    ``topic:partition:offset`` as text where the source names partitions (an
+    offset alone is not unique then).
 
     Unknown keys (the null unprefixed ``latitude``/``longitude`` that the
     client always sends) are dropped by the schema.
     """
     has_id = bool(offset) and offset in raw.columns
-    keep = [F.col(offset).alias("request_id")] if has_id else []
+    name = F.col(offset) if has_id else None
+    if has_id and "partition" in raw.columns:
+        name = F.when(F.col("partition").isNull(), F.col(offset).cast("string")).otherwise(
+            F.concat_ws(":", "topic", F.col("partition").cast("string"), F.col(offset).cast("string")))
+    keep = [name.alias("request_id")] if has_id else []
     d = raw.select(*keep, F.from_json(_text(), REQUEST).alias("_d"))
     ids = ["request_id"] if has_id else []
     return d.select(*ids, *[F.col(f"_d.{c}").alias(c) for c in REQUEST_FIELDS])
 
 
 def validate_requests(reqs: DataFrame) -> DataFrame:
-    """Add ``reject_reason``: a choice outside 1..3, or a closest-object
-    request without a numeric observer location."""
+    """Add ``reject_reason``: a choice outside 1..3, a closest-object request
+    without a numeric observer location, or no time to answer as of."""
     c = F.col("choice_id")
     reason = (F.when(c.isNull(), F.lit("missing_choice"))
               .when(~c.isin(*VALID_CHOICES), F.lit("invalid_choice"))
               .when((c == 3) & (F.col("obs_latitude").isNull() | F.col("obs_longitude").isNull()),
-                    F.lit("missing_location")))
+                    F.lit("missing_location"))
+              .when(F.col("timestamp").isNull(), F.lit("missing_timestamp")))
     return reqs.withColumn("reject_reason", reason)
 
 

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from groundtrack.functions.geo import haversine_km
 from groundtrack.params import LOOKBACK_S, MOTION_CHUNK_S, MOTION_TOP_N
 
+NO_SEQ = -(1 << 63)
 _ME = "struct<satname:string,latitude:double,longitude:double,timestamp:bigint,seq:bigint>"
 
 
@@ -66,11 +67,16 @@ def motion_vectors(fixes: DataFrame, lookback_s: int = LOOKBACK_S,
          .withColumn("_p", F.last("_f", ignorenulls=True).over(w))
          .where(F.col("_kind") == 1).select("sat_id", "_me.*", "_p"))
     x = x.where((F.col("_p.t") < F.col("timestamp"))
-                | ((F.col("_p.t") == F.col("timestamp")) & (F.col("_p.s") < F.col("seq"))))
+                | ((F.col("_p.t") == F.col("timestamp")) & (_known(F.col("_p.s")) < _known(F.col("seq")))))
     return x.select("sat_id", "satname", "timestamp", "seq",
                     *vector_columns("_p.t", "_p.lat", "_p.lon", digits=digits))
 
 
+def _known(seq):
+    """A missing offset comes before every offset of its second."""
+    return F.coalesce(seq, F.lit(NO_SEQ))
+
+
 def vector_columns(prev_t: str, prev_lat: str, prev_lon: str, digits: bool = True) -> list:
     """``prev_timestamp``, ``velocity_kmph``, ``delta_latitude`` and
     ``delta_longitude`` of a fix (``timestamp``, ``latitude``, ``longitude``)
@@ -88,11 +94,12 @@ def vector_columns(prev_t: str, prev_lat: str, prev_lon: str, digits: bool = Tru
 
 
 def motion_top(vectors: DataFrame, batch: str, n: int = MOTION_TOP_N) -> DataFrame:
-    """The first ``n`` vectors of each batch in arrival order ``(ts, seq)``.
+    """The first ``n`` vectors of each batch in arrival order ``(ts, seq)``;
+    objects that share both (offsets count per topic) go by id.
 
     ``row_number() <= n`` lets Spark insert a group limit before the shuffle
     (WindowGroupLimit), so a hot batch ships at most ``n`` rows per task.
     """
-    w = Window.partitionBy(batch).orderBy("timestamp", "seq")
+    w = Window.partitionBy(batch).orderBy("timestamp", "seq", "sat_id")
     return (vectors.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= n))

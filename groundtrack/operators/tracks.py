@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundtrack.operators.windows import track_retention
-from groundtrack.params import HISTORY_SAT_ID, MIN_TRACK_POINTS, RETAIN_S, SAT_IDS
+from groundtrack.params import HISTORY_SAT_ID, MAP_TITLE, MIN_TRACK_POINTS, POPUP, RETAIN_S, SAT_IDS
 
 POINT = ("window_start", "window_end", "timestamp", "latitude", "longitude")
 
@@ -105,6 +105,13 @@ def hhmm(epoch_s) -> Column:
                            F.floor(F.pmod(c, F.lit(3600)) / 60).cast("int"))
 
 
+def date_time(epoch_s) -> Column:
+    """``YYYY-MM-DD HH:MM:SS`` (UTC) of epoch seconds, without the session zone."""
+    c = F.col(epoch_s) if isinstance(epoch_s, str) else epoch_s
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(c / 86400).cast("int"))
+    return F.concat(day.cast("string"), F.lit(" "), hhmm(c), F.format_string(":%02d", F.pmod(c, F.lit(60)).cast("int")))
+
+
 def track_labels(tr: DataFrame, windows: DataFrame) -> DataFrame:
     """Text of the map: the end-marker popup of each track
     ('<name> (ID: <id>)' and the 'HH:MM to HH:MM' window of its last point)
@@ -114,6 +121,6 @@ def track_labels(tr: DataFrame, windows: DataFrame) -> DataFrame:
     hi = windows.agg(F.max("window_end")).scalar()
     return tr.select(
         "sat_id",
-        F.format_string("%s (ID: %s)", F.col("satname"), F.col("sat_id")).alias("popup"),
+        F.format_string(POPUP, F.col("satname"), F.col("sat_id")).alias("popup"),
         F.concat(hhmm(last["window_start"]), F.lit(" to "), hhmm(last["window_end"])).alias("window_label"),
-        F.concat(F.lit("Satellite Tracking - "), hhmm(lo), F.lit(" to "), hhmm(hi)).alias("title"))
+        F.concat(F.lit(MAP_TITLE), hhmm(lo), F.lit(" to "), hhmm(hi)).alias("title"))

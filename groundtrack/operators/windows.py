@@ -98,6 +98,14 @@ def track_retention(windows: DataFrame, now_s, retain_s: int = RETAIN_S) -> Data
     return windows.where(now - F.col("window_end") <= F.lit(int(retain_s)))
 
 
+def recent_fixes(fixes: DataFrame, now_s, retain_s: int = RETAIN_S, window: str = WINDOW) -> DataFrame:
+    """The fixes that windows kept by ``track_retention`` can hold. Filtering
+    here, before the windows, lets row groups and folders be skipped and
+    keeps older fixes out of every shuffle."""
+    now = now_s if isinstance(now_s, Column) else F.lit(int(now_s))
+    return fixes.where(F.col("timestamp") >= now - F.lit(int(retain_s) + _seconds(window)))
+
+
 def data_now(fixes: DataFrame, col: str = "timestamp") -> Column:
     """The greatest timestamp of ``fixes`` as a scalar subquery column: a
     deterministic stand-in for the wall clock on recorded data."""
@@ -117,7 +125,7 @@ def _sliding_by_slot(fixes: DataFrame, window_s: int, slide_s: int) -> DataFrame
     """
     n = window_s // slide_s
     slot = F.floor(F.col("timestamp") / F.lit(slide_s)).cast("bigint")
-    per_slot = (fixes.withColumn("_k", order_key()).withColumn("_slot", slot)
+    per_slot = (fixes.where(F.col("timestamp").isNotNull()).withColumn("_k", order_key()).withColumn("_slot", slot)
                 .groupBy("sat_id", "satname", "_slot")
                 .agg(F.max_by("latitude", "_k").alias("latitude"),
                      F.max_by("longitude", "_k").alias("longitude"),

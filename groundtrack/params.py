@@ -25,6 +25,8 @@ REQUEST_TOPIC = "observer_location"
 RESPONSE_TOPIC = "observer_response"
 MOTION_TOPIC = "motion_vector_response"
 UNKNOWN_NAME = "Unknown"          # satname when the API document has none
+MAP_TITLE = "Satellite Tracking - "   # map title, before the time range
+POPUP = "%s (ID: %s)"             # end-marker popup: name and id
 # request choice -> action
 ACTIONS = {1: "motion_vector", 2: "overlap", 3: "closest", 4: "exit"}
 UNKNOWN_ACTION = "unknown"
@@ -32,5 +34,5 @@ VALID_CHOICES = (1, 2, 3)
 # --- end of fixed values ----------------------------------------------------
 
 # Our own defaults (not from the original application).
-ASOF_LOOKBACK_S = 3600            # closest / as-of: how old a fix may be
+ASOF_BUCKET_S = 3600              # closest / as-of: width of a time bucket (not a bound on age)
 MOTION_CHUNK_S = 21600            # time chunk that splits one object's history

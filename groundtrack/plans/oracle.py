@@ -7,13 +7,20 @@ Spark plans. Column names and types match ``queries.py``.
 
 from __future__ import annotations
 
-from groundtrack.functions.geo import haversine_sql
 from groundtrack.params import OBSERVER, SAT_IDS
 
 _IDS = "[" + ", ".join(f"'{s}'" for s in SAT_IDS) + "]"
 D = "CAST({} AS DOUBLE)".format
 
 
+def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    """Great-circle distance in km on a sphere of 6371 km."""
+    p1, p2 = f"radians({lat1})", f"radians({lat2})"
+    a = (f"(sin(({p2} - {p1}) / 2) * sin(({p2} - {p1}) / 2) + cos({p1}) * cos({p2}) * "
+         f"sin((radians({lon2}) - radians({lon1})) / 2) * sin((radians({lon2}) - radians({lon1})) / 2))")
+    return f"(12742.0 * atan2(sqrt({a}), sqrt(greatest(1.0 - {a}, 0.0))))"
+
+
 def _pos(k: str, tick: str, ts: str, sat_id: str) -> str:
     return f"""SELECT {sat_id} AS sat_id, 'Sat ' || {sat_id} AS satname,
       CAST((({tick}) * 37 + ({k}) * 2900) % 16000 AS DOUBLE) / 100 - 80 AS latitude,
@@ -59,7 +66,8 @@ def overlap_sql(src: str) -> str:
           FROM {src} a JOIN {src} b ON a.timestamp = b.timestamp AND a.sat_id < b.sat_id) p"""
 
 
-def asof_sql(choice: int, lookback: int = 3600) -> str:
+def asof_sql(choice: int, lookback: int | None = None) -> str:
+    since = f"f.timestamp >= r.timestamp - {lookback} AND " if lookback else ""
     return f"""asof_rows AS (SELECT request_id, request_ts, obs_latitude, obs_longitude, sat_id, satname,
            latitude, longitude, fix_ts, fix_seq FROM (
       SELECT r.request_id, r.timestamp AS request_ts, r.obs_latitude, r.obs_longitude,
@@ -67,7 +75,7 @@ def asof_sql(choice: int, lookback: int = 3600) -> str:
              row_number() OVER (PARTITION BY r.request_id, f.sat_id
                                 ORDER BY f.timestamp DESC, f.seq DESC) AS rn
       FROM requests r JOIN irregular f
-        ON f.timestamp BETWEEN r.timestamp - {lookback} AND r.timestamp
+        ON {since}f.timestamp <= r.timestamp
       WHERE r.choice_id = {choice}) x WHERE rn = 1)"""
 
 
@@ -118,6 +126,7 @@ ORACLE: dict[str, str] = {
         timestamp FROM (SELECT *, row_number() OVER (PARTITION BY sat_id
         ORDER BY timestamp DESC, seq DESC) AS rn FROM irregular) x WHERE rn = 1""",
     "asof_positions": with_(IRREGULAR, REQUESTS, asof_sql(3)) + "SELECT * FROM asof_rows",
+    "asof_positions_1h": with_(IRREGULAR, REQUESTS, asof_sql(3, 3600)) + "SELECT * FROM asof_rows",
     "closest_satellite": with_(IRREGULAR, REQUESTS, asof_sql(3)) + f"""SELECT request_id, satname, sat_id,
         latitude, longitude, round(d, 2) AS distance_km, obs_latitude AS observer_lat,
         obs_longitude AS observer_lon, request_ts AS timestamp, fix_ts FROM (
@@ -167,6 +176,7 @@ _ACTION = """CASE choice_id WHEN 1 THEN 'motion_vector' WHEN 2 THEN 'overlap' WH
         WHEN 4 THEN 'exit' ELSE 'unknown' END"""
 _CLOSEST = ORACLE["closest_satellite"]
 ORACLE["closest_satellite_grid"] = _CLOSEST
+ORACLE["closest_satellite_1h"] = _CLOSEST.replace("ON f.timestamp <=", "ON f.timestamp >= r.timestamp - 3600 AND f.timestamp <=")
 
 _HHMM = "printf('%02d:%02d', CAST(({0}) % 86400 // 3600 AS INTEGER), CAST(({0}) % 3600 // 60 AS INTEGER))".format
 
@@ -176,7 +186,7 @@ ORACLE.update({
           SELECT r.request_id, r.timestamp, v.sat_id, v.satname, v.velocity_kmph, v.delta_latitude,
                  v.delta_longitude, v.timestamp AS vector_ts,
                  row_number() OVER (PARTITION BY r.request_id, v.sat_id ORDER BY v.timestamp DESC, v.seq DESC) AS rn
-          FROM requests r JOIN mv v ON v.timestamp BETWEEN r.timestamp - 3600 AND r.timestamp
+          FROM requests r JOIN mv v ON v.timestamp <= r.timestamp
           WHERE r.choice_id = 1) x WHERE rn = 1""",
     "overlap_answers": with_(IRREGULAR, REQUESTS, asof_sql(2)) + """SELECT request_id, timestamp,
         round(d, 2) AS distance_km, d < 5000.0 AS overlap,
@@ -208,6 +218,7 @@ ORACLE.update({
     "validate_requests": f"""SELECT request_id, choice_id, obs_latitude, obs_longitude,
         CASE WHEN choice_id IS NULL THEN 'missing_choice' WHEN choice_id NOT IN (1, 2, 3) THEN 'invalid_choice'
              WHEN choice_id = 3 AND (obs_latitude IS NULL OR obs_longitude IS NULL) THEN 'missing_location'
+             WHEN timestamp IS NULL THEN 'missing_timestamp'
         END AS reject_reason FROM ({_RAWREQ}) r""",
     "route_requests": f"SELECT request_id, choice_id, {_ACTION} AS action FROM ({_RAWREQ}) r",
     "route_counts": f"""SELECT {_ACTION} AS action, count(*) AS n_requests FROM ({_RAWREQ}) r
@@ -227,8 +238,9 @@ ORACLE.update({
         CAST(7 AS BIGINT) AS n_keys, obs_latitude, obs_longitude, altitude, timestamp, choice_id FROM requests""",
     "closest_response": f"""SELECT 'observer_response' AS topic, request_id, satname, sat_id, latitude,
         longitude, distance_km, observer_lat, observer_lon, timestamp FROM ({_CLOSEST}) c""",
-    "decode_responses": f"""SELECT 'observer_response' AS topic, request_id, satname, sat_id, latitude,
-        longitude, distance_km, observer_lat, observer_lon, timestamp FROM ({_CLOSEST}) c""",
+    "decode_responses": f"""SELECT 'observer_response' AS topic, request_id, CAST(0 AS BIGINT) AS part,
+        CAST(1 AS BIGINT) AS n_parts, satname, sat_id, latitude, longitude, distance_km, observer_lat, observer_lon,
+        timestamp, CAST(NULL AS VARCHAR) AS reject_reason FROM ({_CLOSEST}) c""",
     "overlap_response": f"""SELECT CAST(1 AS BIGINT) AS n_parts, timestamp, satname1, satname2, distance_km,
         overlap, overlap_km, lat1, lon1, lat2, lon2 FROM ({ORACLE['coverage_overlap']}) o""",
     "motion_response": f"""SELECT batch, rank - 1 AS item_index, sat_id, satname, velocity_kmph,
@@ -240,16 +252,35 @@ ORACLE.update({
 # nothing late), so the batch SQL is their oracle as well.
 ORACLE.update({
     "scan_positions": ORACLE["parse_positions"],
-    "scan_requests": f"""SELECT request_id, obs_latitude, obs_longitude, altitude, timestamp, choice_id,
+    "scan_requests": f"""SELECT CAST(request_id AS VARCHAR) AS request_id, obs_latitude, obs_longitude, altitude, timestamp, choice_id,
         CASE WHEN choice_id IS NULL THEN 'missing_choice' WHEN choice_id NOT IN (1, 2, 3) THEN 'invalid_choice'
              WHEN choice_id = 3 AND (obs_latitude IS NULL OR obs_longitude IS NULL) THEN 'missing_location'
+             WHEN timestamp IS NULL THEN 'missing_timestamp'
         END AS reject_reason, {_ACTION} AS action FROM ({_RAWREQ}) r""",
     "history_append": with_(TICKS) + """SELECT satname, latitude, longitude, timestamp, seq
         FROM ticks WHERE sat_id = '49810'""",
-    "motion_stream": with_(TICKS, motion_sql("ticks")) + "SELECT *, false AS late FROM mv",
+    "motion_stream": with_(TICKS, motion_sql("ticks")) + "SELECT * FROM mv",
     "snapshot_stream": ORACLE["latest_positions"],
-    "closest_stream": f"""SELECT 'observer_response' AS topic, CAST(request_id AS VARCHAR) AS key, satname,
-        sat_id, latitude, longitude, distance_km, observer_lat, observer_lon, timestamp FROM ({_CLOSEST}) c""",
+    "closest_stream": f"""SELECT 'observer_response' AS topic, CAST(request_id AS VARCHAR) AS key, CAST(0 AS BIGINT) AS part,
+        CAST(1 AS BIGINT) AS n_parts, satname, sat_id, latitude, longitude, distance_km, observer_lat, observer_lon,
+        timestamp, CAST(NULL AS VARCHAR) AS reject_reason FROM ({_CLOSEST}) c""",
+    "motion_stream_late": with_(TICKS, motion_sql("ticks")) + "SELECT * FROM mv",
+    # every object is polled each 18 s, so its last fix is at most that old
+    "answers_whole": with_(ticks_n(60, "t60"), """seen AS (SELECT * FROM (
+        SELECT f.*, r.timestamp AS ask, row_number() OVER (PARTITION BY r.timestamp, sat_id ORDER BY f.timestamp DESC) AS rn
+        FROM (SELECT DISTINCT timestamp FROM t60) r JOIN t60 f ON f.timestamp IN (r.timestamp, r.timestamp - 18)) x WHERE rn = 1)""") + """SELECT 'r' || timestamp AS key, CAST(ceil(count(*) / 1000) AS BIGINT) AS n_parts,
+        CAST(ceil(count(*) / 1000) AS BIGINT) AS parts_seen, count(*) AS n_pairs, count(*) FILTER (overlap) AS n_overlap,
+        max(distance_km) AS farthest_km, CAST(0 AS BIGINT) AS n_rejected FROM (
+        SELECT r.timestamp, round(d, 2) AS distance_km, d < 5000.0 AS overlap FROM (
+          SELECT a.ask AS timestamp, """ + haversine_sql("a.latitude", "a.longitude", "b.latitude", "b.longitude") + """ AS d
+          FROM seen a JOIN seen b ON a.ask = b.ask AND a.timestamp = b.timestamp AND a.sat_id < b.sat_id) r) o GROUP BY timestamp""",
+    "closest_mixed_ids": with_(IRREGULAR, REQUESTS) + f"""SELECT 'observer_location:' || (request_id % 2) || ':' || (request_id // 2) AS key,
+        ids AS sat_id, round(d, 2) AS distance_km, request_ts AS timestamp FROM (
+          SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY d, ids) AS rk FROM (
+            SELECT r.request_id, r.timestamp AS request_ts, f.ids, {haversine_sql('r.obs_latitude', 'r.obs_longitude', 'f.latitude', 'f.longitude')} AS d,
+                   row_number() OVER (PARTITION BY r.request_id, f.ids ORDER BY f.timestamp DESC, f.seq DESC) AS rn
+            FROM requests r JOIN (SELECT *, ['7', '007', '10', '9', 'A1'][list_position({_IDS}, sat_id)] AS ids FROM irregular) f ON f.timestamp <= r.timestamp
+            WHERE r.choice_id = 3) x WHERE rn = 1) z WHERE rk = 1""",
     "sliding_stream": ORACLE["sliding_positions"],
     "stream_batch_parity": with_(TICKS, RETAINED_TICKS) + """SELECT DISTINCT sat_id, n_points AS batch_points,
         n_points AS stream_points, true AS same_path FROM pts WHERE n_points >= 2""",

@@ -78,6 +78,17 @@ def q_asof_positions(spark, sf_dir):
     return asof.asof_positions(_choice(spark, sf_dir, 3), fx.irregular(spark, sf_dir))
 
 
+@register("asof_positions_1h")
+def q_asof_positions_1h(spark, sf_dir):
+    """The bounded form: fixes older than an hour are not seen."""
+    return asof.asof_positions(_choice(spark, sf_dir, 3), fx.irregular(spark, sf_dir), lookback_s=3600)
+
+
+@register("closest_satellite_1h")
+def q_closest_satellite_1h(spark, sf_dir):
+    return asof.closest_satellite(_choice(spark, sf_dir, 3), fx.irregular(spark, sf_dir), lookback_s=3600)
+
+
 @register("closest_satellite")
 def q_closest_satellite(spark, sf_dir):
     return asof.closest_satellite(_choice(spark, sf_dir, 3), fx.irregular(spark, sf_dir))
@@ -85,8 +96,8 @@ def q_closest_satellite(spark, sf_dir):
 
 @register("closest_satellite_grid")
 def q_closest_satellite_grid(spark, sf_dir):
-    """Same answers through the exact grid pre-filter (for many objects)."""
-    return asof.closest_satellite(_choice(spark, sf_dir, 3), fx.irregular(spark, sf_dir), cell_deg=15)
+    """Same answers through a coarser grid."""
+    return asof.closest_satellite(_choice(spark, sf_dir, 3), fx.irregular(spark, sf_dir), cell_deg=30)
 
 
 @register("snapshot_complete")
@@ -135,12 +146,14 @@ def q_sliding_positions(spark, sf_dir):
 @register("track_retention")
 def q_track_retention(spark, sf_dir):
     f = fx.irregular(spark, sf_dir)
-    return windows.track_retention(windows.sliding_positions(f), windows.data_now(f))
+    now = windows.data_now(f)
+    return windows.track_retention(windows.sliding_positions(windows.recent_fixes(f, now)), now)
 
 
 def _ticks_windows(spark, sf_dir):
     f = fx.ticks(spark, sf_dir)
-    return windows.sliding_positions(f), windows.data_now(f)
+    now = windows.data_now(f)
+    return windows.sliding_positions(windows.recent_fixes(f, now)), now
 
 
 def _retained_ticks(spark, sf_dir):

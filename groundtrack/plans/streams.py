@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundtrack.operators import codecs, ingest, tracks as trk, windows
-from groundtrack.params import RETAIN_S
+from groundtrack.params import RETAIN_S, SAT_IDS
+from groundtrack.schemas import OVERLAP_ITEM
 from groundtrack.session import checkpoint_path
 from groundtrack.sources import fixtures as fx
 from groundtrack.streaming import sinks, sources, state
@@ -126,7 +127,19 @@ def motion_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = run_dir(spark, "motion_stream")
     s = state.motion_stream(_positions_stream(spark, stage(encode_raw(fx.ticks(spark, sf_dir)), f"{d}/in")))
     _drain(sinks.start(s, f"{d}/ckpt", fmt="parquet", path=f"{d}/out", trigger={"availableNow": True}))
-    return spark.read.parquet(f"{d}/out")
+    return spark.read.parquet(f"{d}/out").drop("revision")
+
+
+def motion_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Input out of order: within blocks of 40 polls the second half comes
+    first. The last revision of each vector equals the batch result."""
+    d = run_dir(spark, "motion_stream_late")
+    half = F.expr("(offset div 100) % 2")
+    raw = encode_raw(fx.ticks(spark, sf_dir)).withColumn("arrival", F.col("offset") + F.when(half == 0, 100).otherwise(-100))
+    src = stage(raw, f"{d}/in", order="arrival")
+    s = state.motion_stream(_positions_stream(spark, src), watermark="1 day")
+    _drain(sinks.start(s, f"{d}/ckpt", fmt="parquet", path=f"{d}/out", trigger={"availableNow": True}))
+    return state.last_revision(spark.read.parquet(f"{d}/out"))
 
 
 def snapshot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,11 +164,45 @@ def closest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     req = ingest.parse_requests(staged_stream(spark, req_src))
     _drain(sinks.start(req, f"{d}/ckpt_req", trigger={"availableNow": True},
                        foreach_batch=lambda b, i: state.answer_requests(b, i, f"{d}/hist", f"{d}/resp")))
-    resp = spark.read.parquet(f"{d}/resp").drop("batch_id")
+    resp = state.read_messages(spark, f"{d}/resp").drop("batch_id")
     return codecs.decode_responses(resp.where(F.col("topic") == "observer_response")
                                    .where(F.col("value").startswith("{")))
 
 
+def answers_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlap answers of 60 objects (1,770 pairs, more than one message
+    holds) through the request job and the decoder: one request per poll."""
+    d = run_dir(spark, "answers_whole")
+    fixes = fx.ticks_n(spark, sf_dir, 60)
+    sinks.history_append(fixes, 0, f"{d}/hist", sat_id=None)
+    reqs = fixes.select("timestamp").distinct().select(
+        F.concat(F.lit("r"), F.col("timestamp").cast("string")).alias("request_id"), F.lit(0.0).alias("obs_latitude"),
+        F.lit(0.0).alias("obs_longitude"), F.lit(0.0).alias("altitude"), "timestamp", F.lit(2).alias("choice_id"))
+    msgs = state.answer_requests(reqs, 0, f"{d}/hist", f"{d}/resp")
+    items = codecs.decode_responses(msgs.select("key", "part", "n_parts", "value"), OVERLAP_ITEM)
+    return items.groupBy("key").agg(
+        F.max("n_parts").alias("n_parts"), F.count_distinct("part").alias("parts_seen"), F.count("satname1").alias("n_pairs"),
+        F.count_if("overlap").alias("n_overlap"), F.round(F.max("distance_km"), 2).alias("farthest_km"),
+        F.count("reject_reason").alias("n_rejected"))
+
+
+MIXED_IDS = ("7", "007", "10", "9", "A1")
+
+
+def closest_mixed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that look alike as numbers, two partitions with equal offsets: fixes
+    through the archive, every request answered on its own."""
+    d = run_dir(spark, "closest_mixed_ids")
+    ids = F.create_map(*[F.lit(x) for pair in zip(SAT_IDS, MIXED_IDS) for x in pair])
+    fixes = fx.irregular(spark, sf_dir).withColumn("sat_id", ids[F.col("sat_id")])
+    sinks.history_append(fixes, 0, f"{d}/hist", sat_id=None)
+    raw = fx.raw_requests(spark, sf_dir).withColumns({
+        "partition": (F.col("offset") % 2).cast("int"), "offset": F.expr("offset div 2")})
+    state.answer_requests(ingest.parse_requests(raw), 0, f"{d}/hist", f"{d}/resp")
+    closest = state.read_messages(spark, f"{d}/resp").where(F.col("topic") == "observer_response").where(F.col("value").startswith("{"))
+    return codecs.decode_responses(closest.select("key", "value")).select("key", "sat_id", "distance_km", "timestamp")
+
+
 def sliding_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sliding windows on event time with a watermark, update mode; each
     batch's updates are kept under its ``batch_id`` and the final value of a
@@ -207,6 +254,9 @@ STREAM_QUERIES = {
     "scan_requests": scan_requests,
     "history_append": history_append,
     "motion_stream": motion_stream,
+    "motion_stream_late": motion_stream_late,
+    "answers_whole": answers_whole,
+    "closest_mixed_ids": closest_mixed_ids,
     "snapshot_stream": snapshot_stream,
     "closest_stream": closest_stream,
     "sliding_stream": sliding_stream,

@@ -11,21 +11,27 @@ when ``servers`` is given, to the response topics through the broker sink
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundtrack.operators import codecs, ingest, motion, tracks as trk, windows
+from groundtrack.operators import asof, codecs, ingest, motion, tracks as trk, windows
 from groundtrack.params import LOOKBACK_S, MOTION_TOP_N, RETAIN_S, SLIDE, WATERMARK, WINDOW
 from groundtrack.streaming import sinks, state
 
 
 def publish(msgs: DataFrame, servers: str | None) -> None:
-    """Send ``topic, key, value`` rows to the broker (batch write inside
-    ``foreachBatch``); no-op without ``servers``."""
+    """Send messages to the broker (batch write inside ``foreachBatch``), with
+    ``part`` and ``n_parts`` as headers; no-op without ``servers``."""
     if servers:
-        (msgs.select("topic", "key", "value").write.format("kafka")
-         .option("kafka.bootstrap.servers", servers).save())
+        to_broker(msgs).write.format("kafka").option("kafka.bootstrap.servers", servers).option("includeHeaders", "true").save()
+
+
+def to_broker(msgs: DataFrame) -> DataFrame:
+    """Messages as a broker takes them."""
+    headers = F.array(*(F.struct(F.lit(c).alias("key"), F.col(c).cast("string").cast("binary").alias("value")) for c in ("part", "n_parts")))
+    return msgs.select("topic", "key", "value", headers.alias("headers"))
 
 
 def _keep(df: DataFrame, batch_id: int, path: str) -> None:
@@ -57,7 +63,8 @@ def start_positions(raw: DataFrame, root: str, archive_sat_id: str | None = None
 
 
 def start_requests(raw: DataFrame, root: str, servers: str | None = None,
-                   trigger: dict | None = None, cell_deg: int | None = None):
+                   trigger: dict | None = None, cell_deg: int = asof.CELL_DEG,
+                   lookback_s: int | None = None, required_satellites: int | None = None):
     """Answer observer requests from the archive written by
     ``start_positions`` (closest, overlap, motion); responses kept under
     ``root/responses`` and published when ``servers`` is set; requests that
@@ -66,10 +73,11 @@ def start_requests(raw: DataFrame, root: str, servers: str | None = None,
     out = os.path.join(root, "responses")
 
     def answer(b, i):
-        state.answer_requests(b, i, os.path.join(root, "archive"), out,
-                              rejected=os.path.join(root, "rejected_requests"), cell_deg=cell_deg)
-        if servers:
-            publish(b.sparkSession.read.parquet(out).where(F.col("batch_id") == int(i)), servers)
+        sent = state.answer_requests(b, i, os.path.join(root, "archive"), out, lookback_s=lookback_s,
+                                     rejected=os.path.join(root, "rejected_requests"), cell_deg=cell_deg,
+                                     required_satellites=required_satellites)
+        if sent is not None:
+            publish(sent, servers)
 
     return sinks.start(reqs, os.path.join(root, "_ckpt_requests"), foreach_batch=answer, trigger=trigger)
 
@@ -86,7 +94,7 @@ def start_motion(raw: DataFrame, root: str, servers: str | None = None,
     def emit(b, i):
         b.persist()
         _keep(b, i, os.path.join(root, "vectors"))
-        top = motion.motion_top(b.where(~F.col("late")).withColumn("batch", F.lit(int(i))), "batch", top_n)
+        top = motion.motion_top(b.withColumn("batch", F.lit(int(i))), "batch", top_n)
         msgs = codecs.motion_response(top)
         _keep(msgs, i, os.path.join(root, "motion_messages"))
         publish(msgs, servers)
@@ -97,42 +105,60 @@ def start_motion(raw: DataFrame, root: str, servers: str | None = None,
 
 def start_tracks(raw: DataFrame, root: str, window: str = WINDOW, slide: str = SLIDE,
                  watermark: str = WATERMARK, trigger: dict | None = None, redraw: bool = True,
-                 retain_s: int = RETAIN_S, final_only: bool = False):
+                 retain_s: int = RETAIN_S, final_only: bool = False, redraw_every_s: float = 0,
+                 arrival_time: bool = False):
     """Sliding windows of the position stream; each batch's rows are kept
     under (hour of window end, ``batch_id``). Update mode (live windows,
     revised as fixes arrive) by default; ``final_only`` writes each window
     once, when the watermark has passed it (append mode, reduced per slot
     first). With ``redraw`` every micro-batch also rewrites ``root/map``:
     the tracks of the retained windows as GeoJSON plus their labels - the
-    live map. It reads only the hour partitions the retention can reach."""
+    live map, a new version each time (``state.read_snapshot``), at most every
+    ``redraw_every_s`` seconds; only a batch with rows starts that clock. It
+    reads only the hour partitions the retention can reach. With
+    ``arrival_time`` windows go by when a fix is read, as in the original."""
     ok, _ = ingest.split(ingest.parse_positions(ingest.topic_filter(raw)))
-    w = windows.sliding_positions(ok, window, slide, watermark=watermark, final_only=final_only)
+    w = windows.sliding_positions(ok, window, slide, watermark=watermark, final_only=final_only, arrival_time=arrival_time)
     win_path, map_path = os.path.join(root, "windows"), os.path.join(root, "map")
 
+    drawn_at = [float("-inf")]
+
     def keep(b, i):
-        (b.withColumn("end_hour", F.floor(F.col("window_end") / 3600).cast("bigint"))
-         .withColumn("batch_id", F.lit(int(i))).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("end_hour", "batch_id").parquet(win_path))
-        if not redraw:
+        b = b.persist()          # a stateful batch: evaluated once for all that follows
+        try:
+            (b.withColumn("end_hour", F.floor(F.col("window_end") / 3600).cast("bigint"))
+             .withColumn("batch_id", F.lit(int(i))).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("end_hour", "batch_id").parquet(win_path))
+            if not redraw or time.monotonic() - drawn_at[0] < redraw_every_s:
+                return
+            latest = b.agg(F.max("timestamp")).first()[0]
+        finally:
+            b.unpersist()
+        if latest is None:
             return
-        now = b.agg(F.max("timestamp")).first()[0]
-        if now is None:
-            return
-        recent = read_windows(b.sparkSession, root, since_s=int(now) - int(retain_s))
-        tr = trk.tracks(recent, int(now), retain_s)
+        spark = b.sparkSession
+        drawn_at[0] = time.monotonic()
+        # an old batch never turns the clock back
+        now = max(int(latest), read_windows(spark, root, since_s=int(latest)).agg(F.max("timestamp")).first()[0] or 0)
+        recent = read_windows(spark, root, since_s=now - int(retain_s))
+        tr = trk.tracks(recent, now, retain_s)
         drawn = trk.track_geojson(tr).join(
-            trk.track_labels(tr, windows.track_retention(recent, int(now), retain_s)), "sat_id")
-        drawn.withColumn("batch_id", F.lit(int(i))).write.mode("overwrite").parquet(map_path)
+            trk.track_labels(tr, windows.track_retention(recent, now, retain_s)), "sat_id")
+        state.write_snapshot(drawn.withColumn("batch_id", F.lit(int(i))), i, map_path)
 
     return sinks.start(w, os.path.join(root, "_ckpt_tracks"), mode="append" if final_only else "update",
                        foreach_batch=keep, trigger=trigger)
 
 
+WINDOWS = ("window_start bigint, window_end bigint, sat_id string, satname string, latitude double, longitude double, "
+           "timestamp bigint, end_hour bigint, batch_id bigint")
+
+
 def read_windows(spark, root: str, since_s: int | None = None) -> DataFrame:
     """Final value of every window written by ``start_tracks`` (the last
     update of each); ``since_s`` keeps windows ending at or after it and
     prunes the hour partitions before that."""
-    u = spark.read.parquet(os.path.join(root, "windows"))
+    u = spark.read.schema(WINDOWS).parquet(os.path.join(root, "windows"))
     if since_s is not None:
         u = u.where((F.col("end_hour") >= since_s // 3600) & (F.col("window_end") >= since_s))
     last = u.groupBy("window_start", "window_end", "sat_id", "satname").agg(

@@ -10,31 +10,70 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from groundtrack.functions.ordering import order_key
 from groundtrack.params import HISTORY_SAT_ID
+from groundtrack.schemas import POSITION
+
+
+DAY_S = 86400
+SPREAD_S = 21600            # an object's fixes of a day are written by several tasks
+ARCHIVE = T.StructType([*POSITION.fields, T.StructField("seq", T.LongType()), T.StructField("topic", T.StringType()),
+                        T.StructField("day", T.LongType()), T.StructField("batch_id", T.LongType())])
+TAILS = "_last"             # beside the archive's folder: last fix per object, day and batch
 
 
 def history_append(batch: DataFrame, batch_id: int, path: str,
                    sat_id: str | None = HISTORY_SAT_ID) -> None:
     """Append (accepted) fixes of one micro-batch to the history table.
 
-    Parquet partitioned by ``sat_id`` (a history read for one object prunes
-    to its folder) and by ``batch_id``; dynamic partition overwrite makes a
-    retried batch replace its own files instead of duplicating them.
-    ``sat_id`` limits the archive to one object as the original does; None
-    archives all.
+    Parquet partitioned by ``day`` of the fix and ``batch_id``, so a read of a
+    time range opens the folders of that range only; dynamic partition
+    overwrite makes a retried batch replace its own files. Rows are dealt by
+    time of day and object, so a busy day is written by several tasks. Beside it
+    (``path`` + ``_last``) goes the last fix per object and day: all that a
+    later lookup needs of a day it does not read. ``sat_id`` limits the
+    archive to one object as the original does; None archives all.
     """
     rows = batch if sat_id is None else batch.where(F.col("sat_id") == F.lit(sat_id))
-    # one file per object per batch (a micro-batch-sized shuffle) instead of
-    # one per task and object: keeps the archive's file count down
-    (rows.repartition("sat_id").withColumn("batch_id", F.lit(int(batch_id)))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("sat_id", "batch_id").parquet(path))
-
-
-def read_history(spark, path: str) -> DataFrame:
-    """The archived fixes (``batch_id`` dropped)."""
-    return spark.read.parquet(path).drop("batch_id")
+    for f in ARCHIVE.fields[:-2]:
+        if f.name not in rows.columns:
+            rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
+    rows = (rows.withColumns({"day": F.floor(F.col("timestamp") / DAY_S).cast("bigint"), "batch_id": F.lit(int(batch_id)).cast("bigint")})
+            .select(ARCHIVE.names).repartition("day", "sat_id", F.floor(F.col("timestamp") / SPREAD_S)))
+    rows.persist()
+    try:
+        _write(rows.sortWithinPartitions("day", "sat_id", "timestamp", "seq"), path)
+        names = [c for c in ARCHIVE.names if c not in ("sat_id", "day", "batch_id")]
+        last = (rows.withColumn("_k", order_key()).groupBy("sat_id", "day", "batch_id")
+                .agg(F.max_by(F.struct(*names), "_k").alias("l")))
+        _write(last.select("sat_id", "day", "batch_id", "l.*").select(ARCHIVE.names), path + TAILS)
+    finally:
+        rows.unpersist()
+
+
+def _write(rows: DataFrame, path: str) -> None:
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day", "batch_id").parquet(path))
+
+
+def read_history(spark, path: str, lo: int | None = None, hi: int | None = None) -> DataFrame:
+    """The archived fixes, of ``lo <= timestamp <= hi`` where given (whole
+    folders are skipped). The schema is fixed: ids stay text as they came."""
+    df = spark.read.schema(ARCHIVE).parquet(path)
+    for bound, op in ((lo, "__ge__"), (hi, "__le__")):
+        if bound is not None:
+            df = df.where(getattr(F.col("day"), op)(int(bound) // DAY_S) & getattr(F.col("timestamp"), op)(int(bound)))
+    return df.drop("day", "batch_id")
+
+
+def read_cache(spark, path: str, lo: int, hi: int) -> DataFrame:
+    """The fixes that a lookup as of any time in [lo, hi] can return: all of
+    the days it reaches, and the last of every object and day before."""
+    first = int(lo) // DAY_S
+    before = spark.read.schema(ARCHIVE).parquet(path + TAILS).where(F.col("day") < first)
+    return read_history(spark, path, first * DAY_S, hi).unionByName(before.drop("day", "batch_id"))
 
 
 def compact_history(spark, src: str, dst: str) -> None:
@@ -47,7 +86,7 @@ def compact_history(spark, src: str, dst: str) -> None:
     row groups. Dynamic overwrite replaces only the (object, day) partitions
     present, so a re-run, or a run over a newer slice, is idempotent.
     """
-    h = read_history(spark, src).withColumn("day", F.floor(F.col("timestamp") / 86400).cast("bigint"))
+    h = read_history(spark, src).drop("topic").withColumn("day", F.floor(F.col("timestamp") / 86400).cast("bigint"))
     (h.repartitionByRange("sat_id", "day", "timestamp")
      .sortWithinPartitions("sat_id", "day", "timestamp", "seq")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -58,7 +97,8 @@ def read_history_range(spark, path: str, lo: int, hi: int, sat_ids=None) -> Data
     """Fixes with ``lo <= timestamp <= hi`` from a compacted archive: the day
     filter prunes partition folders, the timestamp filter is pushed to the
     parquet reader (row-group statistics)."""
-    df = spark.read.parquet(path).where(
+    names = [f for f in ARCHIVE.fields if f.name not in ("topic", "day", "batch_id")]
+    df = spark.read.schema(T.StructType([*names, T.StructField("day", T.LongType())])).parquet(path).where(
         F.col("day").between(lo // 86400, hi // 86400) & F.col("timestamp").between(lo, hi))
     if sat_ids is not None:
         df = df.where(F.col("sat_id").isin(list(sat_ids)))

@@ -1,9 +1,9 @@
 """Streaming readers.
 
-Every reader returns raw records ``value, topic, offset`` so the batch
+Every reader returns raw records ``value, topic, partition, offset`` so the batch
 parsers (``groundtrack.operators.ingest``) apply unchanged. A message
 broker source needs its connector package on the classpath; file sources
-(parquet / JSON lines with the same three columns) need nothing and are
+(parquet / JSON lines with the same columns; ``partition`` may be missing) need nothing and are
 what the tests use.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from groundtrack.params import REQUEST_TOPIC, TOPIC_PREFIX
 from groundtrack.schemas import RAW
 
-RAW_WITH_OFFSET = T.StructType(RAW.fields + [T.StructField("offset", T.LongType())])
+RAW_WITH_OFFSET = T.StructType(RAW.fields + [T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType())])
 POSITION_TOPICS = TOPIC_PREFIX + r"\d+"    # subscribePattern (whole-name match)
 
 
@@ -30,7 +30,7 @@ def read_broker(spark: SparkSession, servers: str, *, pattern: str | None = None
     r = r.option("subscribePattern", pattern) if pattern else r.option("subscribe", topic)
     for k, v in options.items():
         r = r.option(k, v)
-    return r.load().select(F.col("value").cast("string").alias("value"), "topic", "offset")
+    return r.load().select(F.col("value").cast("string").alias("value"), "topic", "partition", "offset")
 
 
 def read_positions(spark: SparkSession, servers: str, **kw) -> DataFrame:

@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import os
 import sys
-import warnings
 
 import numpy as np
 import pandas as pd
@@ -29,31 +28,36 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from groundtrack.functions.timefn import to_event_time
 from groundtrack.operators import asof, codecs, ingest, latest, motion
-from groundtrack.params import ASOF_LOOKBACK_S, LOOKBACK_S
+from groundtrack.params import LOOKBACK_S
+from groundtrack.streaming import sinks
 
 MOTION_STATE_OUT = ("sat_id string, satname string, timestamp bigint, seq bigint, "
                     "latitude double, longitude double, prev_timestamp bigint, prev_latitude double, "
-                    "prev_longitude double, late boolean")
-MOTION_STATE = "ts array<bigint>, seq array<bigint>, lat array<double>, lon array<double>"
+                    "prev_longitude double, revision bigint")
+MOTION_STATE = ("ts array<bigint>, seq array<bigint>, lat array<double>, lon array<double>, "
+                "prev array<bigint>, name array<string>, floor bigint, revision bigint")
 _OUT_COLS = [c.split()[0] for c in MOTION_STATE_OUT.split(", ")]
-# Arrow conversion of the state function's output warns about all-null
-# columns of late rows; the result is correct, the warning is noise.
-warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty.*")
 # The state function runs in Python workers. Pickle this module's functions
 # by value so workers need only numpy and pandas, not this package on their
 # path (as with an executor started without the package shipped to it).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+NO_SEQ = motion.NO_SEQ          # stands for a missing offset inside the state
+
+
 def motion_state_fn(lookback_s: int = LOOKBACK_S):
     """Build the state function for ``applyInPandasWithState``.
 
-    It only does the keyed-state bookkeeping: for each new fix, which held
-    fix is its predecessor (the oldest within ``lookback_s``). The speed and
+    It only does the keyed-state bookkeeping: for each fix, which held fix is
+    its predecessor (the oldest within ``lookback_s``). The speed and
     direction are computed afterwards by the same Spark expression as the
-    batch operator. New fixes of a batch are sorted by ``(timestamp, seq)``;
-    a fix older than the newest one already held is *late*: it is reported
-    with ``late = true`` and does not enter the history.
+    batch operator. Arrow batches are taken one after another, each merged
+    into the history by ``(timestamp, seq)``, so a busy object never has all
+    its rows of a micro-batch in memory. A fix that comes out of order, but
+    within the watermark, gets its vector like any other, and fixes whose
+    predecessor it changes are sent again with a higher ``revision``. Fixes
+    behind the watermark are dropped by Spark before they get here.
     """
     L = int(lookback_s)
 
@@ -61,47 +65,52 @@ def motion_state_fn(lookback_s: int = LOOKBACK_S):
         if state.hasTimedOut:
             state.remove()
             return
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["timestamp", "seq"], kind="stable")
         if state.exists:
-            h_ts, h_seq, h_lat, h_lon = (np.asarray(x) for x in state.get)
+            *held, floor, revision = state.get
+            h_ts, h_seq, h_lat, h_lon, h_prev, h_name = (np.asarray(x) for x in held)
         else:
-            h_ts = h_seq = np.array([], dtype="int64")
+            floor, revision = -(1 << 62), 0
+            h_ts = h_seq = h_prev = np.array([], dtype="int64")
             h_lat = h_lon = np.array([], dtype="float64")
-        ts = pdf["timestamp"].to_numpy("int64")
-        sq = pdf["seq"].to_numpy("int64")
+            h_name = np.array([], dtype=object)
+        wm = int(state.getCurrentWatermarkMs())
+        for pdf in pdfs:
+            if not len(pdf):
+                continue
+            revision += 1
+            n = len(pdf)
+            ts = np.concatenate([h_ts, pdf["timestamp"].to_numpy("int64")])
+            seq = np.concatenate([h_seq, pdf["seq"].astype("Int64").fillna(NO_SEQ).to_numpy("int64")])
+            lat = np.concatenate([h_lat, pdf["latitude"].to_numpy("float64")])
+            lon = np.concatenate([h_lon, pdf["longitude"].to_numpy("float64")])
+            name = np.concatenate([h_name.astype(object), pdf["satname"].to_numpy(object)])
+            told = np.concatenate([h_prev, np.full(n, -2)])          # -2: nothing sent yet
+            order = np.lexsort((seq, ts))
+            ts, seq, lat, lon, name, told = (x[order] for x in (ts, seq, lat, lon, name, told))
+            g = np.arange(len(ts))
+            j = np.searchsorted(ts, ts - L, side="left")             # oldest fix within L
+            before = (ts[j] < ts) | ((ts[j] == ts) & (seq[j] < seq))
+            # a predecessor is known by its time and offset: positions move
+            mark = np.where(before, ts[j] * 1_000_003 + seq[j] % 1_000_003, -1)
+            # a fix whose predecessors may have left the state has its vector already
+            send = g[before & (mark != told) & ((told == -2) | (ts - L >= floor))]
+            if len(send):
+                p = j[send]
+                yield pd.DataFrame({
+                    "sat_id": key[0], "satname": name[send], "timestamp": ts[send],
+                    "seq": pd.array(seq[send], dtype="Int64") if (seq[send] != NO_SEQ).all() else pd.array(
+                        [None if x == NO_SEQ else x for x in seq[send]], dtype="Int64"),
+                    "latitude": lat[send], "longitude": lon[send], "prev_timestamp": ts[p], "prev_latitude": lat[p],
+                    "prev_longitude": lon[p], "revision": revision})[_OUT_COLS]
+            # keep what a later fix, or one still within the watermark, can use
+            oldest = min(int(ts[-1]), wm // 1000 if wm > 0 else int(ts[0])) - 2 * L
+            floor = max(floor, oldest)
+            keep = ts >= floor
+            h_ts, h_seq, h_lat, h_lon, h_prev, h_name = (x[keep] for x in (ts, seq, lat, lon, mark, name))
         if len(h_ts):
-            late = (ts < h_ts[-1]) | ((ts == h_ts[-1]) & (sq <= h_seq[-1]))
-        else:
-            late = np.zeros(len(pdf), dtype=bool)
-        ok = pdf[~late]
-        a_ts = np.concatenate([h_ts, ok["timestamp"].to_numpy("int64")])
-        a_seq = np.concatenate([h_seq, ok["seq"].to_numpy("int64")])
-        a_lat = np.concatenate([h_lat, ok["latitude"].to_numpy("float64")])
-        a_lon = np.concatenate([h_lon, ok["longitude"].to_numpy("float64")])
-        g = np.arange(len(h_ts), len(a_ts))
-        j = np.searchsorted(a_ts, a_ts[g] - L, side="left")   # oldest fix within L
-        has = j < g
-        g, j = g[has], j[has]
-        vec = pd.DataFrame({
-            "sat_id": key[0], "satname": ok["satname"].to_numpy()[has], "timestamp": a_ts[g],
-            "seq": a_seq[g], "latitude": a_lat[g], "longitude": a_lon[g],
-            "prev_timestamp": a_ts[j], "prev_latitude": a_lat[j], "prev_longitude": a_lon[j],
-            "late": False})
-        lt = pdf[late]
-        late_rows = pd.DataFrame({
-            "sat_id": key[0], "satname": lt["satname"].to_numpy(), "timestamp": lt["timestamp"].to_numpy(),
-            "seq": lt["seq"].to_numpy(), "latitude": lt["latitude"].to_numpy(),
-            "longitude": lt["longitude"].to_numpy(), "prev_timestamp": None, "prev_latitude": np.nan,
-            "prev_longitude": np.nan, "late": True})
-        # keep only what a later fix can still use
-        if len(a_ts):
-            keep = a_ts >= a_ts[-1] - L
-            state.update((a_ts[keep].tolist(), a_seq[keep].tolist(),
-                          a_lat[keep].tolist(), a_lon[keep].tolist()))
-            wm = state.getCurrentWatermarkMs()
-            state.setTimeoutTimestamp(max(int(a_ts[-1] + L) * 1000, int(wm) + 1))
-        out = pd.concat([vec, late_rows], ignore_index=True) if len(lt) else vec
-        yield out[_OUT_COLS]
+            state.update((h_ts.tolist(), h_seq.tolist(), h_lat.tolist(), h_lon.tolist(), h_prev.tolist(),
+                          [None if x is None else str(x) for x in h_name], floor, revision))
+            state.setTimeoutTimestamp(max(int(h_ts[-1] + L) * 1000, wm + 1))
 
     return fn
 
@@ -109,19 +118,23 @@ def motion_state_fn(lookback_s: int = LOOKBACK_S):
 def motion_stream(fixes: DataFrame, lookback_s: int = LOOKBACK_S,
                   watermark: str = "10 minutes", digits: bool = True) -> DataFrame:
     """Motion vectors of a stream of accepted fixes (state keyed by object;
-    the same columns as ``motion_vectors`` plus ``late``)."""
+    the columns of ``motion_vectors`` plus ``revision``). Of several rows of
+    one fix the one with the greatest revision holds (``last_revision``)."""
     src = fixes.select("sat_id", "satname", "latitude", "longitude", "timestamp", "seq",
                        to_event_time("timestamp").alias("event_time"))
     src = src.withWatermark("event_time", watermark)
     pairs = src.groupBy("sat_id").applyInPandasWithState(
         motion_state_fn(lookback_s), MOTION_STATE_OUT, MOTION_STATE, "append",
         GroupStateTimeout.EventTimeTimeout)
-    vec = motion.vector_columns("prev_timestamp", "prev_latitude", "prev_longitude", digits)
     return pairs.select("sat_id", "satname", "timestamp", "seq",
-                        *[F.when(~F.col("late"), c).alias(n)
-                          for c, n in zip(vec, ("prev_timestamp", "velocity_kmph", "delta_latitude",
-                                                "delta_longitude"))],
-                        "late")
+                        *motion.vector_columns("prev_timestamp", "prev_latitude", "prev_longitude", digits), "revision")
+
+
+def last_revision(vectors: DataFrame) -> DataFrame:
+    """The valid vector of each fix among all that were sent."""
+    names = [c for c in vectors.columns if c not in ("sat_id", "timestamp", "seq", "revision", "batch_id")]
+    return (vectors.groupBy("sat_id", "timestamp", "seq").agg(F.max_by(F.struct(*names), "revision").alias("v"))
+            .select("sat_id", "timestamp", "seq", "v.*"))
 
 
 def latest_snapshot(fixes: DataFrame) -> DataFrame:
@@ -169,54 +182,72 @@ def _exists(spark, path: str) -> bool:
 
 
 def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
-                    lookback_s: int = ASOF_LOOKBACK_S, motion_lookback_s: int = LOOKBACK_S,
-                    rejected: str | None = None, cell_deg: int | None = None) -> None:
-    """Answer the requests of one micro-batch from the archived fixes.
+                    lookback_s: int | None = None, motion_lookback_s: int = LOOKBACK_S,
+                    rejected: str | None = None, cell_deg: int = asof.CELL_DEG,
+                    required_satellites: int | None = None) -> DataFrame | None:
+    """Answer the requests of one micro-batch from the archived fixes; returns
+    the messages written (read back), or None where there was none to write.
 
     Requests are validated and routed row by row; closest, overlap and
-    motion requests are each answered with an as-of lookup against the
-    archive, which is read only for the time range the batch needs (a
-    pushed-down ``timestamp`` range). One small aggregate gives that range
-    and the number of requests per action, so only the needed answers are
-    computed. Messages (``topic``, ``key``, ``value``) are written under
-    ``batch_id`` (dynamic overwrite: a retried batch replaces its own
-    output). Requests that cannot be served (invalid, exit, unknown) go to
-    ``rejected`` with their reason when it is given. Before any fix has been
-    archived there is nothing to answer from. ``cell_deg`` turns on the grid
-    pre-filter of ``closest_satellite`` (for very many objects).
+    motion requests are each answered with an as-of lookup. Of the archive
+    only the days the batch reaches are read, and of those before only the
+    last fix per object and day (motion vectors, which need the fixes before
+    a fix, read all days unless ``lookback_s`` bounds them). The batch is
+    kept while it is looked at, so it is computed once. Messages (``topic``,
+    ``key``, ``part``, ``n_parts``, ``value``) are written under ``batch_id``
+    (dynamic overwrite: a retried batch replaces its own output). Requests
+    that cannot be served (invalid, exit, unknown) go to ``rejected`` with
+    their reason when it is given; before any fix has been archived every
+    request does (``no_positions``), so accepted and rejected ones add up.
+    With ``required_satellites`` an overlap request is answered only where
+    it sees that many objects.
     """
     spark = batch.sparkSession
-    reqs = ingest.route_requests(ingest.validate_requests(batch))
-    served = F.col("reject_reason").isNull() & F.col("action").isin("closest", "overlap", "motion_vector")
-    if rejected:
-        bad = reqs.where(~served).withColumn(
-            "reject_reason", F.coalesce(F.col("reject_reason"), F.col("action")))
-        (bad.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejected))
-    ok = reqs.where(served)
-    n = lambda a: F.count_if(F.col("action") == a).alias(a)
-    info = ok.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"),
-                  n("closest"), n("overlap"), n("motion_vector")).first()
-    if info is None or info["lo"] is None or not _exists(spark, history):
-        return
-    # motion vectors need their own look-back before the oldest fix used
-    lo = info["lo"] - int(lookback_s) - (int(motion_lookback_s) if info["motion_vector"] else 0)
-    fixes = (spark.read.parquet(history).where(F.col("timestamp").between(lo, info["hi"]))
-             .drop("batch_id"))
-    parts = []
-    if info["closest"]:
-        parts.append(codecs.closest_response(asof.closest_satellite(
-            ok.where(F.col("action") == "closest"), fixes, lookback_s, cell_deg=cell_deg)))
-    if info["overlap"]:
-        pairs = asof.overlap_answers(ok.where(F.col("action") == "overlap"), fixes, lookback_s)
-        parts.append(codecs.overlap_response(pairs, key="request_id").select("topic", "key", "value"))
-    if info["motion_vector"]:
-        vectors = motion.motion_vectors(fixes, motion_lookback_s)
-        moves = asof.motion_answers(ok.where(F.col("action") == "motion_vector"), vectors, lookback_s)
-        parts.append(codecs.motion_request_response(moves))
-    msgs = parts[0]
-    for m in parts[1:]:
-        msgs = msgs.unionByName(m)
-    (msgs.withColumn("batch_id", F.lit(int(batch_id)))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(out))
+    reqs = ingest.route_requests(ingest.validate_requests(batch)).persist()
+    try:
+        served = F.col("reject_reason").isNull() & F.col("action").isin("closest", "overlap", "motion_vector")
+        empty = not _exists(spark, history)
+        reason = F.coalesce(F.col("reject_reason"), F.when(~served, F.col("action")).otherwise(F.lit("no_positions")))
+        if rejected:
+            bad = reqs if empty else reqs.where(~served)
+            (bad.withColumn("reject_reason", reason).withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejected))
+        ok = reqs.where(served)
+        n = lambda a: F.count_if(F.col("action") == a).alias(a)
+        info = ok.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"),
+                      n("closest"), n("overlap"), n("motion_vector")).first()
+        if empty or info["lo"] is None:
+            return None
+        lo, hi = info["lo"], info["hi"]
+        fixes = (sinks.read_cache(spark, history, lo, hi) if lookback_s is None
+                 else sinks.read_history(spark, history, lo - int(lookback_s), hi))
+        parts = []
+        if info["closest"]:
+            parts.append(codecs.closest_response(asof.closest_satellite(
+                ok.where(F.col("action") == "closest"), fixes, lookback_s, cell_deg=cell_deg)))
+        if info["overlap"]:
+            pairs = asof.overlap_answers(ok.where(F.col("action") == "overlap"), fixes, lookback_s,
+                                         required_satellites=required_satellites)
+            parts.append(codecs.overlap_response(pairs, key="request_id"))
+        if info["motion_vector"]:
+            since = None if lookback_s is None else lo - int(lookback_s) - int(motion_lookback_s)
+            vectors = motion.motion_vectors(sinks.read_history(spark, history, since, hi), motion_lookback_s)
+            moves = asof.motion_answers(ok.where(F.col("action") == "motion_vector"), vectors, lookback_s)
+            parts.append(codecs.motion_request_response(moves))
+        msgs = parts[0].select(MESSAGE)
+        for m in parts[1:]:
+            msgs = msgs.unionByName(m.select(MESSAGE))
+        (msgs.withColumn("batch_id", F.lit(int(batch_id)))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(out))
+        return read_messages(spark, out).where(F.col("batch_id") == int(batch_id))
+    finally:
+        reqs.unpersist()
+
+
+MESSAGE = ["topic", "key", "part", "n_parts", "value"]
+
+
+def read_messages(spark, path: str) -> DataFrame:
+    """Messages kept by ``answer_requests``; keys stay text."""
+    return spark.read.schema("topic string, key string, part bigint, n_parts bigint, value string, batch_id bigint").parquet(path)
