@@ -105,7 +105,8 @@ def _state_before(last: DataFrame, wanted: DataFrame) -> DataFrame:
     that may have one (null fix: none yet). ``last`` has the last event of
     each (entity, bucket)."""
     epoch = F.floor(F.col("b") / EPOCH_BUCKETS).cast("bigint")
-    pick = F.struct(F.col("fix.timestamp"), F.col("fix.seq"))
+    names = last.schema["fix"].dataType.names
+    strings = [f.name for f in last.schema["fix"].dataType.fields if isinstance(f.dataType, StringType)]
     last, wanted = last.withColumn("p", epoch), wanted.withColumn("p", epoch)
     epochs = wanted.select("p").distinct()
     # every wanted epoch from the entity's first one on
@@ -113,7 +114,9 @@ def _state_before(last: DataFrame, wanted: DataFrame) -> DataFrame:
     top = epochs.agg(F.max("p")).scalar()
     need = (first.where(F.col("f") <= top).select("_e", F.explode(F.sequence(F.col("f"), top)).alias("p"))
             .join(epochs, "p"))
-    ends = last.groupBy("_e", "p").agg(F.max_by("fix", pick).alias("fix"))
+    flat = last.select("_e", "p", "fix.*").withColumn("_k", order_key())
+    ends = (flat.groupBy("_e", "p", *strings).agg(*[F.max_by(c, "_k").alias(c) for c in names if c not in strings])
+            .select("_e", "p", F.struct(*names).alias("fix")))
     nothing = F.lit(None).cast(last.schema["fix"].dataType)
 
     def carried(rows: DataFrame, keys: list, order: str) -> DataFrame:

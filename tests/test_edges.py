@@ -123,14 +123,32 @@ def test_distance_tie_goes_to_lowest_id(spark):
 def test_empty_cache_gives_no_answer(spark):
     f = fixes(spark, [("1", 1.0, 1.0, 100, 1)])
     req = spark.createDataFrame([(1, 0.0, 0.0, 100 + 3601, 3), (2, 0.0, 0.0, 50, 3)], REQ)
-    assert asof.closest_satellite(req, f).count() == 0
+    assert [r.request_id for r in asof.closest_satellite(req, f).collect()] == [1]      # the cache never expires
+    assert asof.closest_satellite(req, f, lookback_s=3600).count() == 0
 
 
 def test_asof_takes_latest_not_after_request(spark):
     f = fixes(spark, [("1", 1.0, 1.0, 100, 1), ("1", 2.0, 2.0, 200, 2), ("1", 3.0, 3.0, 301, 3)])
     req = spark.createDataFrame([(1, 0.0, 0.0, 300, 3), (2, 0.0, 0.0, 3901, 3), (3, 0.0, 0.0, 3902, 3)], REQ)
-    r = {x.request_id: x.fix_seq for x in asof.asof_positions(req, f).collect()}
+    r = {x.request_id: x.fix_seq for x in asof.asof_positions(req, f, lookback_s=3600).collect()}
     assert r == {1: 2, 2: 3}   # 3902 - 3600 > 301: nothing for request 3
+    assert {x.request_id: x.fix_seq for x in asof.asof_positions(req, f).collect()} == {1: 2, 2: 3, 3: 3}
+
+
+def test_asof_carries_states_over_buckets_and_epochs(spark):
+    """Last fixes many buckets and epochs before, entities that start late."""
+    import random
+    rnd = random.Random(4)
+    span = 3600 * 512 * 3
+    rows = [(str(rnd.randrange(6)), float(k), 0.0, rnd.randrange(span), k) for k in range(60)]
+    req = [(k, 0.0, 0.0, rnd.randrange(-10, span + 10**6), 3) for k in range(80)]
+    got = {(x.request_id, x.sat_id): x.fix_seq for x in asof.asof_positions(spark.createDataFrame(req, REQ), fixes(spark, rows)).collect()}
+    want = {}
+    for rid, _, _, t, _ in req:
+        for s, _, _, ts, q in sorted(rows, key=lambda r: (r[3], r[4])):
+            if ts <= t:
+                want[rid, s] = q
+    assert got == want
 
 
 def test_retention_border(spark):
