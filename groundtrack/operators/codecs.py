@@ -24,13 +24,15 @@ MAX_ITEMS = 1000     # items of a list message, about
 
 
 def encode_positions(fixes: DataFrame, offset: str | None = None) -> DataFrame:
-    """One message per fix on topic ``satellite-<sat_id>``, no key;
+    """One message per fix on topic ``satellite-<sat_id>``, no key; null
+    fields are sent as null, an id that is a plain integer as a number.
     ``offset`` names a column to pass through as the message offset."""
+    body = F.to_json(F.struct(*POSITION_FIELDS), {"ignoreNullFields": "false"})
     extra = [F.col(offset).alias("offset")] if offset else []
     return fixes.select(
         F.concat(F.lit(TOPIC_PREFIX), F.col("sat_id")).alias("topic"),
         F.lit(None).cast("string").alias("key"),
-        F.to_json(F.struct(*POSITION_FIELDS), {"ignoreNullFields": "false"}).alias("value"), *extra)
+        F.regexp_replace(body, r'^\{"sat_id":"(0|[1-9][0-9]{0,17})"', r'{"sat_id":$1').alias("value"), *extra)
 
 
 def encode_requests(reqs: DataFrame, stamp_now: bool = False) -> DataFrame:

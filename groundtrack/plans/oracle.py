@@ -25,7 +25,8 @@ def _pos(k: str, tick: str, ts: str, sat_id: str) -> str:
     return f"""SELECT {sat_id} AS sat_id, 'Sat ' || {sat_id} AS satname,
       CAST((({tick}) * 37 + ({k}) * 2900) % 16000 AS DOUBLE) / 100 - 80 AS latitude,
       CAST((({tick}) * 61 + ({k}) * 7100) % 36000 AS DOUBLE) / 100 - 180 AS longitude,
-      CAST(0 AS DOUBLE) AS azimuth, CAST(0 AS DOUBLE) AS elevation,
+      CAST((event_id * 7919) % 3600000 AS DOUBLE) / 9973 AS azimuth,
+      CAST((event_id * 104729) % 900000 AS DOUBLE) / 9973 AS elevation,
       CAST({ts} AS BIGINT) AS timestamp, event_id AS seq FROM events"""
 
 

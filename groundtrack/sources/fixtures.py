@@ -27,6 +27,7 @@ LON_STEP, LON_K, LON_MOD = 61, 7100, 36000
 OBS_LAT_STEP, OBS_LON_STEP = 53, 97
 # event_type -> request choice_id
 CHOICE_OF_EVENT = {"view": 1, "click": 2, "purchase": 3, "signup": 4, "error": 9}
+AZ_STEP, EL_STEP = 7919, 104729
 # --- end of fixed values -----------------------------------------------------
 
 
@@ -48,7 +49,8 @@ def _finish(df: DataFrame, sat_id: Column, satname: Column, ts: Column,
     return df.select(*extra,
         sat_id.alias("sat_id"), satname.alias("satname"),
         lat.alias("latitude"), lon.alias("longitude"),
-        F.lit(0.0).alias("azimuth"), F.lit(0.0).alias("elevation"),
+        (((F.col("event_id") * AZ_STEP) % 3_600_000).cast("double") / 9973).alias("azimuth"),
+        (((F.col("event_id") * EL_STEP) % 900_000).cast("double") / 9973).alias("elevation"),
         ts.cast("bigint").alias("timestamp"),
         F.col("event_id").alias("seq"),
     )
