@@ -53,7 +53,8 @@ def pairs(points: DataFrame, keys: list[str], radius_km: float = COVERAGE_RADIUS
     great-circle distance is never shorter than the latitude difference), so
     points get bands that wide and one side is copied to the three
     neighbouring bands - each candidate pair is built exactly once, far
-    pairs never, and a hot key is split by band.
+    pairs never, and a hot key is split by band. The angle between the two
+    is part of the join condition, so longitudes prune as well.
     """
     cols = list(dict.fromkeys([*keys, time_col, *keep, *POINT]))
     a = points.select(*[F.col(c).alias(f"{c}_a") for c in cols], *geo_parts("latitude", "longitude", "a_"))
@@ -68,8 +69,12 @@ def pairs(points: DataFrame, keys: list[str], radius_km: float = COVERAGE_RADIUS
         a = a.withColumn("_band", F.explode(F.array(band("latitude_a") - 1, band("latitude_a"),
                                                     band("latitude_a") + 1)))
         b = b.withColumn("_band", band("latitude_b"))
+        # the angle between the two directions, without the haversine's functions: what
+        # the join lets through is the answer but for rounding
+        dot = (F.col("a_cos") * F.col("b_cos") * F.cos(F.col("a_lam") - F.col("b_lam")) + F.sin("a_phi") * F.sin("b_phi"))
         cond += [a["_band"] == b["_band"],
-                 F.abs(F.col("latitude_a") - F.col("latitude_b")) < F.lit(band_deg)]
+                 F.abs(F.col("latitude_a") - F.col("latitude_b")) < F.lit(band_deg),
+                 dot > F.lit(math.cos(min(math.pi, reach / earth_radius_km)) - 1e-9)]
     joined = a.join(b.hint(hint) if hint else b, reduce(and_, cond))
     p = joined.withColumn("_d", haversine_from_parts("a_", "b_", earth_radius_km))
     if only_overlapping:
