@@ -51,11 +51,16 @@ def stage(raw: DataFrame, path: str, chunks: int = CHUNKS, order: str = "offset"
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files = sorted(st.getPath().toString() for st in fs.listStatus(root)
                    if st.getPath().getName().startswith("part-"))
-    base = int(jvm.java.lang.System.currentTimeMillis()) - 10_000 * (len(files) + 1)
+    base = (int(jvm.java.lang.System.currentTimeMillis()) // 1000 - 10 * (len(files) + 1)) * 1000
     try:
         for i, f in enumerate(files):      # part-00000 holds the lowest range
             fs.setTimes(jvm.org.apache.hadoop.fs.Path(f), base + 10_000 * i, -1)
+        # some file systems take the call and do nothing
+        kept = all(fs.getFileStatus(jvm.org.apache.hadoop.fs.Path(f)).getModificationTime() == base + 10_000 * i
+                   for i, f in enumerate(files))
     except Exception:  # noqa: BLE001 - file system without settable times
+        kept = False
+    if not kept:
         staged = spark.read.parquet(path)
         seq_path = path.rstrip("/") + "_seq"
         bounds = staged.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
@@ -65,7 +70,7 @@ def stage(raw: DataFrame, path: str, chunks: int = CHUNKS, order: str = "offset"
         step = (hi - lo) // chunks + 1
         for i in range(chunks):
             (staged.where((F.col(order) >= lo + i * step) & (F.col(order) < lo + (i + 1) * step))
-             .coalesce(1).write.mode("append").parquet(seq_path))
+             .write.mode("append").parquet(seq_path))
         return seq_path
     return path
 

@@ -7,7 +7,9 @@ are computed time-zone free), so a caller's own session works unchanged.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -57,6 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
         path = tempfile.mkdtemp(prefix="groundtrack-ckpt-")   # local mode only (tests)
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set(CHECKPOINT_CONF, path)
     spark.sparkContext.setCheckpointDir(path)
     return path
