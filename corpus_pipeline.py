@@ -17,6 +17,7 @@ from pyspark.sql.types import StringType
 
 from groundtrack.llm import langid, mixing, neardup, packing, quality_rules
 from groundtrack.llm.common import WORD, saved
+from groundtrack.llm.membership import may_be_in
 
 NEAR_WORDS = 5
 SEQUENCE = 1024
@@ -52,7 +53,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     id; of rows with one id, one stays. Rows without an id stay."""
     found = saved(neardup.near_duplicates(docs, words=NEAR_WORDS), "near")
     gone = found.filter("not kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    asked = may_be_in(gone)(F.col("doc_id"))          # most rows need no join, and stay where they are
+    left = docs.filter(~asked).unionByName(docs.filter(asked).join(gone, "doc_id", "left_anti").select(docs.columns))
     twice = found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if twice.isEmpty():
         return left

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from groundtrack.llm.bytewords import mix64, word_hashes
 from groundtrack.llm.common import bounded_batches, saved
 from groundtrack.llm.components import components
+from groundtrack.llm.membership import may_be_in
 
 WORDS, SIMILARITY = 5, 0.8
 COORDINATES, TREES, LEAF, DEPTH = 96, 12, 64, 10
@@ -302,6 +303,8 @@ def confirmed(docs: DataFrame, reps: DataFrame, edges: DataFrame, words: int) ->
     member = saved(block.join(size, "component").withColumn("own", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
                    .select("v", "component", "parts", "own"), "members")
     schema = "u bigint, v bigint"
+    wanted = may_be_in(member.select("v"))
+    texts = docs.filter("t is not null").filter(wanted(F.col("k"))).select(F.col("k").alias("v"), F.col("t").alias("text"))
 
     def in_parts(rows: DataFrame) -> DataFrame:
         part = F.xxhash64("component", "at")
@@ -310,7 +313,7 @@ def confirmed(docs: DataFrame, reps: DataFrame, edges: DataFrame, words: int) ->
                 .mapInPandas(_confirm(words), schema))
 
     def with_text(m: DataFrame) -> DataFrame:
-        return m.join(docs.select(F.col("k").alias("v"), F.col("t").alias("text")).filter("text is not null"), "v")
+        return m.join(texts, "v")
 
     as_member = with_text(member).select("component", F.col("own").alias("at"), F.col("v").alias("rep"), F.lit(0).alias("role"), "parts", "text")
     divided = member.filter("parts > 1")

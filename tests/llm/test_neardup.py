@@ -94,3 +94,17 @@ def test_shingles_across_chunks(monkeypatch):
     whole = bytewords.word_hashes(text)
     monkeypatch.setattr(bytewords, "CHUNK", 64)
     assert (bytewords.word_hashes(text) == whole).all() and len(whole) == len(text.split())
+
+
+def test_membership_filter_has_no_false_negative(spark):
+    from pyspark.sql import functions as F
+
+    from groundtrack.llm.membership import may_be_in
+    ids = spark.range(-500, 4000, 3).withColumnRenamed("id", "v")
+    for bits in (1 << 26, 64):
+        asked = spark.range(-500, 4000).select("id", may_be_in(ids, bits)(F.col("id")).alias("m"))
+        assert asked.filter("(id + 500) % 3 = 0 and not m").count() == 0
+    assert asked.filter("m").count() == 4500                       # a full filter lets everything through
+    assert spark.range(2000).filter(may_be_in(ids)(F.col("id") + 10**6)).count() < 5
+    assert spark.range(5).filter(may_be_in(ids.limit(0))(F.col("id"))).count() == 0
+    assert spark.range(1).filter(may_be_in(ids)(F.lit(None).cast("long"))).count() == 1
