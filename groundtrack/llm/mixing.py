@@ -127,7 +127,8 @@ def schedule(plan: DataFrame, block: int = BLOCK) -> DataFrame:
     counts = slots.groupBy("no", "chunk").agg(F.count("*").alias("n"))
     before = Window.partitionBy("no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    ranked = (slots.join(counts.select("no", "chunk", "before"), ["no", "chunk"])
+    # Spark takes what a Python function made to be as small as its input, and would broadcast it
+    ranked = (slots.join(counts.select("no", "chunk", "before").hint("merge"), ["no", "chunk"])
               .select("slot", "no", (F.col("before") + F.col("in_chunk")).alias("rank")))
     per_source = spark.createDataFrame(per, "no int, source_size bigint, quota bigint, n_blocks bigint, need bigint")
     # sources that the points left short take their last ranks at the end
@@ -156,7 +157,7 @@ def pieces(laid: DataFrame, plan: DataFrame, slots: DataFrame, block: int = BLOC
     inside = (laid.filter(F.col(size) > 0).join(per, F.col("no") == F.col("__no")).drop("__no")
               .withColumn("block", F.explode(F.sequence(F.expr(_BLOCK.format(w="at")), F.expr(_BLOCK.format(w=f"(at + {size} - 1)")))))
               .drop("source_size", "n_blocks"))
-    return (inside.join(slots, ["no", "block"])
+    return (inside.join(slots.hint("merge"), ["no", "block"])
             .withColumns({"first": F.greatest(F.lit(0).cast("bigint"), F.col("lo") - F.col("at")),
                           "last": F.least(F.col(size), F.col("hi") - F.col("at"))})
             .filter("first < last").drop("lo", "hi", "block", "rank"))
