@@ -15,9 +15,13 @@ one candidate group as a whole.
 Candidates group into connected blocks, and links are confirmed there on full
 sets. Within a block a central set is compared with all; what it does not link
 is compared with all, so that no link between different parts is lost while
-most pairs of a large group need no comparison. Blocks of many sets are dealt
-over tasks: each part meets the central set, then every unlinked set meets
-each part. Classes are then joined to their components.
+most pairs of a large group need no comparison. Blocks of many sets are divided
+and go in rounds: some sets outside the block's largest group so far meet all
+sets of the block, the groups are formed anew, and four times as many are asked
+next, until every set is in the largest group or has met all others. A task
+takes one part of the members and one slice of the asked sets, both bounded,
+and links an asked set once to each group it is not yet connected with.
+Classes are then joined to their components.
 
 Defined results: null and wordless texts have an empty set and are linked with
 nothing; texts with fewer words have one shingle, the whole sequence; rows of
@@ -31,7 +35,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundtrack.llm.bytewords import mix64, word_hashes
@@ -44,8 +48,10 @@ COORDINATES, TREES, LEAF, DEPTH = 96, 12, 64, 10
 #: Coordinates that must agree for a candidate: six standard errors below
 #: what a pair at the least similarity has on average.
 AGREE = 53
-#: Sets, and shingles, of a part that one task confirms.
+#: Sets, and shingles, of a part (and of a slice of asked sets) that one task confirms.
 PART_ROWS, PART_SHINGLES = 1000, 4_000_000
+#: Sets of a divided block that meet all others in the first round; four times as many in each further one.
+CENTRES = 16
 _A = mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _B = mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
@@ -244,37 +250,41 @@ class _Sets:
 
 
 def _confirm(words: int):
-    """Rows of (part, rep, role, text) sorted by part: exact links of each part.
-    Roles: 0 a member, 1 the central set of a divided block, 2 an unlinked set
-    of a divided block that meets every member. Emits (u, v); in a divided
-    block's first pass also (rep, null) for each member not linked to the centre."""
+    """Rows of (part, rep, role, grp, divided, text) sorted by part: exact links
+    (u, v) of each part. Roles: 0 a member, 1 a set of a divided block that meets
+    the members. ``grp`` is what a set is connected with already; in a divided
+    block's part the links form a forest over these groups."""
     def part(pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = [shingles(t.encode("utf-8", "replace"), words) for t in pdf["text"]]
-        rep, role, divided = pdf["rep"].to_numpy(), pdf["role"].to_numpy(), bool(pdf["divided"].iloc[0])
+        texts, rep, role, divided = pdf["text"].to_numpy(), pdf["rep"].to_numpy(), pdf["role"].to_numpy(), bool(pdf["divided"].iloc[0])
+
+        def shingled(i: int) -> np.ndarray:
+            return shingles(texts[i].encode("utf-8", "replace"), words)
+
         members = np.flatnonzero(role == 0)
-        all_ = _Sets([sets[i] for i in members])
+        sets = [shingled(i) for i in members]
+        all_ = _Sets(sets)
         ids, out = rep[members], []
         if divided:
-            for i in np.flatnonzero(role > 0):
-                hit = all_.links(sets[i])
-                out.append((np.full(int(hit.sum()), rep[i]), ids[hit]))
-                if role[i] == 1:
-                    out.append((ids[~hit], np.full(int((~hit).sum()), -1)))
+            group = pdf["grp"].to_numpy().copy()
+            for i in np.flatnonzero(role == 1):
+                hit = np.flatnonzero(all_.links(shingled(i)))
+                new, at = np.unique(group[members[hit]], return_index=True)
+                at = at[new != group[i]]
+                out.append((np.full(len(at), rep[i]), ids[hit[at]]))
+                group[np.isin(group, new)] = group[i]
         elif len(members) > 1:
             c = all_.central() if len(members) > 2 else 0
-            hit = all_.links(sets[members[c]])
+            hit = all_.links(sets[c])
             out.append((np.full(int(hit.sum()), ids[c]), ids[hit]))
             for i in np.flatnonzero(~hit):
-                also = np.flatnonzero(all_.links(sets[members[i]]))
+                also = np.flatnonzero(all_.links(sets[i]))
                 # one link into what the centre holds is enough; all others count
                 held = also[hit[also]][:1]
                 also = np.concatenate([held, also[~hit[also]]])
                 out.append((np.full(len(also), ids[i]), ids[also]))
         a, b = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (ids[:0], ids[:0])
         keep = a != b
-        v = pd.array(b[keep], dtype="Int64")
-        v[np.asarray(b[keep]) == -1] = pd.NA
-        return pd.DataFrame({"u": a[keep], "v": v if divided else pd.array(b[keep], dtype="Int64")})
+        return pd.DataFrame({"u": a[keep], "v": b[keep]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         carry = None
@@ -295,43 +305,67 @@ def _confirm(words: int):
     return run
 
 
+def _bounded() -> Column:
+    """Parts that keep rows of (n_shingles) within the bounds of a task."""
+    return F.ceil(F.greatest(F.count("*") / PART_ROWS, F.sum("n_shingles") / PART_SHINGLES)).cast("int")
+
+
 def confirmed(docs: DataFrame, reps: DataFrame, edges: DataFrame, words: int) -> DataFrame:
     """Exact links (u, v) between classes that connect whatever is linked inside
     the blocks that candidate ``edges`` form. ``docs`` has k and t."""
     block = components(edges).join(reps.select(F.col("rep").alias("v"), "n_shingles"), "v")
-    size = block.groupBy("component").agg(F.ceil(F.greatest(F.count("*") / PART_ROWS, F.sum("n_shingles") / PART_SHINGLES)).cast("int").alias("parts"))
+    size = block.groupBy("component").agg(_bounded().alias("parts"))
     member = saved(block.join(size, "component").withColumn("own", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
-                   .select("v", "component", "parts", "own"), "members")
-    schema = "u bigint, v bigint"
+                   .select("v", "component", "parts", "own", "n_shingles"), "members")
     wanted = may_be_in(member.select("v"))
     texts = docs.filter("t is not null").filter(wanted(F.col("k"))).select(F.col("k").alias("v"), F.col("t").alias("text"))
 
     def in_parts(rows: DataFrame) -> DataFrame:
-        part = F.xxhash64("component", "at")
-        return (rows.select(part.alias("part"), "rep", "role", (F.col("parts") > 1).alias("divided"), "text")
+        part = F.xxhash64("component", "at", "slice")
+        return (rows.select(part.alias("part"), F.col("v").alias("rep"), "role", "grp", (F.col("parts") > 1).alias("divided"), "text")
                 .repartition("part").sortWithinPartitions("part", "role", "rep")
-                .mapInPandas(_confirm(words), schema))
+                .mapInPandas(_confirm(words), "u bigint, v bigint"))
 
     def with_text(m: DataFrame) -> DataFrame:
         return m.join(texts, "v")
 
-    as_member = with_text(member).select("component", F.col("own").alias("at"), F.col("v").alias("rep"), F.lit(0).alias("role"), "parts", "text")
+    columns = ["component", "at", "slice", "v", "role", "grp", "parts", "text"]
+    links = in_parts(with_text(member.filter("parts = 1")).withColumns(
+        {"at": F.col("own"), "slice": F.lit(0), "role": F.lit(0), "grp": F.col("v")}).select(columns))
     divided = member.filter("parts > 1")
     if divided.isEmpty():
-        return in_parts(as_member)
-    centre = (with_text(divided.filter("v = component"))
-              .select("component", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("at"), F.col("v").alias("rep"), F.lit(1).alias("role"), "parts", "text"))
-    first = saved(in_parts(as_member.unionByName(centre)), "first-pass")
-    left = first.filter("v is null").select(F.col("u").alias("v")).distinct()
-    links = first.filter("v is not null")
-    rest = divided.join(left, "v", "left_semi")
-    if rest.isEmpty():
         return links
-    spread = (with_text(rest).select("component", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("at"),
-                                     F.col("v").alias("rep"), F.lit(2).alias("role"), "parts", "text"))
-    touched = divided.join(rest.select("component").distinct(), "component", "left_semi")
-    again = with_text(touched).select("component", F.col("own").alias("at"), F.col("v").alias("rep"), F.lit(0).alias("role"), "parts", "text")
-    return links.unionByName(in_parts(again.unionByName(spread)).filter("v is not null"))
+    held = saved(with_text(divided), "divided")
+    ids = divided.select("v").distinct()
+    group = ids.withColumn("grp", F.col("v"))
+    found, asked, n = None, None, CENTRES
+    while True:
+        now = divided.join(group, "v")
+        largest = (now.groupBy("component", "grp").count().groupBy("component")
+                   .agg(F.max(F.struct("count", "grp")).alias("m")).select("component", F.col("m.grp").alias("largest")))
+        rest = now.join(largest, "component").filter("grp != largest")
+        if asked is not None:
+            rest = rest.join(asked, "v", "left_anti")           # these have met all
+        rest = saved(rest.select("v", "component", "n_shingles"), f"rest-{n}")
+        if rest.isEmpty():
+            return links.unionByName(found) if found is not None else links
+        ask = saved(rest.join(rest.groupBy("component").agg(F.count("*").alias("of")), "component")
+                    .filter(F.pmod(F.xxhash64(F.lit(n), F.col("v")), F.col("of")) < n).drop("of"), f"asked-{n}")
+        slices = ask.groupBy("component").agg(_bounded().alias("slices"))
+        rows = (held.join(group, "v").join(ask.select("v", F.lit(True).alias("asks")).distinct(), "v", "left")
+                .join(slices, "component"))
+        each = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
+        members = rows.withColumns({"at": F.col("own"), "slice": each, "role": F.lit(0)}).select(columns)
+        each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+        asking = rows.filter("asks").withColumns(
+            {"at": each, "slice": F.pmod(F.xxhash64(F.lit("slice"), F.col("v")), F.col("slices")).cast("int"), "role": F.lit(1)}).select(columns)
+        new = saved(in_parts(members.unionByName(asking)), f"links-{n}")
+        found = new if found is None else found.unionByName(new)
+        met = ask.select("v").distinct()
+        asked = met if asked is None else asked.unionByName(met)
+        group = saved(ids.join(components(found).withColumnRenamed("component", "grp"), "v", "left")
+                      .select("v", F.coalesce("grp", "v").alias("grp")), f"groups-{n}")
+        n *= 4
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:

@@ -81,6 +81,55 @@ def test_large_group_and_chain(spark, monkeypatch, part_rows):
     check(spark, list(enumerate(texts)))
 
 
+def bridged(n=120):
+    """Two groups of copies whose bases share most shingles, but too few for a link."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    other = base[:240] + [f"y{rng.randrange(10**6)}" for _ in range(60)]
+    out = []
+    for i in range(2 * n):
+        t = list((base, other)[i % 2])
+        for at in rng.sample(range(300), 3):
+            t[at] = f"x{rng.randrange(10**6)}"
+        out.append(" ".join(t))
+    return out
+
+
+def test_both_sides_of_a_divided_task_are_bounded(spark, monkeypatch, scratch):
+    """What the first centres do not link is dealt over tasks, too, and linked
+    once to each group, not to every member of a second group."""
+    import json
+    import uuid
+    from collections import Counter
+    from pathlib import Path
+    real = neardup._confirm
+
+    def counted(words):
+        run = real(words)
+
+        def wrapped(batches):
+            rows, links = Counter(), 0
+
+            def seen():
+                for pdf in batches:
+                    rows.update(pdf["part"].tolist())
+                    yield pdf
+            for out in run(seen()):
+                links += len(out)
+                yield out
+            Path(scratch, uuid.uuid4().hex).write_text(json.dumps([max(rows.values(), default=0), links]))
+        return wrapped
+
+    monkeypatch.setattr(neardup, "_confirm", counted)
+    monkeypatch.setattr(neardup, "PART_ROWS", 20)
+    monkeypatch.setattr(neardup, "CENTRES", 2, raising=False)
+    texts = bridged()
+    check(spark, list(enumerate(texts)))
+    tasks = [json.loads(f.read_text()) for f in Path(scratch).iterdir()]
+    assert max(rows for rows, _ in tasks) <= 3 * 2 * 20
+    assert sum(links for _, links in tasks) < 10 * len(texts)
+
+
 def test_components_of_a_path_and_loops(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 100), (200, 150), (150, 170), (None, 3)]
     got = dict(components(spark.createDataFrame(edges, "u long, v long")).collect())
