@@ -77,7 +77,7 @@ def sketch(s: np.ndarray) -> np.ndarray:
 
 
 def sketched(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """Per row: k, n_shingles, a digest of the set, and the sketch."""
+    """Per row: k, n_shingles, a digest of the set, the sketch, and the text's MD5."""
     bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,10 +87,10 @@ def sketched(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
                 s = shingles(t.encode("utf-8", "replace"), words) if t else np.zeros(0, np.uint64)
                 out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None,
                             sketch(s).tobytes() if len(s) else None))
-            yield pd.DataFrame({"k": pdf["k"], **{c: [r[i] for r in out] for i, c in enumerate(("n_shingles", "digest", "sketch"))}})
+            yield pd.DataFrame({"k": pdf["k"], "md5": pdf["md5"], **{c: [r[i] for r in out] for i, c in enumerate(("n_shingles", "digest", "sketch"))}})
 
-    return df.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t")).mapInPandas(
-        run, "k bigint, n_shingles bigint, digest binary, sketch binary")
+    return df.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"), F.md5(F.col(text).cast("binary")).alias("md5")).mapInPandas(
+        run, "k bigint, md5 string, n_shingles bigint, digest binary, sketch binary")
 
 
 # -- the trees ---------------------------------------------------------------
@@ -312,13 +312,18 @@ def _bounded() -> Column:
 
 def confirmed(docs: DataFrame, reps: DataFrame, edges: DataFrame, words: int) -> DataFrame:
     """Exact links (u, v) between classes that connect whatever is linked inside
-    the blocks that candidate ``edges`` form. ``docs`` has k and t."""
-    block = components(edges).join(reps.select(F.col("rep").alias("v"), "n_shingles"), "v")
+    the blocks that candidate ``edges`` form. ``docs`` has k and t; ``reps`` has
+    rep and md5, which tell the text that stands for a class among the rows of
+    its id. Each class has one row in a part, however often the row occurs."""
+    block = components(edges).join(reps.select(F.col("rep").alias("v"), "md5", "n_shingles"), "v")
     size = block.groupBy("component").agg(_bounded().alias("parts"))
-    member = saved(block.join(size, "component").withColumn("own", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
-                   .select("v", "component", "parts", "own", "n_shingles"), "members")
+    member = saved(block.join(size, "component").withColumn("own", F.pmod(F.xxhash64("v", "md5"), F.col("parts")).cast("int"))
+                   .select("v", "md5", "component", "parts", "own", "n_shingles"), "members")
     wanted = may_be_in(member.select("v"))
-    texts = docs.filter("t is not null").filter(wanted(F.col("k"))).select(F.col("k").alias("v"), F.col("t").alias("text"))
+    texts = (docs.filter("t is not null").filter(wanted(F.col("k")))
+             .select(F.col("k").alias("v"), F.md5(F.col("t").cast("binary")).alias("md5"), F.col("t").alias("text")))
+    classes = member.select("v", "md5")
+    texts = texts.join(classes, ["v", "md5"], "left_semi").groupBy("v", "md5").agg(F.first("text").alias("text"))
 
     def in_parts(rows: DataFrame) -> DataFrame:
         part = F.xxhash64("component", "at", "slice")
@@ -327,7 +332,7 @@ def confirmed(docs: DataFrame, reps: DataFrame, edges: DataFrame, words: int) ->
                 .mapInPandas(_confirm(words), "u bigint, v bigint"))
 
     def with_text(m: DataFrame) -> DataFrame:
-        return m.join(texts, "v")
+        return m.join(texts, ["v", "md5"])
 
     columns = ["component", "at", "slice", "v", "role", "grp", "parts", "text"]
     links = in_parts(with_text(member.filter("parts = 1")).withColumns(
@@ -358,7 +363,7 @@ def confirmed(docs: DataFrame, reps: DataFrame, edges: DataFrame, words: int) ->
         members = rows.withColumns({"at": F.col("own"), "slice": each, "role": F.lit(0)}).select(columns)
         each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
         asking = rows.filter("asks").withColumns(
-            {"at": each, "slice": F.pmod(F.xxhash64(F.lit("slice"), F.col("v")), F.col("slices")).cast("int"), "role": F.lit(1)}).select(columns)
+            {"at": each, "slice": F.pmod(F.xxhash64(F.lit("slice"), F.col("v"), F.col("md5")), F.col("slices")).cast("int"), "role": F.lit(1)}).select(columns)
         new = saved(in_parts(members.unionByName(asking)), f"links-{n}")
         found = new if found is None else found.unionByName(new)
         met = ask.select("v").distinct()
@@ -373,8 +378,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     docs = df.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"))
     rows = saved(sketched(df, key, text, words), "sketches")
     some = rows.filter("k is not null and digest is not null")
-    reps = saved(some.groupBy("digest").agg(F.min("k").alias("rep"), F.first("n_shingles").alias("n_shingles"),
-                                            F.first("sketch").alias("sketch")), "classes")
+    reps = saved(some.groupBy("digest").agg(F.min(F.struct("k", "md5")).alias("m"), F.first("n_shingles").alias("n_shingles"),
+                                            F.first("sketch").alias("sketch"))
+                 .select("digest", F.col("m.k").alias("rep"), F.col("m.md5").alias("md5"), "n_shingles", "sketch"), "classes")
     links = confirmed(docs, reps, candidates(reps), words)
     # ids with several rows tie their classes together
     twice = some.groupBy("k").agg(F.countDistinct("digest").alias("n")).filter("n > 1").select("k")

@@ -1,6 +1,10 @@
 """Near duplicates and components against brute force."""
 
+import json
 import random
+import uuid
+from collections import Counter
+from pathlib import Path
 
 import pytest
 
@@ -95,13 +99,9 @@ def bridged(n=120):
     return out
 
 
-def test_both_sides_of_a_divided_task_are_bounded(spark, monkeypatch, scratch):
-    """What the first centres do not link is dealt over tasks, too, and linked
-    once to each group, not to every member of a second group."""
-    import json
-    import uuid
-    from collections import Counter
-    from pathlib import Path
+def tasks_of(monkeypatch, scratch):
+    """Counts what the confirming tasks do: a function that returns, per task, the
+    rows of its largest part and its links."""
     real = neardup._confirm
 
     def counted(words):
@@ -121,13 +121,31 @@ def test_both_sides_of_a_divided_task_are_bounded(spark, monkeypatch, scratch):
         return wrapped
 
     monkeypatch.setattr(neardup, "_confirm", counted)
+    return lambda: [json.loads(f.read_text()) for f in Path(scratch).iterdir()]
+
+
+def test_both_sides_of_a_divided_task_are_bounded(spark, monkeypatch, scratch):
+    """What the first centres do not link is dealt over tasks, too, and linked
+    once to each group, not to every member of a second group."""
+    tasks = tasks_of(monkeypatch, scratch)
     monkeypatch.setattr(neardup, "PART_ROWS", 20)
     monkeypatch.setattr(neardup, "CENTRES", 2, raising=False)
     texts = bridged()
     check(spark, list(enumerate(texts)))
-    tasks = [json.loads(f.read_text()) for f in Path(scratch).iterdir()]
-    assert max(rows for rows, _ in tasks) <= 3 * 2 * 20
-    assert sum(links for _, links in tasks) < 10 * len(texts)
+    assert max(rows for rows, _ in tasks()) <= 3 * 2 * 20
+    assert sum(links for _, links in tasks()) < 10 * len(texts)
+
+
+def test_a_repeated_row_meets_its_block_once(spark, monkeypatch, scratch):
+    """A row that occurs many times, and an id with several sets, add one member a class."""
+    tasks = tasks_of(monkeypatch, scratch)
+    a = copies(1)[0]
+    b, c = a + " tail", a + " end"
+    far = "quite another text of few words"
+    rows = [(1, a)] * 300 + [(1, far)] * 50 + [(2, b), (3, c), (4, far + " and more words here"), (5, far.upper())]
+    out = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in out} == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 1)} and len(out) == len(rows)
+    assert max(n for n, _ in tasks()) <= 4
 
 
 def test_components_of_a_path_and_loops(spark):
