@@ -3,11 +3,13 @@
 A document's set is its distinct shingles (hashes of ``words`` consecutive
 words). Equal sets fold into one class, whose smallest id stands for it. Each
 class has a sketch of ``COORDINATES`` minwise tokens. In each of ``TREES``
-independent trees all classes start at the root; a node picks one or two
-coordinates (1 / SIMILARITY on average) by a hash of its path, and every class
+independent trees all classes start at the root; a node picks some coordinates
+(``BRANCHES`` on average, by its depth) by a hash of its path, and every class
 follows its own minwise tokens at those coordinates into child nodes. Two sets
-whose Jaccard index is at least SIMILARITY part at a node with a chance of 0.16
-and meet in a leaf of some tree all but surely. A node of at most ``LEAF``
+whose Jaccard index is at least SIMILARITY part at a root with a chance of 0.16.
+A pair's paths multiply faster than they part below it, so that wherever its
+nodes end, down to ``DEPTH``, it is in one of them in some tree but for a chance
+of 1e-9 (``missed``). A node of at most ``LEAF``
 classes is compared exhaustively by sketch. A larger one branches on, unless a
 sample of it shows one tight group, or the path is ``DEPTH`` long: it is then
 one candidate group as a whole.
@@ -31,6 +33,7 @@ one id are one vertex; a null id gets a null component and is kept.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,14 +47,20 @@ from groundtrack.llm.components import components
 from groundtrack.llm.membership import may_be_in
 
 WORDS, SIMILARITY = 5, 0.8
-COORDINATES, TREES, LEAF, DEPTH = 96, 12, 64, 10
-#: Coordinates that must agree for a candidate: six standard errors below
-#: what a pair at the least similarity has on average.
-AGREE = 53
+COORDINATES, TREES, LEAF, DEPTH = 96, 14, 64, 10
+#: Coordinates a node branches on, on average: at the root, one level below (the
+#: first with large nodes only), and at all deeper levels. At least 1 / SIMILARITY
+#: each; where it is just that, a pair's chance falls with each level.
+BRANCHES = (1 / SIMILARITY, 4, 2)
+#: Coordinates that must agree for a candidate: a pair at the least similarity
+#: has fewer with a chance of 8e-10.
+AGREE = 51
 #: Sets, and shingles, of a part (and of a slice of asked sets) that one task confirms.
 PART_ROWS, PART_SHINGLES = 1000, 4_000_000
 #: Sets of a divided block that meet all others in the first round; four times as many in each further one.
 CENTRES = 16
+#: Steps between a node's coordinates: prime to their number, so none comes twice.
+_STEPS = np.array([i for i in range(1, COORDINATES) if math.gcd(i, COORDINATES) == 1], np.uint64)
 _A = mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _B = mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
@@ -95,21 +104,36 @@ def sketched(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
 
 # -- the trees ---------------------------------------------------------------
 
-def _choices(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The coordinates that nodes branch on: one entry per branch, with the
-    index of its node. One coordinate, and a second with chance 1/SIMILARITY - 1."""
+def missed(depth: int, similarity: float = SIMILARITY) -> float:
+    """The chance that a pair whose nodes all end at ``depth`` shares none of
+    them in any tree, over the sketch that all trees share. A pair that fails
+    the sketch test is not counted."""
+    agree = np.arange(COORDINATES + 1) / COORDINATES
+    part = np.zeros(COORDINATES + 1)
+    for level in reversed(range(depth)):
+        b = BRANCHES[min(level, len(BRANCHES) - 1)]
+        one = 1 - agree + agree * part
+        part = one ** int(b) * (1 - b % 1 + b % 1 * one)
+    chance = np.array([math.comb(COORDINATES, n) * similarity ** n * (1 - similarity) ** (COORDINATES - n) for n in range(COORDINATES + 1)])
+    return float((chance * part ** TREES)[AGREE:].sum())
+
+
+def _choices(node: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """The coordinates that nodes at ``level`` (0: roots) branch on: one entry per
+    branch, with the index of its node. All of a node's coordinates differ."""
+    b = BRANCHES[min(level, len(BRANCHES) - 1)]
     h = mix64(node ^ np.uint64(0xA0761D6478BD642F))
-    first = h % np.uint64(COORDINATES)
-    second = (first + 1 + (h >> np.uint64(8)) % np.uint64(COORDINATES - 1)) % np.uint64(COORDINATES)
-    two = (h >> np.uint64(40)).astype(np.float64) / float(1 << 24) < 1 / SIMILARITY - 1
-    at = np.concatenate([np.arange(len(node)), np.flatnonzero(two)])
-    return at, np.concatenate([first, second[two]]).astype(np.int64)
+    first, step = h % np.uint64(COORDINATES), _STEPS[((h >> np.uint64(8)) % np.uint64(len(_STEPS))).astype(np.int64)]
+    more = (h >> np.uint64(40)).astype(np.float64) / float(1 << 24) < b % 1
+    at = np.concatenate([np.arange(len(node))] * int(b) + [np.flatnonzero(more)])
+    turn = np.repeat(np.arange(int(b) + 1, dtype=np.uint64), [len(node)] * int(b) + [int(more.sum())])
+    return at, ((first[at] + turn * step[at]) % np.uint64(COORDINATES)).astype(np.int64)
 
 
-def _children(node: np.ndarray, rep: np.ndarray, tokens: np.ndarray, short: np.ndarray) -> pd.DataFrame:
+def _children(node: np.ndarray, rep: np.ndarray, tokens: np.ndarray, short: np.ndarray, level: int) -> pd.DataFrame:
     """Rows one level down. ``tokens`` give the branch, ``short`` (one byte a
     coordinate) goes along."""
-    at, c = _choices(node)
+    at, c = _choices(node, level)
     child = mix64(node[at] * np.uint64(0x9E3779B97F4A7C15) + (c.astype(np.uint64) << np.uint64(33)) + tokens[at, c].astype(np.uint64))
     return pd.DataFrame({"node": child.view(np.int64), "rep": rep[at], "sketch": [short[i].tobytes() for i in at]})
 
@@ -122,7 +146,7 @@ def _roots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             short = (mix64(tokens) & np.uint64(0xFF)).astype(np.uint8)
             for tree in range(TREES):
                 root = np.full(len(part), mix64(np.array([tree + 1], np.uint64))[0])
-                yield _children(root, part["rep"].to_numpy(), tokens, short)
+                yield _children(root, part["rep"].to_numpy(), tokens, short, 0)
 
 
 def _linked(s: np.ndarray) -> np.ndarray:
@@ -136,8 +160,8 @@ def _linked(s: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _visit(deepest: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """One level over rows sorted by node: leaves give candidate edges, larger
+def _visit(depth: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """One level over rows (of nodes at ``depth``) sorted by node: leaves give candidate edges, larger
     nodes give the rows of their children (``node`` not null). Holds one node of
     at most ``LEAF`` rows beside a batch; larger ones stream."""
     def edges(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
@@ -161,7 +185,7 @@ def _visit(deepest: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Data
         def large(node, rep, s) -> pd.DataFrame:
             if tight:
                 return edges(rep, np.full(len(rep), centre))
-            down = _children(node.view(np.uint64), rep, s, s)
+            down = _children(node.view(np.uint64), rep, s, s, depth)
             down.insert(2, "other", pd.array([None] * len(down), dtype="Int64"))
             return down.astype({"node": "Int64"})
 
@@ -185,7 +209,7 @@ def _visit(deepest: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Data
             for i in np.flatnonzero((n > LEAF) & small):
                 at = slice(first[i], first[i] + n[i])
                 near = (s[at][:LEAF, None, :] == s[at][None, :LEAF, :]).sum(2) >= AGREE
-                open_node, centre, tight = node[first[i]], rep[first[i]], deepest or bool(near.mean() > 0.5)
+                open_node, centre, tight = node[first[i]], rep[first[i]], depth == DEPTH or bool(near.mean() > 0.5)
                 small[i] = False
                 yield large(node[at], rep[at], s[at])
             if small[-1]:                                              # may go on in the next batch
@@ -213,7 +237,7 @@ def candidates(reps: DataFrame) -> DataFrame:
     found = None
     for depth in range(1, DEPTH + 1):
         level = (rows.repartition("node").sortWithinPartitions("node", "rep")
-                 .mapInPandas(_visit(depth == DEPTH), "node bigint, rep bigint, other bigint, sketch binary"))
+                 .mapInPandas(_visit(depth), "node bigint, rep bigint, other bigint, sketch binary"))
         level = saved(level, f"level-{depth}")
         edges = level.filter("node is null and rep != other").select(F.col("rep").alias("u"), F.col("other").alias("v"))
         found = edges if found is None else found.unionByName(edges)

@@ -6,6 +6,7 @@ import uuid
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from groundtrack.llm import neardup, queries
@@ -148,6 +149,26 @@ def test_a_repeated_row_meets_its_block_once(spark, monkeypatch, scratch):
     assert max(n for n, _ in tasks()) <= 4
 
 
+def test_pairs_meet_at_every_depth():
+    """Few pairs at the least similarity part in all trees, however deep their
+    large nodes go: by the formula, and by following sketches down."""
+    assert all(neardup.missed(d) <= 1e-9 for d in range(1, neardup.DEPTH + 1))
+    rng = np.random.default_rng(4)
+    met, n, trees, deep = 0, 200, 2, 7
+    for _ in range(n):
+        s = rng.integers(0, 256, (2, neardup.COORDINATES), dtype=np.uint8)
+        same = rng.random(neardup.COORDINATES) < neardup.SIMILARITY
+        s[1, same], s[1, ~same] = s[0, same], s[0, ~same] + 1
+        nodes = [np.unique(rng.integers(0, 2**63, trees).astype(np.uint64))] * 2
+        for level in range(deep):
+            down = [neardup._children(x, np.zeros(len(x)), np.repeat(s[i:i + 1], len(x), 0), np.repeat(s[i:i + 1], len(x), 0), level)
+                    for i, x in enumerate(nodes)]
+            both = np.intersect1d(down[0]["node"], down[1]["node"]).astype(np.int64).view(np.uint64)
+            nodes = [both, both]
+        met += len(both) > 0
+    assert met >= 0.95 * n                       # two of the trees; with 1.25 branches a level, about six in ten
+
+
 def test_components_of_a_path_and_loops(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 100), (200, 150), (150, 170), (None, 3)]
     got = dict(components(spark.createDataFrame(edges, "u long, v long")).collect())
