@@ -9,7 +9,9 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundtrack.llm import chat, langid, mixing, neardup, packing, quality_model, quality_rules, syncmers, toxicity, warc
+from groundtrack.llm import (
+    chat, langid, lexical, mixing, neardup, packing, products, quality_model, quality_rules, spelling, syncmers, toxicity, warc,
+)
 from groundtrack.llm.common import crc_mod, saved
 
 
@@ -105,6 +107,26 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), words=4)
 
 
+def op11_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest inner products of every fiftieth vector with all others."""
+    return products.top_products(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+#: One (document, run) in so many loses a letter.
+DROP_RATE = 199
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents with their forms and roots."""
+    return spelling.spelling_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"), edit=spelling.dropped_letters(DROP_RATE))
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.ranked_search(_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 _table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_syncmers": op1_syncmers,
@@ -117,6 +139,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_packing": op9_packing,
         "op10_near_duplicates": op10_near_duplicates,
+        "op11_top_products": op11_top_products,
+        "op12_spelling": op12_spelling,
+        "op13_lexical": op13_lexical,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -243,5 +268,71 @@ FROM digests s LEFT JOIN classes k ON s.digest = k.digest LEFT JOIN component c
 """
 
 
+OP11_SQL = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 5
+"""
+
+#: The checksum by its table of 256 remainders; near words meet at equal texts
+#: with one letter masked, or left out.
+OP12_SQL = r"""
+WITH RECURSIVE remainders AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, j: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS r),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+    FROM documents WHERE text IS NOT NULL) GROUP BY ALL),
+summed AS (
+  SELECT run, n, xor(list_reduce(list_transform(range(strlen(s)), lambda i: ('0x' || substr(hex(encode(s)), (2 * i + 1)::INT, 2))::BIGINT),
+           lambda c, b: xor(c >> 8, r[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS h
+  FROM (SELECT *, coalesce(doc_id::VARCHAR, 'null') || ':' || run AS s FROM runs WHERE length(run) >= 6), remainders),
+words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM summed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cuts AS (
+  SELECT word, n, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+  FROM (SELECT *, unnest(range(1, length(word) + 1))::INT AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON b.word = a.head || a.tail
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON b.word = a.head || a.tail),
+best AS (
+  SELECT word, count(*) AS n_near, min({'m': -other_n, 'w': encode(other), 'o': other}) AS m FROM near GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -m.m >= 5 * w.n THEN m.o END AS form, CASE WHEN -m.m >= 5 * w.n THEN -m.m END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+chain(word, here) AS (
+  SELECT word, word FROM forms UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.here WHERE f.form IS NOT NULL),
+ends AS (SELECT c.word, c.here AS root FROM chain c JOIN forms f ON f.word = c.here WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n::BIGINT AS form_n FROM forms JOIN ends USING (word)
+"""
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents),
+size AS (SELECT count(*) FILTER (len(t) > 0)::BIGINT AS n_docs, sum(len(t))::BIGINT AS n_terms FROM docs),
+tf AS (SELECT doc_id, len(t) AS n, term, count(*) AS tf FROM (SELECT doc_id, t, unnest(t) AS term FROM docs) GROUP BY ALL),
+asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), size),
+scores AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term), size GROUP BY ALL)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3_SQL, "op5_warc": OP5_SQL, "op6_chat": OP6_SQL, "op7_quality_rules": OP7_SQL, "op10_near_duplicates": OP10_SQL}
+    return {"op3_mixing": OP3_SQL, "op5_warc": OP5_SQL, "op6_chat": OP6_SQL, "op7_quality_rules": OP7_SQL, "op10_near_duplicates": OP10_SQL,
+            "op11_top_products": OP11_SQL, "op12_spelling": OP12_SQL, "op13_lexical": OP13_SQL}
