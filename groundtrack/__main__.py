@@ -29,7 +29,7 @@ def main(argv=None) -> int:
     ap.add_argument("--trigger", help='processing-time interval, e.g. "2 minutes"')
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     ap.add_argument("--archive-sat-id", help="archive only this object (default: all)")
-    ap.add_argument("--cell-deg", type=int, default=15, help="grid cells of the closest-object search, in degrees")
+    ap.add_argument("--cell-deg", type=float, help="first cells of the closest-object search, in degrees of arc (default: by the number of objects)")
     ap.add_argument("--look-back", type=int, help="requests: oldest fix seen, in seconds (default: any)")
     ap.add_argument("--required-satellites", type=int, help="requests: overlap only where so many objects are seen")
     ap.add_argument("--max-files-per-trigger", type=int, help="file sources: files of a micro-batch (default: all)")

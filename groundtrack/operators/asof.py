@@ -23,10 +23,13 @@ Plan (linear in fixes + answers, no range join and no nested loop):
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from groundtrack.functions import sphere
 from groundtrack.functions.geo import haversine_km
 from groundtrack.functions.ordering import order_key
 from groundtrack.operators import overlap
@@ -177,12 +180,15 @@ def _nearest(cand: DataFrame, key: str) -> DataFrame:
             .groupBy("request_ts", key).agg(F.min(F.struct(*_BEST)).alias("m")))
 
 
-CELL_DEG = 15               # grid cells of the closest-object search
+#: Objects expected near a request in the first round of the closest-object search.
+NEAR = 4
+#: Times that the cells of a round are as wide as those of the one before.
+WIDER = 4
 
 
 def closest_satellite(requests: DataFrame, fixes: DataFrame,
                       lookback_s: int | None = None, key: str = "request_id",
-                      digits: int | None = 2, cell_deg: int = CELL_DEG) -> DataFrame:
+                      digits: int | None = 2, cell_deg: float | None = None) -> DataFrame:
     """Per request, the object whose as-of fix is nearest to the observer.
 
     Ties go to the lowest ``sat_id``; fixes without coordinates are never
@@ -190,13 +196,23 @@ def closest_satellite(requests: DataFrame, fixes: DataFrame,
     arg-min is ``min(struct(distance, sat_id, ...))`` grouped by request,
     aggregated partially before its shuffle.
 
-    Objects are found through a grid of ``cell_deg`` degrees (a divisor of
-    180, at most 30), exactly: see ``_closest_by_cells``.
+    Objects are found through cells on the unit sphere, in rounds (see
+    ``_closest_by_cells``). ``cell_deg`` is the width of the first cells in
+    degrees of arc; without it they are as wide as about ``NEAR`` objects need
+    (their approximate number is counted, one aggregate over the ids). Results
+    do not depend on it.
     """
     a = asof_by_time(requests, fixes, ("satname", "latitude", "longitude"), lookback_s)
     a = a.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     rq = requests.select(key, F.col("timestamp").alias("request_ts"), "obs_latitude", "obs_longitude")
-    best = _closest_by_cells(rq, a, key, int(cell_deg))
+    if cell_deg is not None:
+        if cell_deg <= 0:
+            raise ValueError("cell_deg must be positive")
+        width = sphere.chord(math.radians(cell_deg))
+    else:
+        n = fixes.agg(F.approx_count_distinct("sat_id")).first()[0]
+        width = 2 * math.sqrt(NEAR / max(1, n))           # a cap of this radius is NEAR / n of the sphere
+    best = _closest_by_cells(rq, a, key, width)
     dist = F.round("m._d", digits) if digits is not None else F.col("m._d")
     return best.select(
         key, F.col("m.satname").alias("satname"), F.col("m.sat_id").alias("sat_id"),
@@ -210,52 +226,40 @@ def _with_distance(c: DataFrame) -> DataFrame:
     return c.withColumn("_d", haversine_km("obs_latitude", "obs_longitude", "latitude", "longitude"))
 
 
-def _closest_by_cells(rq: DataFrame, a: DataFrame, key: str, h: int) -> DataFrame:
-    """Exact nearest object with a grid pre-filter.
+def _candidates(rest: DataFrame, objects: DataFrame, width: float) -> DataFrame:
+    """Requests beside the objects of their own cell and its neighbours, by an
+    equi-join on (time, cell); with cells as wide as the sphere, beside all."""
+    if width >= 2:
+        return rest.join(objects, "request_ts")
+    near = rest.withColumn("_b", F.explode(sphere.block("r_", width)))
+    near = near.select(*rest.columns, "_b.*")
+    return near.join(objects.withColumns(sphere.cells("o_", width)), ["request_ts", "c_x", "c_y", "c_z"])
+
+
+def _closest_by_cells(rq: DataFrame, a: DataFrame, key: str, width: float) -> DataFrame:
+    """Exact nearest object by expanding cells.
 
-    Objects are placed in ``h`` x ``h`` degree cells. A request first looks
-    only at the 3 x 3 block of cells around its own (an equi-join on (time,
-    cell)). Every point outside the block is at least ``g`` away: the
-    latitude gaps to the block's edges, and the great-circle distance to the
-    two bounding meridians (``asin(cos(lat) sin(dlon))``; it shrinks to 0 near
-    the poles, where the block is no separation). A nearest candidate with
-    ``d < g`` is therefore the true nearest; all other requests (no
-    candidate, or not certified) are answered by the full comparison.
+    Requests and objects are directions on the unit sphere, in cubic cells of
+    ``width``. A request first meets the objects of its own cell and the 26
+    around it. Everything outside is further away than the nearest side of that
+    block (``clearance``), so a nearest candidate within it is the true nearest,
+    at the poles and the antimeridian as anywhere. Only requests that are not
+    certified so go on, to cells ``WIDER`` times as wide, up to one that holds
+    the whole sphere.
     """
-    if h <= 0 or 180 % h or h > 30:
-        raise ValueError("cell_deg must divide 180 and be at most 30")
-    nlat, nlon = 180 // h, 360 // h
-    ci = lambda lat: F.least(F.floor((lat + 90) / h), F.lit(nlat - 1)).cast("int")
-    cj = lambda lon: F.pmod(F.floor((lon + 180) / h), F.lit(nlon)).cast("int")
-    cells = a.withColumn("ci", ci(F.col("latitude"))).withColumn("cj", cj(F.col("longitude")))
-
-    r = rq.withColumn("ci0", ci(F.col("obs_latitude"))).withColumn("cj0", cj(F.col("obs_longitude")))
-    near = F.array(*[F.struct(F.lit(di).alias("di"), F.lit(dj).alias("dj"))
-                     for di in (-1, 0, 1) for dj in (-1, 0, 1)])
-    block = (r.select("*", F.explode(near).alias("n"))
-             .withColumn("ci", F.col("ci0") + F.col("n.di"))
-             .withColumn("cj", F.pmod(F.col("cj0") + F.col("n.dj"), F.lit(nlon)))
-             .where((F.col("ci") >= 0) & (F.col("ci") < nlat)).drop("n"))
-    first = _nearest(_with_distance(block.join(cells, ["request_ts", "ci", "cj"])), key)
-
-    # certified radius of each request's block
-    R = EARTH_RADIUS_KM
-    lat, lon = F.col("obs_latitude"), F.col("obs_longitude")
-    lo_lat = (F.col("ci0") - 1) * h - 90
-    hi_lat = (F.col("ci0") + 2) * h - 90
-    west = lon + 180 - (F.col("cj0") - 1) * h          # degrees to the west meridian
-    east = (F.col("cj0") + 2) * h - (lon + 180)        # and to the east one
-    big = F.lit(float("inf"))
-    gaps = [F.when(lo_lat > -90, F.radians(lat - lo_lat) * R).otherwise(big),
-            F.when(hi_lat < 90, F.radians(hi_lat - lat) * R).otherwise(big),
-            F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(west))) * R,
-            F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(east))) * R]
-    g = r.select(key, F.least(*gaps).alias("_g"))
-    sure = (first.join(g, key)
-            .where(F.col("m._d") < F.col("_g") * (1 - 1e-9) - 1e-6).select("request_ts", key, "m"))
-    rest = rq.join(sure.select(key), key, "left_anti")
-    second = _nearest(_with_distance(rest.join(a, "request_ts")), key)
-    return sure.unionByName(second)
+    rest = rq.select("*", *sphere.unit_vector("obs_latitude", "obs_longitude", "r_"))
+    objects = a.select("*", *sphere.unit_vector("latitude", "longitude", "o_"))
+    best = None
+    while True:
+        found = _nearest(_with_distance(_candidates(rest, objects, width)), key)
+        if width >= 2:
+            return found if best is None else best.unionByName(found)
+        sure = (found.join(rest.select(key, sphere.clearance("r_", width).alias("_g")), key)
+                .where(sphere.chord_of(F.col("m._d") / F.lit(EARTH_RADIUS_KM)) < F.col("_g") * (1 - 1e-9) - 1e-9)
+                .select("request_ts", key, "m"))
+        best = sure if best is None else best.unionByName(sure)
+        rest = rest.join(sure.select(key), key, "left_anti")
+        width *= WIDER
 
 
 def motion_answers(requests: DataFrame, vectors: DataFrame,

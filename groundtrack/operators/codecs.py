@@ -20,7 +20,7 @@ from pyspark.sql.types import ArrayType
 from groundtrack.params import MOTION_TOPIC, REQUEST_TOPIC, RESPONSE_TOPIC, TOPIC_PREFIX
 from groundtrack.schemas import CLOSEST_RESPONSE, OVERLAP_ITEM, POSITION_FIELDS
 
-MAX_ITEMS = 1000     # items of a list message, about
+MAX_ITEMS = 50       # items of a list message, about: some 9 KB of pairs
 
 
 def encode_positions(fixes: DataFrame, offset: str | None = None) -> DataFrame:

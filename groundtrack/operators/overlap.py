@@ -23,6 +23,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from groundtrack.functions import sphere
 from groundtrack.functions.geo import geo_parts, haversine_from_parts
 from groundtrack.params import COVERAGE_RADIUS_KM, EARTH_RADIUS_KM
 
@@ -40,6 +41,22 @@ def complete_instants(fixes: DataFrame, required: int, key: str = "timestamp") -
     return fixes.join(ok, key, "left_semi")
 
 
+#: Cells along the reach of a disc: finer cells fit the disc better, and copy more.
+CELLS_PER_REACH = 3
+#: Narrowest cells, as a share of the Earth's radius (64 m): below, only copies are won.
+MIN_CELL = 1e-5
+
+
+def in_cells(a: DataFrame, b: DataFrame, reach: float, width: float) -> tuple[DataFrame, DataFrame]:
+    """The two sides of a pair join with their directions (``p_``, ``q_``) and
+    cells: ``a`` once for each cell within ``reach``, ``b`` in its own."""
+    a = a.select("*", *sphere.unit_vector("latitude_a", "longitude_a", "p_"))
+    b = b.select("*", *sphere.unit_vector("latitude_b", "longitude_b", "q_"))
+    a = a.select("*", F.explode(sphere.cells_within("p_", reach, width)).alias("_cell"))
+    a = a.select(*[c for c in a.columns if c != "_cell"], *[F.col(f"_cell.c_{x}").alias(f"c_{x}") for x in sphere.AXES])
+    return a, b.withColumns({f"d_{x}": sphere.cell(f"q_{x}", width) for x in sphere.AXES})
+
+
 def pairs(points: DataFrame, keys: list[str], radius_km: float = COVERAGE_RADIUS_KM,
           earth_radius_km: float = EARTH_RADIUS_KM, digits: int | None = 2,
           time_col: str = "timestamp", keep: tuple[str, ...] = (), hint: str | None = "merge",
@@ -48,13 +65,13 @@ def pairs(points: DataFrame, keys: list[str], radius_km: float = COVERAGE_RADIUS
     that agree on ``keys``, with distance, overlap flag and depth.
 
     ``time_col`` becomes the pair's ``timestamp``; ``keep`` lists key columns
-    to carry through. ``only_overlapping`` adds a latitude-band key: two
-    discs can only meet if the latitudes differ by less than ``2r / R`` (a
-    great-circle distance is never shorter than the latitude difference), so
-    points get bands that wide and one side is copied to the three
-    neighbouring bands - each candidate pair is built exactly once, far
-    pairs never, and a hot key is split by band. The angle between the two
-    is part of the join condition, so longitudes prune as well.
+    to carry through. ``only_overlapping`` adds a cell on the unit sphere to the
+    key: two discs only meet if the straight line between their centres is
+    shorter than that of ``2r`` on the ground, so one side is copied to the
+    cells within that reach (``sphere.cells_within``) and the other stays in its
+    own. Each candidate pair is built exactly once, far pairs never, and a hot
+    key is split by cell. The angle between the two is part of the join
+    condition, so what leaves the join is the answer but for rounding.
     """
     cols = list(dict.fromkeys([*keys, time_col, *keep, *POINT]))
     a = points.select(*[F.col(c).alias(f"{c}_a") for c in cols], *geo_parts("latitude", "longitude", "a_"))
@@ -62,19 +79,12 @@ def pairs(points: DataFrame, keys: list[str], radius_km: float = COVERAGE_RADIUS
     cond = [F.col(f"{k}_a") == F.col(f"{k}_b") for k in keys] + [F.col("sat_id_a") < F.col("sat_id_b")]
     reach = 2.0 * radius_km
     if only_overlapping:
-        # band width = the largest latitude difference of an overlapping
-        # pair, widened by a hair so rounding can never drop a boundary pair
-        band_deg = math.degrees(reach / earth_radius_km) * (1 + 1e-9) + 1e-9
-        band = lambda c: F.floor((F.col(c) + 90) / F.lit(band_deg)).cast("int")
-        a = a.withColumn("_band", F.explode(F.array(band("latitude_a") - 1, band("latitude_a"),
-                                                    band("latitude_a") + 1)))
-        b = b.withColumn("_band", band("latitude_b"))
-        # the angle between the two directions, without the haversine's functions: what
-        # the join lets through is the answer but for rounding
-        dot = (F.col("a_cos") * F.col("b_cos") * F.cos(F.col("a_lam") - F.col("b_lam")) + F.sin("a_phi") * F.sin("b_phi"))
-        cond += [a["_band"] == b["_band"],
-                 F.abs(F.col("latitude_a") - F.col("latitude_b")) < F.lit(band_deg),
-                 dot > F.lit(math.cos(min(math.pi, reach / earth_radius_km)) - 1e-9)]
+        angle = min(math.pi, reach / earth_radius_km)
+        line = sphere.chord(angle) * (1 + 1e-9) + 1e-9
+        a, b = in_cells(a, b, line, max(line / CELLS_PER_REACH, MIN_CELL))
+        dot = sum((F.col(f"p_{x}") * F.col(f"q_{x}") for x in sphere.AXES), F.lit(0.0))
+        cond += [F.col(f"c_{x}") == F.col(f"d_{x}") for x in sphere.AXES]
+        cond.append(dot > F.lit(math.cos(angle) - 1e-9))
     joined = a.join(b.hint(hint) if hint else b, reduce(and_, cond))
     p = joined.withColumn("_d", haversine_from_parts("a_", "b_", earth_radius_km))
     if only_overlapping:
@@ -101,8 +111,8 @@ def coverage_overlap(fixes: DataFrame, radius_km: float = COVERAGE_RADIUS_KM,
     ``required_satellites`` reproduces the original gate (answer only when
     exactly that many objects are present); None means no gate.
     ``digits`` rounds the two km columns (None keeps full precision).
-    ``only_overlapping`` returns just the overlapping pairs, built through a
-    latitude-band join (see ``pairs``).
+    ``only_overlapping`` returns just the overlapping pairs, built through
+    cells on the sphere (see ``pairs``).
     """
     keyed = fixes.select("timestamp", *POINT)
     if required_satellites is not None:

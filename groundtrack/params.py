@@ -27,6 +27,10 @@ MOTION_TOPIC = "motion_vector_response"
 UNKNOWN_NAME = "Unknown"          # satname when the API document has none
 MAP_TITLE = "Satellite Tracking - "   # map title, before the time range
 POPUP = "%s (ID: %s)"             # end-marker popup: name and id
+PATH_POPUP = "%s Path"            # path popup: name
+OBSERVER_POPUP = "Observer: %s"   # observer marker popup: place
+OBSERVER_NAME = "Bangalore"       # place of the fixed observer
+UPDATED = "Last updated: "        # second line of the map title, before the time
 # request choice -> action
 ACTIONS = {1: "motion_vector", 2: "overlap", 3: "closest", 4: "exit"}
 UNKNOWN_ACTION = "unknown"

@@ -269,8 +269,8 @@ ORACLE.update({
     # every object is polled each 18 s, so its last fix is at most that old
     "answers_whole": with_(ticks_n(60, "t60"), """seen AS (SELECT * FROM (
         SELECT f.*, r.timestamp AS ask, row_number() OVER (PARTITION BY r.timestamp, sat_id ORDER BY f.timestamp DESC) AS rn
-        FROM (SELECT DISTINCT timestamp FROM t60) r JOIN t60 f ON f.timestamp IN (r.timestamp, r.timestamp - 18)) x WHERE rn = 1)""") + """SELECT 'r' || timestamp AS key, CAST(ceil(count(*) / 1000) AS BIGINT) AS n_parts,
-        CAST(ceil(count(*) / 1000) AS BIGINT) AS parts_seen, count(*) AS n_pairs, count(*) FILTER (overlap) AS n_overlap,
+        FROM (SELECT DISTINCT timestamp FROM t60) r JOIN t60 f ON f.timestamp IN (r.timestamp, r.timestamp - 18)) x WHERE rn = 1)""") + """SELECT 'r' || timestamp AS key, CAST(ceil(count(*) / 50) AS BIGINT) AS n_parts,
+        CAST(ceil(count(*) / 50) AS BIGINT) AS parts_seen, count(*) AS n_pairs, count(*) FILTER (overlap) AS n_overlap,
         max(distance_km) AS farthest_km, CAST(0 AS BIGINT) AS n_rejected FROM (
         SELECT r.timestamp, round(d, 2) AS distance_km, d < 5000.0 AS overlap FROM (
           SELECT a.ask AS timestamp, """ + haversine_sql("a.latitude", "a.longitude", "b.latitude", "b.longitude") + """ AS d
@@ -288,5 +288,63 @@ ORACLE.update({
 })
 
 
+# The streams joined, the slots, the deltas, the roll-ups: the batch rows again.
+ORACLE.update({
+    "asof_live": ORACLE["asof_positions_1h"].replace("SELECT * FROM asof_rows", "SELECT * REPLACE (CAST(request_id AS VARCHAR) AS request_id) FROM asof_rows"),
+    "closest_live": f"SELECT * REPLACE (CAST(request_id AS VARCHAR) AS request_id) FROM ({ORACLE['closest_satellite_1h']}) c",
+    "sliding_panes": ORACLE["sliding_positions"],
+    "snapshot_deltas": ORACLE["latest_positions"],
+    "motion_answers_stream": f"""SELECT CAST(request_id AS VARCHAR) AS request_id, sat_id, satname, velocity_kmph, delta_latitude,
+        delta_longitude, vector_ts, CAST(NULL AS VARCHAR) AS reject_reason FROM ({ORACLE['motion_answers']}) m""",
+    "scan_log": f"SELECT * EXCLUDE (seq) FROM ({ORACLE['parse_positions']}) p",
+    "supervised_counts": """SELECT 'archive' AS query, count(*) AS n_rows, count(*) FILTER (event_type = 'error') AS n_rejected,
+        CAST(NULL AS BIGINT) AS n_answerable, CAST(0 AS BIGINT) AS n_late, CAST(0 AS BIGINT) AS n_failures FROM events
+      UNION ALL SELECT 'requests', count(*), count(*) FILTER (event_type IN ('error', 'signup')), count(*) FILTER (event_type NOT IN ('error', 'signup')),
+        0, 0 FROM events""",
+    # every object at the multiples of ten minutes, on the great circle between
+    # its fixes at most an hour apart
+    "coverage_overlap_within": with_(IRREGULAR, """one AS (SELECT sat_id, timestamp, arg_max(satname, seq) AS satname, arg_max(latitude, seq) AS latitude,
+        arg_max(longitude, seq) AS longitude FROM irregular GROUP BY sat_id, timestamp)""",
+        """u AS (SELECT *, cos(radians(latitude)) * cos(radians(longitude)) AS x, cos(radians(latitude)) * sin(radians(longitude)) AS y,
+        sin(radians(latitude)) AS z FROM one)""",
+        """nxt AS (SELECT *, lead(timestamp) OVER w AS t1, lead(x) OVER w AS x1, lead(y) OVER w AS y1, lead(z) OVER w AS z1
+        FROM u WINDOW w AS (PARTITION BY sat_id ORDER BY timestamp))""",
+        """grid AS (SELECT *, 2 * asin(least(sqrt((x1 - x) * (x1 - x) + (y1 - y) * (y1 - y) + (z1 - z) * (z1 - z)) / 2, 1.0)) AS w,
+        unnest(generate_series(CAST(ceil(timestamp / 600) AS BIGINT) * 600, CASE WHEN t1 - timestamp <= 3600 THEN t1 - 1 ELSE timestamp END, 600)) AS t
+        FROM nxt)""",
+        """way AS (SELECT *, t = timestamp AS exact, CASE WHEN t > timestamp THEN CAST(t - timestamp AS DOUBLE) / CAST(t1 - timestamp AS DOUBLE) END AS f
+        FROM grid WHERE t = timestamp OR w < pi() - 1e-6)""",
+        """parts AS (SELECT *, CASE WHEN w < 1e-12 THEN 1 - f ELSE sin((1 - f) * w) / sin(w) END AS a, CASE WHEN w < 1e-12 THEN f ELSE sin(f * w) / sin(w) END AS b
+        FROM way)""",
+        """there AS (SELECT sat_id, satname, t AS timestamp,
+        CASE WHEN exact THEN latitude ELSE degrees(atan2(a * z + b * z1, sqrt((a * x + b * x1) * (a * x + b * x1) + (a * y + b * y1) * (a * y + b * y1)))) END AS latitude,
+        CASE WHEN exact THEN longitude ELSE degrees(atan2(a * y + b * y1, a * x + b * x1)) END AS longitude FROM parts)""")
+        + "SELECT * REPLACE (round(lat1, 5) AS lat1, round(lon1, 5) AS lon1, round(lat2, 5) AS lat2, round(lon2, 5) AS lon2) FROM (" + overlap_sql("there") + ") o",
+    "closest_many": with_(ticks_n(200, "t200"), REQUESTS, """asked AS (SELECT request_id, obs_latitude, obs_longitude,
+        1745211600 + 18 * (request_id // 500) AS request_ts FROM requests)""") + f"""SELECT request_id, satname, sat_id, latitude, longitude,
+        round(d, 2) AS distance_km, obs_latitude AS observer_lat, obs_longitude AS observer_lon, request_ts AS timestamp, fix_ts FROM (
+          SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY d, sat_id) AS rk FROM (
+            SELECT r.*, f.sat_id, f.satname, f.latitude, f.longitude, f.timestamp AS fix_ts,
+                   {haversine_sql('r.obs_latitude', 'r.obs_longitude', 'f.latitude', 'f.longitude')} AS d
+            FROM asked r JOIN (SELECT a.request_ts, f.*, row_number() OVER (PARTITION BY a.request_ts, f.sat_id ORDER BY f.timestamp DESC, f.seq DESC) AS rn
+                               FROM (SELECT DISTINCT request_ts FROM asked) a JOIN t200 f ON f.timestamp <= a.request_ts) f
+              ON f.request_ts = r.request_ts AND f.rn = 1) x) z WHERE rk = 1""",
+    "track_lines": with_(TICKS, RETAINED_TICKS, """steps AS (SELECT *, lag(longitude) OVER w AS lon0, lag(latitude) OVER w AS lat0 FROM pts
+        WHERE n_points >= 2 WINDOW w AS (PARTITION BY sat_id ORDER BY window_start))""",
+        """cut AS (SELECT *, coalesce(abs(longitude - lon0) > 180, false) AS over, lat0 + (180 - abs(lon0)) / (360 - abs(longitude - lon0)) * (latitude - lat0) AS lat FROM steps)""")
+        + """SELECT sat_id, first_name AS satname, first_name || ' Path' AS popup, CAST(1 + count(*) FILTER (over) AS BIGINT) AS n_lines,
+        CAST(count(*) + 2 * count(*) FILTER (over) AS BIGINT) AS n_coords, round(coalesce(sum(lat) FILTER (over), 0.0), 5) AS cut_latitude,
+        CAST(2 * count(*) FILTER (over) AS BIGINT) AS n_at_side FROM cut GROUP BY sat_id, first_name""",
+    "map_features": with_(TICKS, RETAINED_TICKS, """ends AS (SELECT * FROM pts WHERE n_points >= 2 AND point_index = n_points - 1)""",
+        f"""texts AS (SELECT 'Satellite Tracking - ' || {_HHMM('min(window_start)')} || ' to ' || {_HHMM('max(window_end)')} AS title,
+        'Last updated: ' || strftime(make_timestamp((SELECT max(timestamp) FROM ticks) * 1000000), '%Y-%m-%d %H:%M:%S') AS updated FROM kept)""")
+        + f"""SELECT kind, sat_id, popup, lon, lat, title, updated FROM (
+        SELECT 'path' AS kind, sat_id, first_name || ' Path' AS popup, CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS DOUBLE) AS lat FROM ends
+        UNION ALL SELECT 'head', sat_id, first_name || ' (ID: ' || sat_id || ')' || chr(10) || 'Window: ' || {_HHMM('window_start')} || ' to ' || {_HHMM('window_end')},
+          longitude, latitude FROM ends
+        UNION ALL SELECT 'observer', NULL, 'Observer: Bangalore', 77.60329, 12.97623), texts""",
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

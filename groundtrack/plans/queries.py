@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundtrack.functions.geo import haversine_km
-from groundtrack.operators import asof, codecs, ingest, latest, motion, overlap, tracks as trk, windows
+from groundtrack.operators import asof, codecs, ingest, interpolate, latest, motion, overlap, tracks as trk, windows
 from groundtrack.params import OBSERVER, SAT_IDS
 from groundtrack.schemas import CLOSEST_RESPONSE, MOTION_RESPONSE, OVERLAP_ITEM, POSITION, REQUEST
 from groundtrack.plans.streams import STREAM_QUERIES
@@ -50,6 +50,13 @@ def q_coverage_overlap_gated(spark, sf_dir):
     return overlap.coverage_overlap(fx.ticks_n(spark, sf_dir, 7), required_satellites=7)
 
 
+@register("coverage_overlap_within")
+def q_coverage_overlap_within(spark, sf_dir):
+    """Objects that report at different seconds, paired where they are every ten
+    minutes between fixes at most an hour apart."""
+    return interpolate.overlap_within(fx.irregular(spark, sf_dir), step_s=600, max_gap_s=3600)
+
+
 @register("haversine_pairs")
 def q_haversine_pairs(spark, sf_dir):
     t = fx.ticks(spark, sf_dir)
@@ -94,6 +101,13 @@ def q_closest_satellite(spark, sf_dir):
     return asof.closest_satellite(_choice(spark, sf_dir, 3), fx.irregular(spark, sf_dir))
 
 
+@register("closest_many")
+def q_closest_many(spark, sf_dir):
+    """200 objects, every request as of a poll: cells on the sphere, in rounds."""
+    poll = F.lit(fx.BASE_EPOCH) + F.expr("request_id div 500") * fx.POLL_S
+    return asof.closest_satellite(fx.requests(spark, sf_dir).withColumn("timestamp", poll), fx.ticks_n(spark, sf_dir, 200))
+
+
 @register("closest_satellite_grid")
 def q_closest_satellite_grid(spark, sf_dir):
     """Same answers through a coarser grid."""
@@ -205,6 +219,27 @@ def q_track_geojson(spark, sf_dir):
         F.col("h")[0].alias("head_lon"), F.col("h")[1].alias("head_lat"))
 
 
+@register("track_lines")
+def q_track_lines(spark, sf_dir):
+    """Tracks cut at the antimeridian, read back from their GeoJSON."""
+    t = trk.track_lines(_ticks_tracks(spark, sf_dir))
+    t = t.withColumn("c", F.from_json("track", "struct<geometry: struct<coordinates: array<array<array<double>>>>>")["geometry"]["coordinates"])
+    points = F.flatten("c")
+    # the first point of each line but the first lies on the cut
+    cuts = F.transform(F.slice("c", 2, F.size("c")), lambda x: F.element_at(F.element_at(x, 1), 2))
+    return t.select("sat_id", "satname", "popup", F.size("c").cast("bigint").alias("n_lines"), F.size(points).cast("bigint").alias("n_coords"),
+                    F.round(F.aggregate(cuts, F.lit(0.0), lambda a, x: a + x), 5).alias("cut_latitude"),
+                    F.size(F.filter(points, lambda p: F.abs(p[0]) == 180)).cast("bigint").alias("n_at_side"))
+
+
+@register("map_features")
+def q_map_features(spark, sf_dir):
+    f = fx.ticks(spark, sf_dir)
+    m = trk.map_features(_ticks_tracks(spark, sf_dir), _retained_ticks(spark, sf_dir), windows.data_now(f))
+    at = F.when(F.col("kind") != "path", F.from_json("geometry", "struct<coordinates: array<double>>")["coordinates"])
+    return m.select("kind", "sat_id", "popup", at[0].alias("lon"), at[1].alias("lat"), "title", "updated")
+
+
 @register("track_labels")
 def q_track_labels(spark, sf_dir):
     return trk.track_labels(_ticks_tracks(spark, sf_dir), _retained_ticks(spark, sf_dir))

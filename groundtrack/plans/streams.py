@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 
 from groundtrack.operators import codecs, ingest, tracks as trk, windows
 from groundtrack.params import RETAIN_S, SAT_IDS
-from groundtrack.schemas import OVERLAP_ITEM
+from groundtrack.schemas import MOTION_ITEM, OVERLAP_ITEM
 from groundtrack.session import checkpoint_path
 from groundtrack.sources import fixtures as fx
-from groundtrack.streaming import sinks, sources, state
+from groundtrack.streaming import jobs, keyed, live, records, rollup, sinks, snapshots, sources, state, supervise
 
 CHUNKS = 4          # staged files = micro-batches (maxFilesPerTrigger = 1)
 
@@ -254,7 +254,140 @@ def stream_batch_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("b.path") == F.col("s.path")).alias("same_path"))
 
 
+#: Rows that end a staged stream: so much later that the watermark passes all others.
+END_S = 86400
+
+
+def _ended_fixes(fixes: DataFrame) -> DataFrame:
+    """Fixes and one of an object ``0``, a day after the last."""
+    last = fixes.agg((F.max("timestamp") + END_S).alias("timestamp"), (F.max("seq") + 1).alias("seq"))
+    return fixes.unionByName(last.select(F.lit("0").alias("sat_id"), F.lit("Sat 0").alias("satname"),
+                                         *[F.lit(0.0).alias(c) for c in ("latitude", "longitude", "azimuth", "elevation")], "timestamp", "seq"))
+
+
+def _ended_requests(reqs: DataFrame) -> DataFrame:
+    """Request messages and one a day after the last."""
+    last = reqs.agg((F.max("request_id") + 1).alias("request_id"), (F.max("timestamp") + END_S).alias("timestamp"))
+    all_ = reqs.unionByName(last.select("request_id", *[F.lit(0.0).alias(c) for c in ("obs_latitude", "obs_longitude", "altitude")], "timestamp",
+                                        F.lit(3).alias("choice_id")))
+    return codecs.encode_requests(all_).select("value", "topic", F.col("key").cast("bigint").alias("offset"))
+
+
+def _two_streams(spark: SparkSession, sf_dir: str, d: str) -> tuple[DataFrame, DataFrame]:
+    """(closest requests, fixes) as streams that end."""
+    pos = stage(encode_raw(_ended_fixes(fx.irregular(spark, sf_dir))), f"{d}/pos")
+    req = stage(_ended_requests(fx.requests(spark, sf_dir)), f"{d}/req")
+    return ingest.parse_requests(staged_stream(spark, req)).where("choice_id = 3"), _positions_stream(spark, pos)
+
+
+def asof_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The as-of join of the two streams themselves, with an hour of look-back."""
+    d = run_dir(spark, "asof_live")
+    rows = live.asof_live(*_two_streams(spark, sf_dir, d), 3600, spread=2)
+    _drain(sinks.start(rows, f"{d}/ckpt", fmt="parquet", path=f"{d}/out", trigger={"availableNow": True}))
+    return spark.read.parquet(f"{d}/out").drop("request_time")
+
+
+def closest_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closest objects from the two streams themselves: join, as-of pick and
+    arg-min chained in one query."""
+    d = run_dir(spark, "closest_live")
+    rows = live.closest_live(*_two_streams(spark, sf_dir, d), 3600, spread=2)
+    _drain(sinks.start(rows, f"{d}/ckpt", fmt="parquet", path=f"{d}/out", trigger={"availableNow": True}))
+    return spark.read.parquet(f"{d}/out")
+
+
+def sliding_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live windows from shared slots; the final value of a window is its last update."""
+    d = run_dir(spark, "sliding_panes")
+    src = stage(encode_raw(fx.irregular(spark, sf_dir)), f"{d}/in")
+    s = keyed.sliding_panes(_positions_stream(spark, src))
+
+    def keep(b, i):
+        b.withColumn("batch_id", F.lit(int(i))).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{d}/out")
+
+    _drain(sinks.start(s, f"{d}/ckpt", mode="update", foreach_batch=keep, trigger={"availableNow": True}))
+    last = spark.read.parquet(f"{d}/out").groupBy("window_start", "window_end", "sat_id", "satname").agg(
+        F.max_by(F.struct("latitude", "longitude", "timestamp"), "batch_id").alias("v"))
+    return last.select("window_start", "window_end", "sat_id", "satname", "v.*")
+
+
+def snapshot_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest fixes merged from what each micro-batch added."""
+    d = run_dir(spark, "snapshot_deltas")
+    s = _positions_stream(spark, stage(encode_raw(fx.irregular(spark, sf_dir)), f"{d}/in"))
+    _drain(sinks.start(s, f"{d}/ckpt", trigger={"availableNow": True},
+                       foreach_batch=lambda b, i: snapshots.write_delta(b, i, f"{d}/snap", max_deltas=2)))
+    return snapshots.read_latest(spark, f"{d}/snap")
+
+
+def motion_answers_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Motion requests answered from the archive's roll-ups and the days that
+    the requests reach: two queries over one archive."""
+    d = run_dir(spark, "motion_answers_stream")
+    pos = _positions_stream(spark, stage(encode_raw(fx.irregular(spark, sf_dir)), f"{d}/pos"))
+
+    def archive(b, i):
+        sinks.history_append(b, i, f"{d}/hist", sat_id=None)
+        rollup.advance(b, i, f"{d}/hist")
+
+    _drain(sinks.start(pos, f"{d}/ckpt_pos", trigger={"availableNow": True}, foreach_batch=archive))
+    req = ingest.parse_requests(staged_stream(spark, stage(fx.raw_requests(spark, sf_dir), f"{d}/req"))).where("choice_id = 1")
+    _drain(sinks.start(req, f"{d}/ckpt_req", trigger={"availableNow": True},
+                       foreach_batch=lambda b, i: state.answer_requests(b, i, f"{d}/hist", f"{d}/resp")))
+    items = codecs.decode_responses(state.read_messages(spark, f"{d}/resp").select("key", "value"), MOTION_ITEM)
+    return items.select(F.col("key").alias("request_id"), "sat_id", "satname", "velocity_kmph", F.col("direction.delta_latitude").alias("delta_latitude"),
+                        F.col("direction.delta_longitude").alias("delta_longitude"), F.col("timestamp").alias("vector_ts"), "reject_reason")
+
+
+def scan_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position and request messages written to a record log by one stream and
+    read from it by another, by topic pattern and a few thousand records at a
+    time, so that micro-batches end inside its files."""
+    d = run_dir(spark, "scan_log")
+    raw = fx.raw_positions(spark, sf_dir).unionByName(fx.raw_requests(spark, sf_dir))
+    records.register(spark)
+    src = staged_stream(spark, stage(raw, f"{d}/in")).select("topic", "value")
+    _drain(src.writeStream.format(records.NAME).option("checkpointLocation", f"{d}/ckpt_log").option("partitions", 2)
+           .trigger(availableNow=True).start(f"{d}/log"))
+    most = max(1, raw.count() // 5)
+    log = records.read_log(spark, f"{d}/log", subscribePattern=sources.POSITION_TOPICS, maxRecordsPerBatch=most, progress=f"{d}/progress")
+    parsed = ingest.parse_positions(log).drop("seq")
+    q = sinks.start(parsed, f"{d}/ckpt", fmt="parquet", path=f"{d}/out", trigger={"processingTime": "0 seconds"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{d}/out")
+
+
+def supervised_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the position job and the request job saw, rejected and can answer,
+    as their supervisor counted it batch by batch."""
+    d = run_dir(spark, "supervised_counts")
+    pos = staged_stream(spark, stage(fx.raw_positions(spark, sf_dir), f"{d}/pos"))
+    req = staged_stream(spark, stage(fx.raw_requests(spark, sf_dir), f"{d}/req"))
+    now = {"availableNow": True}
+    with supervise.supervised(spark) as seen:
+        for q in jobs.start_positions(pos, f"{d}/root", trigger=now):
+            _drain(q)
+        _drain(jobs.start_requests(req, f"{d}/root", trigger=now))
+    rows = [(name, t.get("n_rows", 0), t.get("n_rejected", 0), t.get("n_answerable"), t.get("late_rows", 0), t.get("failures", 0))
+            for name, t in seen.totals().items() if name in ("archive", "requests")]
+    return spark.createDataFrame(rows, "query string, n_rows bigint, n_rejected bigint, n_answerable bigint, n_late bigint, n_failures bigint")
+
+
 STREAM_QUERIES = {
+    "asof_live": asof_live,
+    "closest_live": closest_live,
+    "sliding_panes": sliding_panes,
+    "snapshot_deltas": snapshot_deltas,
+    "motion_answers_stream": motion_answers_stream,
+    "scan_log": scan_log,
+    "supervised_counts": supervised_counts,
     "scan_positions": scan_positions,
     "scan_requests": scan_requests,
     "history_append": history_append,

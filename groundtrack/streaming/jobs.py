@@ -16,9 +16,9 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundtrack.operators import asof, codecs, ingest, motion, tracks as trk, windows
-from groundtrack.params import LOOKBACK_S, MOTION_TOP_N, RETAIN_S, SLIDE, WATERMARK, WINDOW
-from groundtrack.streaming import sinks, state
+from groundtrack.operators import codecs, ingest, motion, tracks as trk, windows
+from groundtrack.params import LOOKBACK_S, MOTION_TOP_N, RETAIN_S, SLIDE, VALID_CHOICES, WATERMARK, WINDOW
+from groundtrack.streaming import keyed, live, rollup, sinks, snapshots, state, supervise
 
 
 def publish(msgs: DataFrame, servers: str | None) -> None:
@@ -41,35 +41,41 @@ def _keep(df: DataFrame, batch_id: int, path: str) -> None:
 
 def start_positions(raw: DataFrame, root: str, archive_sat_id: str | None = None,
                     trigger: dict | None = None):
-    """Parse position messages; archive accepted fixes (partitioned by
-    object), keep rejected ones in a quarantine table, and maintain the
-    latest-fix snapshot (complete-mode aggregate, one row per object,
-    versioned folders). Returns (archive query, snapshot query)."""
-    parsed = ingest.parse_positions(ingest.topic_filter(raw))
+    """Parse position messages; archive accepted fixes (partitioned by day, with
+    a roll-up of the past at each new day), keep rejected ones in a quarantine
+    table, and maintain the latest-fix snapshot (each batch adds the objects that
+    reported). Counts of rows and rejected rows come with the progress under
+    ``positions``. Returns (archive query, snapshot query)."""
+    plain = ingest.parse_positions(ingest.topic_filter(raw))
+    parsed = supervise.observed(plain, "positions")
 
     def archive(b, i):
         b.persist()
         ok, bad = ingest.split(b)
         sinks.history_append(ok, i, os.path.join(root, "archive"), sat_id=archive_sat_id)
+        rollup.advance(ok, i, os.path.join(root, "archive"))
         _keep(bad, i, os.path.join(root, "quarantine"))
         b.unpersist()
 
-    q1 = sinks.start(parsed, os.path.join(root, "_ckpt_archive"), foreach_batch=archive, trigger=trigger)
-    ok, _ = ingest.split(parsed)
-    q2 = sinks.start(state.latest_snapshot(ok), os.path.join(root, "_ckpt_snapshot"), mode="complete",
-                     foreach_batch=lambda b, i: state.write_snapshot(b, i, os.path.join(root, "snapshot")),
-                     trigger=trigger)
+    q1 = sinks.start(parsed, os.path.join(root, "_ckpt_archive"), foreach_batch=archive, trigger=trigger, query_name="archive")
+    ok, _ = ingest.split(plain)
+    q2 = sinks.start(ok, os.path.join(root, "_ckpt_snapshot"), trigger=trigger, query_name="snapshot",
+                     foreach_batch=lambda b, i: snapshots.write_delta(b, i, os.path.join(root, "snapshot")))
     return q1, q2
 
 
 def start_requests(raw: DataFrame, root: str, servers: str | None = None,
-                   trigger: dict | None = None, cell_deg: int = asof.CELL_DEG,
+                   trigger: dict | None = None, cell_deg: float | None = None,
                    lookback_s: int | None = None, required_satellites: int | None = None):
     """Answer observer requests from the archive written by
     ``start_positions`` (closest, overlap, motion); responses kept under
     ``root/responses`` and published when ``servers`` is set; requests that
     cannot be served are kept under ``root/rejected_requests``."""
-    reqs = ingest.parse_requests(raw)
+    parsed = ingest.parse_requests(raw)
+    checked = ingest.validate_requests(parsed)
+    served = checked["reject_reason"].isNull() & checked["choice_id"].isin(*VALID_CHOICES)
+    # counted as the rows pass; ``answer_requests`` checks again for itself
+    reqs = supervise.observed(checked, "requests", n_answerable=served).drop("reject_reason")
     out = os.path.join(root, "responses")
 
     def answer(b, i):
@@ -79,7 +85,27 @@ def start_requests(raw: DataFrame, root: str, servers: str | None = None,
         if sent is not None:
             publish(sent, servers)
 
-    return sinks.start(reqs, os.path.join(root, "_ckpt_requests"), foreach_batch=answer, trigger=trigger)
+    return sinks.start(reqs, os.path.join(root, "_ckpt_requests"), foreach_batch=answer, trigger=trigger, query_name="requests")
+
+
+def start_live(raw_positions: DataFrame, raw_requests: DataFrame, root: str, lookback_s: int, servers: str | None = None,
+               trigger: dict | None = None, watermark: str = WATERMARK):
+    """Closest-object requests answered from the position stream itself, by an
+    event-time join of the two streams (``live``): no archive is written or
+    read. An answer comes when the watermark has passed its request; kept under
+    ``root/live_responses`` and published when ``servers`` is set."""
+    ok, _ = ingest.split(ingest.parse_positions(ingest.topic_filter(raw_positions)))
+    reqs, _ = ingest.split(ingest.validate_requests(ingest.parse_requests(raw_requests)))
+    closest = live.closest_live(reqs.where(F.col("choice_id") == 3), ok, lookback_s, watermark)
+
+    def send(b, i):
+        b.persist()
+        msgs = codecs.closest_response(b)
+        _keep(msgs, i, os.path.join(root, "live_responses"))
+        publish(msgs, servers)
+        b.unpersist()
+
+    return sinks.start(closest, os.path.join(root, "_ckpt_live"), foreach_batch=send, trigger=trigger, query_name="live")
 
 
 def start_motion(raw: DataFrame, root: str, servers: str | None = None,
@@ -100,7 +126,7 @@ def start_motion(raw: DataFrame, root: str, servers: str | None = None,
         publish(msgs, servers)
         b.unpersist()
 
-    return sinks.start(vec, os.path.join(root, "_ckpt_motion"), foreach_batch=emit, trigger=trigger)
+    return sinks.start(vec, os.path.join(root, "_ckpt_motion"), foreach_batch=emit, trigger=trigger, query_name="motion")
 
 
 def start_tracks(raw: DataFrame, root: str, window: str = WINDOW, slide: str = SLIDE,
@@ -118,7 +144,10 @@ def start_tracks(raw: DataFrame, root: str, window: str = WINDOW, slide: str = S
     reads only the hour partitions the retention can reach. With
     ``arrival_time`` windows go by when a fix is read, as in the original."""
     ok, _ = ingest.split(ingest.parse_positions(ingest.topic_filter(raw)))
-    w = windows.sliding_positions(ok, window, slide, watermark=watermark, final_only=final_only, arrival_time=arrival_time)
+    if final_only or arrival_time:
+        w = windows.sliding_positions(ok, window, slide, watermark=watermark, final_only=final_only, arrival_time=arrival_time)
+    else:
+        w = keyed.sliding_panes(ok, window, slide, watermark)
     win_path, map_path = os.path.join(root, "windows"), os.path.join(root, "map")
 
     drawn_at = [float("-inf")]
@@ -145,9 +174,11 @@ def start_tracks(raw: DataFrame, root: str, window: str = WINDOW, slide: str = S
         drawn = trk.track_geojson(tr).join(
             trk.track_labels(tr, windows.track_retention(recent, now, retain_s)), "sat_id")
         state.write_snapshot(drawn.withColumn("batch_id", F.lit(int(i))), i, map_path)
+        layers = trk.map_features(tr, windows.track_retention(recent, now, retain_s), F.unix_timestamp())
+        state.write_snapshot(layers, i, os.path.join(root, "map_features"))
 
     return sinks.start(w, os.path.join(root, "_ckpt_tracks"), mode="append" if final_only else "update",
-                       foreach_batch=keep, trigger=trigger)
+                       foreach_batch=keep, trigger=trigger, query_name="tracks")
 
 
 WINDOWS = ("window_start bigint, window_end bigint, sat_id string, satname string, latitude double, longitude double, "

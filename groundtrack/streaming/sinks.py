@@ -44,11 +44,12 @@ def history_append(batch: DataFrame, batch_id: int, path: str,
             .select(ARCHIVE.names).repartition("day", "sat_id", F.floor(F.col("timestamp") / SPREAD_S)))
     rows.persist()
     try:
-        _write(rows.sortWithinPartitions("day", "sat_id", "timestamp", "seq"), path)
         names = [c for c in ARCHIVE.names if c not in ("sat_id", "day", "batch_id")]
         last = (rows.withColumn("_k", order_key()).groupBy("sat_id", "day", "batch_id")
                 .agg(F.max_by(F.struct(*names), "_k").alias("l")))
+        # the last fixes first: a reader between the two writes misses no day's last fix
         _write(last.select("sat_id", "day", "batch_id", "l.*").select(ARCHIVE.names), path + TAILS)
+        _write(rows.sortWithinPartitions("day", "sat_id", "timestamp", "seq"), path)
     finally:
         rows.unpersist()
 
@@ -68,14 +69,6 @@ def read_history(spark, path: str, lo: int | None = None, hi: int | None = None)
     return df.drop("day", "batch_id")
 
 
-def read_cache(spark, path: str, lo: int, hi: int) -> DataFrame:
-    """The fixes that a lookup as of any time in [lo, hi] can return: all of
-    the days it reaches, and the last of every object and day before."""
-    first = int(lo) // DAY_S
-    before = spark.read.schema(ARCHIVE).parquet(path + TAILS).where(F.col("day") < first)
-    return read_history(spark, path, first * DAY_S, hi).unionByName(before.drop("day", "batch_id"))
-
-
 def compact_history(spark, src: str, dst: str) -> None:
     """Rewrite an archive written per micro-batch (many small folders) into
     one partitioned by object and day, files sorted by time.

@@ -1,12 +1,5 @@
-"""Stateful streaming operators.
-
-* ``motion_stream`` - motion vectors on a stream. Non-time window functions
-  are not allowed on streams, so the trailing history lives in keyed state
-  (``applyInPandasWithState``): per object the fixes of the last
-  ``lookback_s`` seconds, nothing more. The state function works on whole
-  Arrow batches (``searchsorted`` finds every predecessor at once) and
-  only picks predecessors; the arithmetic is the batch operator's Spark
-  expression. An event-time timeout drops the state of silent objects.
+"""Stateful streaming operators (``keyed`` has those on the arbitrary-state API).
+
 * ``latest_snapshot`` - the latest fix per object as a streaming aggregate;
   ``write_snapshot`` stores each version in its own folder and keeps a few.
 * ``answer_requests`` - a request micro-batch answered from the fixes
@@ -17,118 +10,14 @@
 from __future__ import annotations
 
 import os
-import sys
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
-from groundtrack.functions.timefn import to_event_time
 from groundtrack.operators import asof, codecs, ingest, latest, motion
 from groundtrack.params import LOOKBACK_S
-from groundtrack.streaming import sinks
-
-MOTION_STATE_OUT = ("sat_id string, satname string, timestamp bigint, seq bigint, "
-                    "latitude double, longitude double, prev_timestamp bigint, prev_latitude double, "
-                    "prev_longitude double, revision bigint")
-MOTION_STATE = ("ts array<bigint>, seq array<bigint>, lat array<double>, lon array<double>, "
-                "prev array<bigint>, name array<string>, floor bigint, revision bigint")
-_OUT_COLS = [c.split()[0] for c in MOTION_STATE_OUT.split(", ")]
-# The state function runs in Python workers. Pickle this module's functions
-# by value so workers need only numpy and pandas, not this package on their
-# path (as with an executor started without the package shipped to it).
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-NO_SEQ = motion.NO_SEQ          # stands for a missing offset inside the state
-
-
-def motion_state_fn(lookback_s: int = LOOKBACK_S):
-    """Build the state function for ``applyInPandasWithState``.
-
-    It only does the keyed-state bookkeeping: for each fix, which held fix is
-    its predecessor (the oldest within ``lookback_s``). The speed and
-    direction are computed afterwards by the same Spark expression as the
-    batch operator. Arrow batches are taken one after another, each merged
-    into the history by ``(timestamp, seq)``, so a busy object never has all
-    its rows of a micro-batch in memory. A fix that comes out of order, but
-    within the watermark, gets its vector like any other, and fixes whose
-    predecessor it changes are sent again with a higher ``revision``. Fixes
-    behind the watermark are dropped by Spark before they get here.
-    """
-    L = int(lookback_s)
-
-    def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        if state.exists:
-            *held, floor, revision = state.get
-            h_ts, h_seq, h_lat, h_lon, h_prev, h_name = (np.asarray(x) for x in held)
-        else:
-            floor, revision = -(1 << 62), 0
-            h_ts = h_seq = h_prev = np.array([], dtype="int64")
-            h_lat = h_lon = np.array([], dtype="float64")
-            h_name = np.array([], dtype=object)
-        wm = int(state.getCurrentWatermarkMs())
-        for pdf in pdfs:
-            if not len(pdf):
-                continue
-            revision += 1
-            n = len(pdf)
-            ts = np.concatenate([h_ts, pdf["timestamp"].to_numpy("int64")])
-            seq = np.concatenate([h_seq, pdf["seq"].astype("Int64").fillna(NO_SEQ).to_numpy("int64")])
-            lat = np.concatenate([h_lat, pdf["latitude"].to_numpy("float64")])
-            lon = np.concatenate([h_lon, pdf["longitude"].to_numpy("float64")])
-            name = np.concatenate([h_name.astype(object), pdf["satname"].to_numpy(object)])
-            told = np.concatenate([h_prev, np.full(n, -2)])          # -2: nothing sent yet
-            order = np.lexsort((seq, ts))
-            ts, seq, lat, lon, name, told = (x[order] for x in (ts, seq, lat, lon, name, told))
-            g = np.arange(len(ts))
-            j = np.searchsorted(ts, ts - L, side="left")             # oldest fix within L
-            before = (ts[j] < ts) | ((ts[j] == ts) & (seq[j] < seq))
-            # a predecessor is known by its time and offset: positions move
-            mark = np.where(before, ts[j] * 1_000_003 + seq[j] % 1_000_003, -1)
-            # a fix whose predecessors may have left the state has its vector already
-            send = g[before & (mark != told) & ((told == -2) | (ts - L >= floor))]
-            if len(send):
-                p = j[send]
-                yield pd.DataFrame({
-                    "sat_id": key[0], "satname": name[send], "timestamp": ts[send],
-                    "seq": pd.array(seq[send], dtype="Int64") if (seq[send] != NO_SEQ).all() else pd.array(
-                        [None if x == NO_SEQ else x for x in seq[send]], dtype="Int64"),
-                    "latitude": lat[send], "longitude": lon[send], "prev_timestamp": ts[p], "prev_latitude": lat[p],
-                    "prev_longitude": lon[p], "revision": revision})[_OUT_COLS]
-            # keep what a later fix, or one still within the watermark, can use
-            oldest = min(int(ts[-1]), wm // 1000 if wm > 0 else int(ts[0])) - 2 * L
-            floor = max(floor, oldest)
-            keep = ts >= floor
-            h_ts, h_seq, h_lat, h_lon, h_prev, h_name = (x[keep] for x in (ts, seq, lat, lon, mark, name))
-        if len(h_ts):
-            state.update((h_ts.tolist(), h_seq.tolist(), h_lat.tolist(), h_lon.tolist(), h_prev.tolist(),
-                          [None if x is None else str(x) for x in h_name], floor, revision))
-            state.setTimeoutTimestamp(max(int(h_ts[-1] + L) * 1000, wm + 1))
-
-    return fn
-
-
-def motion_stream(fixes: DataFrame, lookback_s: int = LOOKBACK_S,
-                  watermark: str = "10 minutes", digits: bool = True) -> DataFrame:
-    """Motion vectors of a stream of accepted fixes (state keyed by object;
-    the columns of ``motion_vectors`` plus ``revision``). Of several rows of
-    one fix the one with the greatest revision holds (``last_revision``)."""
-    src = fixes.select("sat_id", "satname", "latitude", "longitude", "timestamp", "seq",
-                       to_event_time("timestamp").alias("event_time"))
-    src = src.withWatermark("event_time", watermark)
-    pairs = src.groupBy("sat_id").applyInPandasWithState(
-        motion_state_fn(lookback_s), MOTION_STATE_OUT, MOTION_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
-    return pairs.select("sat_id", "satname", "timestamp", "seq",
-                        *motion.vector_columns("prev_timestamp", "prev_latitude", "prev_longitude", digits), "revision")
-
+from groundtrack.streaming import rollup, sinks
+from groundtrack.streaming.keyed import motion_stream  # noqa: F401 - one of the stateful operators
 
 def last_revision(vectors: DataFrame) -> DataFrame:
     """The valid vector of each fix among all that were sent."""
@@ -183,16 +72,15 @@ def _exists(spark, path: str) -> bool:
 
 def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
                     lookback_s: int | None = None, motion_lookback_s: int = LOOKBACK_S,
-                    rejected: str | None = None, cell_deg: int = asof.CELL_DEG,
+                    rejected: str | None = None, cell_deg: float | None = None,
                     required_satellites: int | None = None) -> DataFrame | None:
     """Answer the requests of one micro-batch from the archived fixes; returns
     the messages written (read back), or None where there was none to write.
 
     Requests are validated and routed row by row; closest, overlap and
     motion requests are each answered with an as-of lookup. Of the archive
-    only the days the batch reaches are read, and of those before only the
-    last fix per object and day (motion vectors, which need the fixes before
-    a fix, read all days unless ``lookback_s`` bounds them). The batch is
+    only the days the batch reaches are read, and of those before the roll-up
+    (``rollup``: last fix and last vector per object). The batch is
     kept while it is looked at, so it is computed once. Messages (``topic``,
     ``key``, ``part``, ``n_parts``, ``value``) are written under ``batch_id``
     (dynamic overwrite: a retried batch replaces its own output). Requests
@@ -219,7 +107,7 @@ def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
         if empty or info["lo"] is None:
             return None
         lo, hi = info["lo"], info["hi"]
-        fixes = (sinks.read_cache(spark, history, lo, hi) if lookback_s is None
+        fixes = (rollup.cache(spark, history, lo, hi) if lookback_s is None
                  else sinks.read_history(spark, history, lo - int(lookback_s), hi))
         parts = []
         if info["closest"]:
@@ -230,8 +118,11 @@ def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
                                          required_satellites=required_satellites)
             parts.append(codecs.overlap_response(pairs, key="request_id"))
         if info["motion_vector"]:
-            since = None if lookback_s is None else lo - int(lookback_s) - int(motion_lookback_s)
-            vectors = motion.motion_vectors(sinks.read_history(spark, history, since, hi), motion_lookback_s)
+            if lookback_s is None:
+                vectors = rollup.vectors(spark, history, lo, hi, motion_lookback_s)
+            else:
+                since = lo - int(lookback_s) - int(motion_lookback_s)
+                vectors = motion.motion_vectors(sinks.read_history(spark, history, since, hi), motion_lookback_s)
             moves = asof.motion_answers(ok.where(F.col("action") == "motion_vector"), vectors, lookback_s)
             parts.append(codecs.motion_request_response(moves))
         msgs = parts[0].select(MESSAGE)
