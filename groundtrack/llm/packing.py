@@ -18,6 +18,7 @@ differently split input, while each id always lies in exactly one piece.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,30 +40,42 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+#: The rule by which a file of this kind says that it splits text into words.
+SPLIT_RULE = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+#: That rule's pattern (fixed value).
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: A run of so many blanks, or of anything else, is one long word for some pattern.
+_ENDLESS = re.compile(r"\s{20000}|\S{20000}")
+
+
 class Encoder:
-    """Ids of a byte-level BPE file, as the ``tokenizers`` library gives them
-    without special tokens added. Texts go through ``tiktoken``, which has the
-    same merges by rank and is several times faster; a text that spells one of
-    the file's special tokens goes through ``tokenizers`` itself."""
+    """Ids of a tokenizer file, as the ``tokenizers`` library gives them without
+    special tokens added. Where the file is a byte-level BPE with the usual split
+    rule, texts go through ``tiktoken``, which has the same merges by rank and is
+    several times faster; texts that spell one of the file's special tokens or
+    hold an endless word (``tiktoken`` ends the process on the longest), and all
+    texts of a file with another rule, go through ``tokenizers`` itself."""
 
     def __init__(self, path: str):
-        import tiktoken
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        stand_in = _byte_of()
-        special = {t["content"] for t in spec.get("added_tokens", [])}
-        ranks = {bytes(stand_in[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-        pattern = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-        self._path, self._special, self._slow = path, tuple(special), None
-        self._fast = tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self._path, self._slow, self._fast = path, None, None
+        self._special = tuple(t["content"] for t in spec.get("added_tokens", []))
+        model = spec["model"]
+        odd = any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+        if model["type"] == "BPE" and spec["pre_tokenizer"] == SPLIT_RULE and not spec.get("normalizer") and not odd:
+            import tiktoken
+            stand_in = _byte_of()
+            ranks = {bytes(stand_in[c] for c in token): i for token, i in model["vocab"].items() if token not in self._special}
+            self._fast = tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> list[int]:
-        if any(s in text for s in self._special):
-            if self._slow is None:
-                from tokenizers import Tokenizer
-                self._slow = Tokenizer.from_file(self._path)
-            return self._slow.encode(text, add_special_tokens=False).ids
-        return self._fast.encode_ordinary(text)
+        if self._fast and not any(s in text for s in self._special) and not (len(text) >= 20_000 and _ENDLESS.search(text)):
+            return self._fast.encode_ordinary(text)
+        if self._slow is None:
+            from tokenizers import Tokenizer
+            self._slow = Tokenizer.from_file(self._path)
+        return self._slow.encode(text, add_special_tokens=False).ids
 
 
 def encoder(path: str) -> Encoder:

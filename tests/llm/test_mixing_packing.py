@@ -4,6 +4,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from groundtrack.llm import mixing, packing, queries
@@ -24,7 +25,7 @@ def test_query_equals_sql(spark, name):
     cols = sorted(a.columns)
     assert cols == sorted(b.columns)
     def rows(x):
-        return sorted((tuple(None if v is None or v != v else v for v in r) for r in x[cols].itertuples(index=False)), key=str)
+        return sorted((tuple(None if pd.isna(v) else v for v in r) for r in x[cols].itertuples(index=False)), key=str)
     assert rows(a) == rows(b)
 
 
@@ -95,6 +96,27 @@ def test_packing_whole_table(spark, expected):
     assert out.length.sum() == sum(map(len, ids.values()))
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, "\n" * 300_000 + "x", "a" * 1_000_000, "é" * 60_000, "word " * 5 + "\t" * 25_000 + " end", "!?" * 30_000, "日本" * 20_000])
+def test_endless_words_have_the_library_s_ids(expected, text):
+    assert [*packing.encoder(queries.tokenizer_path())(text), 0] == expected(text)
+
+
+def test_five_million_blanks_pack(spark):
+    df = spark.createDataFrame([(1, 5_000_000, " "), (2, 5_000_000, "\n"), (3, 3, "a b")], "doc_id long, n int, c string").repartition(3)
+    out = packing.pack(df.selectExpr("doc_id", "repeat(c, n) as text"), queries.tokenizer_path()).groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
+    assert len(out) == 3 and all(r[1] == r[2] > 1 for r in out)
+
+
+def test_files_with_another_rule_go_to_the_library(tmp_path):
+    import json
+    spec = json.load(open(queries.tokenizer_path(), encoding="utf-8"))
+    spec["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "Whitespace"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+    (tmp_path / "t.json").write_text(json.dumps(spec))
+    from tokenizers import Tokenizer
+    text = "some words, and 12 more."
+    assert packing.Encoder(str(tmp_path / "t.json"))(text) == Tokenizer.from_file(str(tmp_path / "t.json")).encode(text, add_special_tokens=False).ids
+
+
 def test_sequences_are_padded(spark):
     out = packing.sequences(packing.pack(spark.createDataFrame([(1, "word " * 3000), (2, "x")], "doc_id long, text string"), queries.tokenizer_path())).toPandas()
     assert out.n_tokens.tolist().count(1024) == len(out) - 1 and out.ids.map(len).eq(1024).all()
