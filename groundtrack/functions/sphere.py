@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 AXES = ("x", "y", "z")
@@ -43,42 +43,36 @@ def cells(prefix: str, width: float) -> dict[str, Column]:
     return {f"c_{a}": cell(prefix + a, width) for a in AXES}
 
 
-def _gap(axis: str, step: Column, width: float) -> Column:
-    """Distance along one axis from a point to the cell ``step`` cells on."""
-    low = (cell(axis, width) + step) * F.lit(width) - 1
-    return F.greatest(low - F.col(axis), F.col(axis) - low - F.lit(width), F.lit(0.0))
-
-
-def _along(parts: Column, prefix: str, a: str, n: int, width: float) -> Column:
-    """Each partial cell extended by the cells along axis ``a`` within ``n`` steps."""
-    axis = prefix + a
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), _gap(axis, F.lit(i), width).alias("g")) for i in range(-n, n + 1)])
-
-    def extended(part, step):
-        low = (cell(axis, width) + step["i"]) * F.lit(width) - 1
+def _copied(df: DataFrame, prefix: str, n: int, width: float, reach: float | None) -> DataFrame:
+    """Rows once for each cell within ``n`` steps along every axis that the sphere
+    passes through and, with ``reach``, that lies within this chord of the point;
+    ``c_x``, ``c_y``, ``c_z`` name it. One axis after the other, so that what is
+    out of reach is not copied further."""
+    keep = df.columns
+    out = df.withColumns({"_d": F.lit(0.0), "_near": F.lit(0.0), "_far": F.lit(0.0)})
+    for a in AXES:
+        point, low = F.col(prefix + a), F.col("_low")
         high = low + F.lit(width)
+        out = out.withColumn("_i", F.explode(F.array(*[F.lit(i) for i in range(-n, n + 1)])))
+        out = out.withColumn(f"c_{a}", cell(prefix + a, width) + F.col("_i"))
+        out = out.withColumn("_low", F.col(f"c_{a}") * F.lit(width) - 1)
+        gap = F.greatest(low - point, point - high, F.lit(0.0))
         nearest = F.when((low <= 0) & (high >= 0), F.lit(0.0)).otherwise(F.least(low * low, high * high))
-        before = [part[f"c_{b}"].alias(f"c_{b}") for b in AXES[:AXES.index(a)]]
-        return F.struct((part["d"] + step["g"] * step["g"]).alias("d"), (part["near"] + nearest).alias("near"),
-                        (part["far"] + F.greatest(low * low, high * high)).alias("far"), *before, (cell(axis, width) + step["i"]).alias(f"c_{a}"))
-
-    return F.flatten(F.transform(parts, lambda part: F.transform(steps, lambda step: extended(part, step))))
+        out = out.withColumns({"_d": F.col("_d") + gap * gap, "_near": F.col("_near") + nearest, "_far": F.col("_far") + F.greatest(low * low, high * high)})
+        out = out.where(F.col("_near") <= 1 + 1e-9)
+        if reach is not None:
+            out = out.where(F.col("_d") <= reach * reach * (1 + 1e-9) + 1e-12)
+    return out.where(F.col("_far") >= 1 - 1e-9).select(*keep, *(f"c_{a}" for a in AXES))
 
 
-def cells_within(prefix: str, reach: float, width: float) -> Column:
-    """Array of the cells (structs ``c_x``, ``c_y``, ``c_z``) that lie within the
-    chord ``reach`` of a point and that the sphere passes through."""
-    out = F.array(F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("near"), F.lit(0.0).alias("far")))
-    for a in AXES:                # what is out of reach already is not extended
-        out = F.filter(_along(out, prefix, a, math.ceil(reach / width), width),
-                       lambda p: (p["d"] <= reach * reach * (1 + 1e-9) + 1e-12) & (p["near"] <= 1 + 1e-9))
-    return F.filter(out, lambda p: p["far"] >= 1 - 1e-9)
+def copied_within(df: DataFrame, prefix: str, reach: float, width: float) -> DataFrame:
+    """Rows once for each cell within the chord ``reach`` of their point."""
+    return _copied(df, prefix, math.ceil(reach / width), width, reach)
 
 
-def block(prefix: str, width: float) -> Column:
-    """Array of a point's cell and its 26 neighbours."""
-    return F.array(*[F.struct(*[(cell(prefix + a, width) + F.lit(d)).alias(f"c_{a}") for a, d in zip(AXES, (i, j, k), strict=True)])
-                     for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)])
+def copied_to_block(df: DataFrame, prefix: str, width: float) -> DataFrame:
+    """Rows once for their point's cell and each neighbour on the sphere."""
+    return _copied(df, prefix, 1, width, None)
 
 
 def clearance(prefix: str, width: float) -> Column:

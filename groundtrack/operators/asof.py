@@ -34,6 +34,7 @@ from groundtrack.functions.geo import haversine_km
 from groundtrack.functions.ordering import order_key
 from groundtrack.operators import overlap
 from groundtrack.params import ASOF_BUCKET_S, COVERAGE_RADIUS_KM, EARTH_RADIUS_KM
+from groundtrack.session import ensure_checkpoint_dir
 
 
 def asof_by_time(requests: DataFrame, events: DataFrame, value_cols: tuple[str, ...],
@@ -182,6 +183,8 @@ def _nearest(cand: DataFrame, key: str) -> DataFrame:
 
 #: Objects expected near a request in the first round of the closest-object search.
 NEAR = 4
+#: So many objects at most are compared with a request directly.
+DIRECT = 32
 #: Times that the cells of a round are as wide as those of the one before.
 WIDER = 4
 
@@ -211,7 +214,10 @@ def closest_satellite(requests: DataFrame, fixes: DataFrame,
         width = sphere.chord(math.radians(cell_deg))
     else:
         n = fixes.agg(F.approx_count_distinct("sat_id")).first()[0]
-        width = 2 * math.sqrt(NEAR / max(1, n))           # a cap of this radius is NEAR / n of the sphere
+        width = 2 * math.sqrt(NEAR / n) if n > DIRECT else 2.0           # a cap of this radius is NEAR / n of the sphere
+    if width < 2:                                         # every round reads them: made once, in the shared folder
+        ensure_checkpoint_dir(requests.sparkSession)
+        a = a.checkpoint()
     best = _closest_by_cells(rq, a, key, width)
     dist = F.round("m._d", digits) if digits is not None else F.col("m._d")
     return best.select(
@@ -231,8 +237,7 @@ def _candidates(rest: DataFrame, objects: DataFrame, width: float) -> DataFrame:
     equi-join on (time, cell); with cells as wide as the sphere, beside all."""
     if width >= 2:
         return rest.join(objects, "request_ts")
-    near = rest.withColumn("_b", F.explode(sphere.block("r_", width)))
-    near = near.select(*rest.columns, "_b.*")
+    near = sphere.copied_to_block(rest, "r_", width)
     return near.join(objects.withColumns(sphere.cells("o_", width)), ["request_ts", "c_x", "c_y", "c_z"])
 
 

@@ -42,36 +42,38 @@ def complete_instants(fixes: DataFrame, required: int, key: str = "timestamp") -
 
 
 #: Cells along the reach of a disc: finer cells fit the disc better, and copy more.
-CELLS_PER_REACH = 3
+CELLS_PER_REACH = 2
 #: Narrowest cells, as a share of the Earth's radius (64 m): below, only copies are won.
 MIN_CELL = 1e-5
+#: Objects that one meets in its latitude bands from which on cells are worth their copies.
+CROWDED = 64
 
 
 def in_cells(a: DataFrame, b: DataFrame, reach: float, width: float) -> tuple[DataFrame, DataFrame]:
-    """The two sides of a pair join with their directions (``p_``, ``q_``) and
-    cells: ``a`` once for each cell within ``reach``, ``b`` in its own."""
-    a = a.select("*", *sphere.unit_vector("latitude_a", "longitude_a", "p_"))
-    b = b.select("*", *sphere.unit_vector("latitude_b", "longitude_b", "q_"))
-    a = a.select("*", F.explode(sphere.cells_within("p_", reach, width)).alias("_cell"))
-    a = a.select(*[c for c in a.columns if c != "_cell"], *[F.col(f"_cell.c_{x}").alias(f"c_{x}") for x in sphere.AXES])
+    """The two sides of a pair join with their cells: ``a`` once for each cell
+    within ``reach``, ``b`` in its own."""
+    a = sphere.copied_within(a, "p_", reach, width)
     return a, b.withColumns({f"d_{x}": sphere.cell(f"q_{x}", width) for x in sphere.AXES})
 
 
 def pairs(points: DataFrame, keys: list[str], radius_km: float = COVERAGE_RADIUS_KM,
           earth_radius_km: float = EARTH_RADIUS_KM, digits: int | None = 2,
           time_col: str = "timestamp", keep: tuple[str, ...] = (), hint: str | None = "merge",
-          only_overlapping: bool = False) -> DataFrame:
+          only_overlapping: bool = False, objects: int | None = None) -> DataFrame:
     """Unordered pairs of ``points`` (sat_id, satname, latitude, longitude)
     that agree on ``keys``, with distance, overlap flag and depth.
 
     ``time_col`` becomes the pair's ``timestamp``; ``keep`` lists key columns
-    to carry through. ``only_overlapping`` adds a cell on the unit sphere to the
-    key: two discs only meet if the straight line between their centres is
-    shorter than that of ``2r`` on the ground, so one side is copied to the
-    cells within that reach (``sphere.cells_within``) and the other stays in its
-    own. Each candidate pair is built exactly once, far pairs never, and a hot
-    key is split by cell. The angle between the two is part of the join
-    condition, so what leaves the join is the answer but for rounding.
+    to carry through. ``only_overlapping`` adds a place to the key, one side
+    being copied to all places that its disc reaches, so that each candidate pair
+    is built exactly once, far pairs never, and a hot key is split by place. With
+    many objects (``objects``; counted approximately if not given) a place is a
+    cell on the unit sphere: two discs only meet if the straight line between
+    their centres is shorter than that of ``2r`` on the ground
+    (``sphere.copied_within``). With few, it is a latitude band 2r/R wide, which
+    needs fewer copies. The angle between the two is part of the join condition,
+    so what leaves the join is the answer but for rounding; results do not depend
+    on the kind of place.
     """
     cols = list(dict.fromkeys([*keys, time_col, *keep, *POINT]))
     a = points.select(*[F.col(c).alias(f"{c}_a") for c in cols], *geo_parts("latitude", "longitude", "a_"))
@@ -81,9 +83,21 @@ def pairs(points: DataFrame, keys: list[str], radius_km: float = COVERAGE_RADIUS
     if only_overlapping:
         angle = min(math.pi, reach / earth_radius_km)
         line = sphere.chord(angle) * (1 + 1e-9) + 1e-9
-        a, b = in_cells(a, b, line, max(line / CELLS_PER_REACH, MIN_CELL))
+        a = a.select("*", *sphere.unit_vector("latitude_a", "longitude_a", "p_"))
+        b = b.select("*", *sphere.unit_vector("latitude_b", "longitude_b", "q_"))
+        # as wide as the largest latitude difference of an overlapping pair, and a hair
+        band_deg = math.degrees(angle) * (1 + 1e-9) + 1e-9
+        if objects is None:
+            objects = points.agg(F.approx_count_distinct("sat_id")).first()[0]
+        if objects * min(1.0, 3 * band_deg / 180) > CROWDED:
+            a, b = in_cells(a, b, line, max(line / CELLS_PER_REACH, MIN_CELL))
+            cond += [F.col(f"c_{x}") == F.col(f"d_{x}") for x in sphere.AXES]
+        else:
+            band = lambda c: F.floor((F.col(c) + 90) / F.lit(band_deg)).cast("int")
+            a = a.withColumn("_band", F.explode(F.array(band("latitude_a") - 1, band("latitude_a"), band("latitude_a") + 1)))
+            b = b.withColumn("_band", band("latitude_b"))
+            cond += [a["_band"] == b["_band"], F.abs(F.col("latitude_a") - F.col("latitude_b")) < F.lit(band_deg)]
         dot = sum((F.col(f"p_{x}") * F.col(f"q_{x}") for x in sphere.AXES), F.lit(0.0))
-        cond += [F.col(f"c_{x}") == F.col(f"d_{x}") for x in sphere.AXES]
         cond.append(dot > F.lit(math.cos(angle) - 1e-9))
     joined = a.join(b.hint(hint) if hint else b, reduce(and_, cond))
     p = joined.withColumn("_d", haversine_from_parts("a_", "b_", earth_radius_km))
@@ -105,17 +119,18 @@ def pairs(points: DataFrame, keys: list[str], radius_km: float = COVERAGE_RADIUS
 def coverage_overlap(fixes: DataFrame, radius_km: float = COVERAGE_RADIUS_KM,
                      required_satellites: int | None = None,
                      earth_radius_km: float = EARTH_RADIUS_KM,
-                     digits: int | None = 2, only_overlapping: bool = False) -> DataFrame:
+                     digits: int | None = 2, only_overlapping: bool = False,
+                     objects: int | None = None) -> DataFrame:
     """Pairs at equal timestamps with distance, overlap flag and depth.
 
     ``required_satellites`` reproduces the original gate (answer only when
     exactly that many objects are present); None means no gate.
     ``digits`` rounds the two km columns (None keeps full precision).
     ``only_overlapping`` returns just the overlapping pairs, built through
-    cells on the sphere (see ``pairs``).
+    latitude bands or cells on the sphere (see ``pairs``, also for ``objects``).
     """
     keyed = fixes.select("timestamp", *POINT)
     if required_satellites is not None:
         keyed = complete_instants(keyed, required_satellites)
     return pairs(keyed, ["timestamp"], radius_km, earth_radius_km, digits,
-                 only_overlapping=only_overlapping)
+                 only_overlapping=only_overlapping, objects=objects)
