@@ -35,6 +35,13 @@ def build_session(master: str | None = None, app: str = "groundtrack",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # what the driver remembers of finished work; with the UI off nothing
+        # reads it, and many small streaming jobs would fill a small heap
+        "spark.ui.retainedJobs": "50", "spark.ui.retainedStages": "50", "spark.ui.retainedTasks": "2000",
+        "spark.sql.ui.retainedExecutions": "20", "spark.sql.streaming.ui.retainedQueries": "5",
+        "spark.sql.streaming.numRecentProgressUpdates": "20",
+        # keyed state off the heap (``streaming.keyed`` needs it)
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -31,7 +31,7 @@ def test_fixture_counts(spark):
     """Row counts stated for sf0.01."""
     q = E.queries()
     expect = {"coverage_overlap": 20000, "motion_vectors": 9995, "motion_vectors_irregular": 2133,
-              "closest_satellite": 1981, "sliding_positions": 80984, "asof_positions": 9425,
+              "closest_satellite": 1981, "sliding_positions": 80984, "asof_positions": 9902,
               "history_path": 2024}
     for k, n in expect.items():
         assert q[k](spark, SF_ORACLE).count() == n, k

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from groundtrack.operators import tracks
+from groundtrack.operators import overlap, tracks
 from groundtrack.plans.streams import STREAM_QUERIES
 from groundtrack.sources import fixtures as fx
 from groundtrack.streaming import sinks
@@ -59,9 +59,12 @@ def test_asof_aggregates_are_hash_based(spark):
     assert "HashAggregate" in p and "SortAggregate" not in p
 
 
-def test_overlapping_only_joins_on_band(spark):
+def test_overlapping_only_joins_on_places(spark):
+    """Latitude bands for few objects, cells on the sphere for many."""
     p = plan(E.queries()["coverage_overlap_hits"](spark, SF_SMALL))
     assert "SortMergeJoin" in p and "_band" in p.split("SortMergeJoin")[1].split("\n")[0]
+    p = plan(overlap.coverage_overlap(fx.ticks_n(spark, SF_SMALL, 50), only_overlapping=True, objects=10**6))
+    assert "c_x" in p.split("SortMergeJoin")[1].split("\n")[0]
 
 
 def test_retention_stands_below_the_windows(spark):

@@ -8,7 +8,7 @@ from groundtrack.schemas import OVERLAP_ITEM
 from groundtrack.operators import codecs, ingest, motion, windows
 from groundtrack.plans import streams
 from groundtrack.sources import fixtures as fx
-from groundtrack.streaming import sinks, sources, state
+from groundtrack.streaming import sinks, snapshots, sources, state
 
 from conftest import SF_SMALL
 
@@ -134,7 +134,7 @@ def test_incomplete_answers_are_noticed(spark):
     assert [r.whole for r in codecs.whole_answers(msgs).collect()] == [True]
     assert [r.whole for r in codecs.whole_answers(msgs.where("part > 0")).collect()] == [False]
     heads = {h.key: bytes(h.value) for h in jobs.to_broker(msgs).first().headers}
-    assert heads["n_parts"] == b"3" and codecs.decode_responses(msgs, OVERLAP_ITEM).count() == 2500
+    assert int(heads["n_parts"]) >= 2500 // codecs.MAX_ITEMS and codecs.decode_responses(msgs, OVERLAP_ITEM).count() == 2500
 
 
 def test_sliding_drops_row_behind_watermark(spark, scratch):
@@ -244,7 +244,8 @@ def test_jobs_end_to_end(spark, scratch):
     assert {r.reject_reason for r in rej.select("reject_reason").distinct().collect()} == \
         {"missing_choice", "invalid_choice"}
     assert spark.read.parquet(f"{scratch}/quarantine").count() == 1
-    assert state.read_snapshot(spark, f"{scratch}/snapshot").count() == 5
+    assert snapshots.read_latest(spark, f"{scratch}/snapshot").count() == 5
+    assert state.read_snapshot(spark, f"{scratch}/map_features").where("kind = 'observer'").count() == 1
     closest = codecs.decode_responses(spark.read.parquet(f"{scratch}/responses")
                                       .where(F.col("value").startswith("{")))
     assert closest.count() == E.queries()["closest_satellite"](spark, SF_SMALL).count()
