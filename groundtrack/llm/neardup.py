@@ -130,23 +130,36 @@ def _choices(node: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
     return at, ((first[at] + turn * step[at]) % np.uint64(COORDINATES)).astype(np.int64)
 
 
+def _below(node: np.ndarray, tokens: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """The child nodes of rows by their own tokens: index of the row, child."""
+    at, c = _choices(node, level)
+    return at, mix64(node[at] * np.uint64(0x9E3779B97F4A7C15) + (c.astype(np.uint64) << np.uint64(33)) + tokens[at, c].astype(np.uint64))
+
+
 def _children(node: np.ndarray, rep: np.ndarray, tokens: np.ndarray, short: np.ndarray, level: int) -> pd.DataFrame:
     """Rows one level down. ``tokens`` give the branch, ``short`` (one byte a
     coordinate) goes along."""
-    at, c = _choices(node, level)
-    child = mix64(node[at] * np.uint64(0x9E3779B97F4A7C15) + (c.astype(np.uint64) << np.uint64(33)) + tokens[at, c].astype(np.uint64))
+    at, child = _below(node, tokens, level)
     return pd.DataFrame({"node": child.view(np.int64), "rep": rep[at], "sketch": [short[i].tobytes() for i in at]})
 
 
-def _roots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _planted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per class its nodes below the roots of all trees, and its sketch with one
+    byte a coordinate."""
     for pdf in batches:
         for a in range(0, len(pdf), 2000):
             part = pdf.iloc[a:a + 2000]
             tokens = np.stack([np.frombuffer(bytes(x), np.uint32) for x in part["sketch"]])
             short = (mix64(tokens) & np.uint64(0xFF)).astype(np.uint8)
+            at, node = [], []
             for tree in range(TREES):
-                root = np.full(len(part), mix64(np.array([tree + 1], np.uint64))[0])
-                yield _children(root, part["rep"].to_numpy(), tokens, short, 0)
+                i, child = _below(np.full(len(part), mix64(np.array([tree + 1], np.uint64))[0]), tokens, 0)
+                at.append(i)
+                node.append(child)
+            at, node = np.concatenate(at), np.concatenate(node)
+            order = np.argsort(at, kind="stable")
+            nodes = np.split(node[order].view(np.int64), np.cumsum(np.bincount(at, minlength=len(part)))[:-1])
+            yield pd.DataFrame({"class": part["class"].to_numpy(), "rep": part["rep"].to_numpy(), "sketch": [x.tobytes() for x in short], "nodes": nodes})
 
 
 def _linked(s: np.ndarray) -> np.ndarray:
@@ -231,9 +244,14 @@ def _bytes(pdf: pd.DataFrame) -> np.ndarray:
 
 
 def candidates(reps: DataFrame) -> DataFrame:
-    """Candidate edges (u, v) between classes (``rep``, ``sketch``): a forest of
-    each leaf's candidate pairs, over all trees."""
-    rows = reps.select("rep", "sketch").mapInPandas(_roots, "node bigint, rep bigint, sketch binary")
+    """Candidate edges (u, v) between classes (``digest``, ``rep``, ``sketch``): a
+    forest of each leaf's candidate pairs, over all trees."""
+    # most nodes below a root hold one class: only the others get its sketch
+    classes = saved(reps.select(F.xxhash64("digest").alias("class"), "rep", "sketch")
+                    .mapInPandas(_planted, "class bigint, rep bigint, sketch binary, nodes array<bigint>"), "planted")
+    placed = classes.select("class", F.explode("nodes").alias("node"))
+    shared = placed.groupBy("node").count().filter("count > 1").select("node")
+    rows = placed.join(shared, "node").join(classes.select("class", "rep", "sketch"), "class").select("node", "rep", "sketch")
     found = None
     for depth in range(1, DEPTH + 1):
         level = (rows.repartition("node").sortWithinPartitions("node", "rep")
