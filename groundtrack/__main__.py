@@ -4,7 +4,8 @@
         (--servers HOST:PORT | --positions DIR [--requests DIR])
         [--trigger "2 minutes" | --available-now] [--archive-sat-id ID]
 
-JOB is ``positions``, ``requests``, ``motion`` or ``tracks``. With
+JOB is ``positions``, ``requests``, ``motion``, ``tracks`` or ``live`` (closest
+requests answered from the position stream itself, without an archive). With
 ``--servers`` the jobs read the position topics and the request topic of a
 message broker and publish responses to it; with ``--positions`` /
 ``--requests`` they read folders of raw-record files (``value, topic,
@@ -16,7 +17,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-JOBS = ("positions", "requests", "motion", "tracks")
+JOBS = ("positions", "requests", "motion", "tracks", "live")
 
 
 def main(argv=None) -> int:
@@ -30,7 +31,7 @@ def main(argv=None) -> int:
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     ap.add_argument("--archive-sat-id", help="archive only this object (default: all)")
     ap.add_argument("--cell-deg", type=float, help="first cells of the closest-object search, in degrees of arc (default: by the number of objects)")
-    ap.add_argument("--look-back", type=int, help="requests: oldest fix seen, in seconds (default: any)")
+    ap.add_argument("--look-back", type=int, help="requests: oldest fix seen, in seconds (default: any; live: 3600)")
     ap.add_argument("--required-satellites", type=int, help="requests: overlap only where so many objects are seen")
     ap.add_argument("--max-files-per-trigger", type=int, help="file sources: files of a micro-batch (default: all)")
     ap.add_argument("--arrival-time", action="store_true", help="tracks: windows by arrival time")
@@ -73,6 +74,8 @@ def main(argv=None) -> int:
         elif job == "tracks":
             queries.append(jobs.start_tracks(positions(), a.root, trigger=trigger, final_only=a.final_windows,
                                              redraw_every_s=a.redraw_every, arrival_time=a.arrival_time))
+        elif job == "live":
+            queries.append(jobs.start_live(positions(), requests(), a.root, a.look_back or 3600, a.servers, trigger))
         if a.available_now:           # one after another, so requests see the archive
             for q in queries:
                 q.awaitTermination()

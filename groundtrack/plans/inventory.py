@@ -13,14 +13,14 @@ ST = "groundtrack.streaming"
 
 INVENTORY: dict[str, tuple[str, tuple[str, ...], tuple[str, ...]]] = {
     # id: (what, implementing functions, registered keys)
-    "S1": ("stream scan of all position topics", (f"{ST}.sources.read_positions", f"{ST}.sources.read_files"),
-           ("scan_positions",)),
+    "S1": ("stream scan of all position topics", (f"{ST}.sources.read_positions", f"{ST}.sources.read_files", f"{ST}.records.read_log"),
+           ("scan_positions", "scan_log")),
     "S2": ("stream scan of the request topic", (f"{ST}.sources.read_requests",), ("scan_requests",)),
     "S3": ("topic regex filter", (f"{OP}.ingest.topic_filter",), ("topic_filter",)),
     "S4": ("history scan of one object, ordered", (f"{OP}.tracks.history_path", f"{ST}.sinks.read_history_range",
                                                    "groundtrack.sources.tables.jdbc_table"), ("history_path",)),
     "S5": ("API document -> position row", (f"{OP}.ingest.normalize_api",), ("normalize_api",)),
-    "K1": ("positions -> topic per object", (f"{OP}.codecs.encode_positions",), ("encode_positions",)),
+    "K1": ("positions -> topic per object", (f"{OP}.codecs.encode_positions", f"{ST}.records.register"), ("encode_positions", "scan_log")),
     "K2": ("append to the history table", (f"{ST}.sinks.history_append", f"{ST}.sinks.compact_history"),
            ("history_append",)),
     "K3": ("overlap response lists", (f"{OP}.codecs.overlap_response",), ("overlap_response",)),
@@ -33,8 +33,9 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...], tuple[str, ...]]] = {
     "K9": ("per-batch callback sink", (f"{ST}.sinks.start", f"{ST}.jobs.start_requests"), ("closest_stream",)),
     "K10": ("durable offsets (checkpoint)", (f"{ST}.sinks.start", "groundtrack.session.checkpoint_path"),
             ("motion_stream",)),
-    "K11": ("track map output", (f"{OP}.tracks.track_geojson", f"{OP}.tracks.track_labels"),
-            ("track_geojson", "track_labels")),
+    "K11": ("track map output", (f"{OP}.tracks.track_geojson", f"{OP}.tracks.track_labels", f"{OP}.tracks.track_lines",
+                               f"{OP}.tracks.simplify", f"{OP}.tracks.map_features"),
+            ("track_geojson", "track_labels", "track_lines", "map_features")),
     "P1": ("bytes -> string", (f"{OP}.ingest.parse_positions",), ("parse_positions",)),
     "P2": ("parse JSON with a fixed schema", (f"{OP}.ingest.parse_positions", f"{OP}.ingest.parse_requests"),
            ("parse_positions", "parse_requests")),
@@ -52,11 +53,11 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...], tuple[str, ...]]] = {
     "P14": ("overlap flag and depth", (f"{OP}.overlap.pairs",), ("coverage_overlap",)),
     "P15": ("display snapshot", (f"{OP}.latest.snapshot",), ("snapshot",)),
     "P16": ("record pretty-print", (f"{OP}.latest.snapshot",), ("snapshot",)),
-    "J1": ("coverage overlap self-join", (f"{OP}.overlap.coverage_overlap",),
-           ("coverage_overlap", "coverage_overlap_gated", "coverage_overlap_hits")),
+    "J1": ("coverage overlap self-join", (f"{OP}.overlap.coverage_overlap", f"{OP}.interpolate.overlap_within"),
+           ("coverage_overlap", "coverage_overlap_gated", "coverage_overlap_hits", "coverage_overlap_within")),
     "J2": ("closest object per request", (f"{OP}.asof.closest_satellite",),
-           ("closest_satellite", "closest_satellite_grid")),
-    "J3": ("as-of latest fix", (f"{OP}.asof.asof_join", f"{OP}.asof.asof_positions"), ("asof_positions",)),
+           ("closest_satellite", "closest_satellite_grid", "closest_many")),
+    "J3": ("as-of latest fix", (f"{OP}.asof.asof_join", f"{OP}.asof.asof_positions", f"{ST}.live.asof_live"), ("asof_positions", "asof_live")),
     "A1": ("latest fix per object", (f"{OP}.latest.latest_positions",), ("latest_positions", "snapshot_stream")),
     "A2": ("arg-min of distance", (f"{OP}.asof.closest_satellite",), ("closest_satellite",)),
     "A3": ("last position per window", (f"{OP}.windows.sliding_positions",), ("sliding_positions",)),
@@ -66,10 +67,10 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...], tuple[str, ...]]] = {
     "A6": ("ordered path per object", (f"{OP}.tracks.tracks", f"{OP}.tracks.track_points"), ("tracks",)),
     "A7": ("global extent", (f"{OP}.tracks.track_extent",), ("track_extent",)),
     "A8": ("legend", (f"{OP}.tracks.track_legend",), ("track_legend",)),
-    "W1": ("sliding window 30 min / 2 min", (f"{OP}.windows.sliding_positions",),
-           ("sliding_positions", "sliding_stream")),
+    "W1": ("sliding window 30 min / 2 min", (f"{OP}.windows.sliding_positions", f"{ST}.keyed.sliding_panes"),
+           ("sliding_positions", "sliding_stream", "sliding_panes")),
     "W2": ("watermark", (f"{OP}.windows.sliding_positions",), ("sliding_stream",)),
-    "W3": ("motion vector", (f"{OP}.motion.motion_vectors", f"{ST}.state.motion_stream"),
+    "W3": ("motion vector", (f"{OP}.motion.motion_vectors", f"{ST}.keyed.motion_stream"),
            ("motion_vectors", "motion_vectors_irregular", "motion_stream")),
     "L1": ("order history by time", (f"{OP}.tracks.history_path",), ("history_path",)),
     "L2": ("first five vectors of a batch", (f"{OP}.motion.motion_top",), ("motion_top5",)),
@@ -86,13 +87,14 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...], tuple[str, ...]]] = {
     "F10": ("cast, when, literals", (f"{OP}.ingest.route_requests",), ("route_requests",)),
     "F11": ("time difference", (f"{OP}.windows.track_retention",), ("track_retention",)),
     "T1": ("output modes", (f"{ST}.sinks.start",), ("sliding_stream", "snapshot_stream")),
-    "T2": ("keyed state: latest position", (f"{ST}.state.latest_snapshot", f"{ST}.state.write_snapshot"),
-           ("snapshot_stream",)),
-    "T3": ("keyed state: trailing history", (f"{ST}.state.motion_stream",), ("motion_stream",)),
-    "T4": ("state shared between queries", (f"{ST}.state.answer_requests", f"{ST}.jobs.start_requests"),
-           ("closest_stream",)),
+    "T2": ("keyed state: latest position", (f"{ST}.state.latest_snapshot", f"{ST}.snapshots.write_delta", f"{ST}.snapshots.read_latest"),
+           ("snapshot_stream", "snapshot_deltas")),
+    "T3": ("keyed state: trailing history", (f"{ST}.keyed.motion_stream",), ("motion_stream", "motion_stream_late")),
+    "T4": ("state shared between queries", (f"{ST}.state.answer_requests", f"{ST}.jobs.start_requests", f"{ST}.jobs.start_live",
+                                               f"{ST}.rollup.cache", f"{ST}.rollup.vectors"),
+           ("closest_stream", "closest_live", "motion_answers_stream")),
     "T5": ("track retention", (f"{OP}.windows.track_retention",), ("track_retention",)),
-    "T6": ("throttle", (f"{ST}.sinks.start",), ()),
-    "T7": ("run until stopped", ("groundtrack.__main__.main",), ()),
+    "T6": ("throttle", (f"{ST}.sinks.start", f"{ST}.supervise.observed"), ("supervised_counts",)),
+    "T7": ("run until stopped", ("groundtrack.__main__.main", f"{ST}.supervise.keep_running"), ("supervised_counts",)),
     "T8": ("stream vs batch tracks", (f"{OP}.tracks.tracks",), ("stream_batch_parity",)),
 }
