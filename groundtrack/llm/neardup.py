@@ -136,11 +136,9 @@ def _below(node: np.ndarray, tokens: np.ndarray, level: int) -> tuple[np.ndarray
     return at, mix64(node[at] * np.uint64(0x9E3779B97F4A7C15) + (c.astype(np.uint64) << np.uint64(33)) + tokens[at, c].astype(np.uint64))
 
 
-def _children(node: np.ndarray, rep: np.ndarray, tokens: np.ndarray, short: np.ndarray, level: int) -> pd.DataFrame:
-    """Rows one level down. ``tokens`` give the branch, ``short`` (one byte a
-    coordinate) goes along."""
-    at, child = _below(node, tokens, level)
-    return pd.DataFrame({"node": child.view(np.int64), "rep": rep[at], "sketch": [short[i].tobytes() for i in at]})
+def _by_row(at: np.ndarray, node: np.ndarray, n: int) -> list[np.ndarray]:
+    """The nodes of each of ``n`` rows."""
+    return np.split(node[np.argsort(at, kind="stable")].view(np.int64), np.cumsum(np.bincount(at, minlength=n))[:-1])
 
 
 def _planted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,14 +149,9 @@ def _planted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             part = pdf.iloc[a:a + 2000]
             tokens = np.stack([np.frombuffer(bytes(x), np.uint32) for x in part["sketch"]])
             short = (mix64(tokens) & np.uint64(0xFF)).astype(np.uint8)
-            at, node = [], []
-            for tree in range(TREES):
-                i, child = _below(np.full(len(part), mix64(np.array([tree + 1], np.uint64))[0]), tokens, 0)
-                at.append(i)
-                node.append(child)
-            at, node = np.concatenate(at), np.concatenate(node)
-            order = np.argsort(at, kind="stable")
-            nodes = np.split(node[order].view(np.int64), np.cumsum(np.bincount(at, minlength=len(part)))[:-1])
+            roots = mix64(np.arange(1, TREES + 1, dtype=np.uint64))
+            at, node = (np.concatenate(c) for c in zip(*(_below(np.full(len(part), r), tokens, 0) for r in roots), strict=True))
+            nodes = _by_row(at, node, len(part))
             yield pd.DataFrame({"class": part["class"].to_numpy(), "rep": part["rep"].to_numpy(), "sketch": [x.tobytes() for x in short], "nodes": nodes})
 
 
@@ -174,11 +167,11 @@ def _linked(s: np.ndarray) -> np.ndarray:
 
 
 def _visit(depth: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """One level over rows (of nodes at ``depth``) sorted by node: leaves give candidate edges, larger
-    nodes give the rows of their children (``node`` not null). Holds one node of
+    """One level over rows (of nodes at ``depth``) sorted by node: leaves give candidate edges, the
+    classes of larger nodes their child nodes (``nodes`` not null). Holds one node of
     at most ``LEAF`` rows beside a batch; larger ones stream."""
     def edges(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"node": pd.array([None] * len(a), dtype="Int64"), "rep": a, "other": b, "sketch": None})
+        return pd.DataFrame({"class": pd.array([None] * len(a), dtype="Int64"), "rep": a, "other": b, "nodes": None})
 
     def leaf(rep: np.ndarray, s: np.ndarray, first: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
         two = first[n == 2]
@@ -195,12 +188,11 @@ def _visit(depth: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFra
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         carry, open_node, centre, tight = None, None, None, False
 
-        def large(node, rep, s) -> pd.DataFrame:
+        def large(node, own, rep, s) -> pd.DataFrame:
             if tight:
                 return edges(rep, np.full(len(rep), centre))
-            down = _children(node.view(np.uint64), rep, s, s, depth)
-            down.insert(2, "other", pd.array([None] * len(down), dtype="Int64"))
-            return down.astype({"node": "Int64"})
+            nodes = _by_row(*_below(node.view(np.uint64), s, depth), len(rep))
+            return pd.DataFrame({"class": pd.array(own, dtype="Int64"), "rep": rep, "other": pd.array([None] * len(rep), dtype="Int64"), "nodes": nodes})
 
         for pdf in _with_end(batches):
             if pdf is None:
@@ -212,19 +204,19 @@ def _visit(depth: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFra
                 carry = None
             if not len(pdf):
                 continue
-            node, rep, s = pdf["node"].to_numpy(), pdf["rep"].to_numpy(), _bytes(pdf)
+            node, own, rep, s = pdf["node"].to_numpy(), pdf["class"].to_numpy(), pdf["rep"].to_numpy(), _bytes(pdf)
             first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
             n = np.diff(np.append(first, len(node)))
             small = np.ones(len(first), bool)
             if open_node is not None and node[0] == open_node:        # the rest of a node already known to be large
                 small[0] = False
-                yield large(node[:n[0]], rep[:n[0]], s[:n[0]])
+                yield large(node[:n[0]], own[:n[0]], rep[:n[0]], s[:n[0]])
             for i in np.flatnonzero((n > LEAF) & small):
                 at = slice(first[i], first[i] + n[i])
                 near = (s[at][:LEAF, None, :] == s[at][None, :LEAF, :]).sum(2) >= AGREE
                 open_node, centre, tight = node[first[i]], rep[first[i]], depth == DEPTH or bool(near.mean() > 0.5)
                 small[i] = False
-                yield large(node[at], rep[at], s[at])
+                yield large(node[at], own[at], rep[at], s[at])
             if small[-1]:                                              # may go on in the next batch
                 carry, small[-1] = pdf.iloc[first[-1]:], False
             some = small & (n > 1)
@@ -246,21 +238,21 @@ def _bytes(pdf: pd.DataFrame) -> np.ndarray:
 def candidates(reps: DataFrame) -> DataFrame:
     """Candidate edges (u, v) between classes (``digest``, ``rep``, ``sketch``): a
     forest of each leaf's candidate pairs, over all trees."""
-    # most nodes below a root hold one class: only the others get its sketch
     classes = saved(reps.select(F.xxhash64("digest").alias("class"), "rep", "sketch")
                     .mapInPandas(_planted, "class bigint, rep bigint, sketch binary, nodes array<bigint>"), "planted")
-    placed = classes.select("class", F.explode("nodes").alias("node"))
-    shared = placed.groupBy("node").count().filter("count > 1").select("node")
-    rows = placed.join(shared, "node").join(classes.select("class", "rep", "sketch"), "class").select("node", "rep", "sketch")
-    found = None
+    sketches, below, found = classes.select("class", "rep", "sketch"), classes.select("class", "nodes"), None
+    even = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for depth in range(1, DEPTH + 1):
-        level = (rows.repartition("node").sortWithinPartitions("node", "rep")
-                 .mapInPandas(_visit(depth), "node bigint, rep bigint, other bigint, sketch binary"))
-        level = saved(level, f"level-{depth}")
-        edges = level.filter("node is null and rep != other").select(F.col("rep").alias("u"), F.col("other").alias("v"))
+        # most nodes hold one class: only the classes of the others bring their sketch along
+        placed = saved(below.repartition(even).select("class", F.explode("nodes").alias("node")), f"placed-{depth}")
+        shared = placed.groupBy("node").count().filter("count > 1").select("node")
+        rows = placed.join(shared, "node").join(sketches, "class").select("node", "class", "rep", "sketch")
+        level = saved(rows.repartition("node").sortWithinPartitions("node", "rep")
+                      .mapInPandas(_visit(depth), "class bigint, rep bigint, other bigint, nodes array<bigint>"), f"level-{depth}")
+        edges = level.filter("nodes is null and rep != other").select(F.col("rep").alias("u"), F.col("other").alias("v"))
         found = edges if found is None else found.unionByName(edges)
-        rows = level.filter("node is not null").select("node", "rep", "sketch")
-        if rows.isEmpty():
+        below = level.filter("nodes is not null").select("class", "nodes")
+        if below.isEmpty():
             break
     return found.distinct()
 

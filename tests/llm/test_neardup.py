@@ -161,9 +161,8 @@ def test_pairs_meet_at_every_depth():
         s[1, same], s[1, ~same] = s[0, same], s[0, ~same] + 1
         nodes = [np.unique(rng.integers(0, 2**63, trees).astype(np.uint64))] * 2
         for level in range(deep):
-            down = [neardup._children(x, np.zeros(len(x)), np.repeat(s[i:i + 1], len(x), 0), np.repeat(s[i:i + 1], len(x), 0), level)
-                    for i, x in enumerate(nodes)]
-            both = np.intersect1d(down[0]["node"], down[1]["node"]).astype(np.int64).view(np.uint64)
+            down = [neardup._below(x, np.repeat(s[i:i + 1], len(x), 0), level)[1] for i, x in enumerate(nodes)]
+            both = np.intersect1d(*down)
             nodes = [both, both]
         met += len(both) > 0
     assert met >= 0.95 * n                       # two of the trees; with 1.25 branches a level, about six in ten
