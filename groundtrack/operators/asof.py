@@ -37,6 +37,10 @@ from groundtrack.params import ASOF_BUCKET_S, COVERAGE_RADIUS_KM, EARTH_RADIUS_K
 from groundtrack.session import ensure_checkpoint_dir
 
 
+#: What a position lookup carries of a fix.
+POSITION_COLS = ("satname", "latitude", "longitude")
+
+
 def asof_by_time(requests: DataFrame, events: DataFrame, value_cols: tuple[str, ...],
                  lookback_s: int | None = None, entity: str = "sat_id",
                  per_second: bool = False) -> DataFrame:
@@ -164,7 +168,7 @@ def asof_positions(requests: DataFrame, fixes: DataFrame,
                    request_cols: tuple[str, ...] = ("obs_latitude", "obs_longitude"),
                    key: str = "request_id") -> DataFrame:
     """Rows (request, object, latest fix as of the request time)."""
-    return asof_join(requests, fixes, ("satname", "latitude", "longitude"), lookback_s,
+    return asof_join(requests, fixes, POSITION_COLS, lookback_s,
                      request_cols, key)
 
 
@@ -191,7 +195,8 @@ WIDER = 4
 
 def closest_satellite(requests: DataFrame, fixes: DataFrame,
                       lookback_s: int | None = None, key: str = "request_id",
-                      digits: int | None = 2, cell_deg: float | None = None) -> DataFrame:
+                      digits: int | None = 2, cell_deg: float | None = None,
+                      seen: DataFrame | None = None) -> DataFrame:
     """Per request, the object whose as-of fix is nearest to the observer.
 
     Ties go to the lowest ``sat_id``; fixes without coordinates are never
@@ -204,8 +209,11 @@ def closest_satellite(requests: DataFrame, fixes: DataFrame,
     degrees of arc; without it they are as wide as about ``NEAR`` objects need
     (their approximate number is counted, one aggregate over the ids). Results
     do not depend on it.
+
+    ``seen`` are stored as-of rows (``POSITION_COLS`` of ``asof_by_time``) of the
+    request times, or of more times, where a caller has them already.
     """
-    a = asof_by_time(requests, fixes, ("satname", "latitude", "longitude"), lookback_s)
+    a = asof_by_time(requests, fixes, POSITION_COLS, lookback_s) if seen is None else seen
     a = a.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     rq = requests.select(key, F.col("timestamp").alias("request_ts"), "obs_latitude", "obs_longitude")
     if cell_deg is not None:
@@ -215,7 +223,7 @@ def closest_satellite(requests: DataFrame, fixes: DataFrame,
     else:
         n = fixes.agg(F.approx_count_distinct("sat_id")).first()[0]
         width = 2 * math.sqrt(NEAR / n) if n > DIRECT else 2.0           # a cap of this radius is NEAR / n of the sphere
-    if width < 2:                                         # every round reads them: made once, in the shared folder
+    if width < 2 and seen is None:                        # every round reads them: made once, in the shared folder
         ensure_checkpoint_dir(requests.sparkSession)
         a = a.checkpoint()
     best = _closest_by_cells(rq, a, key, width)
@@ -293,7 +301,7 @@ def satellites_in_view(requests: DataFrame, fixes: DataFrame, required: int,
 
 def overlap_answers(requests: DataFrame, fixes: DataFrame, lookback_s: int | None = None,
                     radius_km: float = COVERAGE_RADIUS_KM, required_satellites: int | None = None,
-                    key: str = "request_id") -> DataFrame:
+                    key: str = "request_id", seen: DataFrame | None = None) -> DataFrame:
     """An overlap request is answered with the coverage overlap of the
     objects in its as-of cache, pairing fixes of equal timestamp (as the
     original does); with ``required_satellites`` only a cache holding
@@ -301,13 +309,15 @@ def overlap_answers(requests: DataFrame, fixes: DataFrame, lookback_s: int | Non
 
     The cache depends only on the request time, so pairs are built once per
     distinct request time - the join key is (time, fix time), a group never
-    exceeds the object count - and then joined to the requests.
+    exceeds the object count - and then joined to the requests. ``seen``: stored
+    as-of rows, as in ``closest_satellite``.
     """
-    a = asof_by_time(requests, fixes, ("satname", "latitude", "longitude"), lookback_s)
+    rq = requests.select(key, F.col("timestamp").alias("request_ts"))
+    a = (asof_by_time(requests, fixes, POSITION_COLS, lookback_s) if seen is None
+         else seen.join(rq.select("request_ts"), "request_ts", "left_semi"))
     if required_satellites is not None:
         n = a.groupBy("request_ts").agg(F.count_distinct("sat_id").alias("_n"))
         a = a.join(n.where(F.col("_n") == required_satellites).select("request_ts"), "request_ts", "left_semi")
     pairs = overlap.pairs(a, ["request_ts", "fix_ts"], radius_km, time_col="fix_ts",
                           keep=("request_ts",), hint=None)
-    rq = requests.select(key, F.col("timestamp").alias("request_ts"))
     return rq.join(pairs, "request_ts").drop("request_ts")

@@ -92,6 +92,7 @@ def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
     """
     spark = batch.sparkSession
     reqs = ingest.route_requests(ingest.validate_requests(batch)).persist()
+    scratch = f"{out}_scratch/{int(batch_id)}"
     try:
         served = F.col("reject_reason").isNull() & F.col("action").isin("closest", "overlap", "motion_vector")
         empty = not _exists(spark, history)
@@ -110,12 +111,16 @@ def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
         fixes = (rollup.cache(spark, history, lo, hi) if lookback_s is None
                  else sinks.read_history(spark, history, lo - int(lookback_s), hi))
         parts = []
+        if info["closest"] or info["overlap"]:
+            # looked up once for both kinds of answer
+            seen = _stored(asof.asof_by_time(ok.where(F.col("action") != "motion_vector"), fixes, asof.POSITION_COLS, lookback_s),
+                           f"{scratch}/seen")
         if info["closest"]:
             parts.append(codecs.closest_response(asof.closest_satellite(
-                ok.where(F.col("action") == "closest"), fixes, lookback_s, cell_deg=cell_deg)))
+                ok.where(F.col("action") == "closest"), fixes, lookback_s, cell_deg=cell_deg, seen=seen)))
         if info["overlap"]:
             pairs = asof.overlap_answers(ok.where(F.col("action") == "overlap"), fixes, lookback_s,
-                                         required_satellites=required_satellites)
+                                         required_satellites=required_satellites, seen=seen)
             parts.append(codecs.overlap_response(pairs, key="request_id"))
         if info["motion_vector"]:
             if lookback_s is None:
@@ -123,7 +128,7 @@ def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
             else:
                 since = lo - int(lookback_s) - int(motion_lookback_s)
                 vectors = motion.motion_vectors(sinks.read_history(spark, history, since, hi), motion_lookback_s)
-            moves = asof.motion_answers(ok.where(F.col("action") == "motion_vector"), vectors, lookback_s)
+            moves = _stored(asof.motion_answers(ok.where(F.col("action") == "motion_vector"), vectors, lookback_s), f"{scratch}/moves")
             parts.append(codecs.motion_request_response(moves))
         msgs = parts[0].select(MESSAGE)
         for m in parts[1:]:
@@ -134,6 +139,15 @@ def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
         return read_messages(spark, out).where(F.col("batch_id") == int(batch_id))
     finally:
         reqs.unpersist()
+        fs, path, _ = _fs(spark, scratch)
+        fs.delete(path, True)
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to a folder beside the answers and read back: short plans
+    behind it, and a lost executor costs no lookup. A retried batch overwrites it."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 MESSAGE = ["topic", "key", "part", "n_parts", "value"]
