@@ -96,10 +96,12 @@ def sketched(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
                 s = shingles(t.encode("utf-8", "replace"), words) if t else np.zeros(0, np.uint64)
                 out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None,
                             sketch(s).tobytes() if len(s) else None))
-            yield pd.DataFrame({"k": pdf["k"], "md5": pdf["md5"], **{c: [r[i] for r in out] for i, c in enumerate(("n_shingles", "digest", "sketch"))}})
+            yield pd.DataFrame({"k": pdf["k"], "known": pdf["known"], "md5": pdf["md5"], **{c: [r[i] for r in out] for i, c in enumerate(("n_shingles", "digest", "sketch"))}})
 
-    return df.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"), F.md5(F.col(text).cast("binary")).alias("md5")).mapInPandas(
-        run, "k bigint, md5 string, n_shingles bigint, digest binary, sketch binary")
+    k = F.col(key).cast("bigint")                     # pandas would round large ids beside a null one
+    return (df.select(F.coalesce(k, F.lit(0)).alias("k"), k.isNotNull().alias("known"), F.col(text).alias("t"), F.md5(F.col(text).cast("binary")).alias("md5"))
+            .mapInPandas(run, "k bigint, known boolean, md5 string, n_shingles bigint, digest binary, sketch binary")
+            .withColumn("k", F.when(F.col("known"), F.col("k"))).drop("known"))
 
 
 # -- the trees ---------------------------------------------------------------

@@ -62,6 +62,21 @@ def test_edge_rows_pass_every_stage(spark):
     assert cp.language_stage(spark, cp.saved(docs, "in"), D).filter("doc_id in (1, 2, 3)").count() == 0
 
 
+def test_unlike_documents_of_one_id_stay(spark):
+    def text(a, n=60):
+        return " ".join(f"{a}{j * j % 997}" for j in range(n))
+    rows = [(5, text("a"), "s"), (5, text("b"), "s"), (5, text("a"), "r"), (6, text("b"), "s"), (4, text("c"), "s"),
+            (9, text("c") + " end", "s"), (None, text("a"), "s"), (7, None, "s"), (7, None, "s"), (7, "", "s"), (8, "few words", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for parts in (1, 5):
+        got = cp.near_duplicate_stage(spark, cp.saved(docs.repartition(parts), "in"), D)
+        assert got.columns == docs.columns
+        want = [(5, text("a"), "r"), (5, text("b"), "s"), (4, text("c"), "s"), (None, text("a"), "s"), (7, None, "s"), (7, "", "s"),
+                (8, "few words", "s")]
+        rows_of = lambda rs: sorted(((i, t and t[:5] + t[-9:], s) for i, t, s in rs), key=str)
+        assert rows_of(got.collect()) == rows_of(want)
+
+
 def test_partial_documents_are_cut_at_words(spark):
     df = spark.createDataFrame([("a  b\nc d", 1, 3), ("x", 0, 1)], "t string, a int, z int")
     assert [r[0] for r in df.select(cp._words_between("t", "a", "z")).collect()] == ["b\nc", "x"]
