@@ -50,16 +50,35 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest
-    id; of rows with one id, one stays. Rows without an id stay."""
-    found = saved(neardup.near_duplicates(docs, words=NEAR_WORDS), "near")
-    gone = found.filter("not kept").select("doc_id").distinct()
-    asked = may_be_in(gone)(F.col("doc_id"))          # most rows need no join, and stay where they are
-    left = docs.filter(~asked).unionByName(docs.filter(asked).join(gone, "doc_id", "left_anti").select(docs.columns))
-    twice = found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if twice.isEmpty():
-        return left
-    return left.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(
-        left.join(twice, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+    id. Rows that share an id are documents of their own, told apart by their
+    text: only near duplicates go. Of rows equal in id and text one stays, the
+    one whose other columns come first as JSON. Rows without an id stay."""
+    repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        found = saved(neardup.near_duplicates(docs, words=NEAR_WORDS), "near")
+        return _without(docs, found.filter("not kept").select("doc_id"), "doc_id")
+    apart = may_be_in(repeated)(F.col("doc_id"))      # a 64-bit key of id and text; other ids may be among them
+    keyed = saved(docs.withColumn("__gt_key", F.when(apart & F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.md5(F.col("text").cast("binary"))))
+                                  .otherwise(F.col("doc_id").cast("bigint"))), "keyed")
+    found = saved(neardup.near_duplicates(keyed, key="__gt_key", words=NEAR_WORDS), "near")
+    rows = keyed.filter("__gt_key is not null")
+    classes = found.filter("__gt_key is not null").select("__gt_key", "component_id").distinct()
+    stay = (classes.join(rows.select("__gt_key", "doc_id").distinct(), "__gt_key")
+            .groupBy("component_id").agg(F.min(F.struct("doc_id", "__gt_key")).alias("m")).select("m.__gt_key"))
+    left = _without(keyed, classes.select("__gt_key").join(stay, "__gt_key", "left_anti"), "__gt_key")
+    equal = rows.groupBy("__gt_key").count().filter("count > 1").select("__gt_key")
+    some = F.col("__gt_key").isNotNull() & may_be_in(equal)(F.col("__gt_key"))
+    others = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]))
+    one = (left.filter(some).groupBy("__gt_key").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), others).alias("r"))
+           .select("r.*"))
+    return left.filter(~some).select(docs.columns).unionByName(one)
+
+
+def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``docs`` but for the rows whose key is in ``gone``."""
+    gone = gone.distinct()
+    asked = may_be_in(gone)(F.col(key))               # most rows need no join, and stay where they are
+    return docs.filter(~asked).unionByName(docs.filter(asked).join(gone, key, "left_anti").select(docs.columns))
 
 
 @F.pandas_udf(StringType())
