@@ -100,8 +100,10 @@ def tokenized(df: DataFrame, path: str, key: str = "doc_id", text: str = "text",
             yield pd.DataFrame({"k": pdf["k"], "part": part, "at": at + np.cumsum(n) - n, "n": n, "ids": ids})
             at += int(n.sum())
 
-    return saved(df.select(F.col(key).alias("k"), F.col(text).alias("t"))
-                 .mapInPandas(run, f"k {kind}, part int, at bigint, n bigint, ids binary"), "tokens")
+    # as text: pandas would round large ids beside a null one
+    return saved(df.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"))
+                 .mapInPandas(run, "k string, part int, at bigint, n bigint, ids binary")
+                 .withColumn("k", F.col("k").cast(kind)), "tokens")
 
 
 def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
@@ -134,8 +136,9 @@ def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", leng
                 "offset": lo - window * length,
                 "ids": [bytes(ids[d][4 * a:4 * (a + m)]) for d, a, m in zip(doc, start, hi - lo, strict=True)]})
 
-    return (docs.mapInPandas(cut, f"k {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary")
-            .withColumnRenamed("k", key))
+    return (docs.withColumn("k", F.col("k").cast("string"))
+            .mapInPandas(cut, "k string, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary")
+            .withColumn("k", F.col("k").cast(kind)).withColumnRenamed("k", key))
 
 
 def with_crc(pieces: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ D = "/root/testdata/sf0.001"
 
 def duck(sql, d=D):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations", "labels"):
+    for t in ("documents", "pages", "conversations", "labels", "embeddings", "benchmark"):
         con.sql(f"create view {t} as select * from '{d}/{t}.parquet'")
     return con.sql(sql).df()
 
@@ -120,3 +120,10 @@ def test_files_with_another_rule_go_to_the_library(tmp_path):
 def test_sequences_are_padded(spark):
     out = packing.sequences(packing.pack(spark.createDataFrame([(1, "word " * 3000), (2, "x")], "doc_id long, text string"), queries.tokenizer_path())).toPandas()
     assert out.n_tokens.tolist().count(1024) == len(out) - 1 and out.ids.map(len).eq(1024).all()
+
+
+def test_large_ids_stay_exact_beside_a_null_id(spark):
+    ids = [2**62 + 1, 2**62 + 3, None, -(2**60) - 7]
+    docs = spark.createDataFrame([(i, f"some words {n}") for n, i in enumerate(ids)], "doc_id long, text string").coalesce(1)
+    got = packing.pack(docs, queries.tokenizer_path(), length=8)
+    assert {r[0] for r in got.select("doc_id").collect()} == set(ids) and got.schema["doc_id"].dataType.simpleString() == "bigint"
