@@ -258,9 +258,13 @@ def _closest_by_cells(rq: DataFrame, a: DataFrame, key: str, width: float) -> Da
     block (``clearance``), so a nearest candidate within it is the true nearest,
     at the poles and the antimeridian as anywhere. Only requests that are not
     certified so go on, to cells ``WIDER`` times as wide, up to one that holds
-    the whole sphere.
+    the whole sphere. What a round settles and what it leaves is written to the
+    shared folder, so that each plan holds one round whatever their number.
     """
     rest = rq.select("*", *sphere.unit_vector("obs_latitude", "obs_longitude", "r_"))
+    if width < 2:
+        ensure_checkpoint_dir(rq.sparkSession)
+        rest = rest.checkpoint()
     objects = a.select("*", *sphere.unit_vector("latitude", "longitude", "o_"))
     best = None
     while True:
@@ -269,9 +273,9 @@ def _closest_by_cells(rq: DataFrame, a: DataFrame, key: str, width: float) -> Da
             return found if best is None else best.unionByName(found)
         sure = (found.join(rest.select(key, sphere.clearance("r_", width).alias("_g")), key)
                 .where(sphere.chord_of(F.col("m._d") / F.lit(EARTH_RADIUS_KM)) < F.col("_g") * (1 - 1e-9) - 1e-9)
-                .select("request_ts", key, "m"))
+                .select("request_ts", key, "m")).checkpoint()
         best = sure if best is None else best.unionByName(sure)
-        rest = rest.join(sure.select(key), key, "left_anti")
+        rest = rest.join(sure.select(key), key, "left_anti").checkpoint()
         width *= WIDER
 
 

@@ -73,3 +73,9 @@ def test_retention_stands_below_the_windows(spark):
         lines = plan(E.queries()[key](spark, SF_SMALL)).split("\n")
         deepest = max(i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x)
         assert any("Filter " in x and "ubquery" in x for x in lines[deepest:]), key
+
+
+def test_rounds_of_closest_search_do_not_nest(spark):
+    """Each round of the expanding cells reads what the one before wrote."""
+    p = E.queries()["closest_many"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("Join") <= 3 and "Union" in p
