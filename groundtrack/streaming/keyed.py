@@ -1,7 +1,8 @@
-"""Keyed state that only grows by what arrives: motion vectors and live
-sliding windows on the arbitrary-state API (``transformWithState``).
+"""Keyed state that only grows by what arrives: motion vectors, live sliding
+windows and the as-of lookup of requests on the arbitrary-state API
+(``transformWithState``).
 
-Both operators cut an object's time into chunks and key the state by (object,
+The first two cut an object's time into chunks and key the state by (object,
 chunk), so a busy object is spread over tasks and a chunk's whole state goes
 with one event-time timer. Rows that a chunk needs of its neighbour are sent to
 both. State lives in the RocksDB store (``use_rocksdb``), off the heap.
@@ -13,6 +14,9 @@ both. State lives in the RocksDB store (``use_rocksdb``), off the heap.
   are put together from their slots and sent again (update mode). The state has
   one row a slot whatever the number of windows that a fix lies in, and input
   rows are not copied into windows.
+* ``AsofRequests`` (for ``live``): what a micro-batch brought of a time bucket
+  and group of objects, packed, of several fixes of an object in one second
+  only the last; and the requests that the watermark has not passed.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -221,3 +226,141 @@ def sliding_panes(fixes: DataFrame, window: str = WINDOW, slide: str = SLIDE, wa
     return (rows.select("sat_id", "satname", "chunk", "timestamp", "seq", "latitude", "longitude", "event_time")
             .groupBy("sat_id", "satname", "chunk")
             .transformWithStateInPandas(Panes(w, s, chunk), outputStructType=WINDOW_ROW, outputMode="Update", timeMode="EventTime"))
+
+
+# -- requests as of their time -----------------------------------------------
+
+ASKED = "asked string, request_ts bigint, obs_latitude double, obs_longitude double"
+SEEN = "sat_id string, satname string, latitude double, longitude double, timestamp bigint, seq bigint"
+_ASKED = [c.split()[0] for c in ASKED.split(", ")]
+_SEEN = [c.split()[0] for c in SEEN.split(", ")]
+#: Rows of an answer's frame, about.
+ANSWER_ROWS = 50_000
+
+
+def _packed(f: pd.DataFrame) -> tuple[bytes]:
+    t = pa.Table.from_pandas(f, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, t.schema) as w:
+        w.write_table(t)
+    return (sink.getvalue().to_pybytes(),)
+
+
+def _unpacked(rows, columns: list[str]) -> pd.DataFrame:
+    parts = [pa.ipc.open_stream(bytes(r[0])).read_all().to_pandas() for r in rows]
+    return pd.concat(parts, ignore_index=True)[columns] if parts else pd.DataFrame(columns=columns)
+
+
+def _last_of_second(f: pd.DataFrame) -> pd.DataFrame:
+    """The last fix of each object and second, by object and time."""
+    code = pd.factorize(f["sat_id"], use_na_sentinel=False)[0]
+    ts = f["timestamp"].to_numpy(np.int64)
+    order = np.lexsort((f["seq"].to_numpy(np.int64), ts, code))
+    code, ts = code[order], ts[order]
+    last = np.append((code[1:] != code[:-1]) | (ts[1:] != ts[:-1]), True)
+    return f.iloc[order[last]]
+
+
+class AsofRequests(StatefulProcessor):
+    """State of (bucket, group of objects): the fixes of the bucket and the one
+    before, and the bucket's requests that may still see a fix. A request is
+    answered when the watermark has passed it, by a search in each object's
+    times: its cost does not grow with the fixes that it could have seen."""
+
+    def __init__(self, lookback_s: int):
+        self._lookback_s = lookback_s
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._fixes = handle.getListState("fixes", "packed binary")
+        self._asked = handle.getListState("asked", "packed binary")
+
+    def _end(self, key) -> int:
+        return (int(key[0]) + 1) * self._lookback_s * 1000
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        self._handle.registerTimer(self._end(key))
+        fixes, asked = [], []
+        for pdf in rows:
+            fix = pdf["fix"].to_numpy(bool)
+            if fix.any():
+                fixes.append(_last_of_second(pdf.loc[fix, _SEEN]))
+            if not fix.all():
+                asked.append(pdf.loc[~fix, _ASKED].drop_duplicates())
+        if fixes:
+            self._fixes.appendValue(_packed(_last_of_second(pd.concat(fixes, ignore_index=True))))
+        if asked:
+            new = pd.concat(asked, ignore_index=True).drop_duplicates()
+            self._asked.appendValue(_packed(new))
+            self._handle.registerTimer(int(new["request_ts"].min()) * 1000 - 1)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        asked = _unpacked(self._asked.get(), _ASKED).drop_duplicates()
+        due = asked["request_ts"].to_numpy(np.int64) * 1000 <= passed
+        if due.any():
+            yield from self._answers(asked[due])
+        if passed >= self._end(key):                         # nothing of this bucket can come
+            self._asked.clear()
+            self._fixes.clear()
+        elif due.any():
+            left = asked[~due]
+            self._asked.clear()
+            if len(left):
+                self._asked.appendValue(_packed(left))
+                self._handle.registerTimer(int(left["request_ts"].min()) * 1000 - 1)
+
+    def _answers(self, asked: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        f = _unpacked(self._fixes.get(), _SEEN)
+        if not len(f):
+            return
+        f = _last_of_second(f)
+        code, ids = pd.factorize(f["sat_id"], use_na_sentinel=False)
+        ts, t = f["timestamp"].to_numpy(np.int64), asked["request_ts"].to_numpy(np.int64)
+        first = np.searchsorted(code, np.arange(len(ids) + 1))
+        who, what, n = [], [], 0
+        for a, z in zip(first[:-1], first[1:], strict=True):
+            at = a + np.searchsorted(ts[a:z], t, "right") - 1
+            hit = np.flatnonzero((at >= a) & (ts[np.maximum(at, a)] >= t - self._lookback_s))
+            who.append(hit)
+            what.append(at[hit])
+            n += len(hit)
+            if n >= ANSWER_ROWS or z == first[-1]:
+                yield self._frame(asked.iloc[np.concatenate(who)], f.iloc[np.concatenate(what)])
+                who, what, n = [], [], 0
+
+    def _frame(self, a: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:
+        seq = pd.array(f["seq"].to_numpy(np.int64), dtype="Int64")
+        seq[f["seq"].to_numpy() == NO_SEQ] = pd.NA
+        time = pd.Series(a["request_ts"].to_numpy(np.int64).astype("datetime64[s]").astype("datetime64[us]")).dt.tz_localize("UTC")
+        return pd.DataFrame({
+            "asked": a["asked"].to_numpy(object), "request_time": time, "request_ts": a["request_ts"].to_numpy(np.int64),
+            "obs_latitude": a["obs_latitude"].to_numpy(float), "obs_longitude": a["obs_longitude"].to_numpy(float),
+            "sat_id": f["sat_id"].to_numpy(object), "satname": f["satname"].to_numpy(object), "latitude": f["latitude"].to_numpy(float),
+            "longitude": f["longitude"].to_numpy(float), "fix_ts": f["timestamp"].to_numpy(np.int64), "fix_seq": seq})
+
+    def close(self) -> None:
+        pass
+
+
+ANSWER = ("asked string, request_time timestamp, request_ts bigint, obs_latitude double, obs_longitude double, sat_id string, "
+          "satname string, latitude double, longitude double, fix_ts bigint, fix_seq bigint")
+
+
+def asof_requests(asked: DataFrame, fixes: DataFrame, lookback_s: int, spread: int) -> DataFrame:
+    """Rows of ``ANSWER``: the latest fix of every object as of each request, at
+    most ``lookback_s`` old. ``asked`` (``ASKED`` and ``event_time``) and ``fixes``
+    (``SEEN`` and ``event_time``) are watermarked streams."""
+    use_rocksdb(asked.sparkSession)
+    bucket = lambda c: F.floor(F.col(c) / F.lit(int(lookback_s))).cast("bigint")
+    none = lambda schema, zero: [F.lit(0 if c in zero else None).cast(c_type).alias(c)
+                                 for c, c_type in (x.split() for x in schema.split(", "))]
+    seen = (fixes.withColumn("seq", F.coalesce("seq", F.lit(NO_SEQ)))
+            .select(F.explode(F.array(bucket("timestamp"), bucket("timestamp") + 1)).alias("b"),
+                    F.pmod(F.xxhash64("sat_id"), F.lit(int(spread))).alias("g"), "event_time",
+                    F.lit(True).alias("fix"), *none(ASKED, ("request_ts",)), *_SEEN))
+    rows = (asked.withColumn("g", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(int(spread) - 1).cast("bigint"))))
+            .select(bucket("request_ts").alias("b"), "g", "event_time", F.lit(False).alias("fix"), *_ASKED, *none(SEEN, ("timestamp", "seq"))))
+    return seen.unionByName(rows).groupBy("b", "g").transformWithStateInPandas(
+        AsofRequests(int(lookback_s)), outputStructType=ANSWER, outputMode="Append", timeMode="EventTime", eventTimeColumnName="request_time")

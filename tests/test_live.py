@@ -80,6 +80,19 @@ def test_live_equals_batch_asof(spark, scratch):
     assert sorted((int(x[0]), *x[1:]) for x in s.collect()) == want
 
 
+def test_live_asof_pairs_no_request_with_all_its_fixes(spark, scratch):
+    """No join of requests and fixes; of many fixes of a second and object the
+    greatest seq is seen, of a request sent twice there is one answer."""
+    T = 1_800_000_000
+    positions(spark, [("1", i / 10, 0.0, T, i) for i in range(50)] + [("2", 1.0, 0.0, T + 1, 50)], f"{scratch}/p")
+    positions(spark, [("2", 2.0, 0.0, T + 9000, 51)], f"{scratch}/p")
+    asks(spark, [(7, T), (7, T), (8, T + 1)], f"{scratch}/r")
+    asks(spark, [(9, T + 9000)], f"{scratch}/r")
+    rows = live.asof_live(requests_of(spark, f"{scratch}/r"), fixes_of(spark, f"{scratch}/p"), 600, "1 minute", spread=2)
+    assert "Join" not in rows._jdf.queryExecution().logical().toString()
+    assert sorted((r.request_id, r.sat_id, r.fix_seq) for r in run(rows, scratch).collect()) == [("7", "1", 49), ("8", "1", 49), ("8", "2", 50)]
+
+
 def test_live_job_answers_closest(spark, scratch):
     T = 1_800_000_000
     positions(spark, [("1", 0.0, 10.0, T, 1), ("2", 0.0, 5.0, T, 2), ("3", 0.0, -5.0, T + 1, 3), ("4", 0.0, 0.0, T + 9000, 4)], f"{scratch}/p")
