@@ -7,8 +7,8 @@ chunk), so a busy object is spread over tasks and a chunk's whole state goes
 with one event-time timer. Rows that a chunk needs of its neighbour are sent to
 both. State lives in the RocksDB store (``use_rocksdb``), off the heap.
 
-* ``motion_stream``: a list of the chunk's fixes. A fix is appended; nothing
-  that is held is written again.
+* ``motion_stream``: the chunk's fixes, one packed entry for what a micro-batch
+  brought; many small entries are made one.
 * ``sliding_panes``: a map from slot (one slide) to the latest fix of the slot.
   A fix changes at most its own slot; the windows that contain a changed slot
   are put together from their slots and sent again (update mode). The state has
@@ -21,6 +21,7 @@ both. State lives in the RocksDB store (``use_rocksdb``), off the heap.
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Iterator
 
@@ -55,23 +56,39 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 VECTOR = ("sat_id string, satname string, timestamp bigint, seq bigint, latitude double, longitude double, "
           "prev_timestamp bigint, prev_latitude double, prev_longitude double, revision bigint")
-FIX = "timestamp bigint, seq bigint, latitude double, longitude double, satname string, own boolean"
-_FIX = [c.split()[0] for c in FIX.split(", ")]
+#: Look-backs in a chunk: each key costs a task more than its fixes do.
+CHUNK = 12
+#: Packed entries of a key from which on they are made one.
+ENTRIES = 32
+_FIX = ("timestamp", "seq", "latitude", "longitude", "satname", "own")
 _VECTOR = [c.split()[0] for c in VECTOR.split(", ")]
 
 
-def _predecessors(f: pd.DataFrame, lookback_s: int) -> tuple[np.ndarray, np.ndarray]:
+def _predecessors(ts: np.ndarray, seq: np.ndarray, lookback_s: int) -> tuple[np.ndarray, np.ndarray]:
     """For each fix the row of its predecessor (the oldest within the look-back),
     and whether there is one."""
-    order = np.lexsort((f["seq"].to_numpy(), f["timestamp"].to_numpy()))
-    ts, seq = f["timestamp"].to_numpy()[order], f["seq"].to_numpy()[order]
-    j = np.searchsorted(ts, ts - lookback_s, side="left")
-    before = (ts[j] < ts) | (seq[j] < seq)
-    row, there = np.empty(len(f), np.int64), np.empty(len(f), bool)
+    order = np.lexsort((seq, ts))
+    t, s = ts[order], seq[order]
+    j = np.searchsorted(t, t - lookback_s, side="left")
+    before = (t[j] < t) | (s[j] < s)
+    row, there = np.empty(len(t), np.int64), np.empty(len(t), bool)
     row[order], there[order] = order[j], before
     return row, there
 
 
+def _columns(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """The columns ``_FIX``: plain arrays, a chunk has too few rows for frames."""
+    seq, name = pdf["seq"], pdf["satname"].to_numpy(object)
+    if seq.dtype != np.int64:
+        seq = seq.astype("Int64").fillna(NO_SEQ).astype("int64")
+    return (pdf["timestamp"].to_numpy(np.int64), seq.to_numpy(np.int64), pdf["latitude"].to_numpy(float), pdf["longitude"].to_numpy(float),
+            np.where(pd.isna(name), None, name), pdf["own"].to_numpy(bool))
+
+
+def _pickled(columns: tuple[np.ndarray, ...]) -> tuple[bytes]:
+    return (pickle.dumps(columns, pickle.HIGHEST_PROTOCOL),)
+
+
 class MotionVectors(StatefulProcessor):
     """State of (object, chunk): its fixes, and those of the look-back before it
     (``own`` false). A fix that comes out of order, but within the watermark, is
@@ -83,35 +100,35 @@ class MotionVectors(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._fixes = handle.getListState("fixes", FIX)
+        self._fixes = handle.getListState("fixes", "packed binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = pd.DataFrame([tuple(r) for r in self._fixes.get()], columns=_FIX)
-        if held.empty:
-            held = held.astype({"timestamp": "int64", "seq": "int64", "latitude": float, "longitude": float, "own": bool})
+        parts = [pickle.loads(bytes(r[0])) for r in self._fixes.get()]
+        if not parts:
             self._handle.registerTimer((int(key[1]) + 1) * self._chunk_s * 1000)
+        held = tuple(np.concatenate(c) for c in zip(*parts, strict=True)) if parts else None
+        if len(parts) >= ENTRIES:
+            self._fixes.put([_pickled(held)])
         for pdf in rows:
             if not len(pdf):
                 continue
-            new = pdf[_FIX].assign(seq=pdf["seq"].astype("Int64").fillna(NO_SEQ).astype("int64"), satname=pdf["satname"].astype(object))
-            new["satname"] = new["satname"].where(new["satname"].notna(), None)
-            self._fixes.appendList(list(zip(*(new[c].tolist() for c in _FIX), strict=True)))
-            both = pd.concat([held, new], ignore_index=True) if len(held) else new.reset_index(drop=True)
-            row, there = _predecessors(both, self._lookback_s)
-            send = there & both["own"].to_numpy(bool)
-            if len(held):                                    # what was sent already, and has not changed
-                old_row, old_there = _predecessors(held, self._lookback_s)
-                send[:len(held)] &= ~old_there | (old_row != row[:len(held)])
+            new = _columns(pdf)
+            self._fixes.appendValue(_pickled(new))
+            both = tuple(np.concatenate(c) for c in zip(held, new, strict=True)) if held else new
+            ts, seq, lat, lon, name, own = both
+            row, there = _predecessors(ts, seq, self._lookback_s)
+            send = there & own
+            if held:                                         # what was sent already, and has not changed
+                n = len(held[0])
+                old_row, old_there = _predecessors(*held[:2], self._lookback_s)
+                send[:n] &= ~old_there | (old_row != row[:n])
             at = np.flatnonzero(send)
             if len(at):
-                f, p = both.iloc[at], both.iloc[row[at]]
-                seq = pd.array(f["seq"].tolist(), dtype="Int64")
-                seq[f["seq"].to_numpy() == NO_SEQ] = pd.NA
+                p = row[at]
                 yield pd.DataFrame({
-                    "sat_id": key[0], "satname": f["satname"].to_numpy(object), "timestamp": f["timestamp"].to_numpy(), "seq": seq,
-                    "latitude": f["latitude"].to_numpy(), "longitude": f["longitude"].to_numpy(),
-                    "prev_timestamp": p["timestamp"].to_numpy(), "prev_latitude": p["latitude"].to_numpy(),
-                    "prev_longitude": p["longitude"].to_numpy(), "revision": len(both)})[_VECTOR]
+                    "sat_id": key[0], "satname": name[at], "timestamp": ts[at], "seq": pd.arrays.IntegerArray(seq[at], seq[at] == NO_SEQ),
+                    "latitude": lat[at], "longitude": lon[at], "prev_timestamp": ts[p], "prev_latitude": lat[p], "prev_longitude": lon[p],
+                    "revision": len(ts)}, columns=_VECTOR)
             held = both
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -128,7 +145,7 @@ def motion_stream(fixes: DataFrame, lookback_s: int = LOOKBACK_S, watermark: str
     ``motion_vectors`` plus ``revision``. Of several rows of one fix the one with
     the greatest revision holds (``state.last_revision``)."""
     L = int(lookback_s)
-    C = int(chunk_s or 4 * L)
+    C = int(chunk_s or CHUNK * L)
     if C < L:
         raise ValueError("chunk_s must not be below lookback_s")
     use_rocksdb(fixes.sparkSession)

@@ -105,6 +105,23 @@ def test_live_job_answers_closest(spark, scratch):
 
 # -- keyed state ------------------------------------------------------------
 
+def test_motion_state_has_few_keys_and_packed_entries(spark, scratch, monkeypatch):
+    """An hour of an object is one key; entries made one keep names, null offsets
+    and coordinates."""
+    T = 1_800_000_000 // 3600 * 3600
+    monkeypatch.setattr(keyed, "ENTRIES", 2)
+    rows = [("1", float(i), 0.0, T + 60 * i, i) for i in range(8)]
+    for r in rows:
+        positions(spark, [r], f"{scratch}/in")
+    s = keyed.motion_stream(fixes_of(spark, f"{scratch}/in").withColumn("seq", F.when(F.col("seq") != 3, F.col("seq"))), 300, "5 minutes")
+    q = sinks.start(s, f"{scratch}/ck", fmt="parquet", path=f"{scratch}/out", trigger=NOW)
+    q.awaitTermination()
+    assert max(op.numRowsTotal for p in q.recentProgress for op in p.stateOperators) <= 8
+    got = state.last_revision(spark.read.parquet(f"{scratch}/out")).orderBy("timestamp").collect()
+    assert [(r.timestamp - T, r.prev_timestamp - T, r.seq, r.satname) for r in got] == [
+        (60 * i, 60 * max(0, i - 5), None if i == 3 else i, got[0].satname) for i in range(1, 8)]
+
+
 def test_motion_state_is_appended_and_cleared(spark, scratch):
     """Chunks of 600 s: vectors reach over their border, revisions come in order,
     the state of chunks behind the watermark goes."""
