@@ -39,6 +39,8 @@ from groundtrack.session import ensure_checkpoint_dir
 
 #: What a position lookup carries of a fix.
 POSITION_COLS = ("satname", "latitude", "longitude")
+#: What a motion lookup carries of a vector.
+VECTOR_COLS = ("satname", "velocity_kmph", "delta_latitude", "delta_longitude")
 
 
 def asof_by_time(requests: DataFrame, events: DataFrame, value_cols: tuple[str, ...],
@@ -284,8 +286,7 @@ def motion_answers(requests: DataFrame, vectors: DataFrame,
     """A motion request is answered with the latest vector of every object
     as of the request time; computed once
     per distinct request time."""
-    a = asof_join(requests, vectors, ("satname", "velocity_kmph", "delta_latitude", "delta_longitude"),
-                  lookback_s, (), key)
+    a = asof_join(requests, vectors, VECTOR_COLS, lookback_s, (), key)
     return a.select(key, F.col("request_ts").alias("timestamp"), "sat_id", "satname", "velocity_kmph",
                     "delta_latitude", "delta_longitude", F.col("fix_ts").alias("vector_ts"))
 

@@ -30,8 +30,9 @@ def history_append(batch: DataFrame, batch_id: int, path: str,
 
     Parquet partitioned by ``day`` of the fix and ``batch_id``, so a read of a
     time range opens the folders of that range only; dynamic partition
-    overwrite makes a retried batch replace its own files. Rows are dealt by
-    time of day and object, so a busy day is written by several tasks. Beside it
+    overwrite makes a retried batch replace its own files. Rows are dealt in
+    ranges of day, object and time of day, so a busy day is written by several
+    tasks, and a batch of many days gives about one file a day. Beside it
     (``path`` + ``_last``) goes the last fix per object and day: all that a
     later lookup needs of a day it does not read. ``sat_id`` limits the
     archive to one object as the original does; None archives all.
@@ -41,14 +42,15 @@ def history_append(batch: DataFrame, batch_id: int, path: str,
         if f.name not in rows.columns:
             rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
     rows = (rows.withColumns({"day": F.floor(F.col("timestamp") / DAY_S).cast("bigint"), "batch_id": F.lit(int(batch_id)).cast("bigint")})
-            .select(ARCHIVE.names).repartition("day", "sat_id", F.floor(F.col("timestamp") / SPREAD_S)))
+            .select(ARCHIVE.names).repartitionByRange("day", "sat_id", F.floor(F.col("timestamp") / SPREAD_S)))
     rows.persist()
     try:
         names = [c for c in ARCHIVE.names if c not in ("sat_id", "day", "batch_id")]
         last = (rows.withColumn("_k", order_key()).groupBy("sat_id", "day", "batch_id")
                 .agg(F.max_by(F.struct(*names), "_k").alias("l")))
         # the last fixes first: a reader between the two writes misses no day's last fix
-        _write(last.select("sat_id", "day", "batch_id", "l.*").select(ARCHIVE.names), path + TAILS)
+        tasks = batch.sparkSession.sparkContext.defaultParallelism          # few rows, but a file for each day
+        _write(last.select("sat_id", "day", "batch_id", "l.*").select(ARCHIVE.names).repartition(tasks, "day"), path + TAILS)
         _write(rows.sortWithinPartitions("day", "sat_id", "timestamp", "seq"), path)
     finally:
         rows.unpersist()

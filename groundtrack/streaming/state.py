@@ -128,6 +128,8 @@ def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
             else:
                 since = lo - int(lookback_s) - int(motion_lookback_s)
                 vectors = motion.motion_vectors(sinks.read_history(spark, history, since, hi), motion_lookback_s)
+            # the lookup reads them several times
+            vectors = _stored(vectors.select("sat_id", "timestamp", "seq", *asof.VECTOR_COLS), f"{scratch}/vectors")
             moves = _stored(asof.motion_answers(ok.where(F.col("action") == "motion_vector"), vectors, lookback_s), f"{scratch}/moves")
             parts.append(codecs.motion_request_response(moves))
         msgs = parts[0].select(MESSAGE)

@@ -374,3 +374,36 @@ def test_command_line_final_windows(spark, scratch):
 def jobs_read(spark, root):
     from groundtrack.streaming import jobs
     return jobs.read_windows(spark, root)
+
+
+# -- many days, many cores ---------------------------------------------------
+
+def test_staged_batches_are_as_parallel_as_the_input(spark, scratch):
+    raw = streams.encode_raw(fx.ticks(spark, SF_SMALL)).repartition(6)
+    src = streams.stage(raw, f"{scratch}/in")
+    files = sorted(f for f in os.listdir(src) if f.startswith("part-"))
+    assert len(files) == 6 * streams.CHUNKS
+    q = sinks.start(streams.staged_stream(spark, src), f"{scratch}/ck", fmt="parquet", path=f"{scratch}/out", trigger={"availableNow": True})
+    q.awaitTermination()
+    assert len(q.recentProgress) == streams.CHUNKS
+    cols = ["offset", "topic", "value"]
+    assert sorted(map(tuple, spark.read.parquet(f"{scratch}/out").select(cols).collect())) == sorted(map(tuple, raw.select(cols).collect()))
+    last = [spark.read.parquet(f"{src}/{f}").agg(F.min("offset"), F.max("offset")).first() for f in files]
+    assert all(a[1] < b[0] for a, b in zip(last, last[1:]))               # consecutive ranges
+
+
+def test_archive_of_many_days_has_about_a_file_a_day(spark, scratch):
+    days, day = 120, 86400
+    rows = spark.range(days * 40).selectExpr(
+        "cast(id % 5 as string) sat_id", "concat('Sat ', id % 5) satname", "cast(id % 90 as double) latitude", "0D longitude", "0D azimuth",
+        "0D elevation", f"(id div 40) * {day} + (id % 40) * 2000 timestamp", "id seq")
+    sinks.history_append(rows, 0, f"{scratch}/h", sat_id=None)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = lambda p: sum(f.startswith("part-") for _, _, fs in os.walk(p) for f in fs)
+    assert files(f"{scratch}/h") <= days + parts                           # 20 a day before
+    assert files(f"{scratch}/h{sinks.TAILS}") == days
+    got = sinks.read_history(spark, f"{scratch}/h").select(rows.columns)
+    assert got.count() == days * 40 and got.exceptAll(rows).isEmpty()
+    tails = spark.read.schema(sinks.ARCHIVE).parquet(f"{scratch}/h{sinks.TAILS}")
+    want = rows.selectExpr(f"timestamp div {day} day", "sat_id", "seq").groupBy("day", "sat_id").agg(F.max("seq").alias("seq"))
+    assert tails.select("day", "sat_id", "seq").exceptAll(want).isEmpty() and tails.count() == want.count()
