@@ -18,7 +18,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 #: Largest Arrow batch that Spark hands to a Python worker, so that many very
 #: long texts never meet in one batch.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

@@ -4,6 +4,8 @@ import corpus_pipeline as cp
 import pytest
 from pyspark.sql import functions as F
 
+from groundtrack.llm import common
+
 D = "/root/testdata/sf0.001"
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -80,3 +82,14 @@ def test_unlike_documents_of_one_id_stay(spark):
 def test_partial_documents_are_cut_at_words(spark):
     df = spark.createDataFrame([("a  b\nc d", 1, 3), ("x", 0, 1)], "t string, a int, z int")
     assert [r[0] for r in df.select(cp._words_between("t", "a", "z")).collect()] == ["b\nc", "x"]
+
+
+def test_batches_to_python_workers_stay_small(spark):
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(conf, None)
+    try:
+        spark.conf.unset(conf)
+        common.bounded_batches(spark)
+        assert int(str(spark.conf.get(conf)).rstrip("b")) <= 4 << 20         # several workers of an executor hold one each, a few times over
+    finally:
+        spark.conf.unset(conf) if old is None else spark.conf.set(conf, old)
