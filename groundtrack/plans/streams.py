@@ -35,14 +35,15 @@ def stage(raw: DataFrame, path: str, chunks: int = CHUNKS, order: str = "offset"
     file stream reads in that order (``staged_stream`` groups them into
     about ``chunks`` micro-batches).
 
-    One range-partitioned write with at least as many files as the input has
-    partitions (so staging is as parallel as the input), then increasing
+    One range-partitioned write with as many files for each micro-batch as the
+    input has partitions (so staging, and every micro-batch, is as parallel as
+    the input: a file of one row group is read by one task), then increasing
     modification times on the files (metadata operations only). Where the
     file system cannot set times (some object stores), ``chunks`` slices
     are written one after another instead, so their creation times follow
     the order.
     """
-    files = max(chunks, raw.rdd.getNumPartitions())
+    files = chunks * max(1, raw.rdd.getNumPartitions())
     (raw.repartitionByRange(files, order).sortWithinPartitions(order)
      .write.mode("overwrite").parquet(path))
     spark = raw.sparkSession
