@@ -12,15 +12,17 @@ nodes end, down to ``DEPTH``, it is in one of them in some tree but for a chance
 of 1e-9 (``missed``). A node of at most ``LEAF``
 classes is compared exhaustively by sketch. A larger one branches on, unless a
 sample of it shows one tight group, or the path is ``DEPTH`` long: it is then
-one candidate group as a whole.
+one candidate group as a whole. A node of at most ``HELD`` classes is followed
+down to all its leaves by the task that reads it; larger ones are dealt anew
+level by level.
 
 Candidates group into connected blocks, and links are confirmed there on full
 sets. Within a block a central set is compared with all; what it does not link
 is compared with all, so that no link between different parts is lost while
 most pairs of a large group need no comparison. Blocks of many sets are divided
 and go in rounds: some sets outside the block's largest group so far meet all
-sets of the block, the groups are formed anew, and four times as many are asked
-next, until every set is in the largest group or has met all others. A task
+sets of the block, the groups are formed anew, and ``MORE`` times as many are
+asked next, until every set is in the largest group or has met all others. A task
 takes one part of the members and one slice of the asked sets, both bounded,
 and links an asked set once to each group it is not yet connected with.
 Classes are then joined to their components.
@@ -43,11 +45,13 @@ from pyspark.sql import functions as F
 
 from groundtrack.llm.bytewords import mix64, word_hashes
 from groundtrack.llm.common import bounded_batches, saved
-from groundtrack.llm.components import components
+from groundtrack.llm.components import EDGES, components, star_forest
 from groundtrack.llm.membership import may_be_in
 
 WORDS, SIMILARITY = 5, 0.8
 COORDINATES, TREES, LEAF, DEPTH = 96, 14, 64, 10
+#: Classes of a node that one task follows down the rest of its tree: 2 MB of sketches.
+HELD = 20_000
 #: Coordinates a node branches on, on average: at the root, one level below (the
 #: first with large nodes only), and at all deeper levels. At least 1 / SIMILARITY
 #: each; where it is just that, a pair's chance falls with each level.
@@ -57,8 +61,8 @@ BRANCHES = (1 / SIMILARITY, 4, 2)
 AGREE = 51
 #: Sets, and shingles, of a part (and of a slice of asked sets) that one task confirms.
 PART_ROWS, PART_SHINGLES = 1000, 4_000_000
-#: Sets of a divided block that meet all others in the first round; four times as many in each further one.
-CENTRES = 16
+#: Sets of a divided block that meet all others in the first round; ``MORE`` times as many in each further one.
+CENTRES, MORE = 64, 8
 #: Steps between a node's coordinates: prime to their number, so none comes twice.
 _STEPS = np.array([i for i in range(1, COORDINATES) if math.gcd(i, COORDINATES) == 1], np.uint64)
 _A = mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -168,62 +172,96 @@ def _linked(s: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _visit(depth: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """One level over rows (of nodes at ``depth``) sorted by node: leaves give candidate edges, the
-    classes of larger nodes their child nodes (``nodes`` not null). Holds one node of
-    at most ``LEAF`` rows beside a batch; larger ones stream."""
-    def edges(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"class": pd.array([None] * len(a), dtype="Int64"), "rep": a, "other": b, "nodes": None})
+def _tight(s: np.ndarray, depth: int) -> bool:
+    """Whether a large node, by its first rows, is one candidate group."""
+    return depth == DEPTH or bool(((s[:LEAF, None, :] == s[None, :LEAF, :]).sum(2) >= AGREE).mean() > 0.5)
 
-    def leaf(rep: np.ndarray, s: np.ndarray, first: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
-        two = first[n == 2]
-        hit = two[(s[two] == s[two + 1]).sum(1) >= AGREE]
-        found = [(rep[hit + 1], rep[hit])]
-        for f, m in zip(first[n > 2], n[n > 2], strict=True):
-            label = _linked(s[f:f + m])
-            other = np.flatnonzero(label != np.arange(m))
-            found.append((rep[f + other], rep[f + label[other]]))
-        a, b = (np.concatenate(c) for c in zip(*found, strict=True))
-        if len(a):
-            yield edges(a, b)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry, open_node, centre, tight = None, None, None, False
+def _pairs(rep: np.ndarray, s: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate edges of nodes of two rows."""
+    hit = (s[one] == s[two]).sum(1) >= AGREE
+    return rep[two[hit]], rep[one[hit]]
+
+
+def _descend(node: np.uint64, rep: np.ndarray, s: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidate edges among the classes of one node at ``depth`` and of all nodes
+    below it: depth first, so it holds the rows of one path of nodes."""
+    if len(rep) <= LEAF:
+        label = _linked(s)
+        other = np.flatnonzero(label != np.arange(len(s)))
+        yield rep[other], rep[label[other]]
+        return
+    if _tight(s, depth):
+        yield rep, np.full(len(rep), rep[0])
+        return
+    at, child = _below(np.full(len(rep), node), s, depth)
+    order = np.argsort(child, kind="stable")
+    at, child = at[order], child[order]
+    first = np.flatnonzero(np.concatenate([[True], child[1:] != child[:-1]]))
+    n = np.diff(np.append(first, len(child)))
+    two = first[n == 2]
+    yield _pairs(rep, s, at[two], at[two + 1])
+    for f, m in zip(first[n > 2], n[n > 2], strict=True):
+        yield from _descend(child[f], rep[at[f:f + m]], s[at[f:f + m]], depth + 1)
+
+
+def _visit(depth: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Rows (of nodes at ``depth``) sorted by node: a node of at most ``HELD`` rows
+    is held and followed down to its leaves, which give candidate edges (of a task,
+    as star forests); the classes of larger nodes stream and give their child nodes
+    (``nodes`` not null)."""
+    def edges(held: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        a, b = star_forest(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        return pd.DataFrame({"class": pd.array([None] * len(a), dtype="Int64"), "rep": a, "other": b, "nodes": None})
 
-        def large(node, own, rep, s) -> pd.DataFrame:
-            if tight:
-                return edges(rep, np.full(len(rep), centre))
-            nodes = _by_row(*_below(node.view(np.uint64), s, depth), len(rep))
-            return pd.DataFrame({"class": pd.array(own, dtype="Int64"), "rep": rep, "other": pd.array([None] * len(rep), dtype="Int64"), "nodes": nodes})
+    def below(node: np.ndarray, own: np.ndarray, rep: np.ndarray, s: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"class": pd.array(own, dtype="Int64"), "rep": rep, "other": pd.array([None] * len(rep), dtype="Int64"),
+                             "nodes": _by_row(*_below(node, s, depth), len(rep))})
 
+    def visited(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | tuple[np.ndarray, np.ndarray]]:
+        held, open_node, centre, tight = None, None, None, False
         for pdf in _with_end(batches):
             if pdf is None:
-                if carry is not None and len(carry) > 1:
-                    yield from leaf(carry["rep"].to_numpy(), _bytes(carry), np.array([0]), np.array([len(carry)]))
-                return
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-                carry = None
-            if not len(pdf):
+                if held is None:
+                    return
+                rows = held
+            elif not len(pdf):
                 continue
-            node, own, rep, s = pdf["node"].to_numpy(), pdf["class"].to_numpy(), pdf["rep"].to_numpy(), _bytes(pdf)
+            else:
+                rows = pdf["node"].to_numpy().view(np.uint64), pdf["class"].to_numpy(), pdf["rep"].to_numpy(), _bytes(pdf)
+                rows = rows if held is None else tuple(np.concatenate(c) for c in zip(held, rows, strict=True))
+            node, _, rep, s = rows
             first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
             n = np.diff(np.append(first, len(node)))
-            small = np.ones(len(first), bool)
-            if open_node is not None and node[0] == open_node:        # the rest of a node already known to be large
-                small[0] = False
-                yield large(node[:n[0]], own[:n[0]], rep[:n[0]], s[:n[0]])
-            for i in np.flatnonzero((n > LEAF) & small):
-                at = slice(first[i], first[i] + n[i])
-                near = (s[at][:LEAF, None, :] == s[at][None, :LEAF, :]).sum(2) >= AGREE
-                open_node, centre, tight = node[first[i]], rep[first[i]], depth == DEPTH or bool(near.mean() > 0.5)
-                small[i] = False
-                yield large(node[at], own[at], rep[at], s[at])
-            if small[-1]:                                              # may go on in the next batch
-                carry, small[-1] = pdf.iloc[first[-1]:], False
-            some = small & (n > 1)
-            if some.any():
-                yield from leaf(rep, s, first[some], n[some])
+            held = None
+            if pdf is not None and n[-1] <= HELD and node[-1] != open_node:       # may go on in the next batch
+                held = tuple(c[first[-1]:] for c in rows)
+                first, n = first[:-1], n[:-1]
+            large = (n > HELD) | np.array([x == open_node for x in node[first]], bool)
+            two = first[(n == 2) & ~large]
+            yield _pairs(rep, s, two, two + 1)
+            some = (n > 2) & ~large
+            for f, m in zip(first[some], n[some], strict=True):
+                yield from _descend(node[f], rep[f:f + m], s[f:f + m], depth)
+            for f, m in zip(first[large], n[large], strict=True):
+                part = tuple(c[f:f + m] for c in rows)
+                if node[f] != open_node:                               # the rest of it may be in later batches
+                    open_node, centre, tight = node[f], rep[f], _tight(part[3], depth)
+                yield (part[2], np.full(m, centre)) if tight else below(*part)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
+        for x in visited(batches):
+            if isinstance(x, pd.DataFrame):
+                yield x
+                continue
+            held.append(x)
+            n += len(x[0])
+            if n > EDGES:
+                yield edges(held)
+                held, n = [], 0
+        if n:
+            yield edges(held)
 
     return run
 
@@ -256,7 +294,7 @@ def candidates(reps: DataFrame) -> DataFrame:
         below = level.filter("nodes is not null").select("class", "nodes")
         if below.isEmpty():
             break
-    return found.distinct()
+    return found
 
 
 # -- confirming on full sets -------------------------------------------------
@@ -406,7 +444,7 @@ def confirmed(docs: DataFrame, reps: DataFrame, edges: DataFrame, words: int) ->
         asked = met if asked is None else asked.unionByName(met)
         group = saved(ids.join(components(found).withColumnRenamed("component", "grp"), "v", "left")
                       .select("v", F.coalesce("grp", "v").alias("grp")), f"groups-{n}")
-        n *= 4
+        n *= MORE
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:

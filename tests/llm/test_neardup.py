@@ -7,6 +7,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from groundtrack.llm import neardup, queries
@@ -168,6 +169,46 @@ def test_pairs_meet_at_every_depth():
     assert met >= 0.95 * n                       # two of the trees; with 1.25 branches a level, about six in ten
 
 
+@pytest.mark.parametrize("held", [20_000, 100])
+def test_a_node_is_followed_down_by_its_task(monkeypatch, held):
+    """Classes that share many tokens, too few for a link, give no rows for each
+    level: only a forest of candidates, whatever a task holds and reads at once."""
+    monkeypatch.setattr(neardup, "HELD", held, raising=False)
+    rng = np.random.default_rng(1)
+    base, s = rng.integers(0, 256, neardup.COORDINATES, dtype=np.uint8), rng.integers(0, 256, (600, neardup.COORDINATES), dtype=np.uint8)
+    same = rng.random(s.shape) < 0.45
+    s[same] = np.broadcast_to(base, s.shape)[same]
+    s[500:] = s[400:500]                                                # equal sketches
+    rows = pd.DataFrame({"node": 7, "class": range(600), "rep": range(600), "sketch": [x.tobytes() for x in s]})
+    edges, level = [], 1
+    while len(rows):
+        out = pd.concat(neardup._visit(level)(rows[i:i + 250] for i in range(0, len(rows), 250)))
+        edges.append(out[out["nodes"].isna()])
+        below = out[out["nodes"].notna()].explode("nodes")
+        assert held < 600 or not len(below)
+        rows = pd.DataFrame({"node": below["nodes"].astype("int64"), "class": below["class"].astype("int64"), "rep": below["rep"].astype("int64")})
+        rows = rows.assign(sketch=[s[c].tobytes() for c in rows["class"]]).sort_values(["node", "rep"])
+        level += 1
+    edges = pd.concat(edges)
+    found = groups(range(600), zip(edges["rep"].astype(int), edges["other"].astype(int), strict=True))
+    near = [(int(a), int(b)) for a, b in zip(*np.nonzero((s[:, None] == s[None]).sum(2) >= neardup.AGREE), strict=True)]
+    want = groups(range(600), near)
+    assert all(found[i] == found[i - 100] for i in range(500, 600)) and (held < 600 or len(edges) < 600)
+    assert all(want[i] == want[found[i]] for i in range(600)) or level > neardup.DEPTH
+
+
+def test_components_of_several_parts(spark, monkeypatch):
+    """Edges beyond one task's bound go on by stars."""
+    from groundtrack.llm import components as module
+    rng = random.Random(2)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(1000 + i, 1001 + i) for i in range(100)]
+    want = groups({x for e in edges if e[0] != e[1] for x in e}, edges)
+    df = spark.createDataFrame(edges, "u long, v long").repartition(7)
+    for bound in (module.EDGES, 60):
+        monkeypatch.setattr(module, "EDGES", bound)
+        assert dict(components(df).collect()) == want
+
+
 def test_components_of_a_path_and_loops(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 100), (200, 150), (150, 170), (None, 3)]
     got = dict(components(spark.createDataFrame(edges, "u long, v long")).collect())
