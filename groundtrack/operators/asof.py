@@ -306,16 +306,20 @@ def satellites_in_view(requests: DataFrame, fixes: DataFrame, required: int,
 
 def overlap_answers(requests: DataFrame, fixes: DataFrame, lookback_s: int | None = None,
                     radius_km: float = COVERAGE_RADIUS_KM, required_satellites: int | None = None,
-                    key: str = "request_id", seen: DataFrame | None = None) -> DataFrame:
+                    key: str = "request_id", seen: DataFrame | None = None,
+                    total: str | None = None) -> DataFrame:
     """An overlap request is answered with the coverage overlap of the
     objects in its as-of cache, pairing fixes of equal timestamp (as the
     original does); with ``required_satellites`` only a cache holding
     exactly that many objects is answered.
 
-    The cache depends only on the request time, so pairs are built once per
-    distinct request time - the join key is (time, fix time), a group never
-    exceeds the object count - and then joined to the requests. ``seen``: stored
-    as-of rows, as in ``closest_satellite``.
+    The cache depends only on the request time and is looked up once for each.
+    Requests take their objects before the pairs are built - the join key is
+    (time, request, fix time), a group never exceeds the object count - since an
+    answer has far more pairs than objects, and a join of pairs with requests
+    would shuffle and sort them all. ``seen``: stored as-of rows, as in
+    ``closest_satellite``. ``total`` names a column to add: how many pairs the
+    answers under the row's ``key`` have together, counted from the objects.
     """
     rq = requests.select(key, F.col("timestamp").alias("request_ts"))
     a = (asof_by_time(requests, fixes, POSITION_COLS, lookback_s) if seen is None
@@ -323,6 +327,23 @@ def overlap_answers(requests: DataFrame, fixes: DataFrame, lookback_s: int | Non
     if required_satellites is not None:
         n = a.groupBy("request_ts").agg(F.count_distinct("sat_id").alias("_n"))
         a = a.join(n.where(F.col("_n") == required_satellites).select("request_ts"), "request_ts", "left_semi")
-    pairs = overlap.pairs(a, ["request_ts", "fix_ts"], radius_km, time_col="fix_ts",
-                          keep=("request_ts",), hint=None)
-    return rq.join(pairs, "request_ts").drop("request_ts")
+    if total is not None:
+        rq = rq.join(_pairs_of_key(rq, a, key, total), key, "left")
+    # requests alike in id and time are answered each: numbered, and a null id is an id
+    asked = (rq.groupBy(*rq.columns).count().withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("count"))))
+             .select("request_ts", F.struct(*[c for c in rq.columns if c != "request_ts"], "_i").alias("_q")))
+    pairs = overlap.pairs(asked.join(a, "request_ts"), ["request_ts", "_q", "fix_ts"], radius_km, time_col="fix_ts",
+                          keep=("_q",), hint=None)
+    return pairs.select(F.col(f"_q.{key}").alias(key), *[c for c in pairs.columns if c != "_q"],
+                        *([F.col(f"_q.{total}").alias(total)] if total is not None else []))
+
+
+def _pairs_of_key(rq: DataFrame, a: DataFrame, key: str, total: str) -> DataFrame:
+    """(key, total): the number of pairs in the answers of all requests of a
+    key. Of objects at one fix time all but those with the same id pair up."""
+    alike = (a.where(F.col("sat_id").isNotNull()).groupBy("request_ts", "fix_ts", "sat_id")
+             .agg(F.count(F.lit(1)).alias("_c")))
+    n = F.expr("(sum(_c) * sum(_c) - sum(_c * _c)) div 2")
+    per_time = (alike.groupBy("request_ts", "fix_ts").agg(n.alias("_n"))
+                .groupBy("request_ts").agg(F.sum("_n").alias("_n")))
+    return rq.join(per_time, "request_ts").groupBy(key).agg(F.sum("_n").alias(total))

@@ -13,6 +13,9 @@ always knows whether it has the whole answer (``whole_answers``).
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -60,19 +63,31 @@ def closest_response(closest: DataFrame) -> DataFrame:
                                   F.to_json(body).alias("value")))
 
 
-def overlap_response(pairs: DataFrame, max_items: int = MAX_ITEMS, key: str = "timestamp") -> DataFrame:
+def overlap_response(pairs: DataFrame, max_items: int = MAX_ITEMS, key: str = "timestamp",
+                     total: str | None = None) -> DataFrame:
     """Pairs as JSON list messages per ``key`` (an instant, or a request id
-    when answering requests); items are sorted inside a message."""
+    when answering requests); items are sorted inside a message. ``total``
+    names a column with the number of a key's pairs, where a caller knows it
+    before they are built (``asof.overlap_answers``)."""
     item = F.struct(*[F.col(f.name) for f in OVERLAP_ITEM.fields])
-    return _lists(pairs, key, RESPONSE_TOPIC, item, max_items, "sat_id1", "sat_id2")
+    return _lists(pairs, key, RESPONSE_TOPIC, item, max_items, "sat_id1", "sat_id2", total=total)
 
 
-def _lists(df: DataFrame, key: str, topic: str, item, max_items: int, *hash_cols: str) -> DataFrame:
+def _lists(df: DataFrame, key: str, topic: str, item, max_items: int, *hash_cols: str,
+           total: str | None = None) -> DataFrame:
     """List messages of about ``max_items`` items: a key's rows are dealt by a
-    hash over as many messages as its count asks for, then numbered."""
-    n = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_items)).cast("bigint").alias("_n"))
-    g = (df.join(n, key).withColumn("_p", F.pmod(F.xxhash64(*hash_cols), F.col("_n")))
-         .groupBy(key, "_p").agg(F.array_sort(F.collect_list(item)).alias("_l")))
+    hash over as many messages as its count asks for, then numbered. Without
+    ``total`` the rows are counted, and sorted to meet their count; with it
+    they are shuffled once. Rows without a key are in no message."""
+    if total is None:
+        df, total = df.join(df.groupBy(key).agg(F.count(F.lit(1)).alias("_t")), key), "_t"
+    else:
+        df = df.where(F.col(key).isNotNull())
+    n = F.ceil(F.col(total) / F.lit(max_items)).cast("bigint")
+    dealt = df.select(key, F.pmod(F.xxhash64(*hash_cols), n).alias("_p"), item.alias("_i"))
+    if total != "_t":                                    # both the lists and their numbers are per key
+        dealt = dealt.repartition(key)
+    g = dealt.groupBy(key, "_p").agg(F.sort_array(F.collect_list("_i")).alias("_l"))
     of_key = Window.partitionBy(key)                     # one row a message
     return (g.withColumns({"part": (F.row_number().over(of_key.orderBy("_p")) - 1).cast("bigint"),
                            "n_parts": F.count(F.lit(1)).over(of_key)})
@@ -113,11 +128,11 @@ def decode_responses(msgs: DataFrame, item_schema=CLOSEST_RESPONSE) -> DataFrame
     that holds no item stays as one row with a ``reject_reason``: ``empty``
     for ``[]``, ``unparseable`` for anything else, null values included."""
     keep = [c for c in msgs.columns if c != "value"]
-    d = msgs.select(*keep, F.trim(F.col("value").cast("string")).alias("_v"),
+    d = msgs.select(*keep, F.col("value").cast("string").alias("_v"),
                     F.from_json(F.col("value").cast("string"), ArrayType(item_schema)).alias("_a"))
     d = d.select(*keep, "_v", F.explode_outer("_a").alias("_r"))
     fields = [F.col(f"_r.{f.name}").alias(f.name) for f in item_schema.fields]
-    nothing = F.coalesce(*[F.col(f"_r.{f.name}").cast("string") for f in item_schema.fields]).isNull()
+    nothing = reduce(and_, [F.col(f"_r.{f.name}").isNull() for f in item_schema.fields])
     reason = F.when(nothing, F.when(F.regexp_replace("_v", r"\s", "") == "[]", F.lit("empty")).otherwise(F.lit("unparseable")))
     return d.select(*keep, *fields, reason.alias("reject_reason"))
 

@@ -120,8 +120,8 @@ def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
                 ok.where(F.col("action") == "closest"), fixes, lookback_s, cell_deg=cell_deg, seen=seen)))
         if info["overlap"]:
             pairs = asof.overlap_answers(ok.where(F.col("action") == "overlap"), fixes, lookback_s,
-                                         required_satellites=required_satellites, seen=seen)
-            parts.append(codecs.overlap_response(pairs, key="request_id"))
+                                         required_satellites=required_satellites, seen=seen, total="n_pairs")
+            parts.append(codecs.overlap_response(pairs, key="request_id", total="n_pairs"))
         if info["motion_vector"]:
             if lookback_s is None:
                 vectors = rollup.vectors(spark, history, lo, hi, motion_lookback_s)
@@ -136,7 +136,7 @@ def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
         for m in parts[1:]:
             msgs = msgs.unionByName(m.select(MESSAGE))
         (msgs.withColumn("batch_id", F.lit(int(batch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("parquet.block.size", MESSAGE_BLOCK)
          .partitionBy("batch_id").parquet(out))
         return read_messages(spark, out).where(F.col("batch_id") == int(batch_id))
     finally:
@@ -152,6 +152,9 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Compressed bytes of a row group of messages: a reader takes up to 4,096 rows of
+#: a group at once, and of long messages that would be tens of MB in every task.
+MESSAGE_BLOCK = 512 << 10
 MESSAGE = ["topic", "key", "part", "n_parts", "value"]
 
 
