@@ -33,11 +33,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/groundtrack-llm/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back, which cuts
-    its lineage: a lost executor costs no more than the tasks it ran."""
+    its lineage: a lost executor costs no more than the tasks it ran. A task
+    writes, and later reads, row groups of about ``group_bytes``."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**({"parquet.block.size": group_bytes} if group_bytes else {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -27,9 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundtrack.llm.common import bounded_batches, saved
+from groundtrack.llm.common import bounded_batches, saved, slices
 
 LENGTH, END_ID, PAD_ID = 1024, 0, 0
+#: Ids of about so many documents' bytes leave a Python worker at a time, and lie
+#: in a row group of the written tokens: tasks of one executor hold few of them.
+PART_BYTES, GROUP_BYTES = 1 << 20, 8 << 20
 _encoders: dict[str, object] = {}
 
 
@@ -95,15 +98,17 @@ def tokenized(df: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, part, at = encoder(path), TaskContext.get().partitionId(), 0
         for pdf in batches:
-            ids = [np.array(encode(t), "<u4").tobytes() + end for t in pdf["t"].fillna("")]
-            n = np.array([len(x) // 4 for x in ids], np.int64)
-            yield pd.DataFrame({"k": pdf["k"], "part": part, "at": at + np.cumsum(n) - n, "n": n, "ids": ids})
-            at += int(n.sum())
+            texts = pdf["t"].fillna("")
+            for a, z in slices(map(len, texts), PART_BYTES):
+                ids = [np.array(encode(t), "<u4").tobytes() + end for t in texts.iloc[a:z]]
+                n = np.array([len(x) // 4 for x in ids], np.int64)
+                yield pd.DataFrame({"k": pdf["k"].to_numpy()[a:z], "part": part, "at": at + np.cumsum(n) - n, "n": n, "ids": ids})
+                at += int(n.sum())
 
     # as text: pandas would round large ids beside a null one
     return saved(df.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"))
                  .mapInPandas(run, "k string, part int, at bigint, n bigint, ids binary")
-                 .withColumn("k", F.col("k").cast(kind)), "tokens")
+                 .withColumn("k", F.col("k").cast(kind)), "tokens", GROUP_BYTES)
 
 
 def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
@@ -119,22 +124,22 @@ def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", leng
     kind = docs.schema["k"].dataType.simpleString()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            begin = pdf["at"].to_numpy() + pdf["part"].map(shared.value).to_numpy()
-            n = pdf["n"].to_numpy()
-            first = begin // length
-            count = (begin + n - 1) // length - first + 1
-            doc = np.repeat(np.arange(len(pdf)), count)
-            window = first[doc] + np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
-            lo = np.maximum(window * length, begin[doc])
-            hi = np.minimum((window + 1) * length, (begin + n)[doc])
-            ids, start = pdf["ids"].to_numpy(), lo - begin[doc]
-            yield pd.DataFrame({
-                "k": pdf["k"].to_numpy()[doc], "start": start, "length": hi - lo, "doc_tokens": n[doc], "sequence_id": window,
-                "offset": lo - window * length,
-                "ids": [bytes(ids[d][4 * a:4 * (a + m)]) for d, a, m in zip(doc, start, hi - lo, strict=True)]})
+        for whole in batches:
+            for a, z in slices(4 * whole["n"], PART_BYTES):
+                pdf = whole.iloc[a:z]
+                begin = pdf["at"].to_numpy() + pdf["part"].map(shared.value).to_numpy()
+                n = pdf["n"].to_numpy()
+                first = begin // length
+                count = (begin + n - 1) // length - first + 1
+                doc = np.repeat(np.arange(len(pdf)), count)
+                window = first[doc] + np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+                lo = np.maximum(window * length, begin[doc])
+                hi = np.minimum((window + 1) * length, (begin + n)[doc])
+                ids, start = pdf["ids"].to_numpy(), lo - begin[doc]
+                yield pd.DataFrame({
+                    "k": pdf["k"].to_numpy()[doc], "start": start, "length": hi - lo, "doc_tokens": n[doc], "sequence_id": window,
+                    "offset": lo - window * length,
+                    "ids": [bytes(ids[d][4 * at:4 * (at + m)]) for d, at, m in zip(doc, start, hi - lo, strict=True)]})
 
     return (docs.withColumn("k", F.col("k").cast("string"))
             .mapInPandas(cut, "k string, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary")

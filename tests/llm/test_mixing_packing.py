@@ -5,7 +5,9 @@ import zlib
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from groundtrack.llm import mixing, packing, queries
 
@@ -122,6 +124,13 @@ def test_sequences_are_padded(spark):
     assert out.n_tokens.tolist().count(1024) == len(out) - 1 and out.ids.map(len).eq(1024).all()
 
 
+def test_ids_leave_a_worker_in_small_parts(spark):
+    docs = spark.range(0, 400, 1, 1).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(1, 5000), x -> cast(hash(id, x) as string))) as text")
+    tokens = packing.tokenized(docs, queries.tokenizer_path())
+    groups = [pq.ParquetFile(f.removeprefix("file://")).num_row_groups for f in tokens.inputFiles()]
+    assert max(groups) > 1 and tokens.agg(F.count("*"), F.max(F.col("at") + F.col("n")) == F.sum("n")).first() == (400, True)
+
+
 def test_large_ids_stay_exact_beside_a_null_id(spark):
     ids = [2**62 + 1, 2**62 + 3, None, -(2**60) - 7]
     docs = spark.createDataFrame([(i, f"some words {n}") for n, i in enumerate(ids)], "doc_id long, text string").coalesce(1)
