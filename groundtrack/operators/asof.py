@@ -246,9 +246,9 @@ def _candidates(rest: DataFrame, objects: DataFrame, width: float) -> DataFrame:
     """Requests beside the objects of their own cell and its neighbours, by an
     equi-join on (time, cell); with cells as wide as the sphere, beside all."""
     if width >= 2:
-        return rest.join(objects, "request_ts")
+        return rest.join(objects.hint("merge"), "request_ts")
     near = sphere.copied_to_block(rest, "r_", width)
-    return near.join(objects.withColumns(sphere.cells("o_", width)), ["request_ts", "c_x", "c_y", "c_z"])
+    return near.join(objects.withColumns(sphere.cells("o_", width)).hint("merge"), ["request_ts", "c_x", "c_y", "c_z"])
 
 
 def _closest_by_cells(rq: DataFrame, a: DataFrame, key: str, width: float) -> DataFrame:
@@ -262,6 +262,10 @@ def _closest_by_cells(rq: DataFrame, a: DataFrame, key: str, width: float) -> Da
     certified so go on, to cells ``WIDER`` times as wide, up to one that holds
     the whole sphere. What a round settles and what it leaves is written to the
     shared folder, so that each plan holds one round whatever their number.
+
+    All joins are sort-merge joins: both sides grow with the requests, and by
+    their estimated sizes (of compressed files, copies to cells not counted) Spark
+    would broadcast them.
     """
     rest = rq.select("*", *sphere.unit_vector("obs_latitude", "obs_longitude", "r_"))
     if width < 2:
@@ -273,11 +277,11 @@ def _closest_by_cells(rq: DataFrame, a: DataFrame, key: str, width: float) -> Da
         found = _nearest(_with_distance(_candidates(rest, objects, width)), key)
         if width >= 2:
             return found if best is None else best.unionByName(found)
-        sure = (found.join(rest.select(key, sphere.clearance("r_", width).alias("_g")), key)
+        sure = (found.join(rest.select(key, sphere.clearance("r_", width).alias("_g")).hint("merge"), key)
                 .where(sphere.chord_of(F.col("m._d") / F.lit(EARTH_RADIUS_KM)) < F.col("_g") * (1 - 1e-9) - 1e-9)
                 .select("request_ts", key, "m")).checkpoint()
         best = sure if best is None else best.unionByName(sure)
-        rest = rest.join(sure.select(key), key, "left_anti").checkpoint()
+        rest = rest.join(sure.select(key).hint("merge"), key, "left_anti").checkpoint()
         width *= WIDER
 
 

@@ -3,7 +3,8 @@
 import pytest
 
 import __spark_entry__ as E
-from groundtrack.operators import overlap, tracks
+from groundtrack.operators import asof, overlap, tracks
+from groundtrack.params import EARTH_RADIUS_KM
 from groundtrack.plans.streams import STREAM_QUERIES
 from groundtrack.sources import fixtures as fx
 from groundtrack.streaming import sinks
@@ -79,3 +80,30 @@ def test_rounds_of_closest_search_do_not_nest(spark):
     """Each round of the expanding cells reads what the one before wrote."""
     p = E.queries()["closest_many"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("Join") <= 3 and "Union" in p
+
+
+def test_closest_search_broadcasts_no_requests(spark, scratch, monkeypatch):
+    """Requests, their copies to cells and objects grow together: small tables
+    too are joined without sending a side of them to the driver."""
+    from math import asin, cos, radians, sin, sqrt
+
+    seen = [(t, str(k), f"Sat {k}", (k * 37 + t * 11) % 160 - 80.0, (k * 61 + t * 7) % 360 - 180.0, t, k) for t in (100, 118) for k in range(60)]
+    asked = [(i, (i * 53) % 180 - 90.0, (i * 97) % 360 - 180.0, 100 + 18 * (i % 2)) for i in range(150)]
+    spark.createDataFrame(seen, "request_ts bigint, sat_id string, satname string, latitude double, longitude double, fix_ts bigint, fix_seq bigint"
+                          ).write.parquet(f"{scratch}/seen")
+    spark.createDataFrame(asked, "request_id bigint, obs_latitude double, obs_longitude double, timestamp bigint").write.parquet(f"{scratch}/asked")
+    rows, reqs = spark.read.parquet(f"{scratch}/seen"), spark.read.parquet(f"{scratch}/asked")       # of a known, small size
+    plans, kind = [], type(rows)
+    written = kind.checkpoint
+    monkeypatch.setattr(kind, "checkpoint", lambda df, *a, **k: plans.append(plan(df)) or written(df, *a, **k))
+    found = asof.closest_satellite(reqs, rows.withColumnRenamed("request_ts", "timestamp"), seen=rows, digits=6)
+    plans.append(plan(found))
+    assert len(plans) >= 4 and sum("SortMergeJoin" in p for p in plans) >= 3
+    assert not any("Broadcast" in p for p in plans)
+
+    def km(a, b, c, d):
+        h = sin(radians(c - a) / 2) ** 2 + cos(radians(a)) * cos(radians(c)) * sin(radians(d - b) / 2) ** 2
+        return 2 * EARTH_RADIUS_KM * asin(min(1.0, sqrt(h)))
+
+    best = {r.request_id: r.distance_km for r in found.collect()}
+    assert best == {i: pytest.approx(min(km(la, lo, s[3], s[4]) for s in seen if s[0] == t), abs=1e-5) for i, la, lo, t in asked}
