@@ -33,6 +33,7 @@ from groundtrack.functions import sphere
 from groundtrack.functions.geo import haversine_km
 from groundtrack.functions.ordering import order_key
 from groundtrack.operators import overlap
+from groundtrack.operators.codecs import LAID
 from groundtrack.params import ASOF_BUCKET_S, COVERAGE_RADIUS_KM, EARTH_RADIUS_KM
 from groundtrack.session import ensure_checkpoint_dir
 
@@ -308,6 +309,10 @@ def satellites_in_view(requests: DataFrame, fixes: DataFrame, required: int,
         key, "n_satellites", (F.col("n_satellites") == F.lit(required)).alias("complete"))
 
 
+#: Pairs that a task builds and sorts into messages, about (some 250 bytes each).
+PAIRS_A_TASK = 500_000
+
+
 def overlap_answers(requests: DataFrame, fixes: DataFrame, lookback_s: int | None = None,
                     radius_km: float = COVERAGE_RADIUS_KM, required_satellites: int | None = None,
                     key: str = "request_id", seen: DataFrame | None = None,
@@ -323,7 +328,11 @@ def overlap_answers(requests: DataFrame, fixes: DataFrame, lookback_s: int | Non
     answer has far more pairs than objects, and a join of pairs with requests
     would shuffle and sort them all. ``seen``: stored as-of rows, as in
     ``closest_satellite``. ``total`` names a column to add: how many pairs the
-    answers under the row's ``key`` have together, counted from the objects.
+    answers under the row's ``key`` have together, counted from the objects. With
+    it the objects are dealt by request first, over as many tasks as the pairs
+    ask for, and the pairs stay where they are built: all pairs of a ``key`` are
+    in one partition, by the column ``codecs.LAID`` (``codecs.overlap_response``
+    then shuffles nothing).
     """
     rq = requests.select(key, F.col("timestamp").alias("request_ts"))
     a = (asof_by_time(requests, fixes, POSITION_COLS, lookback_s) if seen is None
@@ -331,15 +340,25 @@ def overlap_answers(requests: DataFrame, fixes: DataFrame, lookback_s: int | Non
     if required_satellites is not None:
         n = a.groupBy("request_ts").agg(F.count_distinct("sat_id").alias("_n"))
         a = a.join(n.where(F.col("_n") == required_satellites).select("request_ts"), "request_ts", "left_semi")
+    laid = []
     if total is not None:
-        rq = rq.join(_pairs_of_key(rq, a, key, total), key, "left")
+        ensure_checkpoint_dir(requests.sparkSession)
+        counts = _pairs_of_key(rq, a, key, total).checkpoint()
+        n_pairs = counts.agg(F.sum(total)).first()[0] or 0
+        rq = rq.join(counts, key, "left")
+        # rows without a key are in no message, and need not meet
+        laid = [F.xxhash64(key, F.when(F.col(key).isNull(), F.col("request_ts"))).alias(LAID)]
     # requests alike in id and time are answered each: numbered, and a null id is an id
     asked = (rq.groupBy(*rq.columns).count().withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("count"))))
-             .select("request_ts", F.struct(*[c for c in rq.columns if c != "request_ts"], "_i").alias("_q")))
-    pairs = overlap.pairs(asked.join(a, "request_ts"), ["request_ts", "_q", "fix_ts"], radius_km, time_col="fix_ts",
-                          keep=("_q",), hint=None)
-    return pairs.select(F.col(f"_q.{key}").alias(key), *[c for c in pairs.columns if c != "_q"],
-                        *([F.col(f"_q.{total}").alias(total)] if total is not None else []))
+             .select("request_ts", F.struct(*[c for c in rq.columns if c != "request_ts"], "_i").alias("_q"), *laid))
+    if total is None:
+        pairs = overlap.pairs(asked.join(a, "request_ts"), ["request_ts", "_q", "fix_ts"], radius_km, time_col="fix_ts",
+                              keep=("_q",), hint=None)
+        return pairs.select(F.col(f"_q.{key}").alias(key), *[c for c in pairs.columns if c != "_q"])
+    tasks = max(requests.sparkSession.sparkContext.defaultParallelism, math.ceil(n_pairs / PAIRS_A_TASK))
+    points = asked.join(a.hint("merge"), "request_ts").repartition(tasks, LAID)
+    pairs = overlap.pairs(points, [LAID, "request_ts", "_q", "fix_ts"], radius_km, time_col="fix_ts", keep=("_q", LAID), gather=True)
+    return pairs.select(F.col(f"_q.{key}").alias(key), *[c for c in pairs.columns if c != "_q"], F.col(f"_q.{total}").alias(total))
 
 
 def _pairs_of_key(rq: DataFrame, a: DataFrame, key: str, total: str) -> DataFrame:

@@ -24,6 +24,7 @@ from groundtrack.params import MOTION_TOPIC, REQUEST_TOPIC, RESPONSE_TOPIC, TOPI
 from groundtrack.schemas import CLOSEST_RESPONSE, OVERLAP_ITEM, POSITION_FIELDS
 
 MAX_ITEMS = 50       # items of a list message, about: some 9 KB of pairs
+LAID = "_laid"       # a column by which rows are partitioned already, those of one key alike
 
 
 def encode_positions(fixes: DataFrame, offset: str | None = None) -> DataFrame:
@@ -78,17 +79,19 @@ def _lists(df: DataFrame, key: str, topic: str, item, max_items: int, *hash_cols
     """List messages of about ``max_items`` items: a key's rows are dealt by a
     hash over as many messages as its count asks for, then numbered. Without
     ``total`` the rows are counted, and sorted to meet their count; with it
-    they are shuffled once. Rows without a key are in no message."""
+    they are shuffled once, or not at all where they are ``LAID`` out by key.
+    Rows without a key are in no message."""
     if total is None:
         df, total = df.join(df.groupBy(key).agg(F.count(F.lit(1)).alias("_t")), key), "_t"
     else:
         df = df.where(F.col(key).isNotNull())
+    laid = [c for c in (LAID,) if c in df.columns]
     n = F.ceil(F.col(total) / F.lit(max_items)).cast("bigint")
-    dealt = df.select(key, F.pmod(F.xxhash64(*hash_cols), n).alias("_p"), item.alias("_i"))
-    if total != "_t":                                    # both the lists and their numbers are per key
+    dealt = df.select(*laid, key, F.pmod(F.xxhash64(*hash_cols), n).alias("_p"), item.alias("_i"))
+    if total != "_t" and not laid:                       # both the lists and their numbers are per key
         dealt = dealt.repartition(key)
-    g = dealt.groupBy(key, "_p").agg(F.sort_array(F.collect_list("_i")).alias("_l"))
-    of_key = Window.partitionBy(key)                     # one row a message
+    g = dealt.groupBy(*laid, key, "_p").agg(F.sort_array(F.collect_list("_i")).alias("_l"))
+    of_key = Window.partitionBy(*laid, key)              # one row a message
     return (g.withColumns({"part": (F.row_number().over(of_key.orderBy("_p")) - 1).cast("bigint"),
                            "n_parts": F.count(F.lit(1)).over(of_key)})
             .select(F.lit(topic).alias("topic"), F.col(key).cast("string").alias("key"),

@@ -56,10 +56,25 @@ def in_cells(a: DataFrame, b: DataFrame, reach: float, width: float) -> tuple[Da
     return a, b.withColumns({f"d_{x}": sphere.cell(f"q_{x}", width) for x in sphere.AXES})
 
 
+def gathered(points: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Each pair of a key, once, as the join of ``pairs`` gives it: the points of
+    a key are gathered into a list, in the order of ``sat_id``, and each meets
+    those after it. Without a join, pairs stay in the partition of their points
+    where these are partitioned by some of the keys; a list has all points of a key."""
+    point = F.struct("sat_id", *[c for c in cols if c != "sat_id"], *geo_parts("latitude", "longitude", ""))
+    known = reduce(and_, [F.col(c).isNotNull() for c in (*keys, "sat_id")])
+    lists = points.where(known).groupBy(*keys).agg(F.sort_array(F.collect_list(point)).alias("_l"))
+    one = lists.select(*keys, "_l", F.posexplode("_l").alias("_n", "_a"))
+    both = (one.select(*keys, "_a", F.explode(F.slice("_l", F.col("_n") + 2, F.size("_l"))).alias("_b"))
+            .where(F.col("_a.sat_id") < F.col("_b.sat_id")))
+    return both.select(*[F.col(k).alias(f"{k}_a") for k in keys], *[F.col(f"_{x}.{c}").alias(f"{c}_{x}") for x in "ab" for c in cols],
+                       *[F.col(f"_{x}.{c}").alias(f"{x}_{c}") for x in "ab" for c in ("phi", "cos", "lam")])
+
+
 def pairs(points: DataFrame, keys: list[str], radius_km: float = COVERAGE_RADIUS_KM,
           earth_radius_km: float = EARTH_RADIUS_KM, digits: int | None = 2,
           time_col: str = "timestamp", keep: tuple[str, ...] = (), hint: str | None = "merge",
-          only_overlapping: bool = False, objects: int | None = None) -> DataFrame:
+          only_overlapping: bool = False, objects: int | None = None, gather: bool = False) -> DataFrame:
     """Unordered pairs of ``points`` (sat_id, satname, latitude, longitude)
     that agree on ``keys``, with distance, overlap flag and depth.
 
@@ -73,9 +88,12 @@ def pairs(points: DataFrame, keys: list[str], radius_km: float = COVERAGE_RADIUS
     (``sphere.copied_within``). With few, it is a latitude band 2r/R wide, which
     needs fewer copies. The angle between the two is part of the join condition,
     so what leaves the join is the answer but for rounding; results do not depend
-    on the kind of place.
+    on the kind of place. ``gather`` pairs the points of a key in a list (see
+    ``gathered``) and not by a join; it makes all pairs, overlapping or not.
     """
     cols = list(dict.fromkeys([*keys, time_col, *keep, *POINT]))
+    if gather and only_overlapping:
+        raise ValueError("gather makes all pairs")
     a = points.select(*[F.col(c).alias(f"{c}_a") for c in cols], *geo_parts("latitude", "longitude", "a_"))
     b = points.select(*[F.col(c).alias(f"{c}_b") for c in cols], *geo_parts("latitude", "longitude", "b_"))
     cond = [F.col(f"{k}_a") == F.col(f"{k}_b") for k in keys] + [F.col("sat_id_a") < F.col("sat_id_b")]
@@ -99,7 +117,10 @@ def pairs(points: DataFrame, keys: list[str], radius_km: float = COVERAGE_RADIUS
             cond += [a["_band"] == b["_band"], F.abs(F.col("latitude_a") - F.col("latitude_b")) < F.lit(band_deg)]
         dot = sum((F.col(f"p_{x}") * F.col(f"q_{x}") for x in sphere.AXES), F.lit(0.0))
         cond.append(dot > F.lit(math.cos(angle) - 1e-9))
-    joined = a.join(b.hint(hint) if hint else b, reduce(and_, cond))
+    if gather:
+        joined = gathered(points, keys, [c for c in cols if c not in keys])
+    else:
+        joined = a.join(b.hint(hint) if hint else b, reduce(and_, cond))
     p = joined.withColumn("_d", haversine_from_parts("a_", "b_", earth_radius_km))
     if only_overlapping:
         p = p.where(F.col("_d") < F.lit(reach))

@@ -137,7 +137,7 @@ def answer_requests(batch: DataFrame, batch_id: int, history: str, out: str,
             msgs = msgs.unionByName(m.select(MESSAGE))
         (msgs.withColumn("batch_id", F.lit(int(batch_id)))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("parquet.block.size", MESSAGE_BLOCK)
-         .partitionBy("batch_id").parquet(out))
+         .option("compression", "zstd").partitionBy("batch_id").parquet(out))
         return read_messages(spark, out).where(F.col("batch_id") == int(batch_id))
     finally:
         reqs.unpersist()
@@ -154,7 +154,7 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
 
 #: Compressed bytes of a row group of messages: a reader takes up to 4,096 rows of
 #: a group at once, and of long messages that would be tens of MB in every task.
-MESSAGE_BLOCK = 512 << 10
+MESSAGE_BLOCK = 256 << 10
 MESSAGE = ["topic", "key", "part", "n_parts", "value"]
 
 

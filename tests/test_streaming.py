@@ -442,3 +442,36 @@ def test_overlap_answers_take_each_request_on_its_own(spark, scratch):
     assert "Join" not in msgs._jdf.queryExecution().executedPlan().toString()
     want = codecs.overlap_response(made, 4, "request_id")
     assert msgs.exceptAll(want).isEmpty() and want.exceptAll(msgs).isEmpty() and want.count() > 3
+
+
+def test_overlap_messages_shuffle_no_pairs(spark, scratch, monkeypatch):
+    """Objects are dealt by request before they pair up; the pairs stay where
+    they are built until they are messages."""
+    import re
+
+    from groundtrack.operators import asof
+    fixes = spark.createDataFrame([(f"{k}" if k else None, f"Sat {k}", float(k % 80), float(7 * k % 360 - 180), 0.0, 0.0, 100 + t, 100 * t + k)
+                                   for t in range(6) for k in range(20)] + [("3", "Twin", 1.0, 2.0, 0.0, 0.0, 102, 999)], POS)
+    reqs = spark.createDataFrame([(f"r{t % 4}", 0.0, 0.0, 0.0, 100 + t, 2) for t in range(6)] + [(None, 0.0, 0.0, 0.0, 103, 2)] * 2, REQS)
+    seen = asof.asof_by_time(reqs, fixes, asof.POSITION_COLS)
+    monkeypatch.setattr(asof, "PAIRS_A_TASK", 100)
+    pairs = asof.overlap_answers(reqs, fixes, seen=seen, total="n")
+    plain = asof.overlap_answers(reqs, fixes, seen=seen)
+    assert pairs.select(plain.columns).exceptAll(plain).isEmpty() and plain.exceptAll(pairs.select(plain.columns)).isEmpty() and plain.count() > 1000
+    msgs = codecs.overlap_response(pairs, 10, "request_id", total="n")
+    top = msgs._jdf.queryExecution().executedPlan().toString().split("Generate ")[0]
+    assert "Window" in top and "ObjectHashAggregate" in top and not re.search(r"Exchange|Join", top)
+    want = codecs.overlap_response(plain, 10, "request_id")
+    assert msgs.select(want.columns).exceptAll(want).isEmpty() and want.exceptAll(msgs.select(want.columns)).isEmpty()
+
+
+def test_messages_are_stored_small(spark, scratch):
+    import glob
+    rows = spark.range(60 * 20).selectExpr("cast(id % 60 as string) sat_id", "concat('Sat ', id % 60) satname", "id % 170 / 2D latitude", "id * 7 % 360 - 180D longitude",
+                                           "0D azimuth", "0D elevation", "1000000 + id div 60 timestamp", "id seq")
+    sinks.history_append(rows, 0, f"{scratch}/hist", sat_id=None)
+    reqs = spark.range(20).selectExpr("concat('r', id) request_id", "0D obs_latitude", "0D obs_longitude", "0D altitude", "1000000 + id timestamp", "2 choice_id")
+    msgs = state.answer_requests(reqs, 0, f"{scratch}/hist", f"{scratch}/resp")
+    assert codecs.decode_responses(msgs, OVERLAP_ITEM).count() == 20 * 60 * 59 // 2
+    stored = sum(os.path.getsize(f) for f in glob.glob(f"{scratch}/resp/*/*.parquet"))
+    assert 7 * stored < msgs.selectExpr("sum(length(value))").first()[0]
