@@ -342,8 +342,7 @@ def overlap_answers(requests: DataFrame, fixes: DataFrame, lookback_s: int | Non
         a = a.join(n.where(F.col("_n") == required_satellites).select("request_ts"), "request_ts", "left_semi")
     laid = []
     if total is not None:
-        ensure_checkpoint_dir(requests.sparkSession)
-        counts = _pairs_of_key(rq, a, key, total).checkpoint()
+        counts = _pairs_of_key(rq, a, key, total)
         n_pairs = counts.agg(F.sum(total)).first()[0] or 0
         rq = rq.join(counts, key, "left")
         # rows without a key are in no message, and need not meet
