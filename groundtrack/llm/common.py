@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -42,6 +43,17 @@ def saved(df: DataFrame, name: str, group_bytes: int | None = None) -> DataFrame
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return freed memory to the system. A Python worker that has ended its task
+    waits for the next one, beside those of the stages that follow, and would stay
+    as large as it has been."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # not every C library can
+        pass
+
+
 def crc_mod(col: str | Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n`` (null id: null)."""
     return F.crc32(F.col(col).cast("string").cast("binary") if isinstance(col, str)

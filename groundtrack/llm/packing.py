@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundtrack.llm.common import bounded_batches, saved, slices
+from groundtrack.llm.common import bounded_batches, give_back, saved, slices
 
 LENGTH, END_ID, PAD_ID = 1024, 0, 0
 #: Ids of about so many documents' bytes leave a Python worker at a time, and lie
@@ -82,12 +82,18 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """The encoder of a file, made once per worker."""
+    """The encoder of a file, made once per task (in 0.15 s)."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
 
 
+def end_task() -> None:
+    """An idle worker holds no encoder and no freed memory."""
+    _encoders.clear()
+    give_back()
+
+
 def tokenized(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
     """First pass, written out: key, part, at (ids before it in the part), n and
     the ids as little-endian unsigned 32-bit numbers."""
@@ -96,14 +102,16 @@ def tokenized(df: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, part, at = encoder(path), TaskContext.get().partitionId(), 0
+        part, at = TaskContext.get().partitionId(), 0
         for pdf in batches:
             texts = pdf["t"].fillna("")
             for a, z in slices(map(len, texts), PART_BYTES):
-                ids = [np.array(encode(t), "<u4").tobytes() + end for t in texts.iloc[a:z]]
+                ids = [np.array(encoder(path)(t), "<u4").tobytes() + end for t in texts.iloc[a:z]]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 yield pd.DataFrame({"k": pdf["k"].to_numpy()[a:z], "part": part, "at": at + np.cumsum(n) - n, "n": n, "ids": ids})
                 at += int(n.sum())
+        pdf = texts = ids = None
+        end_task()
 
     # as text: pandas would round large ids beside a null one
     return saved(df.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"))
@@ -140,6 +148,8 @@ def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", leng
                     "k": pdf["k"].to_numpy()[doc], "start": start, "length": hi - lo, "doc_tokens": n[doc], "sequence_id": window,
                     "offset": lo - window * length,
                     "ids": [bytes(ids[d][4 * at:4 * (at + m)]) for d, at, m in zip(doc, start, hi - lo, strict=True)]})
+        whole = pdf = ids = None
+        end_task()
 
     return (docs.withColumn("k", F.col("k").cast("string"))
             .mapInPandas(cut, "k string, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary")

@@ -136,3 +136,15 @@ def test_large_ids_stay_exact_beside_a_null_id(spark):
     docs = spark.createDataFrame([(i, f"some words {n}") for n, i in enumerate(ids)], "doc_id long, text string").coalesce(1)
     got = packing.pack(docs, queries.tokenizer_path(), length=8)
     assert {r[0] for r in got.select("doc_id").collect()} == set(ids) and got.schema["doc_id"].dataType.simpleString() == "bigint"
+
+
+def test_idle_workers_hold_no_encoder(spark):
+    """They wait beside the workers of the stages that follow."""
+    docs = spark.range(400).selectExpr("id doc_id", "concat('some words about ', id) text").repartition(16)
+    assert packing.pack(docs, queries.tokenizer_path()).count() > 0
+
+    def held(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"n": [len(packing._encoders)] * len(pdf)})
+
+    assert spark.range(64).repartition(16).mapInPandas(held, "n bigint").agg(F.max("n")).first()[0] == 0
